@@ -70,6 +70,12 @@ class Lakehouse:
     def sales_by_product(self) -> DataFrame:
         return marts.sales_by_product(self.sales, self.catalog)
 
+    @cached_property
+    def product_revenue(self) -> DataFrame:
+        """sales_by_product without the two ranks (for questions that do not
+        need them: no ranking jobs)."""
+        return marts.sales_by_product(self.sales, self.catalog, ranked=False)
+
     @cached_property
     def customer_revenue(self) -> DataFrame:
         return marts.customer_revenue(self.customers, self.sales, self.params)

@@ -187,3 +187,50 @@ def orphan_anti_join(spark, sf_dir):
     no_product = s.join(lh.catalog.select("id_produto"), "id_produto", "left_anti") \
         .select("id_venda", F.lit("produto").alias("registro"), F.col("id_produto").alias("chave"))
     return no_customer.unionByName(no_product)
+
+
+# --- data-quality checks (results as DataFrames) ---------------------------------
+
+def _register_quality():
+    from mercato.plans import quality
+
+    def make(fn):
+        return lambda spark, sf_dir: fn(lake(spark, sf_dir))
+    for name, fn in quality.FAMILIES.items():
+        q = make(fn)
+        q.__name__, q.__doc__ = name, fn.__doc__
+        QUERIES[name] = q
+    QUERIES["dq_schema"] = make(quality.schema_check)
+    QUERIES["dq_schema"].__doc__ = quality.schema_check.__doc__
+    QUERIES["dq_report"] = make(quality.report)
+    QUERIES["dq_report"].__doc__ = quality.report.__doc__
+
+
+_register_quality()
+
+
+# --- business questions ------------------------------------------------------------
+
+def _register_questions():
+    from mercato.plans import questions as K
+    names = ["ticket_by_segment", "tier_share", "revenue_region_category", "above_market_by_status",
+             "avg_ticket", "weekday_avg_per_day", "buyers_in_period", "channel_ranking",
+             "category_vs_market", "period_totals", "dearer_than_all", "suspicious_by_category",
+             "top10_customers", "top10_products", "daily_revenue", "hourly_revenue",
+             "segment_distribution", "revenue_by_region", "price_class_distribution"]
+
+    def make(fn):
+        return lambda spark, sf_dir: fn(lake(spark, sf_dir))
+    for name in names:
+        fn = getattr(K, name)
+        q = make(fn)
+        q.__name__, q.__doc__ = name, fn.__doc__
+        QUERIES[name] = q
+
+    def vip_share(spark, sf_dir):
+        """VIP customers and their share of revenue."""
+        return K.tier_share(lake(spark, sf_dir), P.SEG_VIP)
+    QUERIES["vip_share"] = vip_share
+
+
+_register_questions()

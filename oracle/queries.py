@@ -51,5 +51,263 @@ SELECT id_venda, 'produto', id_produto FROM s_vendas v
 WHERE NOT EXISTS (SELECT 1 FROM s_produtos p WHERE p.id_produto = v.id_produto)"""
 
 
+# --- data-quality checks ----------------------------------------------------------
+
+from mercato import params as P  # noqa: E402
+from mercato.plans import quality as _Q  # noqa: E402  (column lists are the spec)
+from mercato.plans import silver as _S  # noqa: E402
+from oracle.sql import money_of_cents, q, round_avg_signed  # noqa: E402
+
+GOLD_CTE = {"sales_by_time": "g_tempo", "sales_by_product": "g_produtos", "customer_segments": "g_clientes",
+            "sales_detail": "g_detalhe", "price_position": "g_precos"}
+GOLD_KEYS = {"sales_by_product": ["id_produto"], "customer_segments": ["id_cliente"],
+             "sales_detail": ["id_venda"], "price_position": ["id_produto"],
+             "sales_by_time": ["data", "hora", "canal_venda"]}
+
+
+def _union(parts):
+    return "\nUNION ALL\n".join(parts)
+
+
+def _expectations():
+    parts = []
+    for table, cte, rules in [("silver.clientes", "s_clientes", _S.CUSTOMER_RULES),
+                              ("silver.produtos", "s_produtos", _S.PRODUCT_RULES),
+                              ("silver.vendas", "s_vendas", _S.SALES_RULES),
+                              ("silver.preco_competidores", "s_precos", _S.COMPETITOR_RULES)]:
+        for r in rules:
+            parts.append(f"SELECT {q(table)} AS tabela, {q(r.name)} AS regra, {q(r.action)} AS acao, "
+                         f"COUNT_IF(NOT COALESCE(({r.predicate}), false)) AS violacoes FROM {cte}")
+    return f"SELECT *, acao = 'warn' OR violacoes = 0 AS passed FROM ({_union(parts)})"
+
+
+def _per_column(cols_by_table, expr, name):
+    parts = [f"SELECT {q(t)} AS table_name, {q(c)} AS column_name, COUNT_IF({expr.format(c=c)}) AS {name} "
+             f"FROM {GOLD_CTE[t]}" for t, cols in cols_by_table.items() for c in cols]
+    return f"SELECT *, {name} = 0 AS passed FROM ({_union(parts)})"
+
+
+BODIES["dq_expectations"] = _expectations()
+BODIES["dq_not_null"] = _per_column(_Q.REQUIRED, "{c} IS NULL", "nulls")
+BODIES["dq_positive"] = _per_column(_Q.POSITIVE, "{c} <= 0", "not_positive")
+BODIES["dq_unique_grain"] = "SELECT *, duplicated_keys = 0 AS passed FROM (" + _union([
+    f"SELECT {q(t)} AS table_name, {q(','.join(k))} AS grain, COUNT(*) AS duplicated_keys "
+    f"FROM (SELECT {', '.join(k)} FROM {GOLD_CTE[t]} GROUP BY ALL HAVING COUNT(*) > 1)"
+    for t, k in GOLD_KEYS.items()]) + ")"
+
+
+def _in(vals):
+    return ", ".join(q(v) for v in vals)
+
+
+BODIES["dq_domain"] = "SELECT *, invalid = 0 AS passed FROM (" + _union([
+    f"SELECT {q(n)} AS check_name, COUNT_IF(NOT COALESCE({c} IN ({_in(v)}), false)) AS invalid FROM {t}"
+    for n, t, c, v in [("segmento_cliente", "g_clientes", "segmento_cliente", P.SEGMENTS),
+                       ("canal_venda", "g_detalhe", "canal_venda", P.CHANNELS),
+                       ("classificacao_preco", "g_precos", "classificacao_preco", P.PRICE_CLASSES),
+                       ("faixa_preco", "s_produtos", "faixa_preco", [P.BAND_TOP, P.BAND_MID, P.BAND_LOW])]]) + ")"
+
+BODIES["dq_row_preservation"] = """
+SELECT check_name, gold_rows, silver_rows, COALESCE(gold_rows = silver_rows, false) AS passed FROM (
+  SELECT 'vendas' AS check_name, (SELECT COUNT(*) FROM g_detalhe) AS gold_rows, (SELECT COUNT(*) FROM s_vendas) AS silver_rows
+  UNION ALL
+  SELECT 'nao_cadastradas', (SELECT COUNT_IF(NOT produto_cadastrado) FROM g_detalhe),
+         (SELECT COUNT_IF(NOT produto_cadastrado) FROM s_vendas))"""
+
+D38 = "DECIMAL(38,2)"
+BODIES["dq_reconcile"] = f"""
+SELECT check_name, observed, expected, COALESCE(observed = expected, false) AS passed FROM (
+  SELECT 'receita tempo x detalhe' AS check_name, CAST((SELECT SUM(receita) FROM g_tempo) AS {D38}) AS observed,
+         CAST((SELECT SUM(receita) FROM g_detalhe) AS {D38}) AS expected
+  UNION ALL
+  SELECT 'receita produtos x detalhe', CAST((SELECT SUM(receita) FROM g_produtos) AS {D38}),
+         CAST((SELECT SUM(receita) FROM g_detalhe) AS {D38})
+  UNION ALL
+  SELECT 'vendas tempo x detalhe', CAST((SELECT SUM(total_vendas) FROM g_tempo) AS {D38}),
+         CAST((SELECT COUNT(*) FROM g_detalhe) AS {D38}))"""
+
+BODIES["dq_recompute"] = """
+SELECT *, inconsistent = 0 AS passed FROM (
+  SELECT 'ticket_medio' AS check_name,
+         COUNT_IF(COALESCE(abs(ticket_medio - round(receita / NULLIF(total_compras, 0), 2)) > 0.02,
+                           (ticket_medio IS NULL) <> (total_compras = 0))) AS inconsistent FROM g_clientes
+  UNION ALL
+  SELECT 'diferenca_pct_vs_media',
+         COUNT_IF(COALESCE(abs(diferenca_pct_vs_media - round((nosso_preco - preco_medio_concorrentes)
+                  / preco_medio_concorrentes * 100, 2)) > 0.1, true)) FROM g_precos
+  UNION ALL
+  SELECT 'receita', COUNT_IF(COALESCE(abs(receita - CAST(quantidade * preco_unitario AS DECIMAL(10,2))) > 0.01, true))
+  FROM g_detalhe)"""
+
+BODIES["dq_segment_bounds"] = f"""
+SELECT *, invalid = 0 AS passed FROM (
+  SELECT 'VIP' AS check_name, COUNT_IF(segmento_cliente = 'VIP' AND receita < {PR.vip_from}) AS invalid FROM g_clientes
+  UNION ALL
+  SELECT 'TOP_TIER', COUNT_IF(segmento_cliente = 'TOP_TIER' AND (receita < {PR.top_from} OR receita >= {PR.vip_from}))
+  FROM g_clientes
+  UNION ALL
+  SELECT 'REGULAR', COUNT_IF(segmento_cliente = 'REGULAR' AND receita >= {PR.top_from}) FROM g_clientes)"""
+
+BODIES["dq_rank_dense"] = """
+SELECT *, max_rank = "rows" AND distinct_ranks = "rows" AS passed FROM (
+  SELECT 'sales_by_product' AS table_name, 'ranking_receita' AS column_name, CAST(MAX(ranking_receita) AS BIGINT) AS max_rank,
+         COUNT(DISTINCT ranking_receita) AS distinct_ranks, COUNT(*) AS "rows" FROM g_produtos
+  UNION ALL
+  SELECT 'customer_segments', 'ranking_receita', CAST(MAX(ranking_receita) AS BIGINT),
+         COUNT(DISTINCT ranking_receita), COUNT(*) FROM g_clientes)"""
+
+_rules_values = ", ".join(f"({q(r[0])})" for r in P.SCORECARD_RULES)
+BODIES["dq_rules_present"] = f"""
+SELECT e.regra, COALESCE(g.present, 0) AS present, g.scorecard_count, r.recount,
+       COALESCE(g.present, 0) = 1 AND COALESCE(r.recount = g.scorecard_count, r.recount IS NULL) AS passed
+FROM (VALUES {_rules_values}) e(regra)
+LEFT JOIN (SELECT regra, COUNT(*) AS present, CAST(SUM(linhas_afetadas) AS BIGINT) AS scorecard_count
+           FROM g_qualidade GROUP BY regra) g ON e.regra = g.regra
+LEFT JOIN (SELECT {q(P.RULE_UNREGISTERED[0])} AS regra, COUNT_IF(NOT produto_cadastrado) AS recount FROM s_vendas
+           UNION ALL SELECT {q(P.RULE_EARLY_SALE[0])}, COUNT_IF(venda_antes_do_cadastro) FROM s_vendas
+           UNION ALL SELECT {q(P.RULE_SUSPICIOUS[0])}, COUNT_IF(preco_suspeito) FROM s_precos) r ON e.regra = r.regra"""
+
+
+def _rel(name, left, right, key):
+    return f"""
+  SELECT {q(name)} AS relation, COALESCE(MAX(r), 0) AS max_right_per_key,
+         COUNT_IF(r IS NULL) AS left_only_keys, COUNT_IF(l IS NULL) AS right_only_keys
+  FROM (SELECT {key}, COUNT(*) AS l FROM {left} GROUP BY {key}) a
+  FULL JOIN (SELECT {key}, COUNT(*) AS r FROM {right} GROUP BY {key}) b USING ({key})"""
+
+
+BODIES["dq_join_cardinality"] = "SELECT *, max_right_per_key <= 1 AS passed FROM (" + _union([
+    _rel("vendas_detalhadas->clientes_segmentacao", "g_detalhe", "g_clientes", "id_cliente"),
+    _rel("vendas_produtos->precos_competitividade", "g_produtos", "g_precos", "id_produto")]) + ")"
+
+from oracle.sql import CTES as _CTES  # noqa: E402
+
+_CTES["bl_gold_side"] = f"""
+  SELECT 'receita_total' AS metric, CAST(SUM(receita) AS {D38}) AS observed FROM g_tempo
+  UNION ALL SELECT 'total_vendas', CAST(SUM(total_vendas) AS {D38}) FROM g_tempo
+  UNION ALL SELECT 'total_clientes', CAST(COUNT(*) AS {D38}) FROM g_clientes
+  UNION ALL SELECT 'clientes_vip', CAST(COUNT_IF(segmento_cliente = 'VIP') AS {D38}) FROM g_clientes
+  UNION ALL SELECT 'receita_vip', CAST(SUM(CASE WHEN segmento_cliente = 'VIP' THEN receita END) AS {D38}) FROM g_clientes
+  UNION ALL SELECT 'produtos_monitorados', CAST(COUNT(*) AS {D38}) FROM g_precos
+  UNION ALL SELECT 'produtos_mais_caros_todos', CAST(COUNT_IF(classificacao_preco = 'MAIS_CARO_QUE_TODOS') AS {D38}) FROM g_precos
+  UNION ALL SELECT 'linhas_vendas_temporais', CAST(COUNT(*) AS {D38}) FROM g_tempo"""
+_CTES["bl_known"] = f"""SELECT c.id_cliente, v.r FROM s_clientes c
+          LEFT JOIN (SELECT id_cliente, SUM(receita) AS r FROM s_vendas GROUP BY id_cliente) v USING (id_cliente)"""
+_CTES["bl_monitored"] = f"""SELECT p.id_produto, p.preco_atual, m.mx FROM s_produtos p
+              JOIN (SELECT id_produto, MAX(preco_concorrente) AS mx FROM s_precos GROUP BY id_produto) m USING (id_produto)"""
+_CTES["bl_silver_side"] = f"""
+  SELECT 'receita_total' AS metric, CAST(SUM(receita) AS {D38}) AS expected FROM s_vendas
+  UNION ALL SELECT 'total_vendas', CAST(COUNT(*) AS {D38}) FROM s_vendas
+  UNION ALL SELECT 'total_clientes', CAST(COUNT(*) AS {D38}) FROM s_clientes
+  UNION ALL SELECT 'clientes_vip', CAST(COUNT_IF(COALESCE(r, 0) >= {PR.vip_from}) AS {D38}) FROM bl_known
+  UNION ALL SELECT 'receita_vip', CAST(SUM(CASE WHEN COALESCE(r, 0) >= {PR.vip_from} THEN r END) AS {D38}) FROM bl_known
+  UNION ALL SELECT 'produtos_monitorados', CAST(COUNT(*) AS {D38}) FROM bl_monitored
+  UNION ALL SELECT 'produtos_mais_caros_todos', CAST(COUNT_IF(preco_atual > mx) AS {D38}) FROM bl_monitored
+  UNION ALL SELECT 'linhas_vendas_temporais', CAST(COUNT(*) AS {D38})
+            FROM (SELECT DISTINCT data, hora, canal_venda FROM s_vendas)"""
+BODIES["dq_baseline"] = """
+SELECT metric, observed, expected, COALESCE(observed = expected, false) AS passed
+FROM bl_gold_side FULL JOIN bl_silver_side USING (metric)"""
+
+
+_FAMILIES = ["dq_expectations", "dq_not_null", "dq_positive", "dq_unique_grain", "dq_domain",
+             "dq_row_preservation", "dq_reconcile", "dq_recompute", "dq_segment_bounds", "dq_rank_dense",
+             "dq_rules_present", "dq_join_cardinality", "dq_baseline"]
+BODIES["dq_report"] = ("SELECT grupo, COUNT(*) AS checks, COUNT_IF(passed) AS passed_checks, "
+                       "bool_and(passed) AS all_passed FROM (" +
+                       _union([f"SELECT {q(n)} AS grupo, passed FROM ({BODIES[n]})" for n in _FAMILIES]) +
+                       ") GROUP BY grupo")
+
+
+# --- business questions -------------------------------------------------------------
+
+def _ratio_cents(num_money: str, den: str, t: str = "DECIMAL(20,2)") -> str:
+    """ROUND(num / den, 2) for a non-negative money sum and a count."""
+    c = f"CAST(({num_money}) * 100 AS HUGEINT)"
+    return (f"CASE WHEN ({den}) = 0 OR ({num_money}) IS NULL THEN NULL "
+            f"ELSE {money_of_cents(f'(2 * {c} + ({den})) // (2 * ({den}))', t)} END")
+
+
+BODIES["ticket_by_segment"] = f"""
+SELECT segmento_cliente, COUNT(*) AS clientes, CAST(SUM(total_compras) AS BIGINT) AS vendas,
+       CAST(SUM(receita) AS DECIMAL(20,2)) AS receita,
+       {_ratio_cents('SUM(receita)', 'SUM(total_compras)')} AS ticket_medio
+FROM g_clientes_base GROUP BY segmento_cliente"""
+
+
+def _tier(tier: str) -> str:
+    seg = f"SUM(CASE WHEN segmento_cliente = {q(tier)} THEN receita END)"
+    sc, tc = f"CAST({seg} * 100 AS HUGEINT)", "CAST(SUM(receita) * 100 AS HUGEINT)"
+    pct = (f"CASE WHEN {seg} IS NULL OR SUM(receita) = 0 THEN NULL "
+           f"ELSE CAST(((2 * {sc} * 1000 + {tc}) // (2 * {tc})) * 0.1 AS DECIMAL(10,1)) END")
+    return f"""
+SELECT {q(tier)} AS segmento_cliente, COUNT_IF(segmento_cliente = {q(tier)}) AS clientes,
+       CAST({seg} AS DECIMAL(20,2)) AS receita, {pct} AS pct_receita
+FROM g_clientes_base"""
+
+
+BODIES["tier_share"] = _tier(P.SEG_TOP)
+BODIES["vip_share"] = _tier(P.SEG_VIP)
+BODIES["revenue_region_category"] = """
+SELECT regiao, categoria, CAST(SUM(receita) AS DECIMAL(20,2)) AS receita FROM g_detalhe GROUP BY regiao, categoria"""
+BODIES["above_market_by_status"] = f"""
+SELECT CASE WHEN possui_preco_suspeito THEN {q(P.STATUS_TO_CONFIRM)} ELSE {q(P.STATUS_CONFIRMED)} END AS situacao,
+       COUNT(*) AS produtos
+FROM g_precos WHERE diferenca_pct_vs_media > 0 GROUP BY situacao"""
+BODIES["avg_ticket"] = f"""
+SELECT canal_venda, CAST(SUM(receita) AS DECIMAL(20,2)) AS receita, CAST(SUM(total_vendas) AS BIGINT) AS total_vendas,
+       {_ratio_cents('SUM(receita)', 'SUM(total_vendas)')} AS ticket_medio
+FROM g_tempo GROUP BY canal_venda"""
+BODIES["weekday_avg_per_day"] = f"""
+SELECT dia_semana_num, dia_semana, CAST(SUM(receita) AS DECIMAL(20,2)) AS receita, COUNT(DISTINCT data) AS dias,
+       {_ratio_cents('SUM(receita)', 'COUNT(DISTINCT data)')} AS receita_media_dia
+FROM g_tempo GROUP BY dia_semana_num, dia_semana"""
+BODIES["buyers_in_period"] = """
+SELECT CAST(year(data) AS INTEGER) AS ano, COUNT(DISTINCT id_cliente) AS compradores, COUNT(*) AS vendas
+FROM g_detalhe GROUP BY ano"""
+BODIES["channel_ranking"] = """
+SELECT *, CAST(row_number() OVER (ORDER BY receita DESC, canal_venda) AS INTEGER) AS posicao FROM (
+  SELECT canal_venda, CAST(SUM(receita) AS DECIMAL(20,2)) AS receita, CAST(SUM(total_vendas) AS BIGINT) AS total_vendas
+  FROM g_tempo GROUP BY canal_venda)"""
+BODIES["category_vs_market"] = f"""
+SELECT categoria, COUNT(*) AS produtos,
+       {round_avg_signed('diferenca_pct_vs_media', 'DECIMAL(19,2)')} AS diferenca_media_pct,
+       COUNT_IF(diferenca_pct_vs_media > 0) AS acima_da_media
+FROM g_precos GROUP BY categoria"""
+BODIES["period_totals"] = """
+SELECT 'todos' AS canal_venda, CAST(SUM(receita) AS DECIMAL(20,2)) AS receita, COUNT(*) AS total_vendas,
+       CAST(SUM(quantidade) AS BIGINT) AS itens_vendidos, COUNT(DISTINCT id_cliente) AS compradores FROM g_detalhe
+UNION ALL
+SELECT canal_venda, CAST(SUM(receita) AS DECIMAL(20,2)), COUNT(*), CAST(SUM(quantidade) AS BIGINT),
+       COUNT(DISTINCT id_cliente) FROM g_detalhe GROUP BY canal_venda"""
+BODIES["dearer_than_all"] = """
+SELECT id_produto, nome_produto, categoria, nosso_preco, preco_maximo_concorrentes, possui_preco_suspeito
+FROM g_precos WHERE classificacao_preco = 'MAIS_CARO_QUE_TODOS'"""
+BODIES["suspicious_by_category"] = """
+SELECT categoria, COUNT(*) AS produtos, COUNT_IF(possui_preco_suspeito) AS suspeitos FROM g_precos GROUP BY categoria
+UNION ALL
+SELECT 'TOTAL', COUNT(*), COUNT_IF(possui_preco_suspeito) FROM g_precos"""
+BODIES["top10_customers"] = """
+SELECT id_cliente, nome_cliente, segmento_cliente, receita FROM g_clientes_base
+ORDER BY receita DESC, id_cliente LIMIT 10"""
+BODIES["top10_products"] = """
+SELECT id_produto, nome_produto, categoria, receita FROM g_produtos_base
+ORDER BY receita DESC, id_produto LIMIT 10"""
+BODIES["daily_revenue"] = """
+SELECT data, canal_venda, CAST(SUM(receita) AS DECIMAL(20,2)) AS receita, CAST(SUM(total_vendas) AS BIGINT) AS total_vendas
+FROM g_tempo GROUP BY data, canal_venda"""
+BODIES["hourly_revenue"] = """
+SELECT hora, canal_venda, CAST(SUM(receita) AS DECIMAL(20,2)) AS receita, CAST(SUM(total_vendas) AS BIGINT) AS total_vendas
+FROM g_tempo GROUP BY hora, canal_venda"""
+BODIES["segment_distribution"] = """
+SELECT segmento_cliente, COUNT(*) AS clientes, CAST(SUM(receita) AS DECIMAL(20,2)) AS receita
+FROM g_clientes_base GROUP BY segmento_cliente"""
+BODIES["revenue_by_region"] = """
+SELECT regiao, COUNT(*) AS clientes, CAST(SUM(receita) AS DECIMAL(20,2)) AS receita FROM g_clientes_base GROUP BY regiao"""
+BODIES["price_class_distribution"] = """
+SELECT classificacao_preco, COUNT(*) AS produtos, COUNT_IF(possui_preco_suspeito) AS suspeitos
+FROM g_precos GROUP BY classificacao_preco"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(body) for name, body in BODIES.items()}
