@@ -38,10 +38,11 @@ def unique_right_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     happens inside the join's job through ``assert_true``.
     """
     on = list(on)
-    dup = (right.groupBy(*on).count()
-           .select(*on, F.assert_true(F.col("count") == 1,
-                                      "right key is not unique").alias("_chk")))
-    checked = right.join(dup, on=on, how="inner").drop("_chk")
+    # assert_true must sit in a filter: in an unused column it is pruned away
+    keys = (right.groupBy(*on).count()
+            .where(F.assert_true(F.col("count") == 1, "right key is not unique").isNull())
+            .select(*on))
+    checked = right.join(keys, on=on, how="left_semi")
     return left.join(checked, on=on, how=how)
 
 

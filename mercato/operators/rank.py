@@ -13,9 +13,10 @@ numbering with the work spread over range buckets of the sort key:
    comparisons, JVM side).  The buckets cut the *total* order, tie-break
    included, so a sort value shared by a third of all rows is still split
    over many buckets;
-3. per (partition, bucket) counts -> running offsets (a table of at most
-   buckets + partitions rows) -> ``row_number`` inside (partition, bucket)
-   plus the offset.
+3. per (partition, bucket) counts -> running offsets -> ``row_number``
+   inside (partition, bucket) plus the offset.  Without partition columns
+   the counts are at most B numbers and are inlined as a literal array;
+   with them, the offsets table (at most B + partitions rows) is joined.
 
 The result does not depend on the sample: any boundaries give the same
 numbers, the sample only balances the buckets.  Nothing depends on
@@ -134,17 +135,29 @@ def row_number_scalable(df: DataFrame, order: Sequence[OrderItem],
     bucket = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
     keyed = df.withColumn("_bucket", bucket)
 
+    w = Window.partitionBy(*partition_by, "_bucket").orderBy(*_sort_cols(order))
+    if not partition_by:
+        # at most len(bounds) + 1 bucket counts: a bounded summary, turned
+        # into running offsets and inlined as a literal array
+        counts = dict(keyed.groupBy("_bucket").agg(F.count(F.lit(1))).collect())
+        offsets, run = [], 0
+        for b in range(len(bounds) + 1):
+            offsets.append(run)
+            run += counts.get(b, 0)
+        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_bucket") + 1)
+        return keyed.withColumn(name, (F.row_number().over(w) + offset).cast("int")).drop("_bucket")
+
     counts = keyed.groupBy(*partition_by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*partition_by).orderBy("_bucket") \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*partition_by, "_bucket",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    # global ranking: at most len(bounds)+1 offset rows -> broadcast is proven small
-    offsets = broadcast_bounded(offsets, known_rows=len(bounds) + 1 if not partition_by else None)
+    # (partition, bucket) pairs: up to buckets + partitions rows; broadcast
+    # only when counted small, otherwise a shuffle join on (partition, bucket)
+    offsets = broadcast_bounded(offsets)
     cond = [keyed["_bucket"] == offsets["_bucket"]] + \
            [keyed[c].eqNullSafe(offsets[c]) for c in partition_by]
     joined = keyed.join(offsets, on=cond, how="inner").select(keyed["*"], offsets["_offset"])
-    w = Window.partitionBy(*partition_by, "_bucket").orderBy(*_sort_cols(order))
     return (joined.withColumn(name, (F.row_number().over(w) + F.col("_offset")).cast("int"))
             .drop("_bucket", "_offset"))
 

@@ -35,6 +35,23 @@ def lake(spark: SparkSession, sf_dir: str) -> Lakehouse:
 
 # --- sources / silver --------------------------------------------------------
 
+@query
+def bronze_typed_ingest(spark, sf_dir):
+    """The sales source as header CSV text (written once under the
+    shared checkpoint folder), read back with inference off, projected by
+    declared name and cast to the declared types."""
+    import uuid
+
+    from mercato.schemas import BRONZE
+    from mercato.session import scratch_path
+    from mercato.sources import ingest
+    path = scratch_path(spark, f"csv-vendas-{uuid.uuid4().hex}")
+    ingest.export_csv(testdata.bronze_sales(spark, sf_dir), path)
+    schema = BRONZE["vendas"]
+    text = ingest.read_csv_text(spark, path, [f.name for f in schema.fields])
+    return ingest.typed(text, schema, strict=True)[0]
+
+
 @query
 def dedup_sales(spark, sf_dir):
     """One bronze sale per id; survivor = latest time, then largest values."""

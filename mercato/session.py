@@ -19,7 +19,7 @@ REQUIRED_CONF = {
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
-                  app: str = "mercato") -> SparkSession:
+                  app: str = "mercato", conf: dict | None = None) -> SparkSession:
     """A local session for tests and benchmarks (UI off, no server)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -30,7 +30,7 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in REQUIRED_CONF.items():
+    for k, v in {**REQUIRED_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

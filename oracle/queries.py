@@ -6,6 +6,7 @@ from oracle.sql import PR, dedup, with_ctes
 
 BODIES: dict[str, str] = {}
 
+BODIES["bronze_typed_ingest"] = "SELECT * FROM b_vendas"
 BODIES["dedup_sales"] = dedup("b_vendas", ["id_venda"], ["data_venda", "id_cliente", "id_produto",
                                                           "canal_venda", "quantidade", "preco_unitario"])
 BODIES["clean_customers"] = "SELECT * FROM s_clientes"
