@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.operators.joins import broadcast_bounded
+from mercato.operators.materialize import materialize
 
 # An order item: column name with direction, e.g. ("receita", False) = DESC.
 # Null ordering follows Spark's defaults: ASC NULLS FIRST, DESC NULLS LAST.
@@ -81,16 +82,20 @@ def _after(row: Sequence[Column], bound: Column, order: Sequence[OrderItem]) ->
 def row_number_scalable(df: DataFrame, order: Sequence[OrderItem],
                         partition_by: Sequence[str] = (), name: str = "rank",
                         rows_per_bucket: int = 2_000_000, samples_per_bucket: int = 32,
-                        max_buckets: int = 4096, seed: int = 7) -> DataFrame:
+                        max_buckets: int = 4096, seed: int = 7,
+                        stats_from: DataFrame | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY partition_by ORDER BY order)``.
 
     ``order`` must be a total order inside each partition (end it with a
     unique key), otherwise row numbers of ties are arbitrary, as with the
-    plain window.
+    plain window.  ``stats_from``: a cheap-to-scan DataFrame holding the same
+    rows' sort columns (e.g. the materialised input); the count, the sample
+    and the per-bucket counts are taken from it instead of ``df``.
     """
     partition_by = list(partition_by)
     full = [(c, True) for c in partition_by] + list(order)
-    n = df.count()
+    src = stats_from if stats_from is not None else df
+    n = src.count()
     buckets = min(max_buckets, max(1, math.ceil(n / rows_per_bucket)))
     if buckets <= 1:
         return plain_row_number(df, order, partition_by, name)
@@ -98,7 +103,7 @@ def row_number_scalable(df: DataFrame, order: Sequence[OrderItem],
     fields = [c for c, _ in full]
     types = {f.name: f.dataType for f in df.schema.fields}
     fraction = min(1.0, buckets * samples_per_bucket / n)
-    sample = [tuple(r) for r in df.select(*fields).sample(False, fraction, seed).collect()]
+    sample = [tuple(r) for r in src.select(*fields).sample(False, fraction, seed).collect()]
 
     def cmp(a, b):
         for i, (_, asc) in enumerate(full):
@@ -134,12 +139,13 @@ def row_number_scalable(df: DataFrame, order: Sequence[OrderItem],
     init = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
     bucket = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
     keyed = df.withColumn("_bucket", bucket)
+    src_keyed = src.select(*fields).withColumn("_bucket", bucket)
 
     w = Window.partitionBy(*partition_by, "_bucket").orderBy(*_sort_cols(order))
     if not partition_by:
         # at most len(bounds) + 1 bucket counts: a bounded summary, turned
         # into running offsets and inlined as a literal array
-        counts = dict(keyed.groupBy("_bucket").agg(F.count(F.lit(1))).collect())
+        counts = dict(src_keyed.groupBy("_bucket").agg(F.count(F.lit(1))).collect())
         offsets, run = [], 0
         for b in range(len(bounds) + 1):
             offsets.append(run)
@@ -147,14 +153,14 @@ def row_number_scalable(df: DataFrame, order: Sequence[OrderItem],
         offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_bucket") + 1)
         return keyed.withColumn(name, (F.row_number().over(w) + offset).cast("int")).drop("_bucket")
 
-    counts = keyed.groupBy(*partition_by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = src_keyed.groupBy(*partition_by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*partition_by).orderBy("_bucket") \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*partition_by, "_bucket",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     # (partition, bucket) pairs: up to buckets + partitions rows; broadcast
     # only when counted small, otherwise a shuffle join on (partition, bucket)
-    offsets = broadcast_bounded(offsets)
+    offsets = broadcast_bounded(materialize(offsets, "rank-offsets"))
     cond = [keyed["_bucket"] == offsets["_bucket"]] + \
            [keyed[c].eqNullSafe(offsets[c]) for c in partition_by]
     joined = keyed.join(offsets, on=cond, how="inner").select(keyed["*"], offsets["_offset"])
@@ -162,6 +168,20 @@ def row_number_scalable(df: DataFrame, order: Sequence[OrderItem],
             .drop("_bucket", "_offset"))
 
 
+def add_ranks(df: DataFrame, specs: Sequence[tuple], **kw) -> DataFrame:
+    """Several row numbers over one input: the input is materialised once
+    (one computation of the upstream plan) and every ranking takes its
+    count, sample and bucket counts from those files.
+
+    specs: (name, order, partition_by) tuples.
+    """
+    base = materialize(df, "rank-input")
+    out = base
+    for name, order, partition_by in specs:
+        out = row_number_scalable(out, order, partition_by, name=name, stats_from=base, **kw)
+    return out
+
+
 def top_n(df: DataFrame, order: Sequence[OrderItem], n: int) -> DataFrame:
     """O2: first ``n`` rows by ``order`` (planned as TakeOrderedAndProject:
     per-partition top-n, then a merge of n x partitions rows)."""

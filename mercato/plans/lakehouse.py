@@ -53,9 +53,14 @@ class Lakehouse:
     def catalog(self) -> DataFrame:
         return silver.product_catalog(self.bronze["produtos"], self.params)
 
+    @cached_property
+    def sales_with_product(self) -> DataFrame:
+        """Silver sales plus the catalog's descriptive columns (one join)."""
+        return silver.sales_enriched(self.bronze["vendas"], self.catalog, with_product=True)
+
     @cached_property
     def sales(self) -> DataFrame:
-        return silver.sales_enriched(self.bronze["vendas"], self.catalog)
+        return self.sales_with_product.select(*silver.SALES_COLUMNS)
 
     @cached_property
     def prices(self) -> DataFrame:
@@ -86,7 +91,7 @@ class Lakehouse:
 
     @cached_property
     def sales_detail(self) -> DataFrame:
-        return marts.sales_detail(self.sales, self.catalog, self.customers, self.params,
+        return marts.sales_detail(self.sales_with_product, self.catalog, self.customers, self.params,
                                   segments=self.customer_revenue)
 
     @cached_property
@@ -125,6 +130,8 @@ class Lakehouse:
                               self.states_rows, self.events)
         for attr, df in written.items():
             published.__dict__[attr] = df
+        # gold reads the written silver sales; the catalog is joined from its files
+        published.__dict__["sales_with_product"] = written["sales"]
         for name in self.GOLD:
             df = getattr(published, name)
             w = df.write.mode("overwrite")

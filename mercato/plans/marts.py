@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from mercato import params as P
 from mercato.functions import columns as C
-from mercato.operators.rank import row_number_scalable
+from mercato.operators.rank import add_ranks
 from mercato.schemas import GOLD, conform
 
 
@@ -51,8 +51,8 @@ def sales_by_product(sales: DataFrame, catalog: DataFrame, ranked: bool = True)
            .withColumn("marca", F.coalesce("marca", F.lit(P.UNREGISTERED_LABEL))))
     if ranked:
         order = [("receita", False), ("id_produto", True)]
-        out = row_number_scalable(out, order, name="ranking_receita")
-        out = row_number_scalable(out, order, partition_by=["categoria"], name="ranking_na_categoria")
+        out = add_ranks(out, [("ranking_receita", order, []),
+                              ("ranking_na_categoria", order, ["categoria"])])
     else:
         out = out.withColumn("ranking_receita", F.lit(None)).withColumn("ranking_na_categoria", F.lit(None))
     return conform(out, GOLD["sales_by_product"])
@@ -76,8 +76,8 @@ def customer_revenue(customers: DataFrame, sales: DataFrame, p: P.Params = P.DEF
 
 def customer_segments(customers: DataFrame, sales: DataFrame, p: P.Params = P.DEFAULT_PARAMS) -> DataFrame:
     """One row per customer with revenue, segment and revenue rank."""
-    out = row_number_scalable(customer_revenue(customers, sales, p),
-                              [("receita", False), ("id_cliente", True)], name="ranking_receita")
+    out = add_ranks(customer_revenue(customers, sales, p),
+                    [("ranking_receita", [("receita", False), ("id_cliente", True)], [])])
     return conform(out, GOLD["customer_segments"])
 
 
@@ -90,9 +90,10 @@ def sales_detail(sales: DataFrame, catalog: DataFrame, customers: DataFrame,
     """
     seg = segments if segments is not None else customer_revenue(customers, sales, p)
     seg = seg.select("id_cliente", "nome_cliente", "estado", "regiao", "segmento_cliente")
-    dims = catalog.select("id_produto", "nome_produto", "categoria", "marca", "faixa_preco")
-    out = (sales.join(dims, on="id_produto", how="left")
-           .join(seg, on="id_cliente", how="left")
+    if "nome_produto" not in sales.columns:   # product columns not carried from the registry join
+        dims = catalog.select("id_produto", "nome_produto", "categoria", "marca", "faixa_preco")
+        sales = sales.join(dims, on="id_produto", how="left")
+    out = (sales.join(seg, on="id_cliente", how="left")
            .withColumn("nome_produto", F.coalesce("nome_produto", F.lit(P.UNREGISTERED_NAME)))
            .withColumn("categoria", F.coalesce("categoria", F.lit(P.UNREGISTERED_LABEL)))
            .withColumn("marca", F.coalesce("marca", F.lit(P.UNREGISTERED_LABEL))))

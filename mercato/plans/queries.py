@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from mercato import params as P
 from mercato.operators.dedup import dedup_latest
 from mercato.operators.joins import group_count_over
-from mercato.operators.rank import row_number_scalable
+from mercato.operators.rank import add_ranks
 from mercato.plans import scorecard
 from mercato.plans.lakehouse import Lakehouse
 from mercato.sources import testdata
@@ -133,16 +133,16 @@ def rank_global(spark, sf_dir):
     """Every sale numbered by revenue (desc, id asc) without a
     single-partition window (range buckets of 20k rows)."""
     sales = lake(spark, sf_dir).sales.select("id_venda", "receita")
-    return row_number_scalable(sales, [("receita", False), ("id_venda", True)],
-                               name="posicao", rows_per_bucket=20_000)
+    return add_ranks(sales, [("posicao", [("receita", False), ("id_venda", True)], [])],
+                     rows_per_bucket=20_000)
 
 
 @query
 def rank_in_category(spark, sf_dir):
     """Products numbered by revenue inside their category."""
-    prod = lake(spark, sf_dir).sales_by_product.select("id_produto", "categoria", "receita")
-    return row_number_scalable(prod, [("receita", False), ("id_produto", True)],
-                               partition_by=["categoria"], name="posicao", rows_per_bucket=500)
+    prod = lake(spark, sf_dir).product_revenue.select("id_produto", "categoria", "receita")
+    return add_ranks(prod, [("posicao", [("receita", False), ("id_produto", True)], ["categoria"])],
+                     rows_per_bucket=500)
 
 
 @query

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato import params as P
-from mercato.operators.rank import row_number_scalable, top_n
+from mercato.operators.rank import add_ranks, top_n
 
 
 def _ratio(num, den, scale: int = 2):
@@ -83,7 +83,7 @@ def channel_ranking(lh) -> DataFrame:
     agg = lh.sales_by_time.groupBy("canal_venda").agg(
         F.sum("receita").cast("decimal(20,2)").alias("receita"),
         F.sum("total_vendas").alias("total_vendas"))
-    return row_number_scalable(agg, [("receita", False), ("canal_venda", True)], name="posicao")
+    return add_ranks(agg, [("posicao", [("receita", False), ("canal_venda", True)], [])])
 
 
 def category_vs_market(lh) -> DataFrame:

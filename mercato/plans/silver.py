@@ -66,10 +66,22 @@ def product_catalog(bronze: DataFrame, p: P.Params = P.DEFAULT_PARAMS) -> DataFr
             .withColumn("faixa_preco", C.price_band("preco_atual", p)))
 
 
-def sales_enriched(bronze: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Dedup -> money -> revenue -> calendar -> registry join -> flags."""
+SALES_COLUMNS = ["id_venda", "data_venda", "id_cliente", "id_produto", "canal_venda", "quantidade",
+                 "preco_unitario", "receita", "data", "hora", "dia_semana_num", "dia_semana",
+                 "produto_cadastrado", "venda_antes_do_cadastro", "venda_depois_do_cadastro"]
+PRODUCT_DIMS = ["nome_produto", "categoria", "marca", "faixa_preco"]
+
+
+def sales_enriched(bronze: DataFrame, catalog: DataFrame, with_product: bool = False) -> DataFrame:
+    """Dedup -> money -> revenue -> calendar -> registry join -> flags.
+
+    ``with_product`` keeps the catalog's descriptive columns from the same
+    registry join, so a wide per-sale table does not join the catalog a
+    second time (one fact-side join instead of two).
+    """
     d = dedup_latest(bronze, ["id_venda"], ["data_venda"])
-    registry = catalog.select("id_produto", F.lit(True).alias("produto_cadastrado"), "data_criacao")
+    extra = PRODUCT_DIMS if with_product else []
+    registry = catalog.select("id_produto", F.lit(True).alias("produto_cadastrado"), "data_criacao", *extra)
     t, created = F.col("data_venda"), F.col("data_criacao")
     out = (d.withColumn("preco_unitario", C.money("preco_unitario"))
            .withColumn("receita", C.line_revenue("quantidade", "preco_unitario"))
@@ -79,10 +91,7 @@ def sales_enriched(bronze: DataFrame, catalog: DataFrame) -> DataFrame:
            .withColumn("venda_antes_do_cadastro", C.null_false(t < created))
            .withColumn("venda_depois_do_cadastro",
                        C.null_false(F.col("produto_cadastrado") & (t >= created))))
-    return out.select("id_venda", "data_venda", "id_cliente", "id_produto", "canal_venda",
-                      "quantidade", "preco_unitario", "receita", "data", "hora", "dia_semana_num",
-                      "dia_semana", "produto_cadastrado", "venda_antes_do_cadastro",
-                      "venda_depois_do_cadastro")
+    return out.select(*SALES_COLUMNS, *extra)
 
 
 def competitor_prices(bronze: DataFrame, catalog: DataFrame, p: P.Params = P.DEFAULT_PARAMS) -> DataFrame:

@@ -33,9 +33,30 @@ from pyspark.sql import functions as F
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
+# Files smaller than this are left in as few tasks as they come (lookup tables).
+MIN_SPLIT_BYTES = 1 << 20
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return scan(spark, os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet scan with a floor on parallelism.
+
+    A file written as one row group is read by a single task however large
+    it is, and everything fused into that stage (joins against broadcast
+    sides, projections, partial aggregation) runs on one core.  When the
+    scan yields fewer splits than the session's parallelism, rows are dealt
+    round-robin to that many partitions.  On a cluster reading many files
+    the scan already has >= parallelism splits and nothing is added.
+    """
+    df = spark.read.parquet(path)
+    want = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= MIN_SPLIT_BYTES and df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
 
 
 def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
