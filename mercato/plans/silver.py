@@ -50,9 +50,9 @@ def states_table(spark: SparkSession, p: P.Params = P.DEFAULT_PARAMS) -> DataFra
 def clean_customers(bronze: DataFrame, states: DataFrame, states_rows: int | None = None) -> DataFrame:
     """G1: dedup -> trim -> strip title -> initcap -> state code -> lookup."""
     d = dedup_latest(bronze, ["id_cliente"], ["data_cadastro"])
-    out = (d.withColumn("nome_original", F.trim("nome_cliente"))
-           .withColumn("nome_cliente", C.clean_person_name("nome_original"))
-           .withColumn("estado", C.state_code("estado")))
+    out = d.withColumns({"nome_original": F.trim("nome_cliente"),
+                         "nome_cliente": C.clean_person_name(F.trim("nome_cliente")),
+                         "estado": C.state_code("estado")})
     out = lookup_join(out, states, on="estado", how="left", known_rows=states_rows)
     return out.select("id_cliente", "nome_original", "nome_cliente", "estado", "nome_estado",
                       "regiao", "pais", "data_cadastro")
@@ -61,9 +61,9 @@ def clean_customers(bronze: DataFrame, states: DataFrame, states_rows: int | Non
 def product_catalog(bronze: DataFrame, p: P.Params = P.DEFAULT_PARAMS) -> DataFrame:
     """Dedup -> trim name -> money price -> price band."""
     d = dedup_latest(bronze, ["id_produto"], ["data_criacao"])
-    return (d.withColumn("nome_produto", F.trim("nome_produto"))
-            .withColumn("preco_atual", C.money("preco_atual"))
-            .withColumn("faixa_preco", C.price_band("preco_atual", p)))
+    return d.withColumns({"nome_produto": F.trim("nome_produto"),
+                          "preco_atual": C.money("preco_atual"),
+                          "faixa_preco": C.price_band(C.money("preco_atual"), p)})
 
 
 SALES_COLUMNS = ["id_venda", "data_venda", "id_cliente", "id_produto", "canal_venda", "quantidade",
@@ -83,14 +83,14 @@ def sales_enriched(bronze: DataFrame, catalog: DataFrame, with_product: bool = F
     extra = PRODUCT_DIMS if with_product else []
     registry = catalog.select("id_produto", F.lit(True).alias("produto_cadastrado"), "data_criacao", *extra)
     t, created = F.col("data_venda"), F.col("data_criacao")
-    out = (d.withColumn("preco_unitario", C.money("preco_unitario"))
-           .withColumn("receita", C.line_revenue("quantidade", "preco_unitario"))
-           .withColumns(C.calendar("data_venda"))
+    price = C.money("preco_unitario")
+    registered = C.null_false("produto_cadastrado")
+    out = (d.withColumns({"preco_unitario": price, "receita": C.line_revenue("quantidade", price),
+                          **C.calendar("data_venda")})
            .join(registry, on="id_produto", how="left")
-           .withColumn("produto_cadastrado", C.null_false("produto_cadastrado"))
-           .withColumn("venda_antes_do_cadastro", C.null_false(t < created))
-           .withColumn("venda_depois_do_cadastro",
-                       C.null_false(F.col("produto_cadastrado") & (t >= created))))
+           .withColumns({"produto_cadastrado": registered,
+                         "venda_antes_do_cadastro": C.null_false(t < created),
+                         "venda_depois_do_cadastro": C.null_false(registered & (t >= created))}))
     return out.select(*SALES_COLUMNS, *extra)
 
 
@@ -98,8 +98,8 @@ def competitor_prices(bronze: DataFrame, catalog: DataFrame, p: P.Params = P.DEF
     """Dedup -> money -> parse time -> own price -> suspicious flag."""
     d = dedup_latest(bronze, ["id_produto", "nome_concorrente"], ["data_coleta"])
     own = catalog.select("id_produto", "preco_atual")
-    out = (d.withColumn("preco_concorrente", C.money("preco_concorrente"))
-           .withColumn("data_coleta", F.to_timestamp_ntz("data_coleta"))
+    out = (d.withColumns({"preco_concorrente": C.money("preco_concorrente"),
+                          "data_coleta": F.to_timestamp_ntz("data_coleta")})
            .join(own, on="id_produto", how="left")
            .withColumn("preco_suspeito",
                        C.is_suspicious("preco_concorrente", "preco_atual", p.suspicious_pct)))

@@ -36,12 +36,28 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Files smaller than this are left in as few tasks as they come (lookup tables).
 MIN_SPLIT_BYTES = 1 << 20
 
+# Declared schemas of the test tables (read without a schema-inference job).
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+              "props string",
+}
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return scan(spark, os.path.join(sf_dir, f"{name}.parquet"))
+    return scan(spark, os.path.join(sf_dir, f"{name}.parquet"), SCHEMAS.get(name))
 
 
-def scan(spark: SparkSession, path: str) -> DataFrame:
+def scan(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Parquet scan with a floor on parallelism.
 
     A file written as one row group is read by a single task however large
@@ -51,10 +67,12 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
     round-robin to that many partitions.  On a cluster reading many files
     the scan already has >= parallelism splits and nothing is added.
     """
-    df = spark.read.parquet(path)
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.parquet(path)
     want = spark.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= MIN_SPLIT_BYTES and df.rdd.getNumPartitions() < want:
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if size >= MIN_SPLIT_BYTES and size // split < want:
         df = df.repartition(want)
     return df
 
@@ -157,10 +175,23 @@ def event_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class LazyTables(dict):
+    """name -> DataFrame, each built on first access (a query that needs
+    one source does not pay for planning the others)."""
+
+    def __init__(self, builders: dict):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, name):
+        df = self[name] = self._builders[name]()
+        return df
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "clientes": bronze_customers(spark, sf_dir),
-        "produtos": bronze_products(spark, sf_dir),
-        "vendas": bronze_sales(spark, sf_dir),
-        "preco_competidores": bronze_competitor_prices(spark, sf_dir),
-    }
+    return LazyTables({
+        "clientes": lambda: bronze_customers(spark, sf_dir),
+        "produtos": lambda: bronze_products(spark, sf_dir),
+        "vendas": lambda: bronze_sales(spark, sf_dir),
+        "preco_competidores": lambda: bronze_competitor_prices(spark, sf_dir),
+    })

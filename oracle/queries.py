@@ -25,6 +25,10 @@ BODIES["competitor_prices"] = "SELECT * FROM s_precos"
 BODIES["sales_by_time"] = "SELECT * FROM g_tempo"
 BODIES["sales_by_time_events"] = "SELECT * FROM g_tempo_ev"
 BODIES["sales_by_product"] = "SELECT * FROM g_produtos"
+BODIES["sales_by_time_stream"] = """
+SELECT data, hora, canal_venda, COUNT(*) AS total_vendas, CAST(SUM(quantidade) AS BIGINT) AS itens_vendidos,
+       CAST(SUM(receita) AS DECIMAL(20,2)) AS receita
+FROM ev_vendas GROUP BY data, hora, canal_venda"""
 BODIES["rank_global"] = """
 SELECT id_venda, receita, CAST(row_number() OVER (ORDER BY receita DESC, id_venda) AS INTEGER) AS posicao
 FROM s_vendas"""
