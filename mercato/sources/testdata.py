@@ -7,11 +7,11 @@ cases the pipeline has to handle:
 
 * customers <- customer (+ nation/region as the state lookup): state code is
   typed padded and lower-case (' n7 '); 5 of 8 customers carry a courtesy
-  title; every 10th customer is typed twice with a later registration
-  (deduplication case).
+  title; customers of the BUILDING segment are typed twice, the second time
+  with a later registration (deduplication case).
 * products <- part: category = p_brand, brand = p_type (names contain type
-  words, so some names cite another brand); every 50th part is missing from
-  the catalog, its sales become "unregistered product" sales; creation dates
+  words, so some names cite another brand); parts of size 50 are missing
+  from the catalog, their sales become "unregistered product" sales; creation dates
   spread over 1995-2000, so some sales precede the product.
 * sales <- lineitem joined to orders (all lines): one sale per
   (order, line number); the test data repeats some (order, line) pairs with
@@ -100,17 +100,18 @@ def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit("2020-01-01").cast("date") + (k % 1000).cast("int")).cast("timestamp_ntz")
         .alias("data_cadastro"),
         k.alias("_k"),
+        F.col("c_mktsegment").alias("_seg"),
     )
-    # every 10th customer typed a second time, registered one hour later
-    again = (base.where(F.col("_k") % 10 == 0)
+    # customers of the BUILDING segment were typed a second time, one hour later
+    again = (base.where(F.col("_seg") == "BUILDING")
              .withColumn("data_cadastro", F.col("data_cadastro") + F.make_dt_interval(F.lit(0), F.lit(1))))
-    return base.unionByName(again).drop("_k")
+    return base.unionByName(again).drop("_k", "_seg")
 
 
 def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    return (p.where(k % 50 != 0)  # catalog gap: these parts are sold but not registered
+    return (p.where(F.col("p_size") != 50)  # catalog gap: parts of size 50 are sold, never registered
             .select(
                 F.concat(F.lit("prd_"), k.cast("string")).alias("id_produto"),
                 F.concat(F.col("p_name"), F.when(F.col("p_size") % 3 == 0, F.lit("  "))
