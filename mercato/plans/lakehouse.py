@@ -47,6 +47,13 @@ class Lakehouse:
         return cls(spark, bronze, silver.states_table(spark, params), params,
                    states_rows=len(params.states))
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str = "bronze",
+                     params: P.Params = P.DEFAULT_PARAMS) -> "Lakehouse":
+        """The four bronze tables read by name from ``database``."""
+        from mercato.schemas import BRONZE
+        return cls.from_tables(spark, {t: spark.read.table(f"{database}.{t}") for t in BRONZE}, params)
+
     # --- silver -------------------------------------------------------------
     @cached_property
     def customers(self) -> DataFrame:

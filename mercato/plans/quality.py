@@ -254,9 +254,18 @@ def join_cardinality(lh) -> DataFrame:
     return out.withColumn("passed", F.col("max_right_per_key") <= 1)
 
 
-def baseline(lh) -> DataFrame:
+def close(observed, expected, rel_tol) -> "F.Column":
+    """Q2: |observed - expected| <= rel_tol * |expected| (absolute when the
+    expected value is 0), in decimal arithmetic; rel_tol = 0 is Q1 equality."""
+    tol = F.lit(Decimal(str(rel_tol)))
+    return F.coalesce(
+        F.when(expected == 0, F.abs(observed) <= tol)
+        .otherwise(F.abs(observed - expected) <= tol * F.abs(expected)), F.lit(False))
+
+
+def baseline(lh, rel_tol=0) -> DataFrame:
     """Q1/Q2: headline figures read from gold equal an independent count
-    from silver (exact; money compared as decimals, not floats)."""
+    from silver (exact by default; money compared as decimals, not floats)."""
     p = lh.params
     seg = lh.customer_segments
     vip = F.col("segmento_cliente") == P.SEG_VIP
@@ -289,7 +298,7 @@ def baseline(lh) -> DataFrame:
         _one_value(cells, "linhas_vendas_temporais", F.count(F.lit(1))),
     ]).withColumnRenamed("value", "expected")
     return gold.join(silver_side, "source", "full").withColumnRenamed("source", "metric") \
-        .withColumn("passed", F.coalesce(F.col("observed") == F.col("expected"), F.lit(False)))
+        .withColumn("passed", close(F.col("observed"), F.col("expected"), rel_tol))
 
 
 FAMILIES = {

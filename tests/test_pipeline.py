@@ -205,3 +205,24 @@ def test_marts_conform_to_contract(lh):
 
 def test_naive_unranked_product_table(lh):
     assert marts.sales_by_product(lh.sales, lh.catalog, ranked=False).where("ranking_receita IS NULL").count() == 5
+
+
+def test_close_tolerance(spark):
+    from mercato.plans.quality import close
+    df = spark.createDataFrame([(D("101.00"), D("100.00")), (D("102.00"), D("100.00")), (D("0.00"), D("0.00")),
+                                (None, D("1.00"))], "o decimal(38,2), e decimal(38,2)")
+    got = [r[0] for r in df.select(close(F.col("o"), F.col("e"), 0.01)).collect()]
+    assert got == [True, False, True, False]
+
+
+def test_from_catalog_reads_tables_by_name(spark, tmpdir_path):
+    from mercato.schemas import BRONZE
+    from mercato.sources import ingest
+    ingest.create_namespace(spark, "bronze_named")
+    frames = {"clientes": X.customers(spark, X.CUSTOMERS), "produtos": X.products(spark, X.PRODUCTS),
+              "vendas": X.sales(spark, X.SALES), "preco_competidores": X.prices(spark, X.PRICES)}
+    for t, df in frames.items():
+        ingest.create_table(spark, f"bronze_named.{t}", BRONZE[t])
+        ingest.overwrite(df, f"bronze_named.{t}")
+    lh2 = Lakehouse.from_catalog(spark, "bronze_named")
+    assert lh2.sales_detail.count() == 6
