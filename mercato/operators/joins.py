@@ -80,7 +80,11 @@ def contains_other_value(left: DataFrame, key: Sequence[str], text_col: str, own
     key = list(key)
     cand = (values.select(F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
             .distinct().select("_v", F.lower("_v").alias("_lv")))
-    lengths = sorted(r[0] for r in cand.select(F.length("_lv")).distinct().collect())
+    # one small job: the distinct lengths (at most the longest value's length
+    # + 1 rows) and how many candidates there are, for the broadcast check
+    per_length = cand.groupBy(F.length("_lv").alias("n")).count().collect()
+    lengths = sorted(r["n"] for r in per_length)
+    total = sum(r["count"] for r in per_length)
     text = F.lower(F.col(text_col))
     parts = []
     for L in lengths:
@@ -94,7 +98,7 @@ def contains_other_value(left: DataFrame, key: Sequence[str], text_col: str, own
         return left.where(F.lit(False))
     subs = F.array_distinct(F.flatten(F.array(*parts)))
     exploded = left.select(*key, own_col, F.explode(subs).alias("_sub"))
-    cand_side = broadcast_bounded(cand, max_broadcast_rows)
+    cand_side = broadcast_bounded(cand, max_broadcast_rows, known_rows=total)
     hits = (exploded.join(cand_side, exploded["_sub"] == cand_side["_lv"], "inner")
             .where(F.col("_v") != F.col(own_col))
             .select(*key).distinct())

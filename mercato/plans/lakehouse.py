@@ -144,7 +144,13 @@ class Lakehouse:
             df = getattr(published, name)
             if name == "sales_detail":   # S11: date-clustered files, min/max skipping on `data`
                 df = df.repartitionByRange("data").sortWithinPartitions("data")
-            df.write.mode("overwrite").parquet(os.path.join(root, "gold", name))
+            path = os.path.join(root, "gold", name)
+            df.write.mode("overwrite").parquet(path)
+            # later tables use the written one (the wide table joins the
+            # written segments instead of re-aggregating every sale)
+            published.__dict__[name] = self.spark.read.parquet(path)
+            if name == "customer_segments":
+                published.__dict__["customer_revenue"] = published.__dict__[name]
         self.__dict__["_published_root"] = root
         return metrics
 
