@@ -81,7 +81,7 @@ def _after(row: Sequence[Column], bound: Column, order: Sequence[OrderItem]) ->
 
 def row_number_scalable(df: DataFrame, order: Sequence[OrderItem],
                         partition_by: Sequence[str] = (), name: str = "rank",
-                        rows_per_bucket: int = 2_000_000, samples_per_bucket: int = 32,
+                        rows_per_bucket: int = 250_000, samples_per_bucket: int = 32,
                         max_buckets: int = 4096, seed: int = 7,
                         stats_from: DataFrame | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY partition_by ORDER BY order)``.

@@ -34,3 +34,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "id_venda" in df.columns
+
+
+NO_PAIRS = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("dq_")))
+def test_no_pairwise_join_in_plans(spark, name):
+    """No registered query emits all pairs (cross / nested-loop joins)."""
+    df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(k in plan for k in NO_PAIRS), plan
