@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from mercato import params as P
 from mercato.operators import expect
 from mercato.operators.dedup import duplicate_key_count
+from mercato.operators.materialize import materialize
 from mercato.plans import silver
 from mercato.schemas import GOLD, GOLD_KEYS
 
@@ -60,33 +61,126 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+# --- one profile aggregate per table ---------------------------------------------
+#
+# Every global-aggregate check reads its numbers from the profile of its table:
+# one pass per table computes all of them, and all families of a report read the
+# same written profile, so the whole report scans each table once.
+
+SILVER_RULES = {"customers": ("silver.clientes", silver.CUSTOMER_RULES),
+                "catalog": ("silver.produtos", silver.PRODUCT_RULES),
+                "sales": ("silver.vendas", silver.SALES_RULES),
+                "prices": ("silver.preco_competidores", silver.COMPETITOR_RULES)}
+DOMAINS = {"customer_segments": ("segmento_cliente", P.SEGMENTS),
+           "sales_detail": ("canal_venda", P.CHANNELS),
+           "price_position": ("classificacao_preco", P.PRICE_CLASSES),
+           "catalog": ("faixa_preco", [P.BAND_TOP, P.BAND_MID, P.BAND_LOW])}
+
+
+def _violated(rule):
+    return F.count_if(~F.coalesce(F.expr(rule.predicate), F.lit(False)))
+
+
+def _metrics(lh) -> dict[str, dict]:
+    p = lh.params
+    m: dict[str, dict] = {t: {} for t in ["customers", "catalog", "sales", "prices", *REQUIRED]}
+    for t, (_, rules) in SILVER_RULES.items():
+        m[t].update({f"v_{r.name}": _violated(r) for r in rules})
+    for t, cols in REQUIRED.items():
+        m[t].update({f"null_{c}": F.count_if(F.col(c).isNull()) for c in cols})
+    for t, cols in POSITIVE.items():
+        m[t].update({f"nonpos_{c}": F.count_if(F.col(c) <= 0) for c in cols})
+    for t, (c, vals) in DOMAINS.items():
+        m[t]["invalid_domain"] = F.count_if(~F.coalesce(F.col(c).isin(*vals), F.lit(False)))
+    unreg, money = ~F.col("produto_cadastrado"), "decimal(38,2)"
+    rows = F.count(F.lit(1))
+    m["sales"].update(rows=rows, unreg=F.count_if(unreg), early=F.count_if("venda_antes_do_cadastro"),
+                      receita=F.sum("receita").cast(money))
+    m["prices"].update(suspicious=F.count_if("preco_suspeito"))
+    m["customers"].update(rows=rows)
+    m["sales_by_time"].update(rows=rows, receita=F.sum("receita").cast(money),
+                              vendas=F.sum("total_vendas").cast(money))
+    m["sales_by_product"].update(receita=F.sum("receita").cast(money))
+    r, s = F.col("receita"), F.col("segmento_cliente")
+    vip_from, top_from = F.lit(p.vip_from), F.lit(p.top_from)
+    calc = F.round(F.try_divide(F.col("receita"), F.col("total_compras")), 2)
+    m["customer_segments"].update(
+        rows=rows, vip=F.count_if(s == P.SEG_VIP), vip_receita=F.sum(F.when(s == P.SEG_VIP, r)).cast(money),
+        bad_vip=F.count_if((s == P.SEG_VIP) & (r < vip_from)),
+        bad_top=F.count_if((s == P.SEG_TOP) & ((r < top_from) | (r >= vip_from))),
+        bad_regular=F.count_if((s == P.SEG_REGULAR) & (r >= top_from)),
+        bad_ticket=F.count_if(F.coalesce(F.abs(F.col("ticket_medio") - calc) > Decimal("0.02"),
+                                         F.col("ticket_medio").isNull() != calc.isNull())))
+    rev = (F.col("quantidade") * F.col("preco_unitario")).cast("decimal(10,2)")
+    m["sales_detail"].update(
+        rows=rows, unreg=F.count_if(unreg), receita=F.sum("receita").cast(money),
+        bad_receita=F.count_if(F.coalesce(F.abs(F.col("receita") - rev) > Decimal("0.01"), F.lit(True))))
+    pct = F.round((F.col("nosso_preco") - F.col("preco_medio_concorrentes"))
+                  / F.col("preco_medio_concorrentes") * 100, 2)
+    m["price_position"].update(
+        rows=rows, dearer=F.count_if(F.col("classificacao_preco") == P.CLASS_ABOVE_ALL),
+        bad_pct=F.count_if(F.coalesce(F.abs(F.col("diferenca_pct_vs_media") - pct) > Decimal("0.1"),
+                                      F.lit(True))))
+    return m
+
+
+def profiles(lh) -> DataFrame:
+    """All metrics of all tables in long form (tabela, metric, value): one
+    job, one aggregate per table, written once under the checkpoint folder
+    (a few hundred values) and memoised on the lakehouse.  Families read
+    this small table, so a report scans every source table exactly once."""
+    if "_profiles" not in lh.__dict__:
+        parts = []
+        for t, spec in _metrics(lh).items():
+            agg = getattr(lh, t).agg(*[e.cast("decimal(38,2)").alias(n) for n, e in spec.items()])
+            parts.append(_stack(agg, [[F.lit(t), F.lit(n), F.col(n)] for n in spec],
+                                ["tabela", "metric", "value"]))
+        lh.__dict__["_profiles"] = materialize(_union(parts), "quality-profiles")
+        lh.__dict__["_profile_names"] = {t: list(spec) for t, spec in _metrics(lh).items()}
+    return lh.__dict__["_profiles"]
+
+
+def profile(lh, table: str) -> DataFrame:
+    """The one-row profile of ``table`` (metric columns, decimal(38,2))."""
+    long = profiles(lh).where(F.col("tabela") == table)
+    names = lh.__dict__["_profile_names"][table]
+    return long.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
+
+
+def _long(lh, items: list[tuple]) -> DataFrame:
+    """(key, side, table, metric) -> rows (key, side, value) from profiles."""
+    parts = [_stack(profile(lh, t), [[F.lit(k), F.lit(side), F.col(mc).cast("decimal(38,2)")]],
+                    ["k", "side", "v"]) for k, side, t, mc in items]
+    return _union(parts)
+
+
+def _pair(lh, items: list[tuple], key: str, left: str, right: str) -> DataFrame:
+    """Two values per key side by side, from a union (no join of one-row frames)."""
+    return _long(lh, items).groupBy("k").agg(
+        F.max(F.when(F.col("side") == "l", F.col("v"))).alias(left),
+        F.max(F.when(F.col("side") == "r", F.col("v"))).alias(right)).withColumnRenamed("k", key)
+
+
 def expectations(lh) -> DataFrame:
     """X1-X3 as a table: violations per silver rule (one pass per table)."""
-    return _union([
-        expect.violations(lh.customers, silver.CUSTOMER_RULES, "silver.clientes"),
-        expect.violations(lh.catalog, silver.PRODUCT_RULES, "silver.produtos"),
-        expect.violations(lh.sales, silver.SALES_RULES, "silver.vendas"),
-        expect.violations(lh.prices, silver.COMPETITOR_RULES, "silver.preco_competidores"),
-    ]).withColumn("passed", (F.col("acao") == expect.WARN) | (F.col("violacoes") == 0))
+    parts = [_stack(profile(lh, t), [[F.lit(table), F.lit(r.name), F.lit(r.action),
+                                      F.col(f"v_{r.name}").cast("bigint")] for r in rules],
+                    ["tabela", "regra", "acao", "violacoes"])
+             for t, (table, rules) in SILVER_RULES.items()]
+    return _union(parts).withColumn("passed", (F.col("acao") == expect.WARN) | (F.col("violacoes") == 0))
 
 
 def not_null(lh) -> DataFrame:
     """Q3/Q14: NULL count per required column, one aggregate per table."""
-    parts = []
-    for table, cols in REQUIRED.items():
-        agg = _gold(lh, table).agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-        parts.append(_stack(agg, [[F.lit(table), F.lit(c), F.col(c)] for c in cols],
-                            ["table_name", "column_name", "nulls"]))
+    parts = [_stack(profile(lh, t), [[F.lit(t), F.lit(c), F.col(f"null_{c}").cast("bigint")] for c in cols],
+                    ["table_name", "column_name", "nulls"]) for t, cols in REQUIRED.items()]
     return _union(parts).withColumn("passed", F.col("nulls") == 0)
 
 
 def positive(lh) -> DataFrame:
     """Q4: rows with a value <= 0 per column (NULL ignored)."""
-    parts = []
-    for table, cols in POSITIVE.items():
-        agg = _gold(lh, table).agg(*[F.count_if(F.col(c) <= 0).alias(c) for c in cols])
-        parts.append(_stack(agg, [[F.lit(table), F.lit(c), F.col(c)] for c in cols],
-                            ["table_name", "column_name", "not_positive"]))
+    parts = [_stack(profile(lh, t), [[F.lit(t), F.lit(c), F.col(f"nonpos_{c}").cast("bigint")] for c in cols],
+                    ["table_name", "column_name", "not_positive"]) for t, cols in POSITIVE.items()]
     return _union(parts).withColumn("passed", F.col("not_positive") == 0)
 
 
@@ -121,83 +215,48 @@ def schema_check(lh) -> DataFrame:
 
 def domain(lh) -> DataFrame:
     """Q12: values outside their domain."""
-    checks = [
-        ("segmento_cliente", lh.customer_segments, "segmento_cliente", P.SEGMENTS),
-        ("canal_venda", lh.sales_detail, "canal_venda", P.CHANNELS),
-        ("classificacao_preco", lh.price_position, "classificacao_preco", P.PRICE_CLASSES),
-        ("faixa_preco", lh.catalog, "faixa_preco", [P.BAND_TOP, P.BAND_MID, P.BAND_LOW]),
-    ]
-    parts = [df.agg(F.count_if(~F.coalesce(F.col(c).isin(*vals), F.lit(False))).alias("invalid"))
-             .select(F.lit(name).alias("check_name"), "invalid") for name, df, c, vals in checks]
+    parts = [profile(lh, t).select(F.lit(c).alias("check_name"), F.col("invalid_domain").cast("bigint")
+                                   .alias("invalid")) for t, (c, _) in DOMAINS.items()]
     return _union(parts).withColumn("passed", F.col("invalid") == 0)
 
 
 def row_preservation(lh) -> DataFrame:
     """Q8: the wide table keeps every silver sale, unregistered ones too."""
-    unreg = ~F.col("produto_cadastrado")
-    g = lh.sales_detail.agg(F.count(F.lit(1)).alias("all"), F.count_if(unreg).alias("unreg"))
-    s = lh.sales.agg(F.count(F.lit(1)).alias("all"), F.count_if(unreg).alias("unreg"))
-    g = _stack(g, [[F.lit("vendas"), F.col("all")], [F.lit("nao_cadastradas"), F.col("unreg")]],
-               ["check_name", "gold_rows"])
-    s = _stack(s, [[F.lit("vendas"), F.col("all")], [F.lit("nao_cadastradas"), F.col("unreg")]],
-               ["check_name", "silver_rows"])
-    return g.join(s, "check_name", "full").withColumn(
+    out = _pair(lh, [("vendas", "l", "sales_detail", "rows"), ("vendas", "r", "sales", "rows"),
+                     ("nao_cadastradas", "l", "sales_detail", "unreg"),
+                     ("nao_cadastradas", "r", "sales", "unreg")], "check_name", "gold_rows", "silver_rows")
+    return out.select("check_name", F.col("gold_rows").cast("bigint").alias("gold_rows"),
+                      F.col("silver_rows").cast("bigint").alias("silver_rows")).withColumn(
         "passed", F.coalesce(F.col("gold_rows") == F.col("silver_rows"), F.lit(False)))
 
 
-def _one_value(df: DataFrame, name: str, expr) -> DataFrame:
-    return df.agg(expr.cast("decimal(38,2)").alias("value")).select(F.lit(name).alias("source"), "value")
-
-
 def reconcile(lh) -> DataFrame:
     """Q9: revenue and sale counts agree across the three sales tables."""
-    vals = _union([
-        _one_value(lh.sales_by_time, "receita_tempo", F.sum("receita")),
-        _one_value(lh.sales_by_product, "receita_produtos", F.sum("receita")),
-        _one_value(lh.sales_detail, "receita_detalhe", F.sum("receita")),
-        _one_value(lh.sales_by_time, "vendas_tempo", F.sum("total_vendas")),
-        _one_value(lh.sales_detail, "vendas_detalhe", F.count(F.lit(1))),
-    ])
-    pairs = [("receita tempo x detalhe", "receita_tempo", "receita_detalhe"),
-             ("receita produtos x detalhe", "receita_produtos", "receita_detalhe"),
-             ("vendas tempo x detalhe", "vendas_tempo", "vendas_detalhe")]
-    sources = ["receita_tempo", "receita_produtos", "receita_detalhe", "vendas_tempo", "vendas_detalhe"]
-    wide = vals.agg(*[F.max(F.when(F.col("source") == x, F.col("value"))).alias(x) for x in sources])
-    rows = [[F.lit(n), F.col(a), F.col(b)] for n, a, b in pairs]
-    return _stack(wide, rows, ["check_name", "observed", "expected"]).withColumn(
-        "passed", F.coalesce(F.col("observed") == F.col("expected"), F.lit(False)))
+    out = _pair(lh, [("receita tempo x detalhe", "l", "sales_by_time", "receita"),
+                     ("receita tempo x detalhe", "r", "sales_detail", "receita"),
+                     ("receita produtos x detalhe", "l", "sales_by_product", "receita"),
+                     ("receita produtos x detalhe", "r", "sales_detail", "receita"),
+                     ("vendas tempo x detalhe", "l", "sales_by_time", "vendas"),
+                     ("vendas tempo x detalhe", "r", "sales_detail", "rows")],
+                "check_name", "observed", "expected")
+    return out.withColumn("passed", F.coalesce(F.col("observed") == F.col("expected"), F.lit(False)))
 
 
 def recompute(lh) -> DataFrame:
     """Q10: stored derived values equal a fresh computation."""
-    seg = lh.customer_segments
-    calc = F.round(F.try_divide(F.col("receita"), F.col("total_compras")), 2)
-    ticket_bad = F.coalesce(F.abs(F.col("ticket_medio") - calc) > Decimal("0.02"),
-                            F.col("ticket_medio").isNull() != calc.isNull())
-    pp = lh.price_position
-    pct = F.round((F.col("nosso_preco") - F.col("preco_medio_concorrentes"))
-                  / F.col("preco_medio_concorrentes") * 100, 2)
-    pct_bad = F.coalesce(F.abs(F.col("diferenca_pct_vs_media") - pct) > Decimal("0.1"), F.lit(True))
-    det = lh.sales_detail
-    rev = (F.col("quantidade") * F.col("preco_unitario")).cast("decimal(10,2)")
-    rev_bad = F.coalesce(F.abs(F.col("receita") - rev) > Decimal("0.01"), F.lit(True))
-    parts = [seg.agg(F.count_if(ticket_bad).alias("inconsistent")).select(F.lit("ticket_medio").alias("check_name"), "inconsistent"),
-             pp.agg(F.count_if(pct_bad).alias("inconsistent")).select(F.lit("diferenca_pct_vs_media").alias("check_name"), "inconsistent"),
-             det.agg(F.count_if(rev_bad).alias("inconsistent")).select(F.lit("receita").alias("check_name"), "inconsistent")]
+    parts = [profile(lh, t).select(F.lit(n).alias("check_name"), F.col(mc).cast("bigint").alias("inconsistent"))
+             for n, t, mc in [("ticket_medio", "customer_segments", "bad_ticket"),
+                              ("diferenca_pct_vs_media", "price_position", "bad_pct"),
+                              ("receita", "sales_detail", "bad_receita")]]
     return _union(parts).withColumn("passed", F.col("inconsistent") == 0)
 
 
 def segment_bounds(lh) -> DataFrame:
     """Q11: each segment's revenue lies inside its bounds."""
-    p = lh.params
-    r, s = F.col("receita"), F.col("segmento_cliente")
-    vip, top = F.lit(p.vip_from), F.lit(p.top_from)
-    agg = lh.customer_segments.agg(
-        F.count_if((s == P.SEG_VIP) & (r < vip)).alias("vip"),
-        F.count_if((s == P.SEG_TOP) & ((r < top) | (r >= vip))).alias("top"),
-        F.count_if((s == P.SEG_REGULAR) & (r >= top)).alias("regular"))
-    return _stack(agg, [[F.lit(P.SEG_VIP), F.col("vip")], [F.lit(P.SEG_TOP), F.col("top")],
-                        [F.lit(P.SEG_REGULAR), F.col("regular")]],
+    return _stack(profile(lh, "customer_segments"),
+                  [[F.lit(P.SEG_VIP), F.col("bad_vip").cast("bigint")],
+                   [F.lit(P.SEG_TOP), F.col("bad_top").cast("bigint")],
+                   [F.lit(P.SEG_REGULAR), F.col("bad_regular").cast("bigint")]],
                   ["check_name", "invalid"]).withColumn("passed", F.col("invalid") == 0)
 
 
@@ -218,14 +277,10 @@ def rules_present(lh) -> DataFrame:
     """Q15: all seven rules are in the scorecard and three of them agree with
     a recount from the silver flags."""
     sc = lh.quality_scorecard
-    recount_sales = lh.sales.agg(F.count_if(~F.col("produto_cadastrado")).alias("a"),
-                                 F.count_if(F.col("venda_antes_do_cadastro")).alias("b"))
     recount = _union([
-        _stack(recount_sales, [[F.lit(P.RULE_UNREGISTERED[0]), F.col("a")],
-                               [F.lit(P.RULE_EARLY_SALE[0]), F.col("b")]], ["regra", "recount"]),
-        lh.prices.agg(F.count_if("preco_suspeito").alias("recount"))
-        .select(F.lit(P.RULE_SUSPICIOUS[0]).alias("regra"), "recount"),
-    ])
+        profile(lh, t).select(F.lit(rule[0]).alias("regra"), F.col(mc).cast("bigint").alias("recount"))
+        for rule, t, mc in [(P.RULE_UNREGISTERED, "sales", "unreg"), (P.RULE_EARLY_SALE, "sales", "early"),
+                            (P.RULE_SUSPICIOUS, "prices", "suspicious")]])
     expected = lh.spark.createDataFrame([(r[0],) for r in P.SCORECARD_RULES], "regra string")
     got = sc.groupBy("regra").agg(F.count(F.lit(1)).alias("present"),
                                   F.sum("linhas_afetadas").alias("scorecard_count"))
@@ -263,23 +318,25 @@ def close(observed, expected, rel_tol) -> "F.Column":
         .otherwise(F.abs(observed - expected) <= tol * F.abs(expected)), F.lit(False))
 
 
+def _one_value(df: DataFrame, name: str, expr) -> DataFrame:
+    return df.agg(expr.cast("decimal(38,2)").alias("value")).select(F.lit(name).alias("source"), "value")
+
+
 def baseline(lh, rel_tol=0) -> DataFrame:
     """Q1/Q2: headline figures read from gold equal an independent count
     from silver (exact by default; money compared as decimals, not floats)."""
     p = lh.params
-    seg = lh.customer_segments
-    vip = F.col("segmento_cliente") == P.SEG_VIP
-    gold = _union([
-        _one_value(lh.sales_by_time, "receita_total", F.sum("receita")),
-        _one_value(lh.sales_by_time, "total_vendas", F.sum("total_vendas")),
-        _one_value(seg, "total_clientes", F.count(F.lit(1))),
-        _one_value(seg, "clientes_vip", F.count_if(vip)),
-        _one_value(seg, "receita_vip", F.sum(F.when(vip, F.col("receita")))),
-        _one_value(lh.price_position, "produtos_monitorados", F.count(F.lit(1))),
-        _one_value(lh.price_position, "produtos_mais_caros_todos",
-                   F.count_if(F.col("classificacao_preco") == P.CLASS_ABOVE_ALL)),
-        _one_value(lh.sales_by_time, "linhas_vendas_temporais", F.count(F.lit(1))),
-    ]).withColumnRenamed("value", "observed")
+    gold = _long(lh, [("receita_total", "l", "sales_by_time", "receita"),
+                      ("total_vendas", "l", "sales_by_time", "vendas"),
+                      ("total_clientes", "l", "customer_segments", "rows"),
+                      ("clientes_vip", "l", "customer_segments", "vip"),
+                      ("receita_vip", "l", "customer_segments", "vip_receita"),
+                      ("produtos_monitorados", "l", "price_position", "rows"),
+                      ("produtos_mais_caros_todos", "l", "price_position", "dearer"),
+                      ("linhas_vendas_temporais", "l", "sales_by_time", "rows"),
+                      ("receita_total", "r", "sales", "receita"),
+                      ("total_vendas", "r", "sales", "rows"),
+                      ("total_clientes", "r", "customers", "rows")])
     s = lh.sales
     per_cust = s.groupBy("id_cliente").agg(F.sum("receita").alias("r"))
     known = lh.customers.select("id_cliente").join(per_cust, "id_cliente", "left")
@@ -287,18 +344,17 @@ def baseline(lh, rel_tol=0) -> DataFrame:
     monitored = lh.prices.groupBy("id_produto").agg(F.max("preco_concorrente").alias("mx")) \
         .join(lh.catalog.select("id_produto", "preco_atual"), "id_produto", "inner")
     cells = s.select("data", "hora", "canal_venda").distinct()
-    silver_side = _union([
-        _one_value(s, "receita_total", F.sum("receita")),
-        _one_value(s, "total_vendas", F.count(F.lit(1))),
-        _one_value(lh.customers, "total_clientes", F.count(F.lit(1))),
+    recounted = _union([
         _one_value(known, "clientes_vip", F.count_if(cust_vip)),
         _one_value(known, "receita_vip", F.sum(F.when(cust_vip, F.col("r")))),
         _one_value(monitored, "produtos_monitorados", F.count(F.lit(1))),
         _one_value(monitored, "produtos_mais_caros_todos", F.count_if(F.col("preco_atual") > F.col("mx"))),
         _one_value(cells, "linhas_vendas_temporais", F.count(F.lit(1))),
-    ]).withColumnRenamed("value", "expected")
-    return gold.join(silver_side, "source", "full").withColumnRenamed("source", "metric") \
-        .withColumn("passed", close(F.col("observed"), F.col("expected"), rel_tol))
+    ]).select(F.col("source").alias("k"), F.lit("r").alias("side"), F.col("value").alias("v"))
+    out = gold.unionByName(recounted).groupBy("k").agg(
+        F.max(F.when(F.col("side") == "l", F.col("v"))).alias("observed"),
+        F.max(F.when(F.col("side") == "r", F.col("v"))).alias("expected")).withColumnRenamed("k", "metric")
+    return out.withColumn("passed", close(F.col("observed"), F.col("expected"), rel_tol))
 
 
 FAMILIES = {
