@@ -12,7 +12,6 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from mercato import params as P
 from mercato.operators import expect

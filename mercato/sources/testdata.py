@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
-# Files smaller than this are left in as few tasks as they come (lookup tables).
-MIN_SPLIT_BYTES = 1 << 20
+# Fact-sized tables: their scans get a parallelism floor (see ``scan``).
+FACT_TABLES = {"lineitem", "orders", "events"}
 
 # Declared schemas of the test tables (read without a schema-inference job).
 SCHEMAS = {
@@ -54,11 +54,12 @@ SCHEMAS = {
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return scan(spark, os.path.join(sf_dir, f"{name}.parquet"), SCHEMAS.get(name))
+    return scan(spark, os.path.join(sf_dir, f"{name}.parquet"), SCHEMAS.get(name),
+                spread=name in FACT_TABLES)
 
 
-def scan(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Parquet scan with a floor on parallelism.
+def scan(spark: SparkSession, path: str, schema: str | None = None, spread: bool = True) -> DataFrame:
+    """Parquet scan with a floor on parallelism (``spread``, fact tables).
 
     A file written as one row group is read by a single task however large
     it is, and everything fused into that stage (joins against broadcast
@@ -70,9 +71,7 @@ def scan(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame
     reader = spark.read.schema(schema) if schema else spark.read
     df = reader.parquet(path)
     want = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    if size >= MIN_SPLIT_BYTES and size // split < want:
+    if spread and df.rdd.getNumPartitions() < want:
         df = df.repartition(want)
     return df
 
