@@ -38,8 +38,8 @@ def main():
            "each partition sends one partial row, and (b) in `sales_by_product` / "
            "`customer_segments` at this scale only: the ranked input was counted at <= 250,000 "
            "rows (20,000 products, 15,000 customers), so the plain window is used; above that "
-           "the same code plans range buckets (see `rank_global`, 456,861 rows in 2 buckets of "
-           "up to 250,000, and `tests/test_operators.py::test_rank_scalable_has_no_single_partition_exchange`). "
+           "the same code plans range buckets (see `rank_global`, 456,861 rows in 23 buckets: that query "
+           "sets rows_per_bucket=20,000; and `tests/test_operators.py::test_rank_scalable_has_no_single_partition_exchange`). "
            "`Exchange RoundRobinPartitioning` is the scan parallelism floor for single-row-group "
            "test files; `SortAggregate` is the deterministic dedup (`max(struct)`, partial + final).",
            ""]
