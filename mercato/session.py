@@ -41,7 +41,10 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the library depends on to an existing session."""
     for k, v in REQUIRED_CONF.items():
-        spark.conf.set(k, v)
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # a static / locked setting: keep the session's value
+            pass
     return spark
 
 
@@ -55,7 +58,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="mercato-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    try:
+        spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # Spark Connect: no SparkContext; the conf setting is enough
+        pass
     return current
 
 

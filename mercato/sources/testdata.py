@@ -70,9 +70,13 @@ def scan(spark: SparkSession, path: str, schema: str | None = None, spread: bool
     """
     reader = spark.read.schema(schema) if schema else spark.read
     df = reader.parquet(path)
-    want = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
+    if spread:
+        try:
+            want = spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < want:
+                df = df.repartition(want)
+        except Exception:  # e.g. a Spark Connect session: leave the scan as it is
+            pass
     return df
 
 
