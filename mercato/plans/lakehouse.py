@@ -121,22 +121,46 @@ class Lakehouse:
     GOLD = ["sales_by_time", "sales_by_product", "customer_segments", "sales_detail",
             "price_position", "quality_scorecard"]
 
-    def publish(self, root: str, enforce: bool = True) -> dict:
-        """Write silver (with expectations) then gold under ``root``.
+    # tables written bucketed by the customer key in catalog mode: the wide
+    # sales table's customer join then reads both sides co-located
+    BUCKETED = {"sales": "id_cliente", "customer_segments": "id_cliente"}
+
+    def publish(self, root: str | None = None, enforce: bool = True,
+                database: str | None = None, buckets: int | None = None) -> dict:
+        """Write silver (with expectations) then gold.
+
+        Either as Parquet folders under ``root`` (use a fresh folder per run:
+        a failed run raises before gold and leaves earlier runs untouched),
+        or as tables of ``database`` (``saveAsTable``); with ``buckets`` the
+        silver sales and the customer segments are bucketed and sorted by
+        ``id_cliente`` into the same number of buckets.
 
         Silver tables are re-read from storage before gold is built, which
         cuts the lineage (an executor loss while building gold recomputes
-        from the written silver files, not from the raw sources).  With
-        ``enforce`` a violated fail-set rule stops the run before gold.
+        from the written silver, not from the raw sources).  With ``enforce``
+        a violated fail-set rule stops the run before gold.
         """
+        def write(df: DataFrame, layer: str, name: str, attr: str) -> DataFrame:
+            if database is None:
+                path = os.path.join(root, layer, name)
+                df.write.mode("overwrite").parquet(path)
+                return self.spark.read.parquet(path)
+            table = f"{database}.{layer}_{name}"
+            w = df.write.mode("overwrite").format("parquet")
+            if buckets and attr in self.BUCKETED:
+                key = self.BUCKETED[attr]
+                w = w.bucketBy(buckets, key).sortBy(key)
+            w.saveAsTable(table)
+            return self.spark.table(table)
+
+        if database is not None:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         metrics = {}
         written = {}
         for table, attr, rules in self.SILVER:
             df, obs = expect.observe_rules(getattr(self, attr), rules, f"silver_{table}")
-            path = os.path.join(root, "silver", table)
-            df.write.mode("overwrite").parquet(path)
+            written[attr] = write(df, "silver", table, attr)
             metrics[table] = expect.check_observed(obs, rules) if enforce else obs.get
-            written[attr] = self.spark.read.parquet(path)
         published = self._with(written)
         # gold reads the written silver sales; the catalog is joined from its files
         published.__dict__["sales_with_product"] = written["sales"]
@@ -144,14 +168,11 @@ class Lakehouse:
             df = getattr(published, name)
             if name == "sales_detail":   # S11: date-clustered files, min/max skipping on `data`
                 df = df.repartitionByRange("data").sortWithinPartitions("data")
-            path = os.path.join(root, "gold", name)
-            df.write.mode("overwrite").parquet(path)
             # later tables use the written one (the wide table joins the
             # written segments instead of re-aggregating every sale)
-            published.__dict__[name] = self.spark.read.parquet(path)
+            published.__dict__[name] = write(df, "gold", name, name)
             if name == "customer_segments":
                 published.__dict__["customer_revenue"] = published.__dict__[name]
-        self.__dict__["_published_root"] = root
         return metrics
 
     def _with(self, tables: dict) -> "Lakehouse":

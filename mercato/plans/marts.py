@@ -90,10 +90,13 @@ def sales_detail(sales: DataFrame, catalog: DataFrame, customers: DataFrame,
     """
     seg = segments if segments is not None else customer_revenue(customers, sales, p)
     seg = seg.select("id_cliente", "nome_cliente", "estado", "regiao", "segmento_cliente")
+    # customer join first: when sales and segments are bucketed by id_cliente
+    # it needs no shuffle; the product join follows
+    out = sales.join(seg, on="id_cliente", how="left")
     if "nome_produto" not in sales.columns:   # product columns not carried from the registry join
         dims = catalog.select("id_produto", "nome_produto", "categoria", "marca", "faixa_preco")
-        sales = sales.join(dims, on="id_produto", how="left")
-    out = (sales.join(seg, on="id_cliente", how="left")
+        out = out.join(dims, on="id_produto", how="left")
+    out = (out
            .withColumn("nome_produto", F.coalesce("nome_produto", F.lit(P.UNREGISTERED_NAME)))
            .withColumn("categoria", F.coalesce("categoria", F.lit(P.UNREGISTERED_LABEL)))
            .withColumn("marca", F.coalesce("marca", F.lit(P.UNREGISTERED_LABEL))))

@@ -226,3 +226,23 @@ def test_from_catalog_reads_tables_by_name(spark, tmpdir_path):
         ingest.overwrite(df, f"bronze_named.{t}")
     lh2 = Lakehouse.from_catalog(spark, "bronze_named")
     assert lh2.sales_detail.count() == 6
+
+
+def test_bucketed_publish_colocates_customer_join(spark):
+    cust = [r for r in X.CUSTOMERS if r[0] != "cus_6"]
+    bronze = {"clientes": X.customers(spark, cust), "produtos": X.products(spark, X.PRODUCTS),
+              "vendas": X.sales(spark, X.SALES), "preco_competidores": X.prices(spark, X.PRICES)}
+    Lakehouse.from_tables(spark, bronze).publish(database="lake_bucketed", buckets=4)
+    assert spark.table("lake_bucketed.gold_sales_detail").count() == 6
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = marts.sales_detail(spark.table("lake_bucketed.silver_vendas"),
+                                spark.table("lake_bucketed.silver_produtos"), None,
+                                segments=spark.table("lake_bucketed.gold_customer_segments"))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [id_cliente" in plan
+        assert "hashpartitioning(id_cliente" not in plan      # both sides read bucketed
+        assert df.count() == 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
