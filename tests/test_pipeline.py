@@ -246,3 +246,22 @@ def test_bucketed_publish_colocates_customer_join(spark):
         assert df.count() == 6
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_work_is_combined_before_the_shuffle(lh):
+    """Dedup and per-key aggregates combine map-side (partial aggregate below
+    each hash exchange), so a key holding a third of the rows is reduced
+    inside every map task before it is shuffled."""
+    dedup_plan = _plan(lh.sales)
+    assert "partial_max(struct(" in dedup_plan
+    cust_plan = _plan(lh.customer_revenue)
+    assert "partial_sum(" in cust_plan and "partial_count(" in cust_plan
+    time_plan = _plan(lh.sales_by_time)
+    assert "partial_count(distinct" in time_plan or "partial_count(" in time_plan
+    sc_plan = _plan(lh.quality_scorecard)
+    assert "partial_count(" in sc_plan
+    assert "CartesianProduct" not in sc_plan and "NestedLoop" not in sc_plan
