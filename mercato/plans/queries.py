@@ -273,5 +273,10 @@ def _register_questions():
         return K.tier_share(lake(spark, sf_dir), P.SEG_VIP)
     QUERIES["vip_share"] = vip_share
 
+    def vip_by_channel(spark, sf_dir):
+        """VIP customers' sales, revenue and buyers per channel (per-sale table)."""
+        return K.segment_by_channel(lake(spark, sf_dir), P.SEG_VIP)
+    QUERIES["vip_by_channel"] = vip_by_channel
+
 
 _register_questions()

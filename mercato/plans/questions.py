@@ -82,6 +82,17 @@ def buyers_in_period(lh) -> DataFrame:
         F.count(F.lit(1)).alias("vendas"))
 
 
+def segment_by_channel(lh, segment: str = P.SEG_VIP) -> DataFrame:
+    """Cross-domain example: what a segment's customers buy per channel
+    (sales, revenue, distinct buyers), from the per-sale table."""
+    return (lh.sales_detail.where(F.col("segmento_cliente") == segment)
+            .groupBy("canal_venda").agg(
+                F.lit(segment).alias("segmento_cliente"),
+                F.count(F.lit(1)).alias("vendas"),
+                F.sum("receita").cast("decimal(20,2)").alias("receita"),
+                F.count_distinct("id_cliente").alias("compradores")))
+
+
 def channel_ranking(lh) -> DataFrame:
     """K8: channels by revenue, with sales and ticket."""
     agg = lh.sales_by_time.groupBy("canal_venda").agg(

@@ -253,6 +253,10 @@ FROM g_clientes_base"""
 
 BODIES["tier_share"] = _tier(P.SEG_TOP)
 BODIES["vip_share"] = _tier(P.SEG_VIP)
+BODIES["vip_by_channel"] = """
+SELECT canal_venda, 'VIP' AS segmento_cliente, COUNT(*) AS vendas, CAST(SUM(receita) AS DECIMAL(20,2)) AS receita,
+       COUNT(DISTINCT id_cliente) AS compradores
+FROM g_detalhe WHERE segmento_cliente = 'VIP' GROUP BY canal_venda"""
 BODIES["revenue_region_category"] = """
 SELECT regiao, categoria, CAST(SUM(receita) AS DECIMAL(20,2)) AS receita FROM g_detalhe GROUP BY regiao, categoria"""
 BODIES["above_market_by_status"] = f"""
