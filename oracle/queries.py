@@ -318,5 +318,32 @@ SELECT classificacao_preco, COUNT(*) AS produtos, COUNT_IF(possui_preco_suspeito
 FROM g_precos GROUP BY classificacao_preco"""
 
 
+def _bigint_count_if(sql: str) -> str:
+    """DuckDB's COUNT_IF is HUGEINT; Spark's count_if is BIGINT: wrap every
+    COUNT_IF(...) in CAST(... AS BIGINT) (parentheses matched, quotes skipped)."""
+    out, i, key = [], 0, "COUNT_IF("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:j])
+        depth, k, quoted = 0, j + len(key) - 1, False
+        while k < len(sql):
+            ch = sql[k]
+            if ch == "'":
+                quoted = not quoted
+            elif not quoted and ch == "(":
+                depth += 1
+            elif not quoted and ch == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _bigint_count_if(sql[j + len(key):k])
+        out.append(f"CAST(COUNT_IF({inner}) AS BIGINT)")
+        i = k + 1
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: with_ctes(body) for name, body in BODIES.items()}
+    return {name: _bigint_count_if(with_ctes(body)) for name, body in BODIES.items()}
