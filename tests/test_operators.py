@@ -8,7 +8,6 @@ from decimal import Decimal as D
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from mercato.operators.dedup import dedup_latest, duplicate_key_count
 from mercato.operators.expect import FAIL, WARN, Rule, fail_fast, violations
