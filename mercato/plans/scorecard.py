@@ -104,10 +104,8 @@ def fused(lh) -> DataFrame:
         F.coalesce(F.sum("susp"), F.lit(0)).alias("n3"),
         F.count_if(F.col("n") < lh.params.expected_competitors).alias("n6"))
     cat = lh.catalog
-    flagged = cat.join(brand_mismatch(cat).select("id_produto", F.lit(True).alias("_b")),
-                       on="id_produto", how="left")
     names = shared_name_counts(cat)
-    brand_part = flagged.agg(F.count_if(F.col("_b").isNotNull()).alias("n4"))
+    brand_part = brand_mismatch(cat).agg(F.count(F.lit(1)).alias("n4"))
     name_part = names.agg(F.coalesce(F.sum(F.when(F.col("mesmo_nome") > 1, F.col("mesmo_nome"))),
                                      F.lit(0)).alias("n5"))
     cust_agg = lh.customers.agg(F.count_if(title_cond()).alias("n7"))
