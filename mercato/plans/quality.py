@@ -238,7 +238,7 @@ def reconcile(lh) -> DataFrame:
                      ("vendas tempo x detalhe", "l", "sales_by_time", "vendas"),
                      ("vendas tempo x detalhe", "r", "sales_detail", "rows")],
                 "check_name", "observed", "expected")
-    return out.withColumn("passed", F.coalesce(F.col("observed") == F.col("expected"), F.lit(False)))
+    return out.withColumn("passed", F.col("observed").eqNullSafe(F.col("expected")))
 
 
 def recompute(lh) -> DataFrame:
@@ -310,11 +310,12 @@ def join_cardinality(lh) -> DataFrame:
 
 def close(observed, expected, rel_tol) -> "F.Column":
     """Q2: |observed - expected| <= rel_tol * |expected| (absolute when the
-    expected value is 0), in decimal arithmetic; rel_tol = 0 is Q1 equality."""
+    expected value is 0), in decimal arithmetic; rel_tol = 0 is Q1 equality.
+    Two NULLs agree (e.g. the revenue of an empty segment on both sides)."""
     tol = F.lit(Decimal(str(rel_tol)))
-    return F.coalesce(
-        F.when(expected == 0, F.abs(observed) <= tol)
-        .otherwise(F.abs(observed - expected) <= tol * F.abs(expected)), F.lit(False))
+    return (F.when(observed.isNull() | expected.isNull(), observed.isNull() & expected.isNull())
+            .when(expected == 0, F.abs(observed) <= tol)
+            .otherwise(F.abs(observed - expected) <= tol * F.abs(expected)))
 
 
 def _one_value(df: DataFrame, name: str, expr) -> DataFrame:

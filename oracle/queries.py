@@ -121,7 +121,7 @@ SELECT check_name, gold_rows, silver_rows, COALESCE(gold_rows = silver_rows, fal
 
 D38 = "DECIMAL(38,2)"
 BODIES["dq_reconcile"] = f"""
-SELECT check_name, observed, expected, COALESCE(observed = expected, false) AS passed FROM (
+SELECT check_name, observed, expected, observed IS NOT DISTINCT FROM expected AS passed FROM (
   SELECT 'receita tempo x detalhe' AS check_name, CAST((SELECT SUM(receita) FROM g_tempo) AS {D38}) AS observed,
          CAST((SELECT SUM(receita) FROM g_detalhe) AS {D38}) AS expected
   UNION ALL
@@ -211,7 +211,7 @@ _CTES["bl_silver_side"] = f"""
   UNION ALL SELECT 'linhas_vendas_temporais', CAST(COUNT(*) AS {D38})
             FROM (SELECT DISTINCT data, hora, canal_venda FROM s_vendas)"""
 BODIES["dq_baseline"] = """
-SELECT metric, observed, expected, COALESCE(observed = expected, false) AS passed
+SELECT metric, observed, expected, observed IS NOT DISTINCT FROM expected AS passed
 FROM bl_gold_side FULL JOIN bl_silver_side USING (metric)"""
 
 
