@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import bitsliced, byte_bpe, mixing
+from mercato.llm import bitsliced, byte_bpe, mixing, token_counts, token_files
 from mercato.llm.common import python_tasks, table, word_count
 from mercato.llm.oracle import ORACLES
 
@@ -23,13 +23,26 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    python_tasks(spark)
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return token_files.write_and_read(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    python_tasks(spark)
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return token_counts.token_counts(docs, public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"), "source", word_count(F.col("text")).alias("size"))
     return mixing.mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
 
 
-QUERIES = {f.__name__: f for f in (op3_bit_sliced_top_k, op4_byte_bpe, op9_mix_sources)}
+QUERIES = {f.__name__: f for f in (
+    op3_bit_sliced_top_k, op4_byte_bpe, op6_token_files, op7_token_counts, op9_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
