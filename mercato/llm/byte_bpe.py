@@ -17,7 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heappop, heappush
 
@@ -26,9 +26,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of each table of encoded runs in a Python worker, and the longest run kept.
-CACHE_ENTRIES = 450_000
-CACHE_CHARS = 48
+from mercato.llm.runs import Recent
+
+#: Entries of each table of encoded runs in a Python worker.
+CACHE_ENTRIES = 800_000
 
 #: Characters with the property White_Space (fixed values of Unicode).
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -97,29 +98,6 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-class _Runs(dict):
-    """Run of characters -> its ids, as bytes; made when missing.
-
-    When full, the table becomes the old one, from which runs that are met
-    again are taken over, and the older one is let go.
-    """
-
-    def __init__(self, make: Callable[[str], bytes]) -> None:
-        super().__init__()
-        self.make, self.old = make, {}
-
-    def __missing__(self, run: str) -> bytes:
-        out = self.old.get(run)
-        if out is None:
-            out = self.make(run)
-        if len(run) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.old = dict(self)
-                self.clear()
-            self[run] = out
-        return out
-
-
 class Codec:
     """Encodes texts to ids (little-endian unsigned 32-bit) and back."""
 
@@ -128,10 +106,14 @@ class Codec:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pieces = regex.compile(pattern).findall
-        self.first, self.spaced = _Runs(self._split), _Runs(lambda run: self._split(" " + run))
+        self.first = Recent(self._split, CACHE_ENTRIES)
+        self.spaced = Recent(lambda run: self._split(" " + run), CACHE_ENTRIES)  # runs after one space
 
     def _split(self, text: str) -> bytes:
-        ids = [i for p in self.pieces(text) for i in merge(p.encode(), self.ranks)]
+        pieces = self.pieces(text)
+        if len(pieces) > 1:
+            return b"".join([self.spaced[p[1:]] if len(p) > 1 and p[0] == " " and p[1] != " " else self.first[p] for p in pieces])
+        ids = merge(text.encode(), self.ranks)
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:

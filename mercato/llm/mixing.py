@@ -79,11 +79,10 @@ def thresholds(rows: DataFrame, goal: DataFrame, bits: int = BITS) -> DataFrame:
             F.col("source").alias("s"), F.col("bucket").alias("within"), F.col("budget").alias("b0"))
         if not open_.take(1):
             break
-        hist = (rows.withColumn("within", F.shiftright("h", shift + bits))
-                .join(open_, F.col("source").eqNullSafe(F.col("s")) & (rows_within("within") == open_["within"]))
-                if shift + bits < HASH_BITS else
-                rows.join(open_, F.col("source").eqNullSafe(F.col("s"))))
-        hist = (hist.groupBy("source", F.shiftright("h", shift).alias("b"))
+        in_bucket = F.col("source").eqNullSafe(F.col("s"))
+        if shift + bits < HASH_BITS:
+            in_bucket &= F.shiftright("h", shift + bits) == F.col("within")
+        hist = (rows.join(open_, in_bucket).groupBy("source", F.shiftright("h", shift).alias("b"))
                 .agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"), F.first("b0").alias("b0")))
         below = F.coalesce(F.sum("words").over(running), F.lit(0))
         crossing = (hist.withColumn("below", below)
@@ -102,10 +101,6 @@ def thresholds(rows: DataFrame, goal: DataFrame, bits: int = BITS) -> DataFrame:
     return state.drop("budget", "held")
 
 
-def rows_within(name: str) -> Column:
-    return F.col(name)
-
-
 def mix(rows: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: int = 2, bits: int = BITS) -> DataFrame:
     """Rows (id, source, size, any more) -> + source_size, target, taken.
 

@@ -55,3 +55,36 @@ SELECT doc_id, size, source_size, target,
        source
 FROM dealt
 """
+
+ORACLES["op2_line_frequency"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, md5(coalesce(text, '-')) AS content FROM documents),
+words AS (SELECT r, doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+triples AS (
+  SELECT r, unnest(range(1, len(w) - 1)) AS i, unnest([w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] FOR k IN range(1, len(w) - 1)]) AS t
+  FROM words),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, t) AS n FROM triples) WHERE n > 1),
+covered AS (SELECT r, count(*) AS n FROM (SELECT DISTINCT r, unnest([i, i + 1, i + 2]) FROM twice) GROUP BY r),
+lines AS (
+  SELECT r, source, content, line, lower(regexp_replace(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT r, source, content, unnest(string_split(text, chr(10))) AS line FROM docs)),
+filled AS (SELECT * FROM lines WHERE n > 0),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM filled GROUP BY r),
+limits AS (SELECT source, greatest(10, 0.01::DOUBLE * count(DISTINCT content)) AS most FROM docs GROUP BY source),
+frequent AS (
+  SELECT f.source, norm FROM (SELECT source, norm, count(DISTINCT content) AS n FROM filled GROUP BY ALL) f
+  JOIN limits l ON f.source IS NOT DISTINCT FROM l.source WHERE n > most),
+gone AS (
+  SELECT r, sum(n) AS n FROM filled f JOIN frequent q ON f.source IS NOT DISTINCT FROM q.source AND f.norm = q.norm GROUP BY r),
+counts AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(d.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(g.n, 0) AS BIGINT) AS n_removed_words
+  FROM words w LEFT JOIN dup d USING (r) LEFT JOIN covered c USING (r) LEFT JOIN gone g USING (r)),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n_words - n_removed_words >= 50 AND 2 * (n_words - n_removed_words) >= n_words AS kept, n_removed_words
+FROM failed
+"""

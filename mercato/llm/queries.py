@@ -6,11 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import bitsliced, byte_bpe, mixing, token_counts, token_files
+from mercato.llm import bitsliced, byte_bpe, mixing, quality_rules, token_counts, token_files
 from mercato.llm.common import python_tasks, table, word_count
 from mercato.llm.oracle import ORACLES
 
 
+def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("host"), "text")
+    return quality_rules.judge(docs)
+
+
 def op3_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     python_tasks(spark)
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
@@ -42,7 +47,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_bit_sliced_top_k, op4_byte_bpe, op6_token_files, op7_token_counts, op9_mix_sources)}
+    op2_line_frequency, op3_bit_sliced_top_k, op4_byte_bpe, op6_token_files, op7_token_counts, op9_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
