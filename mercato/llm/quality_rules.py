@@ -49,11 +49,10 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "id", "host", "content", "word_chars", "n_symbols",
         F.size("words").cast("long").alias("n_words"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.array_sort(F.transform(triple, lambda t, i: F.struct(F.xxhash64(t).alias("h"), i.alias("i")))).alias("sorted"))
-    three = two.withColumn("hashes", F.col("sorted.h")).withColumn("places", F.col("sorted.i"))
-    same = lambda x, j: (x == F.get("hashes", j - 1)) | (x == F.get("hashes", j + 1))
-    four = three.withColumn("at", F.array_sort(F.array_compact(F.transform(
-        "hashes", lambda x, j: F.when(same(x, j), F.get("places", j))))))
+        F.sort_array(F.transform(triple, lambda t, i: F.struct(F.xxhash64(t).alias("h"), i.alias("i")))).alias("sorted"))
+    # single elements only: "sorted.h" inside a function would build its array anew for every element
+    same = lambda x, j: (x.h == F.get("sorted", j - 1).h) | (x.h == F.get("sorted", j + 1).h)
+    four = two.withColumn("at", F.sort_array(F.array_compact(F.transform("sorted", lambda x, j: F.when(same(x, j), x.i)))))
     words_of = F.transform("at", lambda p, j: F.least(F.lit(3), F.coalesce(F.get("at", j + 1) - p, F.lit(3))))
     return four.select("id", "host", "content", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                        F.aggregate(words_of, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_repeat_words"))
@@ -61,11 +60,11 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 def document_lines(docs: DataFrame) -> DataFrame:
     """(id, host, text) -> a row for each line with a word: id, host, content, nth, line (a hash with the host), words."""
-    lines = F.split(F.lower("text"), "\n")
-    split = docs.select("id", "host", F.xxhash64("text").alias("content"), F.posexplode(lines).alias("nth", "raw"))
-    words = split.select("id", "host", "content", "nth", split_words(F.col("raw")).alias("words")).filter(F.size("words") > 0)
-    return words.select("id", "host", "content", "nth", F.xxhash64(F.isnull("host"), "host", F.array_join("words", " ")).alias("line"),
-                        F.size("words").alias("words"))
+    spaced = F.regexp_replace(F.translate(F.lower("text"), "\t\x0b\x0c\r", "    "), " {2,}", " ")
+    split = docs.select("id", "host", F.xxhash64("text").alias("content"), F.posexplode(F.split(spaced, "\n")).alias("nth", "raw"))
+    plain = split.select("id", "host", "content", "nth", F.trim("raw").alias("plain")).filter("plain <> ''")
+    words = F.length("plain") - F.length(F.translate("plain", " ", "")) + 1
+    return plain.select("id", "host", "content", "nth", F.xxhash64(F.isnull("host"), "host", "plain").alias("line"), words.alias("words"))
 
 
 def frequent_lines(lines: DataFrame, docs: DataFrame, min_docs: int = MIN_LINE_DOCS, share: float = LINE_SHARE) -> DataFrame:
@@ -85,7 +84,7 @@ def judge(docs: DataFrame, min_docs: int = MIN_LINE_DOCS, share: float = LINE_SH
     empty result.
     """
     docs = docs.select("id", "host", "text")
-    lines = document_lines(docs)
+    lines = materialize(document_lines(docs), "document-lines")  # read twice
     frequent = materialize(frequent_lines(lines, docs, min_docs, share), "frequent-lines")
     removed = (lines.join(frequent, "line").groupBy("id", "host", "content", "nth").agg(F.max("words").alias("words"))
                .groupBy(F.col("id").alias("id2"), F.col("host").alias("host2"), F.col("content").alias("content2"))
