@@ -6,11 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import bitsliced, byte_bpe, mixing, quality_rules, token_counts, token_files
+from mercato.llm import bitsliced, byte_bpe, language_id, mixing, quality_knn, quality_rules, token_counts, token_files
 from mercato.llm.common import python_tasks, table, word_count
 from mercato.llm.oracle import ORACLES
 
 
+def op1_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    python_tasks(spark)
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    return quality_knn.score(docs, labels)
+
+
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("host"), "text")
     return quality_rules.judge(docs)
@@ -40,6 +47,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    python_tasks(spark)
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
+    return language_id.identify(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"), "source", word_count(F.col("text")).alias("size"))
@@ -47,7 +60,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_line_frequency, op3_bit_sliced_top_k, op4_byte_bpe, op6_token_files, op7_token_counts, op9_mix_sources)}
+    op1_quality_neighbours, op2_line_frequency, op3_bit_sliced_top_k, op4_byte_bpe, op6_token_files, op7_token_counts, op8_language,
+    op9_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
