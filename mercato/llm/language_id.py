@@ -51,6 +51,12 @@ class Vocabulary:
                     if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))}
         self.size = model.get_piece_size()
         self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
+        nodes = {p: n for n, p in enumerate(sorted(self.prefixes), 1)} | {"": 0}  # a trie: (node, character) -> node
+        steps = sorted((nodes[p[:-1]] << 21 | ord(p[-1]), n) for p, n in nodes.items() if p)
+        self.keys, self.children = (np.array(x, np.int64) for x in zip(*steps, strict=True))
+        self.piece = np.full(len(nodes), -1, np.int64)
+        for p, i in self.ids.items():
+            self.piece[nodes[p]] = i
 
     def edges(self, word: str) -> Iterator[tuple[int, int, int]]:
         """(start, end, piece) of every piece in a word; size is the piece of an unknown character."""
@@ -80,14 +86,38 @@ class Lattice:
     """All segmentations of many words at once: edges grouped by end and length."""
 
     def __init__(self, words: list[str], vocab: Vocabulary) -> None:
-        self.lengths = np.array([len(w) for w in words], np.int64)
-        groups: dict[tuple[int, int], tuple[list[int], list[int]]] = defaultdict(lambda: ([], []))
-        for n, w in enumerate(words):
-            for i, j, piece in vocab.edges(w):
-                ws, ps = groups[j, j - i]
-                ws.append(n)
-                ps.append(piece)
-        self.steps = [(j, size, np.array(groups[j, size][0]), np.array(groups[j, size][1])) for j, size in sorted(groups)]
+        self.lengths = np.array(list(map(len, words)), np.int64)
+        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+        word = np.repeat(np.arange(len(words)), self.lengths)
+        at = np.arange(len(chars)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        left = self.lengths[word] - at
+        start, node, found = np.arange(len(chars)), np.zeros(len(chars), np.int64), []
+        for size in range(1, int(self.lengths.max(initial=0)) + 1):  # all starts walk the trie together
+            keep = left[start] >= size
+            start, node = start[keep], node[keep]
+            key = node << 21 | chars[start + size - 1]
+            place = np.minimum(np.searchsorted(vocab.keys, key), len(vocab.keys) - 1)
+            keep = vocab.keys[place] == key
+            start, node = start[keep], vocab.children[place[keep]]
+            piece = vocab.piece[node]
+            if size == 1:
+                known = np.zeros(len(chars), bool)
+                known[start[piece >= 0]] = True
+                odd = np.nonzero(~known)[0]
+                found.append((odd, np.full(len(odd), vocab.size), 1))
+            found.append((start[piece >= 0], piece[piece >= 0], size))
+            if not len(start):
+                break
+        self.steps = []
+        if found:
+            starts, pieces = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            sizes = np.repeat([f[2] for f in found], [len(f[0]) for f in found])
+            group = (at[starts] + sizes) << 16 | sizes
+            order = np.argsort(group, kind="stable")
+            cuts = np.nonzero(np.diff(group[order], prepend=-1))[0]
+            for g in np.split(order, cuts[1:]) if len(order) else ():
+                end, size = divmod(int(group[g[0]]), 1 << 16)
+                self.steps.append((end, size, word[starts[g]], pieces[g]))
 
     def forward(self, p: np.ndarray) -> np.ndarray:
         """p: (pieces, languages) -> (words, positions, languages)."""
