@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import bitsliced, byte_bpe, language_id, mixing, quality_knn, quality_rules, token_counts, token_files
+from mercato.llm import bitsliced, byte_bpe, jaccard_join, language_id, mixing, quality_knn, quality_rules, token_counts, token_files
 from mercato.llm.common import python_tasks, table, word_count
 from mercato.llm.oracle import ORACLES
 
@@ -35,6 +35,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    python_tasks(spark)
+    return jaccard_join.join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     python_tasks(spark)
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
@@ -60,8 +65,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_neighbours, op2_line_frequency, op3_bit_sliced_top_k, op4_byte_bpe, op6_token_files, op7_token_counts, op8_language,
-    op9_mix_sources)}
+    op1_quality_neighbours, op2_line_frequency, op3_bit_sliced_top_k, op4_byte_bpe, op5_jaccard_join, op6_token_files,
+    op7_token_counts, op8_language, op9_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:
