@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import bitsliced, byte_bpe, jaccard_join, language_id, mixing, quality_knn, quality_rules, token_counts, token_files
+from mercato.llm import bitsliced, byte_bpe, jaccard_join, language_id, mixing, quality_knn, quality_rules, suffix_dedup, token_counts, token_files
 from mercato.llm.common import python_tasks, table, word_count
 from mercato.llm.oracle import ORACLES
 
@@ -64,9 +64,15 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    python_tasks(spark)
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return suffix_dedup.dedup(docs).select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_neighbours, op2_line_frequency, op3_bit_sliced_top_k, op4_byte_bpe, op5_jaccard_join, op6_token_files,
-    op7_token_counts, op8_language, op9_mix_sources)}
+    op7_token_counts, op8_language, op9_mix_sources, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
