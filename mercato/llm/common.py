@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from mercato.operators.materialize import materialize
 
-__all__ = ["ARROW_ROWS", "WORD", "python_tasks", "held_out", "materialize", "table", "word_count"]
+__all__ = ["ARROW_ROWS", "WORD", "held_out", "materialize", "table", "word_count"]
 
 #: A word: a run of anything but space and the controls TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,6 +25,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: far smaller than Spark's default of 10,000 rows.
 ARROW_ROWS = 512
 
+#: Hash buckets of keys, for a filter that can be broadcast at any size of input.
+BUCKETS = 1 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -46,6 +49,18 @@ def python_tasks(spark: SparkSession) -> None:
         context.addPyFile(target)
 
 
+def in_buckets(frame: DataFrame, wanted: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``frame`` whose hash bucket of ``keys`` is (left_anti: isn't) in use by ``wanted``.
+
+    A filter before a join, so that the join moves few rows that match nothing.
+    What is broadcast is bounded: ``BUCKETS`` integers at most.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    used = wanted.select(bucket.alias("mercato_used")).distinct()
+    return (frame.withColumn("mercato_bucket", bucket)
+            .join(F.broadcast(used), F.col("mercato_bucket") == F.col("mercato_used"), how).drop("mercato_bucket"))
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; null and empty texts have none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

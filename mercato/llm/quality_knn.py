@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -173,24 +174,30 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
     return fit([(np.frombuffer(r.columns, "<i4").astype(np.int64), np.frombuffer(r.weights, "<f4").astype(np.float64)) for r in rows], [r.label for r in rows])
 
 
-def score(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, size: int = SAMPLE) -> DataFrame:
-    """(id, text), (id, label 0/1) -> doc_id, held_out, score, predicted; every document, whole texts.
+def scorer(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, size: int = SAMPLE):
+    """(id, text), (id, label 0/1) -> a function of a text column that gives its score.
 
     Only labels of ids outside fold ``fold`` of ``folds`` are learned from; a
-    null id counts as held out.  Null and empty texts are scored by their
-    structure terms.  Without any label every score is 0.5.  Repeated rows are
-    scored each; of repeated labels the larger one holds.  Extra columns play
-    no part.
+    null id counts as held out; of repeated labels the larger one holds.
     """
-    docs = docs.select(F.col("id").cast("long").alias("id"), "text")
     learn = labels.select(F.col("id").cast("long").alias("id"), "label").filter(~held_out(F.col("id"), folds, fold))
+    docs = docs.select(F.col("id").cast("long").alias("id"), "text")
     model = docs.sparkSession.sparkContext.broadcast(train(docs, learn, size))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            vectors = model.value.project([terms().of(t or "") for t in b["text"].to_pylist()])
-            yield pa.RecordBatch.from_arrays([b["id"], pa.array(model.value.vote(vectors), pa.float64())], ["doc_id", "score"])
+    def of(text: pd.Series) -> pd.Series:
+        return pd.Series(model.value.vote(model.value.project([terms().of(t or "") for t in text])))
 
-    return (docs.mapInArrow(run, "doc_id long, score double")
+    return F.pandas_udf(of, "double")
+
+
+def score(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, size: int = SAMPLE) -> DataFrame:
+    """(id, text), (id, label 0/1) -> doc_id, held_out, score, predicted; every document, whole texts.
+
+    Null and empty texts are scored by their structure terms.  Without any
+    label every score is 0.5.  Repeated rows are scored each.  Extra columns
+    play no part.
+    """
+    of = scorer(docs, labels, folds, fold, size)
+    return (docs.select(F.col("id").cast("long").alias("doc_id"), of("text").alias("score"))
             .select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), "score",
                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))

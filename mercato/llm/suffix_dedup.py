@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import materialize
+from mercato.llm.common import in_buckets, materialize
 from mercato.llm.jaccard_join import groups, mixed
 
 LENGTH = 200
@@ -47,8 +47,6 @@ SIDE = (LENGTH - GRAM) // 2  # windows whose anchor is at least this far in hold
 CROWDED = 2000
 #: Windows sorted at once in a task.
 SORTED_AT_ONCE = 100_000
-#: Hash buckets of documents: a table of those in use is broadcast, 2**20 integers at most.
-BUCKETS = 1 << 20
 _POSITION_BITS = 20
 _SEGMENT = (1 << _POSITION_BITS) - LENGTH
 
@@ -192,20 +190,10 @@ def _with_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64("id", "hash"), F.lit(BUCKETS)).cast("int")
-
-
 def _same(a: str, b: str) -> Column:
     return F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & (F.col(f"{a}.hash") == F.col(f"{b}.hash"))
 
 
-def _only(docs: DataFrame, wanted: DataFrame, how: str = "left_semi") -> DataFrame:
-    """Documents whose hash bucket is (or isn't) in use by ``wanted``: a filter before a join."""
-    used = wanted.select(_bucket().alias("used")).distinct()  # BUCKETS integers at most
-    return docs.withColumn("bucket", _bucket()).join(F.broadcast(used), F.col("bucket") == F.col("used"), how).drop("bucket")
-
-
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(id, hash, text) -> id, hash, spans: what repeats in each document that has something."""
     data = docs.select("id", "hash", F.col("text").cast("binary").alias("text"))
@@ -224,7 +212,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "one.id", "one.hash", F.struct("key", "whole", "one.first", "one.n", (F.col("uses") == 1).alias("single"), "crowded").alias("bundle"))
     wanted = materialize(ends.groupBy("id", "hash").agg(F.collect_list("bundle").alias("wanted")), "wanted")  # a document's own bundles
     placed = materialize(
-        _only(data, wanted).alias("d").join(wanted.alias("w"), _same("d", "w")).select("d.id", "d.hash", "d.text", "w.wanted")
+        in_buckets(data, wanted, ["id", "hash"]).alias("d").join(wanted.alias("w"), _same("d", "w")).select("d.id", "d.hash", "d.text", "w.wanted")
         .mapInArrow(_with_bytes, "lead binary, key long, whole long, single boolean, crowded boolean, id long, hash long, first long, n long, offset long, bytes binary"),
         "suffix-bundles")
     sorted_ = (placed.filter("NOT crowded").repartitionByRange("lead", "key")
@@ -282,9 +270,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     spans = repeated_spans(keyed)
     size = F.octet_length("text").cast("long").alias("n_bytes")
     rest = [c for c in keyed.columns if c not in ("text", "hash")]
-    hit = (_only(keyed, spans).alias("d").join(spans.alias("s"), _same("d", "s"), "left").select("d.*", "s.spans")
+    hit = (in_buckets(keyed, spans, ["id", "hash"]).alias("d").join(spans.alias("s"), _same("d", "s"), "left").select("d.*", "s.spans")
            .withColumn("cut", F.pandas_udf(_cut, CUT)(F.col("text").cast("binary"), F.col("spans")))
            .select(*rest, size, "cut.n_removed", "cut.n_spans", "cut.kept", F.col("cut.kept_text").alias("text")))
     none = F.lit(0).cast("long")
-    clean = _only(keyed, spans, "left_anti").select(*rest, size, none.alias("n_removed"), none.alias("n_spans"), F.col("text").cast("binary").alias("kept"), "text")
+    clean = in_buckets(keyed, spans, ["id", "hash"], "left_anti").select(*rest, size, none.alias("n_removed"), none.alias("n_spans"), F.col("text").cast("binary").alias("kept"), "text")
     return hit.unionByName(clean)
