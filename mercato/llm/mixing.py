@@ -102,16 +102,16 @@ def thresholds(rows: DataFrame, goal: DataFrame, bits: int = BITS) -> DataFrame:
 
 
 def mix(rows: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: int = 2, bits: int = BITS) -> DataFrame:
-    """Rows (id, source, size, any more) -> + source_size, target, taken.
+    """Rows (id, source, size, and a column doc if there is one) -> + source_size, target, taken.
 
     ``taken`` is size times the number of times that the row is taken, 0 to
     ``cap``.  A source's sum of ``taken`` differs from its target by half of
     one row at most (rows with the same id are taken together).  Reruns agree:
     the decision depends only on id, source and the sizes.  Null sources form
     one source, a null id counts as an empty one, null sizes as 0; an empty
-    table gives an empty result.
+    table gives an empty result.  Other columns are left out.
     """
-    rows = rows.withColumn("size", F.coalesce("size", F.lit(0)).cast("long")).withColumn("h", row_hash(F.col("id")))
+    rows = rows.select("id", "source", "size", *(c for c in ("doc",) if c in rows.columns)).withColumn("size", F.coalesce("size", F.lit(0)).cast("long")).withColumn("h", row_hash(F.col("id")))
     narrow = materialize(rows.select("source", "size", "h"), "mix-rows")
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     state = thresholds(narrow, targets(sizes, weights, share, cap), bits).withColumnRenamed("source", "s")
