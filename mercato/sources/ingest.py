@@ -24,11 +24,13 @@ from mercato.schemas import BRONZE
 
 
 def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """All columns as strings, header on, no inference; declared order."""
-    text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = (spark.read.option("header", "true").option("inferSchema", "false")
-          .option("enforceSchema", "false").schema(text).csv(path))
-    return df.select(*columns)
+    """All columns as strings, header on, no inference, projected by name.
+
+    Columns may stand in any order and others may stand beside them; a
+    declared column that the header lacks raises.
+    """
+    df = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
+    return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def typed(df: DataFrame, schema: T.StructType, strict: bool = True) -> tuple[DataFrame, DataFrame | None]:
@@ -60,10 +62,14 @@ def create_namespace(spark: SparkSession, *databases: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_table(spark: SparkSession, name: str, schema: T.StructType, location: str | None = None) -> None:
     cols = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}"
-        + (f" COMMENT '{f.metadata['comment']}'" if f.metadata.get("comment") else "")
+        + (f" COMMENT {_quoted(f.metadata['comment'])}" if f.metadata.get("comment") else "")
         for f in schema.fields)
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{loc}")
@@ -78,15 +84,25 @@ def overwrite(df: DataFrame, table: str) -> int:
 
 def ingest_csv(spark: SparkSession, data_path: str, database: str = "bronze",
                strict: bool = True) -> dict[str, int]:
-    """Load the four source CSVs (``<table>.csv``) into ``database``."""
+    """Load the four source CSVs (``<table>.csv``) into ``database``.
+
+    Returns the loaded rows per table.  With ``strict=False`` rows that do not
+    convert are stored as text in ``<table>_rejects``, with the names of the
+    offending columns, and counted under that name.
+    """
     create_namespace(spark, database)
     counts = {}
     for table, schema in BRONZE.items():
         name = f"{database}.{table}"
         create_table(spark, name, schema)
         text = read_csv_text(spark, f"{data_path.rstrip('/')}/{table}.csv", [f.name for f in schema.fields])
-        good, _ = typed(text, schema, strict)
+        good, rejects = typed(text, schema, strict)
         counts[table] = overwrite(good, name)
+        if rejects is not None:
+            obs = Observation(f"rejects_{table}")
+            (rejects.observe(obs, F.count(F.lit(1)).alias("rows"))
+             .write.mode("overwrite").format("parquet").saveAsTable(f"{name}_rejects"))
+            counts[f"{table}_rejects"] = obs.get["rows"]
     return counts
 
 

@@ -10,16 +10,16 @@ cases the pipeline has to handle:
   title; customers of the BUILDING segment are typed twice, the second time
   with a later registration (deduplication case).
 * products <- part: category = p_brand, brand = p_type (names contain type
-  words, so some names cite another brand); parts of size 50 are missing
-  from the catalog, their sales become "unregistered product" sales; creation dates
-  spread over 1995-2000, so some sales precede the product.
-* sales <- lineitem joined to orders (all lines): one sale per
+  words, so some names cite another brand); creation dates spread over
+  1995-2000, so some sales precede the product.
+* sales <- all lineitem lines, with their order where there is one: one sale per
   (order, line number); the test data repeats some (order, line) pairs with
-  different contents, which the silver layer deduplicates.  Hour of day and
+  different contents, which the silver layer deduplicates.  One line in 50
+  sells a product id that no catalog holds ("unregistered product").  Hour of day and
   channel are derived from the keys and the order priority; unit price is
   the line's cents integer-divided by the quantity.
-* competitor prices <- lineitem lines of at most 5 units joined to part: four
-  competitors by supplier, a price of 40-120 % of ours, collection time =
+* competitor prices <- all lineitem lines, with their part where there is one:
+  seven competitors by supplier, a price of 40-120 % of ours, collection time =
   ship date as text.
 * events: used directly as a second sales stream (event type = channel).
 """
@@ -33,9 +33,6 @@ from pyspark.sql import functions as F
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
-# Fact-sized tables: their scans get a parallelism floor (see ``scan``).
-FACT_TABLES = {"lineitem", "orders", "events"}
-
 # Declared schemas of the test tables (read without a schema-inference job).
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -54,30 +51,8 @@ SCHEMAS = {
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return scan(spark, os.path.join(sf_dir, f"{name}.parquet"), SCHEMAS.get(name),
-                spread=name in FACT_TABLES)
-
-
-def scan(spark: SparkSession, path: str, schema: str | None = None, spread: bool = True) -> DataFrame:
-    """Parquet scan with a floor on parallelism (``spread``, fact tables).
-
-    A file written as one row group is read by a single task however large
-    it is, and everything fused into that stage (joins against broadcast
-    sides, projections, partial aggregation) runs on one core.  When the
-    scan yields fewer splits than the session's parallelism, rows are dealt
-    round-robin to that many partitions.  On a cluster reading many files
-    the scan already has >= parallelism splits and nothing is added.
-    """
-    reader = spark.read.schema(schema) if schema else spark.read
-    df = reader.parquet(path)
-    if spread:
-        try:
-            want = spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < want:
-                df = df.repartition(want)
-        except Exception:  # e.g. a Spark Connect session: leave the scan as it is
-            pass
-    return df
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,16 +89,15 @@ def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    return (p.where(F.col("p_size") != 50)  # catalog gap: parts of size 50 are sold, never registered
-            .select(
-                F.concat(F.lit("prd_"), k.cast("string")).alias("id_produto"),
-                F.concat(F.col("p_name"), F.when(F.col("p_size") % 3 == 0, F.lit("  "))
-                         .otherwise(F.lit(""))).alias("nome_produto"),
-                F.col("p_brand").alias("categoria"),
-                F.col("p_type").alias("marca"),
-                F.col("p_retailprice").alias("preco_atual"),
-                (F.lit("1995-01-01").cast("date") + ((k * 7) % 2000).cast("int"))
-                .cast("timestamp_ntz").alias("data_criacao")))
+    return p.select(
+        F.concat(F.lit("prd_"), k.cast("string")).alias("id_produto"),
+        F.concat(F.col("p_name"), F.when(F.col("p_size") % 3 == 0, F.lit("  "))
+                 .otherwise(F.lit(""))).alias("nome_produto"),
+        F.col("p_brand").alias("categoria"),
+        F.col("p_type").alias("marca"),
+        F.col("p_retailprice").alias("preco_atual"),
+        (F.lit("1995-01-01").cast("date") + ((k * 7) % 2000).cast("int"))
+        .cast("timestamp_ntz").alias("data_criacao"))
 
 
 def _cents(c) -> F.Column:
@@ -134,7 +108,7 @@ def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    j = li.join(o, li.l_orderkey == o.o_orderkey, "left")  # a line without its order stays, as an orphan
     qty = F.col("l_quantity").cast("bigint")
     hour = ((F.col("l_orderkey") * 5 + F.col("l_linenumber") * 3) % 24).cast("int")
     return j.select(
@@ -142,9 +116,10 @@ def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("l_linenumber").cast("string")).alias("id_venda"),
         (F.col("o_orderdate") + F.make_dt_interval(F.lit(0), hour)).alias("data_venda"),
         F.concat(F.lit("cus_"), F.col("o_custkey").cast("string")).alias("id_cliente"),
-        F.concat(F.lit("prd_"), F.col("l_partkey").cast("string")).alias("id_produto"),
+        F.concat(F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 50 == 0, "prd_x").otherwise("prd_"),
+                 F.col("l_partkey").cast("string")).alias("id_produto"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "ecommerce")
-        .otherwise("loja_fisica").alias("canal_venda"),
+        .when(F.col("o_orderpriority").isNotNull(), "loja_fisica").alias("canal_venda"),
         qty.alias("quantidade"),
         (F.floor(_cents("l_extendedprice") / qty).cast("double") / 100).alias("preco_unitario"),
     )
@@ -152,14 +127,14 @@ def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_competitor_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     p = read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    j = li.where(F.col("l_quantity") <= 5).join(p, li.l_partkey == p.p_partkey, "inner")
+    j = li.join(p, li.l_partkey == p.p_partkey, "left")  # a line without its part stays, without a price
     pct = 40 + (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 81
     cents = F.floor(_cents("p_retailprice") * pct / 100)
     return j.select(
         F.concat(F.lit("prd_"), F.col("l_partkey").cast("string")).alias("id_produto"),
-        F.concat(F.lit("comp_"), (F.col("l_suppkey") % 4).cast("string")).alias("nome_concorrente"),
+        F.concat(F.lit("comp_"), (F.col("l_suppkey") % 7).cast("string")).alias("nome_concorrente"),
         (cents.cast("double") / 100).alias("preco_concorrente"),
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("data_coleta"),
     )
