@@ -1,10 +1,9 @@
 """Row-level expectations (X1-X3): fail-set and warn-set rules.
 
 A rule is a SQL predicate that a good row satisfies.  A row whose predicate
-is FALSE *or NULL* violates it.  All rules of a table are evaluated in one
-pass - either as a result DataFrame (``violations``), as observed metrics of
-the write that publishes the table (``observe_rules`` + ``check_observed``),
-or inline (``fail_fast``) where a violating row stops the job.
+is FALSE *or NULL* violates it.  All rules of a table are counted in one
+pass, as observed metrics of the write of the table's staging copy
+(``observe_rules`` + ``check_observed``); ``violated`` is a rule's counter.
 """
 
 from __future__ import annotations
@@ -29,24 +28,15 @@ class ExpectationFailed(Exception):
     pass
 
 
-def _violated(rule: Rule):
+def violated(rule: Rule):
     return F.count_if(~F.coalesce(F.expr(rule.predicate), F.lit(False)))
 
 
-def violations(df: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
-    """One row per rule: (tabela, regra, acao, violacoes) from one aggregate."""
-    agg = df.agg(*[_violated(r).alias(f"_r{i}") for i, r in enumerate(rules)])
-    pieces = ", ".join(f"'{r.name}', '{r.action}', _r{i}" for i, r in enumerate(rules))
-    return agg.selectExpr(f"stack({len(rules)}, {pieces}) AS (regra, acao, violacoes)") \
-              .select(F.lit(table).alias("tabela"), "regra", "acao",
-                      F.col("violacoes").cast("bigint").alias("violacoes"))
-
-
 def observe_rules(df: DataFrame, rules: Sequence[Rule], name: str) -> tuple[DataFrame, Observation]:
     """Attach rule counters to ``df``; they are filled by the next action."""
     obs = Observation(name)
     observed = df.observe(obs, F.count(F.lit(1)).alias("_rows"),
-                          *[_violated(r).alias(r.name) for r in rules])
+                          *[violated(r).alias(r.name) for r in rules])
     return observed, obs
 
 
@@ -57,14 +47,3 @@ def check_observed(obs: Observation, rules: Sequence[Rule]) -> dict:
     if failed:
         raise ExpectationFailed(f"fail-set expectations violated: {failed} ({metrics})")
     return metrics
-
-
-def fail_fast(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Inline hard stop: the first violating row of a fail rule raises inside
-    its task.  (``assert_true`` must sit in a filter; in an unused column it
-    would be pruned away.)"""
-    for r in rules:
-        if r.action == FAIL:
-            ok = F.coalesce(F.expr(r.predicate), F.lit(False))
-            df = df.where(F.assert_true(ok, f"expectation {r.name} violated").isNull())
-    return df

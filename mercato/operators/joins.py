@@ -1,4 +1,4 @@
-"""Join helpers: guarded broadcast, null-safe group counts, substring semi join."""
+"""Join helpers: lookups, null-safe group counts, substring semi join."""
 
 from __future__ import annotations
 
@@ -7,53 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows above which a "small" side is not broadcast but shuffled.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+from mercato.operators.materialize import materialize
 
-
-def broadcast_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven <= ``max_rows``.
-
-    ``known_rows`` is a static bound (e.g. a fixed lookup table); otherwise
-    the rows are counted (one small job on an already-reduced side).  Above
-    the bound the side is returned unchanged and AQE/sort-merge take over.
-    """
-    n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str],
-                how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS,
-                known_rows: int | None = None) -> DataFrame:
-    """Join to a static lookup table, broadcast behind a size check."""
-    return df.join(broadcast_bounded(lookup, max_rows, known_rows), on=on, how=how)
-
-
-def unique_right_join(left: DataFrame, right: DataFrame, on: Sequence[str],
-                      how: str = "left") -> DataFrame:
-    """Many-to-one join that fails when the right key is not unique.
-
-    The uniqueness test is a partial aggregate on the right side; the raise
-    happens inside the join's job through ``assert_true``.
-    """
-    on = list(on)
-    # assert_true must sit in a filter: in an unused column it is pruned away
-    keys = (right.groupBy(*on).count()
-            .where(F.assert_true(F.col("count") == 1, "right key is not unique").isNull())
-            .select(*on))
-    checked = right.join(keys, on=on, how="left_semi")
-    return left.join(checked, on=on, how=how)
+def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """Join to a lookup table.  No hint: Spark broadcasts the lookup when
+    its size in bytes is under ``spark.sql.autoBroadcastJoinThreshold``, and
+    shuffles both sides otherwise."""
+    return df.join(lookup, on=on, how=how)
 
 
 def group_count_over(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     """W3 without a window: ``COUNT(*) OVER (PARTITION BY keys)`` per row.
 
     A window would send a hot key's rows to one task; a partially aggregated
-    ``groupBy`` count joined back on a null-safe key spreads the work (AQE
-    splits skewed join partitions).
+    ``groupBy`` count joined back on a null-safe key spreads the work.  The
+    counts are written first: AQE splits a skewed partition only if nothing
+    but the shuffle stands between it and the join.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    counts = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), "group-counts")
     cond = [df[k].eqNullSafe(counts[k]) for k in keys]
     return df.join(counts, on=cond, how="inner").select(df["*"], counts[name])
 
@@ -64,8 +35,7 @@ def _substrings_of(text, length: int):
 
 
 def contains_other_value(left: DataFrame, key: Sequence[str], text_col: str, own_col: str,
-                         values: DataFrame, value_col: str,
-                         max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                         values: DataFrame, value_col: str) -> DataFrame:
     """Rows of ``left`` whose lower(text) contains lower(v) for some value
     v of ``values`` with v <> the row's own value (literal substring match).
 
@@ -80,11 +50,8 @@ def contains_other_value(left: DataFrame, key: Sequence[str], text_col: str, own
     key = list(key)
     cand = (values.select(F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
             .distinct().select("_v", F.lower("_v").alias("_lv")))
-    # one small job: the distinct lengths (at most the longest value's length
-    # + 1 rows) and how many candidates there are, for the broadcast check
-    per_length = cand.groupBy(F.length("_lv").alias("n")).count().collect()
-    lengths = sorted(r["n"] for r in per_length)
-    total = sum(r["count"] for r in per_length)
+    # one small job: the distinct lengths (at most the longest value's length + 1 rows)
+    lengths = sorted(r["n"] for r in cand.select(F.length("_lv").alias("n")).distinct().collect())
     text = F.lower(F.col(text_col))
     parts = []
     for L in lengths:
@@ -98,8 +65,7 @@ def contains_other_value(left: DataFrame, key: Sequence[str], text_col: str, own
         return left.where(F.lit(False))
     subs = F.array_distinct(F.flatten(F.array(*parts)))
     exploded = left.select(*key, own_col, F.explode(subs).alias("_sub"))
-    cand_side = broadcast_bounded(cand, max_broadcast_rows, known_rows=total)
-    hits = (exploded.join(cand_side, exploded["_sub"] == cand_side["_lv"], "inner")
+    hits = (exploded.join(cand, exploded["_sub"] == cand["_lv"], "inner")
             .where(F.col("_v") != F.col(own_col))
             .select(*key).distinct())
     return left.join(hits, on=key, how="left_semi")

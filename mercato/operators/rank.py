@@ -4,35 +4,27 @@
 row goes through one task.  ``row_number_scalable`` gives the identical
 numbering with the work spread over range buckets of the sort key:
 
-1. count the rows; if they fit one task (``rows_per_bucket``) the plain
-   window is used - the count is the size check;
-2. otherwise a bounded sample of the sort key (``samples_per_bucket`` x
-   buckets rows, like Spark's own range partitioner) gives bucket
-   boundaries; each row finds its bucket by a binary search over the
-   boundary literals inside one SQL higher-order expression (log2 B
-   comparisons, JVM side).  The buckets cut the *total* order, tie-break
-   included, so a sort value shared by a third of all rows is still split
-   over many buckets;
-3. per (partition, bucket) counts -> running offsets -> ``row_number``
-   inside (partition, bucket) plus the offset.  Without partition columns
-   the counts are at most B numbers and are inlined as a literal array;
-   with them, the offsets table (at most B + partitions rows) is joined.
-
-The result does not depend on the sample: any boundaries give the same
-numbers, the sample only balances the buckets.  Nothing depends on
-partition ids, so task retries and AQE re-planning are safe.
+1. rows are range-partitioned by the *total* order (partition columns first,
+   tie-break included, so a sort value shared by a third of all rows is still
+   split) into as many buckets as the row count asks for, and written with
+   their bucket number; Spark samples the splitters;
+2. rows are counted per (partition, bucket) and the counts summed up: the
+   offset of each bucket;
+3. rows are numbered inside (partition, bucket) and the offset is added.
+
+The bucket number is a stored column, so retries and re-planning cannot
+change it, and the result does not depend on the splitters.  There is no cap
+on buckets, and no other plan for small inputs.
 """
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mercato.operators.joins import broadcast_bounded
 from mercato.operators.materialize import materialize
 
 # An order item: column name with direction, e.g. ("receita", False) = DESC.
@@ -51,134 +43,43 @@ def plain_row_number(df: DataFrame, order: Sequence[OrderItem], partition_by: Se
     return df.withColumn(name, F.row_number().over(w))
 
 
-def _cmp(a, b, asc: bool) -> int:
-    """Compare two Python values with Spark's default null placement."""
-    if a is None and b is None:
-        return 0
-    if a is None:
-        return -1 if asc else 1
-    if b is None:
-        return 1 if asc else -1
-    if a == b:
-        return 0
-    r = -1 if a < b else 1
-    return r if asc else -r
-
-
-def _after(row: Sequence[Column], bound: Column, order: Sequence[OrderItem]) -> Column:
-    """Row strictly after the boundary struct in the lexicographic order."""
-    expr = F.lit(False)
-    for i in reversed(range(len(order))):
-        asc = order[i][1]
-        r, b = row[i], bound[f"f{i}"]
-        if asc:
-            after = (b.isNull() & r.isNotNull()) | F.coalesce(r > b, F.lit(False))
-        else:
-            after = (r.isNull() & b.isNotNull()) | F.coalesce(r < b, F.lit(False))
-        expr = after | (r.eqNullSafe(b) & expr)
-    return expr
-
-
 def row_number_scalable(df: DataFrame, order: Sequence[OrderItem],
                         partition_by: Sequence[str] = (), name: str = "rank",
-                        rows_per_bucket: int = 250_000, samples_per_bucket: int = 32,
-                        max_buckets: int = 4096, seed: int = 7,
-                        stats_from: DataFrame | None = None) -> DataFrame:
-    """``row_number() OVER (PARTITION BY partition_by ORDER BY order)``.
+                        rows_per_bucket: int = 250_000, rows: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY partition_by ORDER BY order)`` as BIGINT.
 
     ``order`` must be a total order inside each partition (end it with a
     unique key), otherwise row numbers of ties are arbitrary, as with the
-    plain window.  ``stats_from``: a cheap-to-scan DataFrame holding the same
-    rows' sort columns (e.g. the materialised input); the count, the sample
-    and the per-bucket counts are taken from it instead of ``df``.
+    plain window.  ``rows``: the number of rows, where it is known.
     """
-    partition_by = list(partition_by)
-    full = [(c, True) for c in partition_by] + list(order)
-    src = stats_from if stats_from is not None else df
-    n = src.count()
-    buckets = min(max_buckets, max(1, math.ceil(n / rows_per_bucket)))
-    if buckets <= 1:
-        return plain_row_number(df, order, partition_by, name)
-
-    fields = [c for c, _ in full]
-    types = {f.name: f.dataType for f in df.schema.fields}
-    fraction = min(1.0, buckets * samples_per_bucket / n)
-    sample = [tuple(r) for r in src.select(*fields).sample(False, fraction, seed).collect()]
-
-    def cmp(a, b):
-        for i, (_, asc) in enumerate(full):
-            c = _cmp(a[i], b[i], asc)
-            if c:
-                return c
-        return 0
-
-    sample.sort(key=functools.cmp_to_key(cmp))
-    bounds = []
-    for j in range(1, buckets):
-        cand = sample[min(len(sample) - 1, (len(sample) * j) // buckets)] if sample else None
-        if cand is not None and (not bounds or cmp(bounds[-1], cand) < 0):
-            bounds.append(cand)
-    if not bounds:
-        return plain_row_number(df, order, partition_by, name)
-
-    lit_bounds = F.array(*[
-        F.struct(*[F.lit(v).cast(types[fields[i]]).alias(f"f{i}") for i, v in enumerate(b)])
-        for b in bounds])
-    row = [F.col(c) for c in fields]
-    steps = max(1, math.ceil(math.log2(len(bounds) + 1)))
-
-    def step(state, _):
-        lo, hi = state["lo"], state["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        b = F.try_element_at(lit_bounds, mid + 1)
-        go_right = _after(row, b, full)
-        moved = F.when(go_right, F.struct((mid + 1).alias("lo"), hi.alias("hi"))) \
-                 .otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))
-        return F.when(lo < hi, moved).otherwise(state)
-
-    init = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
-    bucket = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
-    keyed = df.withColumn("_bucket", bucket)
-    src_keyed = src.select(*fields).withColumn("_bucket", bucket)
-
-    w = Window.partitionBy(*partition_by, "_bucket").orderBy(*_sort_cols(order))
-    if not partition_by:
-        # at most len(bounds) + 1 bucket counts: a bounded summary, turned
-        # into running offsets and inlined as a literal array
-        counts = dict(src_keyed.groupBy("_bucket").agg(F.count(F.lit(1))).collect())
-        offsets, run = [], 0
-        for b in range(len(bounds) + 1):
-            offsets.append(run)
-            run += counts.get(b, 0)
-        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_bucket") + 1)
-        return keyed.withColumn(name, (F.row_number().over(w) + offset).cast("int")).drop("_bucket")
-
-    counts = src_keyed.groupBy(*partition_by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*partition_by).orderBy("_bucket") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*partition_by, "_bucket",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    # (partition, bucket) pairs: up to buckets + partitions rows; broadcast
-    # only when counted small, otherwise a shuffle join on (partition, bucket)
-    offsets = broadcast_bounded(materialize(offsets, "rank-offsets"))
-    cond = [keyed["_bucket"] == offsets["_bucket"]] + \
-           [keyed[c].eqNullSafe(offsets[c]) for c in partition_by]
-    joined = keyed.join(offsets, on=cond, how="inner").select(keyed["*"], offsets["_offset"])
-    return (joined.withColumn(name, (F.row_number().over(w) + F.col("_offset")).cast("int"))
-            .drop("_bucket", "_offset"))
+    keys = list(partition_by)
+    buckets = max(2, math.ceil((df.count() if rows is None else rows) / rows_per_bucket))
+    sort = [F.col(c).asc_nulls_first() for c in keys] + _sort_cols(order)
+    dealt = materialize(df.repartitionByRange(buckets, *sort).withColumn("_bucket", F.spark_partition_id()),
+                        "rank-buckets")
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # at most buckets + partitions rows
+    offsets = materialize(
+        dealt.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+        .select(*[F.col(c).alias(f"_o_{c}") for c in keys], F.col("_bucket").alias("_o_bucket"),
+                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")), "rank-offsets")
+    here = F.col("_bucket") == F.col("_o_bucket")
+    for c in keys:
+        here &= F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(*_sort_cols(order))
+    return (dealt.withColumn("_inside", F.row_number().over(inside)).join(offsets, here)
+            .select(*df.columns, (F.col("_inside") + F.col("_offset")).cast("bigint").alias(name)))
 
 
 def add_ranks(df: DataFrame, specs: Sequence[tuple], **kw) -> DataFrame:
-    """Several row numbers over one input: the input is materialised once
-    (one computation of the upstream plan) and every ranking takes its
-    count, sample and bucket counts from those files.
+    """Several row numbers over one input, which is computed and counted once.
 
     specs: (name, order, partition_by) tuples.
     """
-    base = materialize(df, "rank-input")
-    out = base
+    out = materialize(df, "rank-input")
+    rows = out.count()
     for name, order, partition_by in specs:
-        out = row_number_scalable(out, order, partition_by, name=name, stats_from=base, **kw)
+        out = row_number_scalable(out, order, partition_by, name=name, rows=rows, **kw)
     return out
 
 

@@ -7,15 +7,18 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the results depend on (wall-clock timestamps, ANSI arithmetic) or
-# that keep plans scalable (AQE coalescing / skew handling).
-REQUIRED_CONF = {
+# Settings that the results depend on (wall-clock timestamps, ANSI arithmetic).
+RESULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+}
+# Settings that keep plans scalable (AQE coalescing / skew handling).
+PLAN_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+REQUIRED_CONF = {**RESULT_CONF, **PLAN_CONF}
 
 
 def local_session(cores: int = 8, shuffle_partitions: int | None = None,
@@ -39,32 +42,41 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the library depends on to an existing session."""
+    """Apply the settings the library depends on to an existing session.
+
+    Raises when a setting that results depend on cannot be made.
+    """
     for k, v in REQUIRED_CONF.items():
-        try:
+        if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-        except Exception:  # a static / locked setting: keep the session's value
-            pass
+    wrong = {k: spark.conf.get(k, None) for k, v in RESULT_CONF.items() if spark.conf.get(k, None) != v}
+    if wrong:
+        raise RuntimeError(f"the session keeps {wrong}; results need {RESULT_CONF}")
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared file system path and is only
-    read.  When it is unset (local tests) a fresh folder is created once.
+    On a cluster the setting is required: executors could not see each
+    other's files in a machine-local folder.  Only a session whose driver
+    and executors are one process gets a fresh local folder when it is unset.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="mercato-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # Spark Connect: no SparkContext; the conf setting is enough
-        pass
     return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A table path under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), name)
+    """A new folder for a table under the shared folder, deleted when the driver ends."""
+    where = os.path.join(checkpoint_dir(spark), name)
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return where
