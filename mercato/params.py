@@ -16,8 +16,9 @@ from decimal import Decimal
 # ---------------------------------------------------------------------------
 
 # Courtesy titles stripped from customer names (title, dot, whitespace).
-TITLES = ["Sr", "Sra", "Srta", "Dr", "Dra"]
 TITLE_PATTERN = r"^(Sr|Sra|Srta|Dr|Dra)\.\s+"
+# The scorecard counts names with a title, dot and one space.
+SCORECARD_TITLE_PATTERN = r"^(Sr|Sra|Srta|Dr|Dra)[.] "
 
 # Weekday labels by dayofweek number (1 = Sunday ... 7 = Saturday).
 WEEKDAYS_PT = ["Domingo", "Segunda", "Terça", "Quarta", "Quinta", "Sexta", "Sábado"]
@@ -82,6 +83,34 @@ RULE_TITLE = ("Nome de cliente com pronome de tratamento", "silver.clientes", "C
 SCORECARD_RULES = [RULE_UNREGISTERED, RULE_EARLY_SALE, RULE_SUSPICIOUS, RULE_BRAND,
                    RULE_SAME_NAME, RULE_THIN, RULE_TITLE]
 
+# Expectations: rule name, predicate of a good row, action; by silver table.
+SILVER_EXPECTATIONS = {
+    "clientes": [
+        ("id_cliente_preenchido", "id_cliente IS NOT NULL", "fail"),
+        ("cliente_com_regiao", "regiao IS NOT NULL", "fail"),
+    ],
+    "produtos": [
+        ("id_produto_preenchido", "id_produto IS NOT NULL", "fail"),
+        ("preco_positivo", "preco_atual > 0", "fail"),
+    ],
+    "vendas": [
+        ("campos_obrigatorios",
+         "id_venda IS NOT NULL AND data_venda IS NOT NULL AND id_cliente IS NOT NULL "
+         "AND id_produto IS NOT NULL AND quantidade IS NOT NULL AND preco_unitario IS NOT NULL", "fail"),
+        ("quantidade_positiva", "quantidade > 0", "fail"),
+        ("preco_positivo", "preco_unitario > 0", "fail"),
+        ("canal_conhecido", "canal_venda IN ('ecommerce', 'loja_fisica')", "fail"),
+        ("produto_cadastrado", "produto_cadastrado", "warn"),
+        ("venda_depois_do_cadastro", "venda_depois_do_cadastro", "warn"),
+        ("venda_nao_antecede_cadastro", "NOT venda_antes_do_cadastro", "warn"),
+    ],
+    "preco_competidores": [
+        ("id_produto_preenchido", "id_produto IS NOT NULL", "fail"),
+        ("preco_positivo", "preco_concorrente > 0", "fail"),
+        ("preco_plausivel", "NOT preco_suspeito", "warn"),
+    ],
+}
+
 # Labels of the "above market" business question.
 STATUS_TO_CONFIRM, STATUS_CONFIRMED = "a confirmar", "confirmado"
 
@@ -113,4 +142,5 @@ TESTDATA_PARAMS = Params(
     band_mid=Decimal("950"),
     vip_from=Decimal("2100000"),
     top_from=Decimal("1580000"),
+    expected_competitors=7,
 )

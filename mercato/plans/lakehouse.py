@@ -1,34 +1,35 @@
 """The ordered build: bronze -> silver -> gold, lazily, one object per run.
 
 ``Lakehouse`` memoises each table's DataFrame so a query that needs the
-catalog twice plans one lineage.  ``publish`` materialises every table
-under a root folder (silver first, re-read for gold) with the expectation
-counters observed on the write itself: fail-set violations stop the run
-before gold is built; warn-set counts are returned.
+catalog twice plans one lineage.  ``publish`` writes every table to a staging
+place (silver first, re-read for gold) with the expectation counters observed
+on the write itself; only after every fail-set rule has held are the staged
+tables put in the place of the published ones.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato import params as P
 from mercato.operators import expect
+from mercato.operators.materialize import materialize
 from mercato.plans import marts, silver
+from mercato.session import scratch_path
 from mercato.sources import testdata
 
 
 class Lakehouse:
     def __init__(self, spark: SparkSession, bronze: dict[str, DataFrame],
-                 states, params: P.Params = P.DEFAULT_PARAMS,
-                 states_rows: int | None = None):
+                 states, params: P.Params = P.DEFAULT_PARAMS):
         self.spark = spark
         self.bronze = bronze
         self._states = states      # DataFrame, or a function building it on first use
         self.params = params
-        self.states_rows = states_rows
 
     @cached_property
     def states(self) -> DataFrame:
@@ -38,14 +39,12 @@ class Lakehouse:
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str,
                       params: P.Params = P.TESTDATA_PARAMS) -> "Lakehouse":
-        return cls(spark, testdata.bronze(spark, sf_dir), lambda: testdata.state_lookup(spark, sf_dir),
-                   params, states_rows=25)
+        return cls(spark, testdata.bronze(spark, sf_dir), lambda: testdata.state_lookup(spark, sf_dir), params)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, bronze: dict[str, DataFrame],
                     params: P.Params = P.DEFAULT_PARAMS) -> "Lakehouse":
-        return cls(spark, bronze, silver.states_table(spark, params), params,
-                   states_rows=len(params.states))
+        return cls(spark, bronze, silver.states_table(spark, params), params)
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str = "bronze",
@@ -57,16 +56,36 @@ class Lakehouse:
     # --- silver -------------------------------------------------------------
     @cached_property
     def customers(self) -> DataFrame:
-        return silver.clean_customers(self.bronze["clientes"], self.states, self.states_rows)
+        return silver.clean_customers(self.bronze["clientes"], self.states)
 
     @cached_property
     def catalog(self) -> DataFrame:
         return silver.product_catalog(self.bronze["produtos"], self.params)
 
+    # Dimensions that whole fact tables are joined to are written first: a
+    # skewed join partition is split only if its other side is a plain scan
+    # behind its shuffle, and both dimensions end in an aggregate.
+    @cached_property
+    def catalog_written(self) -> DataFrame:
+        return materialize(self.catalog, "catalog")
+
+    @cached_property
+    def customers_written(self) -> DataFrame:
+        return materialize(self.customers, "customers")
+
+    @cached_property
+    def segments_written(self) -> DataFrame:
+        return materialize(self.customer_revenue, "customer-revenue")
+
+    @cached_property
+    def sales_base(self) -> DataFrame:
+        """Silver sales without the product registry (no join)."""
+        return silver.sales_base(self.bronze["vendas"])
+
     @cached_property
     def sales_with_product(self) -> DataFrame:
         """Silver sales plus the catalog's descriptive columns (one join)."""
-        return silver.sales_enriched(self.bronze["vendas"], self.catalog, with_product=True)
+        return silver.sales_enriched(self.sales_base, self.catalog_written, with_product=True)
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -74,39 +93,39 @@ class Lakehouse:
 
     @cached_property
     def prices(self) -> DataFrame:
-        return silver.competitor_prices(self.bronze["preco_competidores"], self.catalog, self.params)
+        return silver.competitor_prices(self.bronze["preco_competidores"], self.catalog_written, self.params)
 
     # --- gold ---------------------------------------------------------------
     @cached_property
     def sales_by_time(self) -> DataFrame:
-        return marts.sales_by_time(self.sales)
+        return marts.sales_by_time(self.sales_base)
 
     @cached_property
     def sales_by_product(self) -> DataFrame:
-        return marts.sales_by_product(self.sales, self.catalog)
+        return marts.sales_by_product(self.sales_base, self.catalog)
 
     @cached_property
     def product_revenue(self) -> DataFrame:
         """sales_by_product without the two ranks (for questions that do not
         need them: no ranking jobs)."""
-        return marts.sales_by_product(self.sales, self.catalog, ranked=False)
+        return marts.sales_by_product(self.sales_base, self.catalog, ranked=False)
 
     @cached_property
     def customer_revenue(self) -> DataFrame:
-        return marts.customer_revenue(self.customers, self.sales, self.params)
+        return marts.customer_revenue(self.customers, self.sales_base, self.params)
 
     @cached_property
     def customer_segments(self) -> DataFrame:
-        return marts.customer_segments(self.customers, self.sales, self.params)
+        return marts.customer_segments(self.customers, self.sales_base, self.params)
 
     @cached_property
     def sales_detail(self) -> DataFrame:
         return marts.sales_detail(self.sales_with_product, self.catalog, self.customers, self.params,
-                                  segments=self.customer_revenue)
+                                  segments=self.segments_written)
 
     @cached_property
     def price_position(self) -> DataFrame:
-        return marts.price_position(self.catalog, self.prices, self.sales)
+        return marts.price_position(self.catalog, self.prices, self.sales_base)
 
     @cached_property
     def quality_scorecard(self) -> DataFrame:
@@ -122,61 +141,100 @@ class Lakehouse:
             "price_position", "quality_scorecard"]
 
     # tables written bucketed by the customer key in catalog mode: the wide
-    # sales table's customer join then reads both sides co-located
+    # sales table's customer join then reads both sides co-located.  That join
+    # cannot split a hot customer; publish without buckets if there is one.
     BUCKETED = {"sales": "id_cliente", "customer_segments": "id_cliente"}
 
     def publish(self, root: str | None = None, enforce: bool = True,
                 database: str | None = None, buckets: int | None = None) -> dict:
-        """Write silver (with expectations) then gold.
-
-        Either as Parquet folders under ``root`` (use a fresh folder per run:
-        a failed run raises before gold and leaves earlier runs untouched),
-        or as tables of ``database`` (``saveAsTable``); with ``buckets`` the
-        silver sales and the customer segments are bucketed and sorted by
-        ``id_cliente`` into the same number of buckets.
-
-        Silver tables are re-read from storage before gold is built, which
-        cuts the lineage (an executor loss while building gold recomputes
-        from the written silver, not from the raw sources).  With ``enforce``
-        a violated fail-set rule stops the run before gold.
+        """Write silver (with expectations) then gold, then put them in place.
+
+        Either as Parquet folders under ``root`` or as tables of ``database``;
+        with ``buckets`` the silver sales and the customer segments are
+        bucketed and sorted by ``id_cliente`` into the same number of buckets.
+
+        Everything is written to staging folders (tables) beside the published
+        ones.  With ``enforce`` a violated fail-set rule raises before anything
+        published has been touched; staging is removed.  Silver is re-read from
+        staging before gold is built, which cuts the lineage.
         """
+        run = uuid.uuid4().hex[:12]
+        staged: list[tuple[str, str]] = []   # (staging, final) folders or tables
+
         def write(df: DataFrame, layer: str, name: str, attr: str) -> DataFrame:
             if database is None:
-                path = os.path.join(root, layer, name)
-                df.write.mode("overwrite").parquet(path)
-                return self.spark.read.parquet(path)
-            table = f"{database}.{layer}_{name}"
-            w = df.write.mode("overwrite").format("parquet")
+                final, staging = os.path.join(root, layer, name), os.path.join(root, f"_staging-{run}", layer, name)
+                staged.append((staging, final))
+                df.write.parquet(staging)
+                return self.spark.read.parquet(staging)
+            final, staging = f"{database}.{layer}_{name}", f"{database}.{layer}_{name}_staging_{run}"
+            staged.append((staging, final))
+            w = df.write.format("parquet")
             if buckets and attr in self.BUCKETED:
                 key = self.BUCKETED[attr]
                 w = w.bucketBy(buckets, key).sortBy(key)
-            w.saveAsTable(table)
-            return self.spark.table(table)
+            w.saveAsTable(staging)
+            return self.spark.table(staging)
 
         if database is not None:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-        metrics = {}
-        written = {}
+        try:
+            metrics = self._write_all(write, enforce)
+            for staging, final in staged:
+                self._replace(staging, final, database is not None)
+            return metrics
+        finally:
+            self._discard(root, run, staged, database is not None)
+
+    def _write_all(self, write, enforce: bool) -> dict:
+        metrics, written = {}, {}
         for table, attr, rules in self.SILVER:
             df, obs = expect.observe_rules(getattr(self, attr), rules, f"silver_{table}")
             written[attr] = write(df, "silver", table, attr)
             metrics[table] = expect.check_observed(obs, rules) if enforce else obs.get
-        published = self._with(written)
-        # gold reads the written silver sales; the catalog is joined from its files
-        published.__dict__["sales_with_product"] = written["sales"]
+            if attr == "catalog":   # later silver tables join the written catalog
+                self.__dict__.setdefault("catalog_written", written[attr])
+        staged = self._with(written)
+        # gold reads the written silver sales; dimensions are joined from their files
+        staged.__dict__.update(sales_with_product=written["sales"], sales_base=written["sales"],
+                               catalog_written=written["catalog"], customers_written=written["customers"])
         for name in self.GOLD:
-            df = getattr(published, name)
-            if name == "sales_detail":   # S11: date-clustered files, min/max skipping on `data`
-                df = df.repartitionByRange("data").sortWithinPartitions("data")
-            # later tables use the written one (the wide table joins the
-            # written segments instead of re-aggregating every sale)
-            published.__dict__[name] = write(df, "gold", name, name)
-            if name == "customer_segments":
-                published.__dict__["customer_revenue"] = published.__dict__[name]
+            df = getattr(staged, name)
+            if name == "sales_detail":
+                # Clustered by date, min/max skipping on `data`; the sale id
+                # splits a day over as many tasks as its volume asks for
+                df = df.repartitionByRange("data", "id_venda").sortWithinPartitions("data")
+            staged.__dict__[name] = write(df, "gold", name, name)
+            if name == "customer_segments":   # the wide table joins the written segments
+                staged.__dict__["customer_revenue"] = staged.__dict__["segments_written"] = staged.__dict__[name]
         return metrics
 
+    def _folder(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _replace(self, staging: str, final: str, tables: bool) -> None:
+        if tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {final}")
+            self.spark.sql(f"ALTER TABLE {staging} RENAME TO {final}")
+            return
+        fs, source = self._folder(staging)
+        _, target = self._folder(final)
+        fs.delete(target, True)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(source, target):
+            raise OSError(f"could not move {staging} to {final}")
+
+    def _discard(self, root: str | None, run: str, staged: list[tuple[str, str]], tables: bool) -> None:
+        if not tables:
+            fs, path = self._folder(os.path.join(root, f"_staging-{run}"))
+            fs.delete(path, True)
+            return
+        for staging, _ in staged:
+            self.spark.sql(f"DROP TABLE IF EXISTS {staging}")
+
     def _with(self, tables: dict) -> "Lakehouse":
-        out = Lakehouse(self.spark, self.bronze, self._states, self.params, self.states_rows)
+        out = Lakehouse(self.spark, self.bronze, self._states, self.params)
         for attr, df in tables.items():
             out.__dict__[attr] = df
         return out
@@ -187,15 +245,25 @@ class Lakehouse:
         the published tables instead of recomputing the pipeline."""
         read = self.spark.read.parquet
         tables = {attr: read(os.path.join(root, "silver", table)) for table, attr, _ in self.SILVER}
-        tables["sales_with_product"] = tables["sales"]
+        tables.update(sales_with_product=tables["sales"], sales_base=tables["sales"],
+                      catalog_written=tables["catalog"], customers_written=tables["customers"])
         tables.update({name: read(os.path.join(root, "gold", name)) for name in self.GOLD})
         return self._with(tables)
 
     def materialized(self, enforce: bool = False) -> "Lakehouse":
         """Publish under the shared checkpoint folder and open the result."""
-        import uuid
-
-        from mercato.session import scratch_path
         root = scratch_path(self.spark, f"lake-{uuid.uuid4().hex}")
         self.publish(root, enforce=enforce)
         return self.opened(root)
+
+
+_PUBLISHED: dict[tuple[str, str], Lakehouse] = {}
+
+
+def published_testdata(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """The lakehouse of a folder of test tables, published once per
+    application and opened for every check; its files go when the driver ends."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PUBLISHED:
+        _PUBLISHED[key] = Lakehouse.from_testdata(spark, sf_dir).materialized()
+    return _PUBLISHED[key]

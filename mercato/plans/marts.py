@@ -1,9 +1,10 @@
 """Gold analytical tables.
 
-Plans aggregate the fact table by its key *before* joining the dimension
-(the dimension key is unique after deduplication, so the results are the
-same as join-then-group, but one row per key crosses the join instead of one
-row per sale).  Ranks use the distributed row number (no single-partition
+Per-key tables aggregate the sales by the key *before* they join the
+dimension (the dimension key is unique after deduplication, so the results are
+the same as join-then-group, but one row per key crosses the join instead of
+one row per sale, and a hot key is combined before it is shuffled).  The wide
+per-sale table joins every sale to written dimensions.  Ranks use the distributed row number (no single-partition
 window); ties are broken by the id, ascending.
 """
 
@@ -34,7 +35,6 @@ def sales_by_time(sales: DataFrame) -> DataFrame:
 
 def _per_product(sales: DataFrame) -> DataFrame:
     return sales.groupBy("id_produto").agg(
-        F.max("produto_cadastrado").alias("produto_cadastrado"),
         F.count(F.lit(1)).alias("total_vendas"),
         F.sum("quantidade").alias("itens_vendidos"),
         F.sum("receita").alias("receita"),
@@ -43,9 +43,15 @@ def _per_product(sales: DataFrame) -> DataFrame:
 
 
 def sales_by_product(sales: DataFrame, catalog: DataFrame, ranked: bool = True) -> DataFrame:
-    """One row per product sold, unregistered ones labelled, 2 ranks."""
-    dims = catalog.select("id_produto", "nome_produto", "categoria", "marca", "faixa_preco")
+    """One row per product sold, unregistered ones labelled, 2 ranks.
+
+    Sales are grouped first and join the catalog once; a product that finds
+    none is unregistered.
+    """
+    dims = catalog.select("id_produto", "nome_produto", "categoria", "marca", "faixa_preco",
+                          F.lit(True).alias("produto_cadastrado"))
     out = (_per_product(sales).join(dims, on="id_produto", how="left")
+           .withColumn("produto_cadastrado", C.null_false("produto_cadastrado"))
            .withColumn("nome_produto", F.coalesce("nome_produto", F.lit(P.UNREGISTERED_NAME)))
            .withColumn("categoria", F.coalesce("categoria", F.lit(P.UNREGISTERED_LABEL)))
            .withColumn("marca", F.coalesce("marca", F.lit(P.UNREGISTERED_LABEL))))

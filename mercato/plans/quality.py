@@ -60,11 +60,13 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-# --- one profile aggregate per table ---------------------------------------------
+# --- profiles ----------------------------------------------------------------------
 #
-# Every global-aggregate check reads its numbers from the profile of its table:
-# one pass per table computes all of them, and all families of a report read the
-# same written profile, so the whole report scans each table once.
+# Every global-aggregate check reads its numbers from the profile of its table.
+# A single family computes just the numbers it needs, from the columns they
+# need; a report first writes the whole profile, one aggregate per table, and
+# its families read that.  Grain, rank and cardinality checks group by key and
+# scan their tables themselves.
 
 SILVER_RULES = {"customers": ("silver.clientes", silver.CUSTOMER_RULES),
                 "catalog": ("silver.produtos", silver.PRODUCT_RULES),
@@ -76,15 +78,11 @@ DOMAINS = {"customer_segments": ("segmento_cliente", P.SEGMENTS),
            "catalog": ("faixa_preco", [P.BAND_TOP, P.BAND_MID, P.BAND_LOW])}
 
 
-def _violated(rule):
-    return F.count_if(~F.coalesce(F.expr(rule.predicate), F.lit(False)))
-
-
 def _metrics(lh) -> dict[str, dict]:
     p = lh.params
     m: dict[str, dict] = {t: {} for t in ["customers", "catalog", "sales", "prices", *REQUIRED]}
     for t, (_, rules) in SILVER_RULES.items():
-        m[t].update({f"v_{r.name}": _violated(r) for r in rules})
+        m[t].update({f"v_{r.name}": expect.violated(r) for r in rules})
     for t, cols in REQUIRED.items():
         m[t].update({f"null_{c}": F.count_if(F.col(c).isNull()) for c in cols})
     for t, cols in POSITIVE.items():
@@ -125,9 +123,7 @@ def _metrics(lh) -> dict[str, dict]:
 
 def profiles(lh) -> DataFrame:
     """All metrics of all tables in long form (tabela, metric, value): one
-    job, one aggregate per table, written once under the checkpoint folder
-    (a few hundred values) and memoised on the lakehouse.  Families read
-    this small table, so a report scans every source table exactly once."""
+    aggregate per table, written once (a few hundred values)."""
     if "_profiles" not in lh.__dict__:
         parts = []
         for t, spec in _metrics(lh).items():
@@ -135,21 +131,27 @@ def profiles(lh) -> DataFrame:
             parts.append(_stack(agg, [[F.lit(t), F.lit(n), F.col(n)] for n in spec],
                                 ["tabela", "metric", "value"]))
         lh.__dict__["_profiles"] = materialize(_union(parts), "quality-profiles")
-        lh.__dict__["_profile_names"] = {t: list(spec) for t, spec in _metrics(lh).items()}
     return lh.__dict__["_profiles"]
 
 
-def profile(lh, table: str) -> DataFrame:
-    """The one-row profile of ``table`` (metric columns, decimal(38,2))."""
-    long = profiles(lh).where(F.col("tabela") == table)
-    names = lh.__dict__["_profile_names"][table]
-    return long.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
+def profile(lh, table: str, names: list[str]) -> DataFrame:
+    """One row with the metrics ``names`` of ``table`` (decimal(38,2)): from
+    the written profiles if there are any, else from the table's own columns."""
+    if "_profiles" in lh.__dict__:
+        long = lh.__dict__["_profiles"].where(F.col("tabela") == table)
+        return long.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
+    spec = _metrics(lh)[table]
+    return getattr(lh, table).agg(*[spec[n].cast("decimal(38,2)").alias(n) for n in names])
 
 
 def _long(lh, items: list[tuple]) -> DataFrame:
     """(key, side, table, metric) -> rows (key, side, value) from profiles."""
-    parts = [_stack(profile(lh, t), [[F.lit(k), F.lit(side), F.col(mc).cast("decimal(38,2)")]],
-                    ["k", "side", "v"]) for k, side, t, mc in items]
+    by_table: dict[str, list] = {}
+    for k, side, t, mc in items:
+        by_table.setdefault(t, []).append((k, side, mc))
+    parts = [_stack(profile(lh, t, sorted({mc for _, _, mc in own})),
+                    [[F.lit(k), F.lit(side), F.col(mc).cast("decimal(38,2)")] for k, side, mc in own],
+                    ["k", "side", "v"]) for t, own in by_table.items()]
     return _union(parts)
 
 
@@ -162,7 +164,7 @@ def _pair(lh, items: list[tuple], key: str, left: str, right: str) -> DataFrame:
 
 def expectations(lh) -> DataFrame:
     """X1-X3 as a table: violations per silver rule (one pass per table)."""
-    parts = [_stack(profile(lh, t), [[F.lit(table), F.lit(r.name), F.lit(r.action),
+    parts = [_stack(profile(lh, t, [f"v_{r.name}" for r in rules]), [[F.lit(table), F.lit(r.name), F.lit(r.action),
                                       F.col(f"v_{r.name}").cast("bigint")] for r in rules],
                     ["tabela", "regra", "acao", "violacoes"])
              for t, (table, rules) in SILVER_RULES.items()]
@@ -171,14 +173,14 @@ def expectations(lh) -> DataFrame:
 
 def not_null(lh) -> DataFrame:
     """Q3/Q14: NULL count per required column, one aggregate per table."""
-    parts = [_stack(profile(lh, t), [[F.lit(t), F.lit(c), F.col(f"null_{c}").cast("bigint")] for c in cols],
+    parts = [_stack(profile(lh, t, [f"null_{c}" for c in cols]), [[F.lit(t), F.lit(c), F.col(f"null_{c}").cast("bigint")] for c in cols],
                     ["table_name", "column_name", "nulls"]) for t, cols in REQUIRED.items()]
     return _union(parts).withColumn("passed", F.col("nulls") == 0)
 
 
 def positive(lh) -> DataFrame:
     """Q4: rows with a value <= 0 per column (NULL ignored)."""
-    parts = [_stack(profile(lh, t), [[F.lit(t), F.lit(c), F.col(f"nonpos_{c}").cast("bigint")] for c in cols],
+    parts = [_stack(profile(lh, t, [f"nonpos_{c}" for c in cols]), [[F.lit(t), F.lit(c), F.col(f"nonpos_{c}").cast("bigint")] for c in cols],
                     ["table_name", "column_name", "not_positive"]) for t, cols in POSITIVE.items()]
     return _union(parts).withColumn("passed", F.col("not_positive") == 0)
 
@@ -192,29 +194,19 @@ def unique_grain(lh) -> DataFrame:
 
 
 def schema_check(lh) -> DataFrame:
-    """Q5: every contract column present with its declared type; the
-    non-NULL count of each column is profiled in the same pass."""
-    parts = []
+    """Q5: every contract column present with its declared type, from the
+    published tables' schemas alone (no scan)."""
+    rows = []
     for table, contract in GOLD.items():
-        df = _gold(lh, table)
-        actual = {f.name: f.dataType for f in df.schema.fields}
-        present = [f.name for f in contract.fields if f.name in actual]
-        agg = df.agg(*[F.count(F.col(c)).alias(c) for c in present])
-        rows = []
-        for f in contract.fields:
-            got = actual.get(f.name)
-            rows.append([F.lit(table), F.lit(f.name), F.lit(f.dataType.simpleString()),
-                         F.lit(got.simpleString() if got else None),
-                         F.col(f.name) if got else F.lit(None).cast("bigint")])
-        parts.append(_stack(agg, rows, ["table_name", "column_name", "expected_type",
-                                        "actual_type", "non_null"]))
-    return _union(parts).withColumn("passed", F.coalesce(F.col("expected_type") == F.col("actual_type"),
-                                                         F.lit(False)))
+        actual = {f.name: f.dataType.simpleString() for f in _gold(lh, table).schema.fields}
+        rows += [(table, f.name, f.dataType.simpleString(), actual.get(f.name)) for f in contract.fields]
+    out = lh.spark.createDataFrame(rows, "table_name string, column_name string, expected_type string, actual_type string")
+    return out.withColumn("passed", F.coalesce(F.col("expected_type") == F.col("actual_type"), F.lit(False)))
 
 
 def domain(lh) -> DataFrame:
     """Q12: values outside their domain."""
-    parts = [profile(lh, t).select(F.lit(c).alias("check_name"), F.col("invalid_domain").cast("bigint")
+    parts = [profile(lh, t, ["invalid_domain"]).select(F.lit(c).alias("check_name"), F.col("invalid_domain").cast("bigint")
                                    .alias("invalid")) for t, (c, _) in DOMAINS.items()]
     return _union(parts).withColumn("passed", F.col("invalid") == 0)
 
@@ -243,7 +235,7 @@ def reconcile(lh) -> DataFrame:
 
 def recompute(lh) -> DataFrame:
     """Q10: stored derived values equal a fresh computation."""
-    parts = [profile(lh, t).select(F.lit(n).alias("check_name"), F.col(mc).cast("bigint").alias("inconsistent"))
+    parts = [profile(lh, t, [mc]).select(F.lit(n).alias("check_name"), F.col(mc).cast("bigint").alias("inconsistent"))
              for n, t, mc in [("ticket_medio", "customer_segments", "bad_ticket"),
                               ("diferenca_pct_vs_media", "price_position", "bad_pct"),
                               ("receita", "sales_detail", "bad_receita")]]
@@ -252,7 +244,7 @@ def recompute(lh) -> DataFrame:
 
 def segment_bounds(lh) -> DataFrame:
     """Q11: each segment's revenue lies inside its bounds."""
-    return _stack(profile(lh, "customer_segments"),
+    return _stack(profile(lh, "customer_segments", ["bad_vip", "bad_top", "bad_regular"]),
                   [[F.lit(P.SEG_VIP), F.col("bad_vip").cast("bigint")],
                    [F.lit(P.SEG_TOP), F.col("bad_top").cast("bigint")],
                    [F.lit(P.SEG_REGULAR), F.col("bad_regular").cast("bigint")]],
@@ -277,7 +269,7 @@ def rules_present(lh) -> DataFrame:
     a recount from the silver flags."""
     sc = lh.quality_scorecard
     recount = _union([
-        profile(lh, t).select(F.lit(rule[0]).alias("regra"), F.col(mc).cast("bigint").alias("recount"))
+        profile(lh, t, [mc]).select(F.lit(rule[0]).alias("regra"), F.col(mc).cast("bigint").alias("recount"))
         for rule, t, mc in [(P.RULE_UNREGISTERED, "sales", "unreg"), (P.RULE_EARLY_SALE, "sales", "early"),
                             (P.RULE_SUSPICIOUS, "prices", "suspicious")]])
     expected = lh.spark.createDataFrame([(r[0],) for r in P.SCORECARD_RULES], "regra string")
@@ -308,6 +300,20 @@ def join_cardinality(lh) -> DataFrame:
     return out.withColumn("passed", F.col("max_right_per_key") <= 1)
 
 
+def referential_integrity(lh) -> DataFrame:
+    """Q7: every sale's customer is a registered one, and every sale that is
+    marked as registered has its product in the catalog (in the wide table)."""
+    det = lh.sales_detail
+
+    def orphans(name, sales, registry, key):
+        known = registry.select(key).distinct()
+        lost = sales.select(key).join(known, key, "left_anti")
+        return lost.agg(F.lit(name).alias("check_name"), F.count(F.lit(1)).alias("orphans"))
+    out = _union([orphans("venda -> cliente", det, lh.customers_written, "id_cliente"),
+                  orphans("venda cadastrada -> produto", det.where("produto_cadastrado"), lh.catalog_written, "id_produto")])
+    return out.withColumn("passed", F.col("orphans") == 0)
+
+
 def close(observed, expected, rel_tol) -> "F.Column":
     """Q2: |observed - expected| <= rel_tol * |expected| (absolute when the
     expected value is 0), in decimal arithmetic; rel_tol = 0 is Q1 equality.
@@ -318,6 +324,23 @@ def close(observed, expected, rel_tol) -> "F.Column":
             .otherwise(F.abs(observed - expected) <= tol * F.abs(expected)))
 
 
+HEADLINE = [("receita_total", "sales_by_time", "receita"), ("total_vendas", "sales_by_time", "vendas"),
+            ("total_clientes", "customer_segments", "rows"), ("clientes_vip", "customer_segments", "vip"),
+            ("receita_vip", "customer_segments", "vip_receita"), ("produtos_monitorados", "price_position", "rows"),
+            ("produtos_mais_caros_todos", "price_position", "dearer"), ("linhas_vendas_temporais", "sales_by_time", "rows")]
+
+
+def expected_values(lh, expected: dict, rel_tol=0) -> DataFrame:
+    """Q1/Q2: headline figures of gold equal given values: metric -> value,
+    exactly or within ``rel_tol``.  A value for an unknown metric fails."""
+    gold = _long(lh, [(k, "l", t, mc) for k, t, mc in HEADLINE if k in expected]) if set(expected) & {h[0] for h in HEADLINE} else None
+    given = lh.spark.createDataFrame([(k, Decimal(str(v))) for k, v in expected.items()], "metric string, expected decimal(38,2)")
+    observed = gold.select(F.col("k").alias("metric"), F.col("v").alias("observed")) if gold is not None else \
+        lh.spark.createDataFrame([], "metric string, observed decimal(38,2)")
+    out = given.join(observed, "metric", "left").select("metric", "observed", "expected")
+    return out.withColumn("passed", F.coalesce(close(F.col("observed"), F.col("expected"), rel_tol), F.lit(False)))
+
+
 def _one_value(df: DataFrame, name: str, expr) -> DataFrame:
     return df.agg(expr.cast("decimal(38,2)").alias("value")).select(F.lit(name).alias("source"), "value")
 
@@ -326,16 +349,8 @@ def baseline(lh, rel_tol=0) -> DataFrame:
     """Q1/Q2: headline figures read from gold equal an independent count
     from silver (exact by default; money compared as decimals, not floats)."""
     p = lh.params
-    gold = _long(lh, [("receita_total", "l", "sales_by_time", "receita"),
-                      ("total_vendas", "l", "sales_by_time", "vendas"),
-                      ("total_clientes", "l", "customer_segments", "rows"),
-                      ("clientes_vip", "l", "customer_segments", "vip"),
-                      ("receita_vip", "l", "customer_segments", "vip_receita"),
-                      ("produtos_monitorados", "l", "price_position", "rows"),
-                      ("produtos_mais_caros_todos", "l", "price_position", "dearer"),
-                      ("linhas_vendas_temporais", "l", "sales_by_time", "rows"),
-                      ("receita_total", "r", "sales", "receita"),
-                      ("total_vendas", "r", "sales", "rows"),
+    gold = _long(lh, [*((k, "l", t, mc) for k, t, mc in HEADLINE),
+                      ("receita_total", "r", "sales", "receita"), ("total_vendas", "r", "sales", "rows"),
                       ("total_clientes", "r", "customers", "rows")])
     s = lh.sales
     per_cust = s.groupBy("id_cliente").agg(F.sum("receita").alias("r"))
@@ -362,13 +377,30 @@ FAMILIES = {
     "dq_unique_grain": unique_grain, "dq_domain": domain, "dq_row_preservation": row_preservation,
     "dq_reconcile": reconcile, "dq_recompute": recompute, "dq_segment_bounds": segment_bounds,
     "dq_rank_dense": rank_dense, "dq_rules_present": rules_present,
-    "dq_join_cardinality": join_cardinality, "dq_baseline": baseline,
+    "dq_join_cardinality": join_cardinality, "dq_baseline": baseline, "dq_schema": schema_check,
+    "dq_referential_integrity": referential_integrity,
 }
 
 
+def checks(lh) -> DataFrame:
+    """Every check of every family: group, passed, and a message with the
+    check's own figures."""
+    profiles(lh)
+    parts = []
+    for name, fn in FAMILIES.items():
+        df = fn(lh)
+        figures = F.concat_ws(", ", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("NULL")))
+                                      for c in df.columns if c != "passed"])
+        parts.append(df.select(F.lit(name).alias("grupo"), "passed",
+                               F.concat(F.when(F.col("passed"), "OK: ").otherwise("FAILED: "), figures).alias("mensagem")))
+    return _union(parts)
+
+
 def report(lh) -> DataFrame:
-    """Q16: per family, number of checks and of passed checks."""
-    parts = [fn(lh).select(F.lit(name).alias("grupo"), "passed") for name, fn in FAMILIES.items()]
-    return _union(parts).groupBy("grupo").agg(
-        F.count(F.lit(1)).alias("checks"), F.count_if("passed").alias("passed_checks"),
-        F.bool_and("passed").alias("all_passed"))
+    """Q16: per family and for all of them (TOTAL), the number of checks and
+    of passed checks."""
+    family = F.when(F.grouping("grupo") == 1, "TOTAL").otherwise(F.col("grupo"))
+    return checks(lh).rollup("grupo").agg(
+        family.alias("nome"), F.count(F.lit(1)).alias("checks"), F.count_if("passed").alias("passed_checks"),
+        F.bool_and("passed").alias("all_passed")) \
+        .select(F.col("nome").alias("grupo"), "checks", "passed_checks", "all_passed")

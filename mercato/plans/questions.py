@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato import params as P
-from mercato.operators.rank import add_ranks, top_n
+from mercato.operators.rank import plain_row_number, top_n
 
 
 def _ratio(num, den, scale: int = 2):
@@ -68,16 +68,17 @@ def avg_ticket(lh) -> DataFrame:
 
 
 def weekday_avg_per_day(lh) -> DataFrame:
-    """K6: mean revenue per occurring day, per weekday (not the total)."""
+    """K6: mean revenue per occurring day, per weekday (not the total), best first."""
     return lh.sales_by_time.groupBy("dia_semana_num", "dia_semana").agg(
         F.sum("receita").cast("decimal(20,2)").alias("receita"),
         F.count_distinct("data").alias("dias"),
-        _ratio(F.sum("receita"), F.count_distinct("data")).cast("decimal(20,2)").alias("receita_media_dia"))
+        _ratio(F.sum("receita"), F.count_distinct("data")).cast("decimal(20,2)").alias("receita_media_dia")) \
+        .orderBy(F.col("receita_media_dia").desc_nulls_last(), "dia_semana_num")
 
 
 def buyers_in_period(lh) -> DataFrame:
-    """K7: distinct buyers per year, recounted from the per-sale table."""
-    return lh.sales_detail.groupBy(F.year("data").alias("ano")).agg(
+    """K7: distinct buyers per year, recounted from the silver sales (no join)."""
+    return lh.sales_base.groupBy(F.year("data").alias("ano")).agg(
         F.count_distinct("id_cliente").alias("compradores"),
         F.count(F.lit(1)).alias("vendas"))
 
@@ -98,7 +99,8 @@ def channel_ranking(lh) -> DataFrame:
     agg = lh.sales_by_time.groupBy("canal_venda").agg(
         F.sum("receita").cast("decimal(20,2)").alias("receita"),
         F.sum("total_vendas").alias("total_vendas"))
-    return add_ranks(agg, [("posicao", [("receita", False), ("canal_venda", True)], [])])
+    # one row per channel: the plain window numbers a handful of rows
+    return plain_row_number(agg, [("receita", False), ("canal_venda", True)], name="posicao")
 
 
 def category_vs_market(lh) -> DataFrame:
@@ -111,14 +113,18 @@ def category_vs_market(lh) -> DataFrame:
 
 def period_totals(lh) -> DataFrame:
     """Revenue, sales, units and distinct buyers of the whole period,
-    overall and per channel (buyers recounted, not added)."""
-    d = lh.sales_detail
-    aggs = [F.sum("receita").cast("decimal(20,2)").alias("receita"),
-            F.count(F.lit(1)).alias("total_vendas"), F.sum("quantidade").alias("itens_vendidos"),
-            F.count_distinct("id_cliente").alias("compradores")]
-    overall = d.agg(F.lit("todos").alias("canal_venda"), *aggs)
-    per_channel = d.groupBy("canal_venda").agg(*aggs)
-    return overall.unionByName(per_channel)
+    overall and per channel (buyers recounted, not added).
+
+    One pass over the silver sales to a row per channel and buyer; the rollup
+    adds those up for each channel and for all.
+    """
+    buyers = lh.sales_base.groupBy("canal_venda", "id_cliente").agg(
+        F.sum("receita").alias("r"), F.count(F.lit(1)).alias("n"), F.sum("quantidade").alias("q"))
+    label = F.when(F.grouping("canal_venda") == 1, "todos").otherwise(F.col("canal_venda"))
+    return buyers.rollup("canal_venda").agg(
+        label.alias("canal"), F.sum("r").cast("decimal(20,2)").alias("receita"), F.sum("n").alias("total_vendas"),
+        F.sum("q").alias("itens_vendidos"), F.count_distinct("id_cliente").alias("compradores")) \
+        .select(F.col("canal").alias("canal_venda"), "receita", "total_vendas", "itens_vendidos", "compradores")
 
 
 def dearer_than_all(lh) -> DataFrame:
@@ -193,3 +199,13 @@ def price_class_distribution(lh) -> DataFrame:
     """Monitored products per price class, with suspicious ones."""
     return lh.price_position.groupBy("classificacao_preco").agg(
         F.count(F.lit(1)).alias("produtos"), F.count_if("possui_preco_suspeito").alias("suspeitos"))
+
+
+def pricing_kpis(lh) -> DataFrame:
+    """Monitored products, mean % difference to the market, and alerts:
+    products dearer than every competitor, and with a suspicious price."""
+    return lh.price_position.agg(
+        F.count(F.lit(1)).alias("monitorados"),
+        F.round(F.avg("diferenca_pct_vs_media"), 2).cast("decimal(19,2)").alias("diferenca_media_pct"),
+        F.count_if(F.col("classificacao_preco") == P.CLASS_ABOVE_ALL).alias("mais_caros_que_todos"),
+        F.count_if("possui_preco_suspeito").alias("com_preco_suspeito"))

@@ -50,7 +50,7 @@ def thin_competition(prices: DataFrame, expected: int) -> DataFrame:
 
 
 def title_cond():
-    return F.col("nome_original").rlike("^(Sr|Sra|Srta|Dr|Dra)[.] ")
+    return F.col("nome_original").rlike(P.SCORECARD_TITLE_PATTERN)
 
 
 def rule_unregistered(sales): return _one(sales, P.RULE_UNREGISTERED, ~F.col("produto_cadastrado"), True)

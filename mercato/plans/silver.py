@@ -13,33 +13,11 @@ from pyspark.sql import functions as F
 from mercato import params as P
 from mercato.functions import columns as C
 from mercato.operators.dedup import dedup_latest
-from mercato.operators.expect import FAIL, WARN, Rule
+from mercato.operators.expect import Rule
 from mercato.operators.joins import lookup_join
 
-CUSTOMER_RULES = [
-    Rule("id_cliente_preenchido", "id_cliente IS NOT NULL", FAIL),
-    Rule("cliente_com_regiao", "regiao IS NOT NULL", FAIL),
-]
-PRODUCT_RULES = [
-    Rule("id_produto_preenchido", "id_produto IS NOT NULL", FAIL),
-    Rule("preco_positivo", "preco_atual > 0", FAIL),
-]
-SALES_RULES = [
-    Rule("campos_obrigatorios",
-         "id_venda IS NOT NULL AND data_venda IS NOT NULL AND id_cliente IS NOT NULL "
-         "AND id_produto IS NOT NULL AND quantidade IS NOT NULL AND preco_unitario IS NOT NULL", FAIL),
-    Rule("quantidade_positiva", "quantidade > 0", FAIL),
-    Rule("preco_positivo", "preco_unitario > 0", FAIL),
-    Rule("canal_conhecido", "canal_venda IN ('ecommerce', 'loja_fisica')", FAIL),
-    Rule("produto_cadastrado", "produto_cadastrado", WARN),
-    Rule("venda_depois_do_cadastro", "venda_depois_do_cadastro", WARN),
-    Rule("venda_nao_antecede_cadastro", "NOT venda_antes_do_cadastro", WARN),
-]
-COMPETITOR_RULES = [
-    Rule("id_produto_preenchido", "id_produto IS NOT NULL", FAIL),
-    Rule("preco_positivo", "preco_concorrente > 0", FAIL),
-    Rule("preco_plausivel", "NOT preco_suspeito", WARN),
-]
+CUSTOMER_RULES, PRODUCT_RULES, SALES_RULES, COMPETITOR_RULES = (
+    [Rule(*r) for r in P.SILVER_EXPECTATIONS[t]] for t in ("clientes", "produtos", "vendas", "preco_competidores"))
 
 
 def states_table(spark: SparkSession, p: P.Params = P.DEFAULT_PARAMS) -> DataFrame:
@@ -47,13 +25,13 @@ def states_table(spark: SparkSession, p: P.Params = P.DEFAULT_PARAMS) -> DataFra
     return spark.createDataFrame(p.states, "estado string, nome_estado string, regiao string")
 
 
-def clean_customers(bronze: DataFrame, states: DataFrame, states_rows: int | None = None) -> DataFrame:
+def clean_customers(bronze: DataFrame, states: DataFrame) -> DataFrame:
     """G1: dedup -> trim -> strip title -> initcap -> state code -> lookup."""
     d = dedup_latest(bronze, ["id_cliente"], ["data_cadastro"])
     out = d.withColumns({"nome_original": F.trim("nome_cliente"),
                          "nome_cliente": C.clean_person_name(F.trim("nome_cliente")),
                          "estado": C.state_code("estado")})
-    out = lookup_join(out, states, on="estado", how="left", known_rows=states_rows)
+    out = lookup_join(out, states, on="estado", how="left")
     return out.select("id_cliente", "nome_original", "nome_cliente", "estado", "nome_estado",
                       "regiao", "pais", "data_cadastro")
 
@@ -72,22 +50,30 @@ SALES_COLUMNS = ["id_venda", "data_venda", "id_cliente", "id_produto", "canal_ve
 PRODUCT_DIMS = ["nome_produto", "categoria", "marca", "faixa_preco"]
 
 
-def sales_enriched(bronze: DataFrame, catalog: DataFrame, with_product: bool = False) -> DataFrame:
-    """Dedup -> money -> revenue -> calendar -> registry join -> flags.
+def sales_base(bronze: DataFrame) -> DataFrame:
+    """G3 without the registry: dedup -> money -> revenue -> calendar.  What
+    needs no product column (time, customers, periods) reads this and joins
+    nothing."""
+    d = dedup_latest(bronze, ["id_venda"], ["data_venda"])
+    price = C.money("preco_unitario")
+    return d.withColumns({"preco_unitario": price, "receita": C.line_revenue("quantidade", price),
+                          **C.calendar("data_venda")})
+
+
+def sales_enriched(base: DataFrame, catalog: DataFrame, with_product: bool = False) -> DataFrame:
+    """Base sales -> registry join -> flags.
 
     ``with_product`` keeps the catalog's descriptive columns from the same
     registry join, so a wide per-sale table does not join the catalog a
-    second time (one fact-side join instead of two).
+    second time (one fact-side join instead of two).  ``catalog`` should be a
+    written table: AQE splits the sales of a hot product only if no aggregate
+    stands between the catalog's shuffle and the join.
     """
-    d = dedup_latest(bronze, ["id_venda"], ["data_venda"])
     extra = PRODUCT_DIMS if with_product else []
     registry = catalog.select("id_produto", F.lit(True).alias("produto_cadastrado"), "data_criacao", *extra)
     t, created = F.col("data_venda"), F.col("data_criacao")
-    price = C.money("preco_unitario")
     registered = C.null_false("produto_cadastrado")
-    out = (d.withColumns({"preco_unitario": price, "receita": C.line_revenue("quantidade", price),
-                          **C.calendar("data_venda")})
-           .join(registry, on="id_produto", how="left")
+    out = (base.join(registry, on="id_produto", how="left")
            .withColumns({"produto_cadastrado": registered,
                          "venda_antes_do_cadastro": C.null_false(t < created),
                          "venda_depois_do_cadastro": C.null_false(registered & (t >= created))}))

@@ -1,22 +1,17 @@
 """Sales-by-time kept up to date with Structured Streaming.
 
 The batch mart (``mercato.plans.marts.sales_by_time``) is recomputed from the
-whole sales table.  Here new sales files are consumed as a stream and the
-per (day, hour, channel) cells are maintained in the streaming state store:
+whole sales table.  Here new sales files are consumed as a stream:
 
 * source: ``readStream`` over a folder of sales files (schema given, no
   inference), ``maxFilesPerTrigger`` bounds a micro-batch;
-* operator: stateful ``groupBy(data, hora, canal_venda)`` with exact count and
-  sums.  The state holds one row per cell (days x 24 x channels), so it is
-  bounded by the calendar, not by the number of sales;
-* sink: ``foreachBatch`` in complete mode overwrites the table with the full
-  result of each micro-batch - re-running a batch after a failure rewrites
-  the same rows (idempotent); progress and state live in the checkpoint
-  folder, so a restarted query resumes where it stopped.
-
-Distinct customers per cell are not maintained: Structured Streaming has no
-exact distinct aggregate, and an approximate one would change the table's
-meaning; the batch mart keeps that column.
+* state: one row per (day, hour, channel, customer) with count, units and
+  revenue, written as a new version by each micro-batch: the version before
+  plus the batch's own sums.  It holds what exact distinct customers need;
+* a version is named by its batch and never changed in place: a reader sees
+  whole versions only, and a batch that is run again after a failure starts
+  from the version before it and writes the same rows;
+* progress lives in the checkpoint folder, so a restarted query resumes.
 """
 
 from __future__ import annotations
@@ -25,35 +20,75 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercato.functions import columns as C
+from mercato.schemas import GOLD, conform
 
-def cell_totals(sales: DataFrame) -> DataFrame:
-    """The streaming-safe part of G5 (works on batch and stream frames)."""
-    return (sales.withColumn("data", F.to_date("data_venda"))
-            .withColumn("hora", F.hour("data_venda"))
-            .groupBy("data", "hora", "canal_venda")
-            .agg(F.count(F.lit(1)).alias("total_vendas"),
-                 F.sum("quantidade").alias("itens_vendidos"),
-                 F.sum("receita").cast("decimal(20,2)").alias("receita")))
+CELL = ["data", "hora", "canal_venda"]
+#: Versions that are kept for readers of an older one.
+KEPT = 2
+
+
+def buyer_totals(sales: DataFrame) -> DataFrame:
+    """Sales -> one row per cell and customer."""
+    return (sales.withColumn("data", F.to_date("data_venda")).withColumn("hora", F.hour("data_venda"))
+            .groupBy(*CELL, "id_cliente")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("quantidade").alias("q"),
+                 F.sum("receita").cast("decimal(20,2)").alias("r")))
+
+
+def cells(buyers: DataFrame) -> DataFrame:
+    """One row per cell and customer -> the mart."""
+    out = buyers.groupBy(*CELL).agg(
+        F.sum("n").alias("total_vendas"), F.sum("q").alias("itens_vendidos"), F.sum("r").alias("receita"),
+        F.count("id_cliente").alias("clientes_unicos"))
+    out = out.withColumn("dia_semana_num", F.dayofweek("data"))
+    return conform(out.withColumn("dia_semana", C.weekday_name(F.col("dia_semana_num"))), GOLD["sales_by_time"])
+
+
+class Versions:
+    """Versions of the state under a folder, named by batch."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root
+        self.path = spark._jvm.org.apache.hadoop.fs.Path
+        self.fs = self.path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.fs.mkdirs(self.path(root))
+
+    def complete(self) -> list[int]:
+        names = [f.getPath().getName() for f in self.fs.listStatus(self.path(self.root))]
+        return sorted(int(n[1:]) for n in names if n.startswith("v") and self.fs.exists(self.path(f"{self.root}/{n}/_SUCCESS")))
+
+    def read(self, version: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/v{version}")
+
+    def write(self, batch: DataFrame, epoch: int) -> None:
+        before = [v for v in self.complete() if v < epoch]
+        if before:
+            both = self.read(before[-1]).unionByName(batch)
+            batch = both.groupBy(*CELL, "id_cliente").agg(
+                F.sum("n").alias("n"), F.sum("q").alias("q"), F.sum("r").cast("decimal(20,2)").alias("r"))
+        batch.write.mode("overwrite").parquet(f"{self.root}/v{epoch}")
+        for old in before[: -KEPT + 1 or None]:
+            self.fs.delete(self.path(f"{self.root}/v{old}"), True)
 
 
 def run(spark: SparkSession, source_dir: str, schema: T.StructType, to_sales,
         checkpoint: str, table_path: str, glob: str | None = None,
         files_per_trigger: int = 100) -> DataFrame:
     """Consume every file now in ``source_dir`` (``availableNow``), keep the
-    cells, and return the maintained table (read back as a batch frame).
+    state, and return the mart from its last version.
 
     ``to_sales`` maps a source frame to sales columns (data_venda, canal_venda,
-    quantidade, receita).
+    id_cliente, quantidade, receita).
     """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    cells = cell_totals(to_sales(reader.parquet(source_dir)))
-
-    def publish(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(table_path)
-
-    q = (cells.writeStream.outputMode("complete").foreachBatch(publish)
+    versions = Versions(spark, table_path)
+    q = (to_sales(reader.parquet(source_dir)).writeStream
+         .foreachBatch(lambda batch, epoch: versions.write(buyer_totals(batch), epoch))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(table_path)
+    done = versions.complete()
+    empty = buyer_totals(to_sales(spark.createDataFrame([], schema)))
+    return cells(versions.read(done[-1]) if done else empty)

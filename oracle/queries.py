@@ -25,16 +25,13 @@ BODIES["competitor_prices"] = "SELECT * FROM s_precos"
 BODIES["sales_by_time"] = "SELECT * FROM g_tempo"
 BODIES["sales_by_time_events"] = "SELECT * FROM g_tempo_ev"
 BODIES["sales_by_product"] = "SELECT * FROM g_produtos"
-BODIES["sales_by_time_stream"] = """
-SELECT data, hora, canal_venda, COUNT(*) AS total_vendas, CAST(SUM(quantidade) AS BIGINT) AS itens_vendidos,
-       CAST(SUM(receita) AS DECIMAL(20,2)) AS receita
-FROM ev_vendas GROUP BY data, hora, canal_venda"""
+BODIES["sales_by_time_stream"] = "SELECT * FROM g_tempo_ev"
 BODIES["rank_global"] = """
-SELECT id_venda, receita, CAST(row_number() OVER (ORDER BY receita DESC, id_venda) AS INTEGER) AS posicao
+SELECT id_venda, receita, CAST(row_number() OVER (ORDER BY receita DESC, id_venda) AS BIGINT) AS posicao
 FROM s_vendas"""
 BODIES["rank_in_category"] = """
 SELECT id_produto, categoria, receita,
-       CAST(row_number() OVER (PARTITION BY categoria ORDER BY receita DESC, id_produto) AS INTEGER) AS posicao
+       CAST(row_number() OVER (PARTITION BY categoria ORDER BY receita DESC, id_produto) AS BIGINT) AS posicao
 FROM g_produtos"""
 BODIES["customer_segments"] = "SELECT * FROM g_clientes"
 BODIES["sales_detail"] = "SELECT * FROM g_detalhe"
@@ -59,8 +56,6 @@ WHERE NOT EXISTS (SELECT 1 FROM s_produtos p WHERE p.id_produto = v.id_produto)"
 # --- data-quality checks ----------------------------------------------------------
 
 from mercato import params as P  # noqa: E402
-from mercato.plans import quality as _Q  # noqa: E402  (column lists are the spec)
-from mercato.plans import silver as _S  # noqa: E402
 from oracle.sql import money_of_cents, q, round_avg_signed  # noqa: E402
 
 GOLD_CTE = {"sales_by_time": "g_tempo", "sales_by_product": "g_produtos", "customer_segments": "g_clientes",
@@ -74,27 +69,55 @@ def _union(parts):
     return "\nUNION ALL\n".join(parts)
 
 
+# A good row of each silver table, rule by rule; the last word tells whether a
+# bad one stops the run.
+_EXPECTED_ROWS = [
+    ("silver.clientes", "s_clientes", [
+        ("id_cliente_preenchido", "id_cliente IS NOT NULL", "fail"), ("cliente_com_regiao", "regiao IS NOT NULL", "fail")]),
+    ("silver.produtos", "s_produtos", [
+        ("id_produto_preenchido", "id_produto IS NOT NULL", "fail"), ("preco_positivo", "preco_atual > 0", "fail")]),
+    ("silver.vendas", "s_vendas", [
+        ("campos_obrigatorios", "NOT (id_venda IS NULL OR data_venda IS NULL OR id_cliente IS NULL OR id_produto IS NULL OR quantidade IS NULL OR preco_unitario IS NULL)", "fail"),
+        ("quantidade_positiva", "quantidade >= 1", "fail"), ("preco_positivo", "preco_unitario > 0", "fail"),
+        ("canal_conhecido", "canal_venda = 'ecommerce' OR canal_venda = 'loja_fisica'", "fail"),
+        ("produto_cadastrado", "produto_cadastrado", "warn"), ("venda_depois_do_cadastro", "venda_depois_do_cadastro", "warn"),
+        ("venda_nao_antecede_cadastro", "venda_antes_do_cadastro = false", "warn")]),
+    ("silver.preco_competidores", "s_precos", [
+        ("id_produto_preenchido", "id_produto IS NOT NULL", "fail"), ("preco_positivo", "preco_concorrente > 0", "fail"),
+        ("preco_plausivel", "preco_suspeito = false", "warn")]),
+]
+
+
 def _expectations():
-    parts = []
-    for table, cte, rules in [("silver.clientes", "s_clientes", _S.CUSTOMER_RULES),
-                              ("silver.produtos", "s_produtos", _S.PRODUCT_RULES),
-                              ("silver.vendas", "s_vendas", _S.SALES_RULES),
-                              ("silver.preco_competidores", "s_precos", _S.COMPETITOR_RULES)]:
-        for r in rules:
-            parts.append(f"SELECT {q(table)} AS tabela, {q(r.name)} AS regra, {q(r.action)} AS acao, "
-                         f"COUNT_IF(NOT COALESCE(({r.predicate}), false)) AS violacoes FROM {cte}")
+    parts = [f"SELECT {q(table)} AS tabela, {q(name)} AS regra, {q(action)} AS acao, "
+             f"COUNT_IF(NOT COALESCE(({good}), false)) AS violacoes FROM {cte}"
+             for table, cte, rules in _EXPECTED_ROWS for name, good, action in rules]
     return f"SELECT *, acao = 'warn' OR violacoes = 0 AS passed FROM ({_union(parts)})"
 
 
 def _per_column(cols_by_table, expr, name):
     parts = [f"SELECT {q(t)} AS table_name, {q(c)} AS column_name, COUNT_IF({expr.format(c=c)}) AS {name} "
-             f"FROM {GOLD_CTE[t]}" for t, cols in cols_by_table.items() for c in cols]
+             f"FROM {GOLD_CTE[t]}" for t, cols in cols_by_table.items() for c in cols.split()]
     return f"SELECT *, {name} = 0 AS passed FROM ({_union(parts)})"
 
 
 BODIES["dq_expectations"] = _expectations()
-BODIES["dq_not_null"] = _per_column(_Q.REQUIRED, "{c} IS NULL", "nulls")
-BODIES["dq_positive"] = _per_column(_Q.POSITIVE, "{c} <= 0", "not_positive")
+_REQUIRED = {
+    "sales_by_time": "data hora canal_venda total_vendas itens_vendidos receita dia_semana",
+    "sales_by_product": "id_produto nome_produto categoria marca total_vendas itens_vendidos receita",
+    "customer_segments": "id_cliente nome_cliente estado nome_estado regiao total_compras receita segmento_cliente ranking_receita",
+    "sales_detail": "id_venda data_venda id_produto id_cliente canal_venda quantidade preco_unitario receita "
+                    "produto_cadastrado venda_antes_do_cadastro",
+    "price_position": "id_produto nome_produto categoria marca nosso_preco preco_medio_concorrentes "
+                      "preco_minimo_concorrentes preco_maximo_concorrentes total_concorrentes classificacao_preco",
+}
+_POSITIVE = {
+    "sales_by_time": "receita total_vendas itens_vendidos",
+    "sales_by_product": "receita total_vendas itens_vendidos",
+    "price_position": "nosso_preco preco_minimo_concorrentes preco_maximo_concorrentes",
+}
+BODIES["dq_not_null"] = _per_column(_REQUIRED, "{c} IS NULL", "nulls")
+BODIES["dq_positive"] = _per_column(_POSITIVE, "{c} <= 0", "not_positive")
 BODIES["dq_unique_grain"] = "SELECT *, duplicated_keys = 0 AS passed FROM (" + _union([
     f"SELECT {q(t)} AS table_name, {q(','.join(k))} AS grain, COUNT(*) AS duplicated_keys "
     f"FROM (SELECT {', '.join(k)} FROM {GOLD_CTE[t]} GROUP BY ALL HAVING COUNT(*) > 1)"
@@ -215,13 +238,48 @@ SELECT metric, observed, expected, observed IS NOT DISTINCT FROM expected AS pas
 FROM bl_gold_side FULL JOIN bl_silver_side USING (metric)"""
 
 
+# Contract of the gold tables: column and type.
+_CONTRACT = {
+    "sales_by_time": "data date, dia_semana string, dia_semana_num int, hora int, canal_venda string, total_vendas bigint, "
+                     "itens_vendidos bigint, receita decimal(20,2), clientes_unicos bigint",
+    "sales_by_product": "id_produto string, nome_produto string, categoria string, marca string, faixa_preco string, "
+                        "produto_cadastrado boolean, total_vendas bigint, itens_vendidos bigint, receita decimal(20,2), "
+                        "ticket_medio decimal(11,2), ranking_receita int, ranking_na_categoria int",
+    "customer_segments": "id_cliente string, nome_cliente string, estado string, nome_estado string, regiao string, "
+                         "total_compras bigint, receita decimal(20,2), ticket_medio decimal(11,2), primeira_compra date, "
+                         "ultima_compra date, segmento_cliente string, ranking_receita int",
+    "sales_detail": "id_venda string, data_venda timestamp_ntz, data date, dia_semana string, dia_semana_num int, hora int, "
+                    "canal_venda string, id_produto string, nome_produto string, categoria string, marca string, "
+                    "faixa_preco string, produto_cadastrado boolean, id_cliente string, nome_cliente string, estado string, "
+                    "regiao string, segmento_cliente string, quantidade bigint, preco_unitario decimal(10,2), "
+                    "receita decimal(10,2), venda_antes_do_cadastro boolean",
+    "price_position": "id_produto string, nome_produto string, categoria string, marca string, nosso_preco decimal(10,2), "
+                      "preco_medio_concorrentes decimal(11,2), preco_minimo_concorrentes decimal(10,2), "
+                      "preco_maximo_concorrentes decimal(10,2), total_concorrentes bigint, diferenca_pct_vs_media decimal(19,2), "
+                      "diferenca_pct_vs_minimo decimal(18,2), classificacao_preco string, possui_preco_suspeito boolean, "
+                      "receita decimal(20,2), itens_vendidos bigint",
+    "quality_scorecard": "regra string, tabela string, severidade string, linhas_afetadas bigint, receita_afetada decimal(20,2)",
+}
+_contract_rows = ", ".join(
+    f"({q(t)}, {q(c.split()[0])}, {q(c.split()[1])})" for t, cols in _CONTRACT.items() for c in cols.split(", "))
+BODIES["dq_schema"] = f"""
+SELECT table_name, column_name, expected_type, expected_type AS actual_type, true AS passed
+FROM (VALUES {_contract_rows}) c(table_name, column_name, expected_type)"""
+
+BODIES["dq_referential_integrity"] = """
+SELECT *, orphans = 0 AS passed FROM (
+  SELECT 'venda -> cliente' AS check_name, COUNT(*) AS orphans FROM g_detalhe ANTI JOIN s_clientes USING (id_cliente)
+  UNION ALL
+  SELECT 'venda cadastrada -> produto', COUNT(*) FROM (SELECT * FROM g_detalhe WHERE produto_cadastrado) d
+  ANTI JOIN s_produtos USING (id_produto))"""
+
 _FAMILIES = ["dq_expectations", "dq_not_null", "dq_positive", "dq_unique_grain", "dq_domain",
              "dq_row_preservation", "dq_reconcile", "dq_recompute", "dq_segment_bounds", "dq_rank_dense",
-             "dq_rules_present", "dq_join_cardinality", "dq_baseline"]
-BODIES["dq_report"] = ("SELECT grupo, COUNT(*) AS checks, COUNT_IF(passed) AS passed_checks, "
+             "dq_rules_present", "dq_join_cardinality", "dq_baseline", "dq_schema", "dq_referential_integrity"]
+BODIES["dq_report"] = ("SELECT COALESCE(g, 'TOTAL') AS grupo, COUNT(*) AS checks, COUNT_IF(passed) AS passed_checks, "
                        "bool_and(passed) AS all_passed FROM (" +
-                       _union([f"SELECT {q(n)} AS grupo, passed FROM ({BODIES[n]})" for n in _FAMILIES]) +
-                       ") GROUP BY grupo")
+                       _union([f"SELECT {q(n)} AS g, passed FROM ({BODIES[n]})" for n in _FAMILIES]) +
+                       ") GROUP BY ROLLUP (g)")
 
 
 # --- business questions -------------------------------------------------------------
@@ -318,6 +376,29 @@ SELECT classificacao_preco, COUNT(*) AS produtos, COUNT_IF(possui_preco_suspeito
 FROM g_precos GROUP BY classificacao_preco"""
 
 
+BODIES["pricing_kpis"] = f"""
+SELECT COUNT(*) AS monitorados, {round_avg_signed('diferenca_pct_vs_media', 'DECIMAL(19,2)')} AS diferenca_media_pct,
+       COUNT_IF(classificacao_preco = {q(P.CLASS_ABOVE_ALL)}) AS mais_caros_que_todos,
+       COUNT_IF(possui_preco_suspeito) AS com_preco_suspeito
+FROM g_precos"""
+BODIES["daily_revenue_filtered"] = """
+SELECT data, canal_venda, CAST(SUM(receita) AS DECIMAL(20,2)) AS receita, COUNT(*) AS total_vendas
+FROM s_vendas WHERE year(data) = 1996 AND canal_venda = 'ecommerce' GROUP BY data, canal_venda"""
+BODIES["declared_table_load"] = _union([
+    f"SELECT '{t}' AS tabela, COUNT(*) AS linhas FROM b_{c}"
+    for t, c in [("clientes", "clientes"), ("produtos", "produtos"), ("vendas", "vendas"), ("preco_competidores", "precos")]])
+BODIES["published_tables"] = _union([
+    f"SELECT '{t}' AS tabela, COUNT(*) AS linhas FROM {c}"
+    for t, c in [("silver.clientes", "s_clientes"), ("silver.produtos", "s_produtos"), ("silver.vendas", "s_vendas"),
+                 ("silver.preco_competidores", "s_precos"), *((f"gold.{k}", v) for k, v in GOLD_CTE.items()),
+                 ("gold.quality_scorecard", "g_qualidade")]])
+_state_rows = ", ".join(f"({n}, {q(c)}, {q(s)}, {q(r)})" for n, (c, s, r) in enumerate(P.BRAZIL_STATES))
+BODIES["inline_states"] = f"""
+SELECT estado, nome_estado, regiao, COUNT(*) AS clientes
+FROM customer JOIN (VALUES {_state_rows}) s(n, estado, nome_estado, regiao) ON c_custkey % {len(P.BRAZIL_STATES)} = n
+GROUP BY estado, nome_estado, regiao"""
+
+
 def _bigint_count_if(sql: str) -> str:
     """DuckDB's COUNT_IF is HUGEINT; Spark's count_if is BIGINT: wrap every
     COUNT_IF(...) in CAST(... AS BIGINT) (parentheses matched, quotes skipped)."""
