@@ -10,8 +10,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from mercato.operators.dedup import dedup_latest, duplicate_key_count
-from mercato.operators.expect import FAIL, WARN, Rule, fail_fast, violations
-from mercato.operators.joins import broadcast_bounded, contains_other_value, group_count_over
+from mercato.operators.expect import FAIL, WARN, ExpectationFailed, Rule, check_observed, observe_rules
+from mercato.operators.joins import contains_other_value, group_count_over
 from mercato.operators.rank import plain_row_number, row_number_scalable, top_n
 
 
@@ -49,7 +49,7 @@ def _rank_frame(spark, values, ids=None):
 def _check_rank(spark, values, partition_by=(), rows_per_bucket=7):
     df = _rank_frame(spark, values)
     order = [("v", False), ("id", True)]
-    a = rows(row_number_scalable(df, order, partition_by, rows_per_bucket=rows_per_bucket, samples_per_bucket=4))
+    a = rows(row_number_scalable(df, order, partition_by, rows_per_bucket=rows_per_bucket))
     b = rows(plain_row_number(df, order, partition_by))
     assert a == b
 
@@ -75,12 +75,21 @@ def test_rank_scalable_property(spark, ints, per_bucket):
 def test_rank_scalable_has_no_single_partition_exchange(spark):
     df = _rank_frame(spark, [D(i % 13) for i in range(300)])
     out = row_number_scalable(df, [("v", False), ("id", True)], rows_per_bucket=50)
+    assert dict(out.dtypes)["rank"] == "bigint"
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "SinglePartition" in plain_row_number(df, [("v", False), ("id", True)]) \
         ._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rank_of_many_buckets(spark):
+    """One value shared by all rows is still split over the buckets."""
+    df = spark.range(6000).selectExpr("format_string('id%05d', id) AS id", "CAST(1 AS DECIMAL(20,2)) AS v")
+    out = row_number_scalable(df, [("v", False), ("id", True)], rows_per_bucket=200)
+    got = out.orderBy("rank").select("id", "rank").collect()
+    assert [r["rank"] for r in got] == list(range(1, 6001)) and [r.id for r in got] == sorted(r.id for r in got)
+
+
 def test_top_n_ties_by_id(spark):
     df = _rank_frame(spark, [D(5), D(9), D(9), D(1)])
     assert [r.id for r in top_n(df, [("v", False), ("id", True)], 2).collect()] == ["id00001", "id00002"]
@@ -119,29 +128,18 @@ def test_group_count_over_null_keys(spark):
     assert got == {"a": 2, "b": 2, "c": 2, "d": 2, "e": 1}
 
 
-def test_broadcast_bounded(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    j1 = spark.range(1000).join(broadcast_bounded(small, max_rows=50), "id")
-    assert "BroadcastHashJoin" in j1._jdf.queryExecution().executedPlan().toString() or \
-        "BroadcastExchange" in j1._jdf.queryExecution().executedPlan().toString()
-    assert broadcast_bounded(big, max_rows=50) is big
-
-
 # --- expectations ------------------------------------------------------------
 
-def test_violations_null_counts_as_violation(spark):
+def test_null_counts_as_violation_and_fail_rules_raise(spark):
     df = spark.createDataFrame([(1,), (0,), (None,)], "q int")
-    rules = [Rule("positive", "q > 0", FAIL), Rule("present", "q IS NOT NULL", WARN)]
-    got = {r.regra: r.violacoes for r in violations(df, rules, "t").collect()}
-    assert got == {"positive": 2, "present": 1}
-
-
-def test_fail_fast_raises_inside_job(spark):
-    df = spark.createDataFrame([(1,), (0,)], "q int")
-    with pytest.raises(Exception):
-        fail_fast(df, [Rule("positive", "q > 0", FAIL)]).count()
-    assert fail_fast(df.where("q > 0"), [Rule("positive", "q > 0", FAIL)]).count() == 1
+    present = [Rule("present", "q IS NOT NULL", WARN)]
+    rules = [Rule("positive", "q > 0", FAIL), *present]
+    observed, obs = observe_rules(df, rules, "t")
+    observed.collect()
+    assert (obs.get["_rows"], obs.get["positive"], obs.get["present"]) == (3, 2, 1)
+    with pytest.raises(ExpectationFailed):
+        check_observed(obs, rules)
+    assert check_observed(obs, present)["present"] == 1
 
 
 # --- typed ingest ----------------------------------------------------------------
@@ -164,6 +162,75 @@ def test_csv_roundtrip_strict_and_lenient(spark, tmpdir_path):
     assert len(rej) == 1 and set(rej[0].rejected_columns) == {"data_venda", "quantidade"}
 
 
+def test_csv_columns_by_name(spark, tmpdir_path):
+    from mercato.sources import ingest
+    for name, header in [("reordered", "b,a"), ("extra", "a,x,b"), ("missing", "a,x")]:
+        values = {"a": "1", "b": "2", "x": "3"}
+        spark.createDataFrame([(",".join(values[c] for c in header.split(",")),)], "value string").coalesce(1) \
+            .union(spark.createDataFrame([], "value string")).write.text(f"{tmpdir_path}/{name}-body")
+        lines = [header] + [r.value for r in spark.read.text(f"{tmpdir_path}/{name}-body").collect()]
+        spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.text(f"{tmpdir_path}/{name}")
+    for name in ("reordered", "extra"):
+        assert [tuple(r) for r in ingest.read_csv_text(spark, f"{tmpdir_path}/{name}", ["a", "b"]).collect()] == [("1", "2")]
+    with pytest.raises(Exception, match="b"):
+        ingest.read_csv_text(spark, f"{tmpdir_path}/missing", ["a", "b"])
+
+
+def test_lenient_ingest_stores_rejects(spark, tmpdir_path):
+    from mercato.schemas import BRONZE
+    from mercato.sources import ingest
+    data = f"{tmpdir_path}/data"
+    good = {"clientes": ("cus_1", "a", "SP", "Brasil", "2024-01-01 00:00:00"),
+            "produtos": ("prd_1", "x", "c", "m", "10.0", "2024-01-01 00:00:00"),
+            "vendas": ("sal_1", "2025-01-01 00:00:00", "cus_1", "prd_1", "ecommerce", "1", "10.0"),
+            "preco_competidores": ("prd_1", "A", "9.0", "2026-01-11 10:00:00")}
+    bad = {"clientes": ("cus_2", "b", "SP", "Brasil", "yesterday")}
+    for t, row in good.items():
+        cols = [f.name for f in BRONZE[t].fields]
+        spark.createDataFrame([row, *([bad[t]] if t in bad else [])], ", ".join(f"{c} string" for c in cols)).coalesce(1) \
+            .write.option("header", "true").csv(f"{data}/{t}.csv")
+    counts = ingest.ingest_csv(spark, data, database="bronze_lenient", strict=False)
+    assert counts["clientes"] == 1 and counts["clientes_rejects"] == 1 and counts["vendas_rejects"] == 0
+    rejects = spark.table("bronze_lenient.clientes_rejects").collect()
+    assert [(r.id_cliente, r.data_cadastro, list(r.rejected_columns)) for r in rejects] == [("cus_2", "yesterday", ["data_cadastro"])]
+
+
+def test_comment_with_quotes(spark):
+    from mercato.schemas import S, schema
+    from mercato.sources import ingest
+    ingest.create_namespace(spark, "bronze_quotes")
+    ingest.create_table(spark, "bronze_quotes.t", schema(("a", S, "the customer's \\ 'id'")))
+    assert spark.table("bronze_quotes.t").schema["a"].metadata["comment"] == "the customer's \\ 'id'"
+
+
+# --- session ---------------------------------------------------------------------
+
+def test_a_cluster_must_name_a_shared_folder(spark):
+    from mercato import session
+
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    class Fake:
+        conf = Conf({"spark.master": "yarn"})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Fake())
+    Fake.conf["spark.master"] = "local[2]"
+    assert session.checkpoint_dir(Fake()) == session.checkpoint_dir(Fake())
+
+
+def test_configure_raises_when_results_would_differ():
+    from mercato import session
+
+    class Stubborn:
+        class conf:
+            get = staticmethod(lambda k, d=None: "Europe/Berlin" if "timeZone" in k else "true")
+            set = staticmethod(lambda k, v: None)
+    with pytest.raises(RuntimeError, match="timeZone"):
+        session.configure(Stubborn())
+
+
 def test_money_overflow_raises(spark):
     from mercato.functions.columns import money
     df = spark.createDataFrame([(123456789012.34,)], "p double")

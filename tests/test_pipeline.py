@@ -1,6 +1,7 @@
 """Silver, gold and scorecard on hand-made rows (every hazard of FIXTURES §3)."""
 
 from datetime import date
+from datetime import datetime as dt
 from decimal import Decimal as D
 
 import pytest
@@ -159,9 +160,36 @@ def test_aggregate_before_join_equals_naive(lh):
     assert sorted(map(tuple, naive_c.collect())) == sorted(map(tuple, ours_c.collect()))
 
 
-def test_publish_stops_on_fail_rule(spark, lh, tmpdir_path):
+def frames_with(spark, customers):
+    return {"clientes": X.customers(spark, customers), "produtos": X.products(spark, X.PRODUCTS),
+            "vendas": X.sales(spark, X.SALES), "preco_competidores": X.prices(spark, X.PRICES)}
+
+
+CLEAN = [r for r in X.CUSTOMERS if r[0] != "cus_6"]
+
+
+def test_failing_publish_leaves_published_files(spark, lh, tmpdir_path):
+    import os
+    Lakehouse.from_tables(spark, frames_with(spark, CLEAN)).publish(tmpdir_path)
+    before = {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(tmpdir_path) for f in fs}
+    with pytest.raises(ExpectationFailed):
+        lh.publish(tmpdir_path)          # lh holds a customer without a region
+    after = {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(tmpdir_path) for f in fs}
+    assert before == after and spark.read.parquet(f"{tmpdir_path}/silver/clientes").where("regiao IS NULL").count() == 0
+    Lakehouse.from_tables(spark, frames_with(spark, CLEAN[:-1])).publish(tmpdir_path)   # a good run replaces
+    assert spark.read.parquet(f"{tmpdir_path}/silver/clientes").count() == 4
+    assert not [n for n in os.listdir(tmpdir_path) if n.startswith("_staging")]
+
+
+def test_failing_publish_leaves_published_tables(spark, lh):
+    Lakehouse.from_tables(spark, frames_with(spark, CLEAN)).publish(database="lake_atomic")
     with pytest.raises(ExpectationFailed):
-        lh.publish(tmpdir_path)
+        lh.publish(database="lake_atomic")
+    assert spark.table("lake_atomic.silver_clientes").where("regiao IS NULL").count() == 0
+    assert spark.table("lake_atomic.gold_sales_detail").count() == 6
+    assert not [t.name for t in spark.catalog.listTables("lake_atomic") if "staging" in t.name]
+    Lakehouse.from_tables(spark, frames_with(spark, CLEAN[:-1])).publish(database="lake_atomic")
+    assert spark.table("lake_atomic.silver_clientes").count() == 4
 
 
 def test_publish_writes_all_layers(spark, tmpdir_path):
@@ -187,14 +215,6 @@ def test_sales_by_time_grain(lh):
     assert sat.clientes_unicos == 2 and sat.dia_semana == "Sábado"
 
 
-def test_unique_right_join_raises(spark):
-    from mercato.operators.joins import unique_right_join
-    left = spark.createDataFrame([("a",)], "k string")
-    right = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
-    with pytest.raises(Exception):
-        unique_right_join(left, right, ["k"]).collect()
-
-
 def test_marts_conform_to_contract(lh):
     from mercato.schemas import GOLD
     for name, contract in GOLD.items():
@@ -273,9 +293,128 @@ def test_quality_report_clean_and_dirty(spark):
               "preco_competidores": X.prices(spark, X.PRICES)}
     clean = dict(frames, clientes=X.customers(spark, [r for r in X.CUSTOMERS if r[0] != "cus_6"]))
     rep = {r.grupo: r for r in quality.report(Lakehouse.from_tables(spark, clean).materialized()).collect()}
-    assert len(rep) == 13 and all(r.all_passed for r in rep.values()), rep
+    assert len(rep) == 16 and rep["TOTAL"].checks == sum(r.checks for g, r in rep.items() if g != "TOTAL") and all(r.all_passed for r in rep.values()), rep
     dirty = dict(frames, clientes=X.customers(spark, X.CUSTOMERS))
     rep = {r.grupo: r for r in quality.report(Lakehouse.from_tables(spark, dirty).materialized()).collect()}
     failing = {g for g, r in rep.items() if not r.all_passed}
     # unknown state -> NULL region: the fail-set rule and the gold completeness check both see it
-    assert failing == {"dq_expectations", "dq_not_null"}, failing
+    assert failing == {"dq_expectations", "dq_not_null", "TOTAL"}, failing
+    failed = quality.checks(Lakehouse.from_tables(spark, dirty).materialized()).where("NOT passed").collect()
+    assert any(r.mensagem.startswith("FAILED: ") and "cliente_com_regiao" in r.mensagem for r in failed)
+
+
+def test_given_expected_values(spark, lh):
+    from mercato.plans import quality
+    opened = Lakehouse.from_tables(spark, frames_with(spark, CLEAN)).materialized()
+    got = {r.metric: r.passed for r in quality.expected_values(
+        opened, {"total_vendas": 6, "total_clientes": 4, "linhas_vendas_temporais": 99, "no_such_metric": 1}).collect()}
+    assert got == {"total_vendas": True, "total_clientes": False, "linhas_vendas_temporais": False, "no_such_metric": False}
+    near = quality.expected_values(opened, {"receita_total": "10000.00"}, rel_tol=10).first()
+    assert near.passed
+
+
+def test_referential_integrity_finds_orphans(spark):
+    from mercato.plans import quality
+    opened = Lakehouse.from_tables(spark, frames_with(spark, CLEAN)).materialized()
+    assert {r.check_name: r.orphans for r in quality.referential_integrity(opened).collect()} == \
+        {"venda -> cliente": 0, "venda cadastrada -> produto": 0}
+    opened.__dict__["customers_written"] = opened.customers.where("id_cliente <> 'cus_2'")
+    opened.__dict__["catalog_written"] = opened.catalog.where("id_produto <> 'prd_3'")
+    assert {r.check_name: r.orphans for r in quality.referential_integrity(opened).collect()} == \
+        {"venda -> cliente": 2, "venda cadastrada -> produto": 2}
+
+
+# --- hot keys and clustering -----------------------------------------------------
+
+HOT = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+       "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.shuffle.partitions": "8",
+       "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+       "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
+
+
+@pytest.fixture()
+def hot(spark):
+    """A lakehouse of 60,000 sales, half of one product and one customer; joins shuffle."""
+    old = {k: spark.conf.get(k, None) for k in HOT}
+    for k, v in HOT.items():
+        spark.conf.set(k, v)
+    n = 60_000
+    half = F.col("id") % 2 == 0
+    sales = spark.range(n, numPartitions=8).select(
+        F.concat(F.lit("sal_"), F.col("id").cast("string")).alias("id_venda"),
+        F.expr("timestamp_ntz'2025-12-20 10:00:00'").alias("data_venda"),
+        F.when(half, "cus_1").otherwise(F.concat(F.lit("cus_"), (F.col("id") % 997).cast("string"))).alias("id_cliente"),
+        F.when(half, "prd_1").otherwise(F.concat(F.lit("prd_"), (F.col("id") % 499).cast("string"))).alias("id_produto"),
+        F.lit("ecommerce").alias("canal_venda"), F.lit(1).cast("long").alias("quantidade"), F.lit(2.5).alias("preco_unitario"))
+    products = spark.range(499).select(
+        F.concat(F.lit("prd_"), F.col("id").cast("string")).alias("id_produto"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("nome_produto"),
+        F.lit("c").alias("categoria"), F.lit("m").alias("marca"), F.lit(3.0).alias("preco_atual"), F.expr("timestamp_ntz'2025-01-01 00:00:00'").alias("data_criacao"))
+    customers = spark.range(997).select(
+        F.concat(F.lit("cus_"), F.col("id").cast("string")).alias("id_cliente"), F.lit("x").alias("nome_cliente"), F.lit("SP").alias("estado"),
+        F.lit("Brasil").alias("pais"), F.expr("timestamp_ntz'2025-01-01 00:00:00'").alias("data_cadastro"))
+    bronze = {"clientes": customers, "produtos": products, "vendas": sales, "preco_competidores": X.prices(spark, X.PRICES)}
+    yield Lakehouse.from_tables(spark, bronze)
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    df.write.format("noop").mode("overwrite").save()   # the plan of a run of its own
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_product_and_customer_are_split(hot):
+    assert "skew=true" in final_plan(hot.sales)
+    detail = final_plan(hot.sales_detail)
+    assert detail.count("skew=true") >= 1
+    s = hot.sales_base.select("id_venda", "id_cliente")
+    assert "skew=true" in final_plan(s.join(hot.customers_written.select("id_cliente"), "id_cliente", "left_anti"))
+
+
+def test_hot_name_count_is_split(hot):
+    from mercato.operators.joins import group_count_over
+    wide = hot.sales_base.select("id_venda", "id_produto")
+    assert "skew=true" in final_plan(group_count_over(wide, ["id_produto"]))
+
+
+def test_sales_by_product_combines_before_the_shuffle(hot):
+    from mercato.plans import marts as M
+    plan = final_plan(M.sales_by_product(hot.sales_base, hot.catalog, ranked=False))
+    # one join: the grouped sales (at most a row per product) with the catalog
+    assert plan.split("== Initial Plan ==")[0].count("SortMergeJoin") == 1
+    assert "partial_count(1)" in plan
+
+
+def test_one_day_is_clustered_by_several_tasks(hot, spark, tmpdir_path):
+    from mercato.plans.lakehouse import Lakehouse as L
+    import pyarrow.parquet as pq
+    import glob
+    hot.publish(tmpdir_path, enforce=True)
+    files = glob.glob(f"{tmpdir_path}/gold/sales_detail/*.parquet")
+    assert sum(pq.read_metadata(f).num_rows > 0 for f in files) > 1 and L
+
+
+def test_date_filter_skips_row_groups(spark, tmpdir_path):
+    import glob
+    import pyarrow.parquet as pq
+    days = [(f"sal_{d}_{k}", dt(2025, 12, d, k % 24), "cus_1", "prd_1", "ecommerce", 1, 5.0) for d in range(1, 21) for k in range(60)]
+    bronze = dict(frames_with(spark, CLEAN), vendas=X.sales(spark, days).repartition(5))
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        Lakehouse.from_tables(spark, bronze).publish(tmpdir_path)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    holds = 0
+    files = glob.glob(f"{tmpdir_path}/gold/sales_detail/*.parquet")
+    for f in files:
+        m = pq.read_metadata(f)
+        for g in range(m.num_row_groups):
+            c = next(m.row_group(g).column(k) for k in range(m.num_columns) if m.row_group(g).column(k).path_in_schema == "data")
+            holds += c.statistics.min <= date(2025, 12, 10) <= c.statistics.max
+    assert len(files) > 2 and 1 <= holds < len(files)
