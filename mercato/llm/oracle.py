@@ -85,6 +85,6 @@ counts AS (
   FROM words w LEFT JOIN dup d USING (r) LEFT JOIN covered c USING (r) LEFT JOIN gone g USING (r)),
 failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND n_words - n_removed_words >= 50 AND 2 * (n_words - n_removed_words) >= n_words AS kept, n_removed_words
+       NOT base_failed AND 2 * (n_words - n_removed_words) >= n_words AS kept, n_removed_words
 FROM failed
 """

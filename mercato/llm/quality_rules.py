@@ -25,9 +25,10 @@ SYMBOLS = "#*$%&|<>"
 #: A line is frequent in more than this many documents of a host, and more than this share of them.
 MIN_LINE_DOCS = 10
 LINE_SHARE = 0.01
-#: A document is depleted with fewer words left, or less than this share of its words.
-MIN_WORDS = 50
+#: A document is depleted with less than this share of its words left.
 MIN_LEFT = 0.5
+#: Base rules: fewest words, and the largest percentage of words in repeated triples.
+MIN_WORDS, MAX_REPEATED = 50, 50
 
 
 def split_words(text: Column) -> Column:
@@ -76,7 +77,7 @@ def frequent_lines(lines: DataFrame, docs: DataFrame, min_docs: int = MIN_LINE_D
 
 
 def judge(docs: DataFrame, min_docs: int = MIN_LINE_DOCS, share: float = LINE_SHARE,
-          min_words: int = MIN_WORDS, min_left: float = MIN_LEFT) -> DataFrame:
+          min_left: float = MIN_LEFT) -> DataFrame:
     """(id, host, text) -> doc_id, the counts, base_failed, kept, n_removed_words.
 
     A null or empty text has no words and fails the base rules.  Null hosts are
@@ -90,10 +91,10 @@ def judge(docs: DataFrame, min_docs: int = MIN_LINE_DOCS, share: float = LINE_SH
                .groupBy(F.col("id").alias("id2"), F.col("host").alias("host2"), F.col("content").alias("content2"))
                .agg(F.sum("words").alias("n_removed_words")))
     same = (F.col("id").eqNullSafe(F.col("id2")) & F.col("host").eqNullSafe(F.col("host2")) & (F.col("content") == F.col("content2")))
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     left = F.col("n_words") - F.col("n_removed_words")
     return (base_counts(docs).join(removed, same, "left").fillna(0, ["n_removed_words"])
             .withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & (left >= min_words) & (left >= F.col("n_words") * min_left))
+            .withColumn("kept", ~F.col("base_failed") & (left >= F.col("n_words") * min_left))
             .select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", "kept", "n_removed_words"))

@@ -42,7 +42,7 @@ def brute_rules(rows, min_docs, share):
         failed = len(w) < 50 or 100 * len(hit) > 50 * len(w)
         left = len(w) - gone
         out.append((i, len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)), len(hit),
-                    failed, not failed and left >= 50 and 2 * left >= len(w), gone))
+                    failed, not failed and 2 * left >= len(w), gone))
     return out
 
 
