@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from mercato.llm.runs import Recent, runs
 
 #: States of the transducer kept in a Python worker, and characters in a chunk of a long text.
-MAX_STATES = 200_000
+MAX_STATES = 350_000
 CHUNK_CHARS = 4096
 
 #: Contractions that are pieces of their own, without the apostrophe (fixed values of the tokenizer).
@@ -129,7 +129,7 @@ class Machine:
         self.states: dict[tuple[str, Open, str], State] = {}
         self.shared: dict[tuple[str, str, int], tuple[str, str, int]] = {}  # one copy of each open start
         self.start = State(self, "", (), "")
-        self.counts = Recent(self.run, entries=300_000)
+        self.counts = Recent(self.run, entries=700_000)
         self.specials = regex.compile("|".join(map(regex.escape, self.bpe.specials))).split
 
     def run(self, chars: str) -> int:
