@@ -12,7 +12,7 @@ at the last place are told apart exactly, by the smaller id.
 The index is written in blocks of ``BLOCK_ROWS`` rows and the queries are
 packed in blocks of ``QUERY_ROWS``; every query block meets every index block
 once.  A block gives k rows a query, and a ranked window keeps the k best of
-those.  Nothing goes to the driver but the number of blocks.
+those.  Nothing goes to the driver.
 """
 
 from __future__ import annotations
@@ -220,12 +220,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
     def usable(df: DataFrame) -> DataFrame:
         return df.select(F.col("id").cast("long").alias("id"), quantised(F.col("vector")).alias("q")).filter("id is not null and q is not null")
 
+    spark = vectors.sparkSession
     index = materialize(build_index(usable(vectors), block_rows), "bitsliced-index")
-    slots = [r.slot for r in index.select("slot").collect()]  # one number a block
     packed = pack_queries(usable(queries).groupBy("id").agg(F.min("q").alias("q")))
-    parts = max(1, len(slots))
-    spread = packed.withColumn("slot", F.explode(F.lit(slots).cast("array<bigint>"))).repartition(parts, "slot")
-    found = (index.repartition(parts, "slot").join(spread, "slot").select("slot", "ids", "dims", "base", "bits", "slices", "qids", "qdims", "qs")
+    # index blocks are dealt to lanes, one a task; every query block goes to every lane
+    lanes = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = index.withColumn("lane", F.pmod(F.xxhash64("slot"), F.lit(lanes)).cast("int")).repartition(lanes, "lane")
+    spread = packed.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))).repartition(lanes, "lane")
+    found = (dealt.join(spread, "lane").select("slot", "ids", "dims", "base", "bits", "slices", "qids", "qdims", "qs")
              .mapInArrow(_search(k), "query_id long, vec_id long, score long"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
