@@ -10,7 +10,8 @@ together, one array step for each end position and piece length.
 The probabilities are learned by expectation maximisation: expected piece
 counts over all segmentations (forward and backward) of a bounded sample of
 labelled texts, added up by Spark; only languages x vocabulary sums reach the
-driver.
+driver.  Runs of ``LONGEST`` characters or more are scored like all others, one
+by one, but not learned from.
 """
 
 from __future__ import annotations
