@@ -34,14 +34,11 @@ def main():
            "submitted (AQE may still turn a sort-merge join into a broadcast at run time). "
            "Operator counts first, then the plan with long expressions cut. Queries whose "
            "input was materialised (ranks) show the scan of the written files.", "",
-           "Reading notes: `Exchange SinglePartition` appears (a) under global aggregates, where "
-           "each partition sends one partial row, and (b) in `sales_by_product` / "
-           "`customer_segments` at this scale only: the ranked input was counted at <= 250,000 "
-           "rows (20,000 products, 15,000 customers), so the plain window is used; above that "
-           "the same code plans range buckets (see `rank_global`, 456,861 rows in 23 buckets: that query "
-           "sets rows_per_bucket=20,000; and `tests/test_operators.py::test_rank_scalable_has_no_single_partition_exchange`). "
-           "`Exchange RoundRobinPartitioning` is the scan parallelism floor for single-row-group "
-           "test files; `SortAggregate` is the deterministic dedup (`max(struct)`, partial + final).",
+           "Reading notes: `Exchange SinglePartition` appears under global aggregates, where each "
+           "partition sends one partial row. Ranked queries show the numbering inside written range "
+           "buckets; the offsets (one row a bucket) were summed by an earlier job. Dimensions that "
+           "whole fact tables are joined to (`sales_detail`) are scans of written files, so that AQE "
+           "can split a hot key. `SortAggregate` is the deterministic dedup (`max(struct)`, partial + final).",
            ""]
     for name in NAMES:
         df = QUERIES[name](spark, sf_dir)
