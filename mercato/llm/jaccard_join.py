@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import materialize
+from mercato.llm.common import in_buckets, materialize
 from mercato.llm.components import components
 
 WORDS = 5
@@ -286,7 +286,8 @@ def join(docs: DataFrame) -> DataFrame:
     grouped = materialize(components(candidates), "candidate-components")
     sizes = materialize(grouped.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "component-sizes")
     held = grouped.join(sizes, "label").select(F.col("label").alias("component"), "node", "size")
-    texts = docs.join(held, F.col("id") == F.col("node")).select("component", "node", "size", "text")
+    members = in_buckets(docs, grouped.select(F.col("node").alias("id")), ["id"])
+    texts = members.join(held, F.col("id") == F.col("node")).select("component", "node", "size", "text")
     placed = block_pairs(texts, "component", F.col("size"), TEXT_BLOCK)
     verified = materialize(
         placed.select("component", "i", "j", "side", "node", "text").repartition("component", "i", "j")
