@@ -26,8 +26,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     python_tasks(spark)
     rows = packed(docs)
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
-    score = quality_knn.scorer(rows, labels)
-    return rows.withColumn("score", score("text")).filter(F.col("score") >= quality_knn.THRESHOLD).select("doc.*")
+    return quality_knn.scored(rows, labels).filter(F.col("score") >= quality_knn.THRESHOLD).select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

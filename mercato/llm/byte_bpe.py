@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from mercato.llm.runs import Recent
 
 #: Entries of each table of encoded runs in a Python worker.
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 600_000
 
 #: Characters with the property White_Space (fixed values of Unicode).
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"

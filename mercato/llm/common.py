@@ -10,13 +10,16 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.operators.materialize import materialize
 
-__all__ = ["ARROW_ROWS", "WORD", "held_out", "materialize", "table", "word_count"]
+__all__ = ["ARROW_ROWS", "WORD", "held_out", "materialize", "table", "with_columns", "word_count"]
 
 #: A word: a run of anything but space and the controls TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -61,6 +64,22 @@ def in_buckets(frame: DataFrame, wanted: DataFrame, keys: list[str], how: str =
             .join(F.broadcast(used), F.col("mercato_bucket") == F.col("mercato_used"), how).drop("mercato_bucket"))
 
 
+def with_columns(frame: DataFrame, fields: str, make: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
+    """``frame`` and the columns that ``make`` gives for each Arrow batch of it.
+
+    All Python steps of this package run as ``mapInArrow``: one kind of task,
+    so one set of worker processes, with one set of tables, on each executor.
+    """
+    schema = T.StructType([*frame.schema.fields, *T.StructType.fromDDL(fields).fields])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, *make(b)], names)
+
+    return frame.mapInArrow(run, schema)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; null and empty texts have none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

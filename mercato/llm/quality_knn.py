@@ -20,13 +20,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import held_out, materialize
+from mercato.llm.common import held_out, materialize, with_columns
 from mercato.llm.runs import Recent, runs
 
 DIMS = 1 << 13  # 13 bits: see _run_terms
@@ -57,7 +56,7 @@ class Terms:
     """Weighted term columns of texts."""
 
     def __init__(self) -> None:
-        self.runs = Recent(_run_terms, entries=400_000)
+        self.runs = Recent(_run_terms, entries=150_000)
         self.named = Recent(_column, entries=10_000)
 
     def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -174,30 +173,27 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
     return fit([(np.frombuffer(r.columns, "<i4").astype(np.int64), np.frombuffer(r.weights, "<f4").astype(np.float64)) for r in rows], [r.label for r in rows])
 
 
-def scorer(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, size: int = SAMPLE):
-    """(id, text), (id, label 0/1) -> a function of a text column that gives its score.
+def scored(rows: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, size: int = SAMPLE) -> DataFrame:
+    """(id, text, any more), (id, label 0/1) -> + score; every document, whole texts.
 
     Only labels of ids outside fold ``fold`` of ``folds`` are learned from; a
-    null id counts as held out; of repeated labels the larger one holds.
+    null id counts as held out; of repeated labels the larger one holds.  Null
+    and empty texts are scored by their structure terms.  Without any label
+    every score is 0.5.  Repeated rows are scored each.
     """
     learn = labels.select(F.col("id").cast("long").alias("id"), "label").filter(~held_out(F.col("id"), folds, fold))
-    docs = docs.select(F.col("id").cast("long").alias("id"), "text")
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, learn, size))
+    docs = rows.select(F.col("id").cast("long").alias("id"), "text")
+    model = rows.sparkSession.sparkContext.broadcast(train(docs, learn, size))
 
-    def of(text: pd.Series) -> pd.Series:
-        return pd.Series(model.value.vote(model.value.project([terms().of(t or "") for t in text])))
+    def make(b: pa.RecordBatch) -> list[pa.Array]:
+        vectors = model.value.project([terms().of(t or "") for t in b["text"].to_pylist()])
+        return [pa.array(model.value.vote(vectors), pa.float64())]
 
-    return F.pandas_udf(of, "double")
+    return with_columns(rows, "score double", make)
 
 
 def score(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, size: int = SAMPLE) -> DataFrame:
-    """(id, text), (id, label 0/1) -> doc_id, held_out, score, predicted; every document, whole texts.
-
-    Null and empty texts are scored by their structure terms.  Without any
-    label every score is 0.5.  Repeated rows are scored each.  Extra columns
-    play no part.
-    """
-    of = scorer(docs, labels, folds, fold, size)
-    return (docs.select(F.col("id").cast("long").alias("doc_id"), of("text").alias("score"))
-            .select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), "score",
+    """(id, text), (id, label 0/1) -> doc_id, held_out, score, predicted; see ``scored``.  Extra columns are left out."""
+    return (scored(docs.select(F.col("id").cast("long").alias("id"), "text"), labels, folds, fold, size)
+            .select(F.col("id").alias("doc_id"), held_out(F.col("id"), folds, fold).alias("held_out"), "score",
                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted")))

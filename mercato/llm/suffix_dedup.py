@@ -32,13 +32,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.common import in_buckets, materialize
+from mercato.llm.common import in_buckets, materialize, with_columns
 from mercato.llm.jaccard_join import groups, mixed
 
 LENGTH = 200
@@ -245,16 +244,17 @@ def without(data: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, data[at:]])
 
 
-CUT = "struct<n_removed: long, n_spans: long, kept: binary, kept_text: string>"
+CUT = "n_removed long, n_spans long, kept binary, kept_text string"
 
 
-def _cut(text: pd.Series, spans: pd.Series) -> pd.DataFrame:
+def _cut(b: pa.RecordBatch) -> list[pa.Array]:
     rows = []
-    for t, s in zip(text, spans, strict=True):
-        runs = merged([] if s is None else s)
-        kept = without(bytes(t), runs)
-        rows.append((sum(e - b for b, e in runs), len(runs), kept, kept.decode("utf-8", "ignore")))
-    return pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept", "kept_text"])
+    for t, s in zip(b["text"], b["spans"], strict=True):
+        runs = merged(s.as_py() or [])
+        kept = without(t.as_py().encode(), runs)
+        rows.append((sum(e - s for s, e in runs), len(runs), kept, kept.decode("utf-8", "ignore")))
+    columns = zip(*rows, strict=True) if rows else [[]] * 4
+    return [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.string()), strict=True)]
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -270,9 +270,9 @@ def dedup(docs: DataFrame) -> DataFrame:
     spans = repeated_spans(keyed)
     size = F.octet_length("text").cast("long").alias("n_bytes")
     rest = [c for c in keyed.columns if c not in ("text", "hash")]
-    hit = (in_buckets(keyed, spans, ["id", "hash"]).alias("d").join(spans.alias("s"), _same("d", "s"), "left").select("d.*", "s.spans")
-           .withColumn("cut", F.pandas_udf(_cut, CUT)(F.col("text").cast("binary"), F.col("spans")))
-           .select(*rest, size, "cut.n_removed", "cut.n_spans", "cut.kept", F.col("cut.kept_text").alias("text")))
+    touched = in_buckets(keyed, spans, ["id", "hash"]).alias("d").join(spans.alias("s"), _same("d", "s"), "left")
+    hit = (with_columns(touched.select(*[f"d.{c}" for c in (*rest, "text")], "s.spans"), CUT, _cut)
+           .select(*rest, size, "n_removed", "n_spans", "kept", F.col("kept_text").alias("text")))
     none = F.lit(0).cast("long")
     clean = in_buckets(keyed, spans, ["id", "hash"], "left_anti").select(*rest, size, none.alias("n_removed"), none.alias("n_spans"), F.col("text").cast("binary").alias("kept"), "text")
     return hit.unionByName(clean)
