@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from mercato.operators.materialize import materialize
 
-__all__ = ["ARROW_ROWS", "WORD", "held_out", "materialize", "table", "with_columns", "word_count"]
+__all__ = ["ARROW_ROWS", "WORD", "held_out", "in_buckets", "materialize", "python_tasks", "table", "with_columns", "word_count"]
 
 #: A word: a run of anything but space and the controls TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
