@@ -18,8 +18,11 @@ little-endian.  The index gives any block of a segment without the others.
 
 from __future__ import annotations
 
+import json
 import os
+import string
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,7 +34,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.common import materialize
-from mercato.llm.runs import runs
+from mercato.llm.runs import Recent, runs
+from mercato.llm.token_counts import lowered
 
 MAGIC = b"PFR1"
 BLOCK_IDS = 1024
@@ -40,8 +44,10 @@ PERCENTILE = 90
 HEAD = struct.Struct("<4sIII")
 BLOCK = struct.Struct("<IBH")
 #: Entries of the table of encoded runs in a Python worker, and the longest run kept.
-CACHE_ENTRIES = 450_000
+CACHE_ENTRIES = 600_000
 CACHE_CHARS = 48
+#: Marks that are a piece of their own after letters (all but the apostrophe of contractions).
+MARKS = string.punctuation.replace("'", "")
 
 
 def pack_block(ids: np.ndarray) -> bytes:
@@ -54,8 +60,8 @@ def pack_block(ids: np.ndarray) -> bytes:
     at = np.nonzero(over >> width)[0] if odd else np.zeros(0, np.int64)
     values, over = over[at], over.copy()
     over[at] = 0
-    bits = (over[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-    return (BLOCK.pack(low, width, len(at)) + np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+    bits = np.unpackbits(over.astype("<u4").view(np.uint8), bitorder="little").reshape(-1, 32)[:, :width]
+    return (BLOCK.pack(low, width, len(at)) + np.packbits(bits, bitorder="little").tobytes()
             + at.astype("<u2").tobytes() + values.astype("<u4").tobytes())
 
 
@@ -64,9 +70,9 @@ def unpack_block(data: bytes, at: int, n: int) -> np.ndarray:
     at += BLOCK.size
     size = (n * width + 7) // 8
     bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
-    out = np.zeros(n, np.uint32)
-    for j in range(width):
-        out |= bits[:, j].astype(np.uint32) << np.uint32(j)
+    wide = np.zeros((n, 16 if width <= 16 else 32), np.uint8)
+    wide[:, :width] = bits
+    out = np.packbits(wide.ravel(), bitorder="little").view("<u2" if width <= 16 else "<u4").astype(np.uint32)
     at += size
     places = np.frombuffer(data, "<u2", odd, at)
     out[places] = np.frombuffer(data, "<u4", odd, at + 2 * odd)
@@ -93,12 +99,62 @@ def unpack(payload: bytes, first: int = 0, count: int | None = None) -> np.ndarr
     return np.concatenate(parts)[first % block_ids :][: last - first] if parts else np.zeros(0, np.uint32)
 
 
+def _latin_class(c: str) -> int:
+    """Letter 'a', white space ' ', lone mark '.', '0' for what needs the tokenizer's own rules."""
+    group = unicodedata.category(c)[0]
+    if group == "L":
+        return ord("a")
+    if c in "\t\n\x0b\x0c\r \x85\xa0":
+        return ord(" ")
+    return ord(".") if group in "PS" and c != "'" else ord("0")
+
+
+_LATIN = [chr(i) for i in range(256)]
+_CLASS = bytes(map(_latin_class, _LATIN))
+_LOWER = "".join(map(str.lower, _LATIN)).encode("latin-1")
+_MARKS = [bytes([i]) for i, c in enumerate(_CLASS) if c == ord(".")]
+
+
+def pieces(text: str) -> list[str]:
+    """Parts of a text that are encoded apart and give the text's ids together.
+
+    Runs between white space; or, where a text (else, a line of it) has only
+    Latin-1 letters, white space and marks that do not adjoin each other, its
+    lower-case words and its marks, of which there are far fewer different ones.
+    """
+    if (simple := _words_and_marks(text)) is not None:
+        return simple
+    out = []
+    for line in text.split("\n"):
+        out += runs(line) if (simple := _words_and_marks(line)) is None else simple
+    return out
+
+
+def _words_and_marks(text: str) -> list[str] | None:
+    try:
+        data = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    classes = data.translate(_CLASS)
+    if b"0" in classes or b".." in classes:
+        return None
+    data = data.translate(_LOWER)
+    if b"." in classes:
+        for m in _MARKS:
+            if m in data:
+                data = data.replace(m, b" " + m + b" ")
+    return data.decode("latin-1").split()
+
+
 class Encoder:
     """The tokenizers library on the runs of a text.
 
     The tokenizer drops white space and no token spans it, so a text's ids are
     those of its runs one after the other; each distinct run is encoded once
-    while it stays in a bounded table.
+    while it stays in a bounded table.  Letters with marks after them are two
+    pieces.  Words of letters are encoded many at a
+    time, as one text: a token with the word-end suffix ends a piece, which
+    tells where each word's ids end.
     """
 
     def __init__(self, path: str) -> None:
@@ -106,22 +162,67 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            suffix = json.load(f)["model"].get("end_of_word_suffix") or ""
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
+        self.marks = Recent(lambda marks: self._each([marks])[0], entries=10_000)
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word of letters."""
+        out = []
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.nonzero(self.ends[ids])[0] + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):  # a word that is more than one piece after all
+                out += self._each(part)
+                continue
+            data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+            out += [data[s:e] for s, e in zip(cuts, cuts[1:], strict=False)]
+        return out
+
+    def _make(self, new: list[str]) -> dict[str, bytes]:
+        get, made, marked, words, rest = self.old.get, {}, [], {}, []
+        for run in new:
+            if (ids := get(run)) is not None:
+                made[run] = ids
+                continue
+            word = run.rstrip(MARKS)
+            mark = run[len(word):]
+            if not word:
+                made[run] = self.marks[run]
+                continue
+            word = word.lower() if word.isascii() else lowered(word)
+            if not word.isalpha():  # normalised: some letters are written as a letter and a sign
+                rest.append(run)
+                continue
+            marked.append((run, word, mark))
+            if word not in words:
+                words[word] = self.known.get(word) or get(word)
+        missing = [w for w, ids in words.items() if ids is None]
+        words.update(zip(missing, self._words(missing), strict=True))
+        for run, word, mark in marked:
+            made[run] = words[word] + self.marks[mark] if mark else words[word]
+        return made | words | dict(zip(rest, self._each(rest), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
-        parts = [runs(t) if t else [] for t in texts]
-        new = [*set().union(*parts).difference(self.known)]
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known, new = {}, [*set().union(*parts)]
-        made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        long = {}
-        for run, e in zip(new, made, strict=True):
-            ids = e.ids
-            (self.known if len(run) <= CACHE_CHARS else long)[run] = struct.pack(f"<{len(ids)}I", *ids)
-        if long:
-            return [b"".join([long[r] if r in long else self.known[r] for r in p]) for p in parts]
-        return [b"".join(map(self.known.__getitem__, p)) for p in parts]
+        parts = [pieces(t) if t else [] for t in texts]
+        if len(self.known) > CACHE_ENTRIES:
+            self.old, self.known = self.known, {}
+        found = [[*map(self.known.get, p)] for p in parts]
+        made = self._make(list({r for p, ids in zip(parts, found, strict=True) if None in ids
+                                for r, i in zip(p, ids, strict=True) if i is None}))
+        self.known.update((r, ids) for r, ids in made.items() if len(r) <= CACHE_CHARS)
+        return [b"".join([made[r] if i is None else i for r, i in zip(p, ids, strict=True)] if None in ids else ids)
+                for p, ids in zip(parts, found, strict=True)]
 
 
 @lru_cache(maxsize=1)

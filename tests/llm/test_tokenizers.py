@@ -141,3 +141,14 @@ def test_token_files_query(spark, docs_of, rows, monkeypatch):
     assert [s for _, s, _, _ in got] == [0, *np.cumsum([n for _, _, n, _ in got])[:-1].tolist()]
     assert sorted(((i, n, c) for i, _, n, c in got), key=str) == sorted(((i, len(x), zlib.crc32(x.tobytes())) for i, x in sized), key=str)
     assert token_files.write_and_read(docs.limit(0), path).count() == 0
+
+
+def test_token_files_encoder_as_library_on_every_character():
+    tokenizers = pytest.importorskip("tokenizers")
+    path = P.path("word_bpe_49k.json")
+    library, encoder = tokenizers.Tokenizer.from_file(path), token_files.Encoder(path)
+    every = [f"a{c}b 1{c} X{c}. {c}, Y{c}" for c in map(chr, range(0x30000)) if not "\ud800" <= c <= "\udfff"]
+    for at in range(0, len(every), 10_000):
+        part = every[at : at + 10_000]
+        expected = [e.ids for e in library.encode_batch_fast(part, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(part)] == expected
