@@ -44,7 +44,7 @@ PERCENTILE = 90
 HEAD = struct.Struct("<4sIII")
 BLOCK = struct.Struct("<IBH")
 #: Entries of the table of encoded runs in a Python worker, and the longest run kept.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 1_000_000
 CACHE_CHARS = 48
 #: Marks that are a piece of their own after letters (all but the apostrophe of contractions).
 MARKS = string.punctuation.replace("'", "")
@@ -113,6 +113,7 @@ _LATIN = [chr(i) for i in range(256)]
 _CLASS = bytes(map(_latin_class, _LATIN))
 _LOWER = "".join(map(str.lower, _LATIN)).encode("latin-1")
 _MARKS = [bytes([i]) for i, c in enumerate(_CLASS) if c == ord(".")]
+_ASCII_MARKS = [m for m in _MARKS if m.isascii()]
 
 
 def pieces(text: str) -> list[str]:
@@ -140,7 +141,7 @@ def _words_and_marks(text: str) -> list[str] | None:
         return None
     data = data.translate(_LOWER)
     if b"." in classes:
-        for m in _MARKS:
+        for m in _ASCII_MARKS if data.isascii() else _MARKS:
             if m in data:
                 data = data.replace(m, b" " + m + b" ")
     return data.decode("latin-1").split()
