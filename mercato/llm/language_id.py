@@ -10,8 +10,9 @@ together, one array step for each end position and piece length.
 The probabilities are learned by expectation maximisation: expected piece
 counts over all segmentations (forward and backward) of a bounded sample of
 labelled texts, added up by Spark; only languages x vocabulary sums reach the
-driver.  Runs of ``LONGEST`` characters or more are scored like all others, one
-by one, but not learned from.
+driver.  Runs of ``LONGEST`` characters or more, which are nearly all of a text
+written without spaces, are summed and learned from whole as well: in
+logarithms, so that no sum vanishes, and in groups of bounded size.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,10 @@ POOLED, EVEN = 500.0, 50.0
 UNKNOWN = 1e-6
 WORD_START = "▁"
 CACHE_ENTRIES = 400_000
-#: Longer runs are summed by themselves, with rescaling.
+#: Runs of so many characters are summed in logarithms.
 LONGEST = 40
+#: Sums (positions x languages) of long runs that are held at once; a single run can need more.
+HELD = 1 << 19
 
 
 class Vocabulary:
@@ -109,22 +113,28 @@ class Lattice:
             found.append((start[piece >= 0], piece[piece >= 0], size))
             if not len(start):
                 break
-        self.steps = []
+        self.ends, self.sizes, self.cuts = (np.zeros(0, np.int64) for _ in range(3))
         if found:
             starts, pieces = (np.concatenate([f[k] for f in found]) for k in (0, 1))
             sizes = np.repeat([f[2] for f in found], [len(f[0]) for f in found])
             group = (at[starts] + sizes) << 16 | sizes
             order = np.argsort(group, kind="stable")
-            cuts = np.nonzero(np.diff(group[order], prepend=-1))[0]
-            for g in np.split(order, cuts[1:]) if len(order) else ():
-                end, size = divmod(int(group[g[0]]), 1 << 16)
-                self.steps.append((end, size, word[starts[g]], pieces[g]))
+            self.cuts = np.nonzero(np.diff(group[order], prepend=-1))[0]
+            self.ends, self.sizes = np.divmod(group[order[self.cuts]], 1 << 16)
+            self.words, self.pieces = word[starts[order]], pieces[order]
+
+    def steps(self, backward: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(end, size, words, pieces) by end and size; a word is in a step once, and in all of size 1 up to its length."""
+        many = range(len(self.cuts))
+        for k in reversed(many) if backward else many:
+            at = slice(self.cuts[k], self.cuts[k + 1] if k + 1 < len(self.cuts) else None)
+            yield int(self.ends[k]), int(self.sizes[k]), self.words[at], self.pieces[at]
 
     def forward(self, p: np.ndarray) -> np.ndarray:
         """p: (pieces, languages) -> (words, positions, languages)."""
         a = np.zeros((len(self.lengths), int(self.lengths.max(initial=0)) + 1, p.shape[1]))
         a[:, 0] = 1
-        for j, size, ws, ps in self.steps:
+        for j, size, ws, ps in self.steps():
             a[ws, j] += a[ws, j - size] * p[ps]
         return a
 
@@ -140,37 +150,55 @@ class Lattice:
         b[rows, self.lengths] = 1
         weight = counts / np.maximum(a[rows, self.lengths], 1e-300)
         out = np.zeros(p.shape)
-        for j, size, ws, ps in reversed(self.steps):
+        for j, size, ws, ps in self.steps(backward=True):
             through = p[ps] * b[ws, j]
             np.add.at(out, ps, a[ws, j - size] * through * weight[ws])
             b[ws, j - size] += through
         return out
 
 
+    def log_forward(self, p: np.ndarray) -> np.ndarray:
+        """Logarithms of ``forward``, for words of any length; each language is scaled by itself."""
+        a = np.zeros((len(self.lengths), int(self.lengths.max(initial=0)) + 1, p.shape[1]))
+        for j, steps in groupby(self.steps(), key=lambda s: s[0]):
+            _, _, rows, ps = next(steps)  # the step of size 1: every word that reaches j
+            through = np.zeros((len(a), p.shape[1]))
+            through[rows] = p[ps]
+            for _, size, ws, ps in steps:
+                through[ws] += np.exp(a[ws, j - size] - a[ws, j - 1]) * p[ps]
+            a[rows, j] = a[rows, j - 1] + np.log(through[rows])
+        return a
+
+    def log_total(self, p: np.ndarray) -> np.ndarray:
+        return self.log_forward(p)[np.arange(len(self.lengths)), self.lengths]
+
+    def expected_long(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """``expected`` for words of any length: backward go the probabilities that a cut is at a position."""
+        a = self.log_forward(p)
+        cut, out = np.zeros(a.shape), np.zeros(p.shape)
+        cut[np.arange(len(a)), self.lengths] = 1
+        for j, size, ws, ps in self.steps(backward=True):
+            used = np.exp(a[ws, j - size] - a[ws, j]) * p[ps] * cut[ws, j]
+            np.add.at(out, ps, used * counts[ws])
+            cut[ws, j - size] += used
+        return out
+
+
+def grouped(words: list[str], languages: int) -> Iterator[list[str]]:
+    """Words of similar length together, at most ``HELD`` sums in a group of several."""
+    group: list[str] = []
+    for w in sorted(words, key=lambda w: (len(w), w)):
+        if group and (len(group) + 1) * (len(w) + 2) * languages > HELD:
+            yield group
+            group = []
+        group.append(w)
+    if group:
+        yield group
+
+
 def log_total_long(word: str, vocab: Vocabulary, p: np.ndarray) -> np.ndarray:
-    """Log probability of one word of any length; sums are rescaled at every position."""
-    a = np.zeros((len(word) + 1, p.shape[1]))
-    scale = np.zeros(len(word) + 1)  # log of what position's sums were divided by
-    a[0] = 1
-    for_end: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    done = 0
-    for i, j, piece in vocab.edges(word):
-        while done < i:  # all edges that end at or before i have been seen
-            done += 1
-            _close(done, for_end.pop(done, []), a, scale, p)
-        for_end[j].append((i, piece))
-    for j in range(done + 1, len(word) + 1):
-        _close(j, for_end.pop(j, []), a, scale, p)
-    return np.log(np.maximum(a[-1], 1e-300)) + scale[-1]
-
-
-def _close(j: int, edges: list[tuple[int, int]], a: np.ndarray, scale: np.ndarray, p: np.ndarray) -> None:
-    top = max(scale[i] for i, _ in edges)
-    for i, piece in edges:
-        a[j] += a[i] * p[piece] * np.exp(scale[i] - top)
-    most = a[j].max()
-    a[j] /= most
-    scale[j] = top + np.log(most)
+    """Log probability of one word of any length."""
+    return Lattice([word], vocab).log_total(p)[0]
 
 
 class Scorer:
@@ -192,7 +220,8 @@ class Scorer:
             at = len(self.rows)
             self.table[at : at + len(new)] = Lattice([marked(r) for r in new], self.vocab).total(self.p)
             self.rows.update(zip(new, range(at, at + len(new)), strict=True))
-        long = {r: log_total_long(marked(r), self.vocab, self.p) for r in distinct if len(r) >= LONGEST}
+        long = {r: total for group in grouped([r for r in distinct if len(r) >= LONGEST], self.p.shape[1])
+                for r, total in zip(group, Lattice([marked(r) for r in group], self.vocab).log_total(self.p), strict=True)}
         out = np.zeros((len(texts), self.p.shape[1]))
         for n, part in enumerate(parts):
             for r in (x for x in part if x in long) if long else ():
@@ -209,12 +238,17 @@ def _expectations(path: str, languages: list[str], p: np.ndarray):
         for b in batches:
             counts: dict[str, Counter] = defaultdict(Counter)
             for text, lang in zip(b["text"].to_pylist(), b["lang"].to_pylist(), strict=True):
-                counts[lang].update(r for r in runs(text) if len(r) < LONGEST)
-            words = sorted(set().union(*counts.values()))
+                counts[lang].update(runs(text))
+            words = sorted(w for w in set().union(*counts.values()) if len(w) < LONGEST)
             weight = np.zeros((len(words), len(languages)))
             for lang, of in counts.items():
                 weight[:, place[lang]] = [of[w] for w in words]
             expected = Lattice([marked(w) for w in words], vocab).expected(p, weight)
+            for lang, of in counts.items():
+                k = place[lang]
+                for group in grouped([w for w in of if len(w) >= LONGEST], 1):
+                    times = np.array([[of[w]] for w in group], np.float64)
+                    expected[:, [k]] += Lattice([marked(w) for w in group], vocab).expected_long(p[:, [k]], times)
             piece, lang = np.nonzero(expected)
             yield pa.RecordBatch.from_arrays([pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(expected[piece, lang], pa.float64())],
                                              ["piece", "place", "n"])

@@ -148,6 +148,38 @@ def test_expected_counts_add_up_to_each_words_segmentations():
     assert np.allclose((expected * lengths[:, None]).sum(0), [6.0, 10.0])  # every segmentation covers both characters
 
 
+def test_long_runs_are_summed_and_learned_like_short_ones():
+    vocab = language_id.vocabulary(PIECES)
+    p = np.random.default_rng(1).random((vocab.size + 1, 3)) / vocab.size
+    words, counts = ["▁the", "▁schön", "▁日本x", "▁a🙂b", "▁"], np.arange(15.0).reshape(5, 3)
+    lattice = language_id.Lattice(words, vocab)
+    assert np.allclose(lattice.log_total(p), lattice.total(p)) and np.allclose(lattice.expected_long(p, counts), lattice.expected(p, counts))
+    # half of a run is far likelier in one language, the longer half in the other: no sum may vanish on the way
+    p = np.full((vocab.size + 1, 2), 1e-3)
+    p[vocab.ids["a"]], p[vocab.ids["x"]] = [1e-2, 1e-9], [1e-9, 1e-2]
+    half = language_id.log_total_long("▁" + "a" * 500 + "x" * 2000, vocab, p)
+    assert half[1] > half[0] and np.isfinite(half).all() and half[1] < -1000
+    expected = language_id.Lattice(["▁" + "ab" * 3000], vocab).expected_long(p, np.ones((1, 2)))
+    lengths = np.ones(vocab.size + 1)
+    for k, v in vocab.ids.items():
+        lengths[v] = len(k)
+    assert np.allclose((expected * lengths[:, None]).sum(0), 6001)
+    groups = [*language_id.grouped(["x" * n for n in (3, 100_000, 300_000, 5, 400_000)], 2)]
+    assert [[len(w) for w in g] for g in groups] == [[3, 5], [100_000], [300_000], [400_000]]
+
+
+def test_languages_without_spaces(spark, docs_of):
+    python_tasks(spark)
+    rng = random.Random(4)
+    signs = {"ja": "のにはをたがでて", "zh": "的是不了在人有我"}
+    make = lambda lang: "".join(rng.choices(signs[lang] + "一大中", k=rng.randint(50, 300)))
+    truth = {i: "zh" if i % 3 else "ja" for i in range(240)}  # the prior is for zh
+    docs = renamed(docs_of([(i, make(lang), lang, "s") for i, lang in truth.items()]))
+    got = language_id.identify(docs, PIECES).collect()
+    assert len(got) == 240 and any(r.held_out for r in got)
+    assert all(r.lang_pred == truth[r.doc_id] and r.score > 0.9 for r in got)
+
+
 def test_language(spark, docs_of):
     python_tasks(spark)
     rng = random.Random(2)
