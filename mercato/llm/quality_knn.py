@@ -151,7 +151,8 @@ def sample_terms(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Data
     """(id, text), (id, label) -> columns, weights, label of at most ``size`` labelled texts.
 
     The sample is the labels with the smallest id hashes, so it does not depend
-    on the order of rows; only its ids are joined to the documents.
+    on the order of rows; only its ids are joined to the documents.  Of rows
+    that share an id the text with the smallest hash is taken.
     """
     chosen = (labels.filter("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
               .orderBy(F.xxhash64("id"), "id").limit(size))
@@ -164,12 +165,12 @@ def sample_terms(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Data
                  pa.array([w.astype("<f4").tobytes() for _, w in found], pa.binary())], ["id", "label", "columns", "weights"])
 
     texts = docs.join(F.broadcast(chosen), "id").select("id", F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label"))
-    return texts.mapInArrow(run, "id long, label int, columns binary, weights binary")
+    one = texts.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.mapInArrow(run, "id long, label int, columns binary, weights binary")
 
 
 def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
     rows = sorted(materialize(sample_terms(docs, labels, size), "quality-sample").collect())  # at most ``size`` texts' terms
-    rows = list({r.id: r for r in rows}.values())
     return fit([(np.frombuffer(r.columns, "<i4").astype(np.int64), np.frombuffer(r.weights, "<f4").astype(np.float64)) for r in rows], [r.label for r in rows])
 
 

@@ -116,6 +116,14 @@ def test_vote_is_the_blocked_cosine_vote():
     assert np.allclose(model.vote(queries), expected, atol=1e-5)
 
 
+def test_the_sample_has_one_row_an_id(spark, docs_of):
+    python_tasks(spark)
+    docs = renamed(docs_of([(7, f"hot text {n}", "en", "s") for n in range(200)] + [(i, f"text {i}", "en", "s") for i in range(8, 12)]))
+    labels = spark.createDataFrame([(i, 1) for i in range(7, 12)], "id long, label int")
+    got = [quality_knn.sample_terms(d, labels, 5).collect() for d in (docs.repartition(3), docs.repartition(7))]
+    assert sorted(r.id for r in got[0]) == [7, 8, 9, 10, 11] and sorted(got[0]) == sorted(got[1])
+
+
 # --- language ----------------------------------------------------------------------------------------------
 
 P = pytest.importorskip("public_tokenizers")
