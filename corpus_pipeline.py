@@ -68,7 +68,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents without a word are kept: they have no size to mix.
     """
-    rows = packed(docs).select("doc", "id", "doc.source", word_count(F.col("text")).alias("size"))
+    rows = packed(docs).select("doc", "id", "doc.source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("key2"))
     times = F.when(F.col("size") == 0, F.lit(1)).otherwise((F.col("taken") / F.col("size")).cast("int"))
     return mixing.mix(rows).select(F.explode(F.array_repeat("doc", times)).alias("doc")).select("doc.*")
 

@@ -60,7 +60,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), "source", word_count(F.col("text")).alias("size"))
+        F.col("doc_id").alias("id"), "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("key2"))
     return mixing.mix(docs).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
 
 

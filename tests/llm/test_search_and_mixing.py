@@ -97,3 +97,14 @@ def test_mix_refines_until_one_row_is_left(spark):
     for bits in (4, 12):  # few bits: many levels
         got = mixing.mix(df, bits=bits).groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("x")).collect()
         assert all(abs(r.t - r.x) <= 1.5 for r in got)
+
+
+def test_mix_splits_rows_that_share_an_id(spark):
+    rows = [(7 if i % 2 else None, "a", 10, f"text {i}") for i in range(200)] + [(i, "b", 10, f"text {i}") for i in range(200)]
+    df = spark.createDataFrame(rows + [(1000, "b", 10, "copy")] * 3, "id long, source string, size long, key2 string")
+    got = mixing.mix(df.repartition(3), weights=(3, 1), share=0.4).collect()
+    again = mixing.mix(df.repartition(5), weights=(3, 1), share=0.4).collect()
+    assert sorted((str(r.id), r.source, r.taken) for r in got) == sorted((str(r.id), r.source, r.taken) for r in again)
+    taken = sum(r.taken for r in got if r.source == "a")
+    assert abs(taken - next(r.target for r in got if r.source == "a")) <= 5
+    assert len({r.taken for r in got if r.id == 1000}) == 1
