@@ -32,22 +32,26 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the smallest id stays.
 
-    Rows that share an id are one document, of which one row stays.  Documents
-    without an id or without a word all stay.
+    Rows are told apart by id and text: rows alike in both are one document, of
+    which one row stays; rows that share an id but hold texts that nothing links
+    all stay.  Documents without an id or without a word all stay.
     """
     python_tasks(spark)
-    rows = packed(docs)
-    classes = materialize(jaccard_join.join(rows), "classes")
+    rows = packed(docs).withColumn("node", F.when(F.col("id").isNotNull(), F.xxhash64("id", "text")))
+    classes = materialize(jaccard_join.join(rows.select(F.col("node").alias("id"), "text")), "classes")
     several = classes.groupBy("class_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND class_id IS NOT NULL").select(F.col("class_id").alias("of"))
-    members = materialize(classes.join(several, F.col("class_id") == F.col("of")).select(
-        F.col("doc_id").alias("id"), (F.col("doc_id") == F.col("class_id")).alias("stays")).distinct(), "class-members")
+    members = materialize(classes.join(several, F.col("class_id") == F.col("of")).select(F.col("doc_id").alias("member"), "class_id").distinct(), "class-members")
+    wanted = members.select(F.col("member").alias("node"))
+    first = (in_buckets(rows.select("id", "node"), wanted, ["node"]).join(members, F.col("node") == F.col("member"))
+             .groupBy("class_id").agg(F.min(F.struct("id", "node")).alias("first")).select(F.col("first.node").alias("member"), F.lit(True).alias("stays")))
+    judged = materialize(members.select("member").join(first, "member", "left"), "judged-members")
     wordless = word_count(F.col("text")) == 0
-    alone = in_buckets(rows, members, ["id"], "left_anti").select("doc")
-    checked = in_buckets(rows, members, ["id"]).join(members.withColumnRenamed("id", "member"), F.col("id") == F.col("member"), "left")
+    alone = in_buckets(rows, wanted, ["node"], "left_anti").select("doc")
+    checked = in_buckets(rows, wanted, ["node"]).join(judged, F.col("node") == F.col("member"), "left")
     untouched = checked.filter(F.col("member").isNull() | wordless).select("doc")
-    first = (checked.filter(F.col("stays") & ~wordless).groupBy("id")
-             .agg(F.min_by("doc", F.xxhash64("text")).alias("doc")).select("doc"))
-    return alone.union(untouched).union(first).select("doc.*")
+    kept = (checked.filter(F.col("stays") & ~wordless).groupBy("node")
+            .agg(F.min_by("doc", F.xxhash64("text")).alias("doc")).select("doc"))
+    return alone.union(untouched).union(kept).select("doc.*")
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -82,6 +82,16 @@ def test_near_duplicate_stage_keeps_one_of_each_class(spark, corpus):
     assert all(n == 1 for i, n in got.items() if i is not None)
 
 
+def test_near_duplicate_stage_keeps_unrelated_texts_of_one_id(spark, corpus, docs_of, prose):
+    _, path = corpus
+    a, b, c = (prose(f"shared id {k}", 80) for k in "abc")
+    near = a.split()
+    near[40] = "changed"
+    rows = [(5, a, "en", "s"), (5, b, "en", "s"), (5, b, "en", "s"), (3, " ".join(near), "en", "s"), (9, c, "en", "s"), (5, "", "en", "s"), (None, a, "en", "s")]
+    got = C.near_duplicates(spark, docs_of(rows).repartition(3), path).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(5, b), (3, " ".join(near)), (9, c), (5, ""), (0, a)])
+
+
 def test_repeat_stage_cuts_texts(spark, corpus):
     docs, path = corpus
     rows = triples(docs)
