@@ -88,3 +88,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND 2 * (n_words - n_removed_words) >= n_words AS kept, n_removed_words
 FROM failed
 """
+
+ORACLES["op12_hard_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_sum([a.q[i] * b.q[i] FOR i IN range(1, len(a.q) + 1)]) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS nth FROM scored WHERE same)
+  WHERE nth <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, s.id AS negative_id, positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+  FROM positives JOIN scored s USING (anchor_id)
+  WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+"""

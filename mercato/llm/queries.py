@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import bitsliced, byte_bpe, jaccard_join, language_id, mixing, quality_knn, quality_rules, suffix_dedup, token_counts, token_files
+from mercato.llm import (bitsliced, byte_bpe, hard_negatives, jaccard_join, language_id, mixing, quality_knn, quality_rules, suffix_dedup,
+                         token_counts, token_files, word_bpe)
 from mercato.llm.common import python_tasks, table, word_count
 from mercato.llm.oracle import ORACLES
 
@@ -70,9 +71,23 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(docs).select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    python_tasks(spark)
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    return word_bpe.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    python_tasks(spark)
+    label = F.col("label").cast("long")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives.mine(vectors, every=100)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_neighbours, op2_line_frequency, op3_bit_sliced_top_k, op4_byte_bpe, op5_jaccard_join, op6_token_files,
-    op7_token_counts, op8_language, op9_mix_sources, op10_suffix_dedup)}
+    op7_token_counts, op8_language, op9_mix_sources, op10_suffix_dedup, op11_speculative_bpe, op12_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -39,3 +39,53 @@ class Recent(dict):
                 self.clear()
             self[run] = out
         return out
+
+
+class Held:
+    """run -> bytes, bounded by the bytes that keys, values and their entries take.
+
+    When half of them are used, the entries become the older half, from which
+    runs that are met again are taken over, and the half before is let go.
+    """
+
+    ENTRY = 190  # bytes of an entry beside its characters: two objects' heads, and a place in a dict
+    LONGEST = 200  # characters of a run that is kept
+
+    def __init__(self, limit: int) -> None:
+        self.limit, self.used = limit, 0
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def find(self, runs: set[str]) -> tuple[dict[str, bytes], list[str]]:
+        """What is held of these runs, and the others."""
+        known, again, missing, new, old = {}, {}, [], self.new.get, self.old.get
+        for r in runs:
+            if (v := new(r)) is not None:
+                known[r] = v
+            elif (v := old(r)) is not None:
+                known[r] = again[r] = v
+            else:
+                missing.append(r)
+        self.add(again)
+        return known, missing
+
+    def add(self, made: dict[str, bytes]) -> None:
+        for r, v in made.items():
+            if len(r) > self.LONGEST:
+                continue
+            if self.used >= self.limit // 2:
+                self.old, self.new, self.used = self.new, {}, 0
+            self.new[r] = v
+            self.used += self.ENTRY + len(r) * (1 if r.isascii() else 2) + len(v)
+
+
+_tables: dict = {}
+
+
+def worker_tables(key: tuple, make: Callable):
+    """The tables that ``make`` gives, one set a Python worker: workers serve
+    one operator after another, and what an earlier one held is let go."""
+    if key not in _tables:
+        _tables.clear()
+        _tables[key] = make()
+    return _tables[key]
