@@ -112,3 +112,84 @@ ranked AS (
   WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
 """
+
+
+def _after(node: str, cost: int | str, edit: str) -> str:
+    """A node's least (cost, audit) as one text that sorts by both, and an edit more."""
+    return f"printf('%012d', CAST({node}[1:12] AS BIGINT) + {cost}) || {node}[13:] || '{edit}'"
+
+
+_OPENED = f"least(u, {_after('e', 2, 'I')}, {_after('s', 2, 'I')}, {_after('p', 2, 'I')})"
+_NONE = "'999999999999'"
+
+# The lattice of edits by dynamic programming, one row a step; e, s, u, p are its places (empty, after s, after u, after u a).
+ORACLES["op13_conversation_repair"] = rf"""
+WITH RECURSIVE bits AS (
+  SELECT CAST(i AS BIGINT) AS i, CAST(i AS BIGINT) AS v, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations),
+dealt AS (
+  SELECT g.*, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(c) AS BIGINT) FOR c IN string_split(key, '')]),
+                              lambda a, b: xor(a // 256, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS fate
+  FROM given g, crc),
+hit AS (
+  SELECT conv_id, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE fate WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM dealt WHERE fate <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+         left(role, 1) AS i, right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last
+  FROM hit),
+faults AS (
+  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate'
+                 WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(i) OVER (PARTITION BY conv_id ORDER BY n) AS before
+  FROM placed),
+stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, max(n) AS n,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id),
+lattice AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS n, '000000000000' AS e, {_NONE} AS s, {_after("'000000000000'", 2, 'I')} AS u, {_after("'000000000000'", 4, 'II')} AS p
+  FROM stats
+  UNION ALL
+  SELECT conv_id, n, e, s, {_OPENED}, least(p, {_after('(' + _OPENED + ')', 2, 'I')})
+  FROM (
+    SELECT l.conv_id, f.n,
+           {_after('l.e', 3, 'D')} AS e,
+           least({_after('l.s', 3, 'D')}, CASE WHEN f.i = 's' AND f.ok THEN {_after('l.e', 'f.extra', 'K')} ELSE {_NONE} END) AS s,
+           least({_after('l.u', 3, 'D')},
+                 CASE WHEN f.ok THEN least({', '.join(_after(x, '2 + f.extra', 'R') for x in ('l.e', 'l.s', 'l.p'))}) ELSE {_NONE} END,
+                 CASE WHEN f.ok AND f.i = 'u' THEN least({', '.join(_after(x, 'f.extra', 'K') for x in ('l.e', 'l.s', 'l.p'))}) ELSE {_NONE} END) AS u,
+           least({_after('l.p', 3, 'D')}, CASE WHEN f.ok THEN {_after('l.u', '2 + f.extra', 'R')} ELSE {_NONE} END,
+                 CASE WHEN f.ok AND f.i = 'a' THEN {_after('l.u', 'f.extra', 'K')} ELSE {_NONE} END) AS p
+    FROM lattice l JOIN (SELECT conv_id, n, i, fault NOT IN ('blank', 'duplicate') AS ok, CASE fault WHEN 'truncated' THEN 1 ELSE 0 END AS extra FROM faults) f
+      ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.n = l.n + 1)),
+solved AS (
+  SELECT st.*, least(l.e, l.p)[13:] AS audit, CAST(least(l.e, l.p)[1:12] AS BIGINT) AS cost
+  FROM stats st JOIN lattice l ON l.conv_id IS NOT DISTINCT FROM st.conv_id AND l.n = st.n),
+edits AS (
+  SELECT conv_id, pos, audit[pos] AS edit, length(replace(audit[1:pos], 'I', '')) AS n, length(replace(audit[1:pos], 'D', '')) AS line
+  FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS pos FROM solved)),
+written AS (
+  SELECT d.conv_id, pos, edit, f.role, f.text, line,
+         max(CASE WHEN line = 1 AND edit = 'K' AND f.i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY d.conv_id) AS system
+  FROM edits d LEFT JOIN faults f ON d.edit <> 'I' AND f.conv_id IS NOT DISTINCT FROM d.conv_id AND f.n = d.n),
+texts AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (line - system) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                             || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY pos) AS repaired
+  FROM written WHERE edit <> 'D' GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN solved v ON o.conv_id IS NOT DISTINCT FROM v.conv_id
+LEFT JOIN texts x ON o.conv_id IS NOT DISTINCT FROM x.conv_id
+"""

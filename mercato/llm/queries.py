@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import (bitsliced, byte_bpe, hard_negatives, jaccard_join, language_id, mixing, quality_knn, quality_rules, suffix_dedup,
-                         token_counts, token_files, word_bpe)
+from mercato.llm import (bitsliced, byte_bpe, conversation_repair, hard_negatives, jaccard_join, language_id, mixing, quality_knn, quality_rules,
+                         suffix_dedup, token_counts, token_files, word_bpe)
 from mercato.llm.common import python_tasks, table, word_count
 from mercato.llm.oracle import ORACLES
 
@@ -85,9 +85,15 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors, every=100)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    python_tasks(spark)
+    return conversation_repair.repair(table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "conv"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_neighbours, op2_line_frequency, op3_bit_sliced_top_k, op4_byte_bpe, op5_jaccard_join, op6_token_files,
-    op7_token_counts, op8_language, op9_mix_sources, op10_suffix_dedup, op11_speculative_bpe, op12_hard_negatives)}
+    op7_token_counts, op8_language, op9_mix_sources, op10_suffix_dedup, op11_speculative_bpe, op12_hard_negatives,
+    op13_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -73,11 +73,14 @@ class Merges:
         self.result: list[int] = []
         for r, (a, b) in enumerate(merges):
             x, y, t = vocab[a], vocab[b], vocab[a + b]
-            if self.made[t] >= 0 or max(self.made[x], self.made[y]) >= r:
-                raise ValueError(f"merge {r} makes a token twice, or needs one that is made later")
+            if self.made[t] >= 0:
+                raise ValueError(f"merge {r} makes a token that is made already")
             self.made[t], self.left[t], self.right[t] = r, x, y
             self.rank[x * self.size + y] = r
             self.result.append(t)
+        made = np.nonzero(self.made >= 0)[0]
+        if (np.maximum(self.made[self.left[made]], self.made[self.right[made]]) >= self.made[made]).any():
+            raise ValueError("a merge needs a token that is made later")
         self.keys = np.array(sorted(self.rank), np.int64)
         self.key_ranks = np.array([self.rank[k] for k in self.keys.tolist()], np.int64)
 
