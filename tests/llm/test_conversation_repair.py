@@ -101,7 +101,7 @@ def test_prices_are_least_costs_and_no_arc_undercuts_them():
 
 def test_very_long_conversation():
     rng = random.Random(5)
-    rows = some_rows(rng, 9_000)
+    rows = some_rows(rng, 5_000)
     cost, audit = R.solve(classes_of(rows))
     assert len(audit) - audit.count("I") == len(rows)
     assert (cost, audit) == searched(rows)[:2]
