@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from mercato.llm.runs import Held, runs, worker_tables
 
 #: Bytes of the tables of encoded runs and of encoded pieces in a Python worker.
-RUN_BYTES, PIECE_BYTES = 160_000_000, 60_000_000
+RUN_BYTES, PIECE_BYTES = 160_000_000, 120_000_000
 
 #: The tokenizer's pieces (fixed value).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -67,6 +67,10 @@ class Merges:
         self.ids, self.end = vocab, end
         self.size = max(vocab.values()) + 1
         self.longest = max(len(t.removesuffix(end)) for t in vocab)
+        self.reach: dict[str, int] = {}  # of two letters, the longest token that begins with them and ends no piece
+        for t in vocab:
+            if len(t) > 1 and not t.endswith(end):
+                self.reach[t[:2]] = max(self.reach.get(t[:2], 1), len(t))
         self.made = np.full(self.size, -1, np.int64)  # rank of the merge that makes a token; -1: a single symbol
         self.left, self.right = np.zeros(self.size, np.int64), np.zeros(self.size, np.int64)
         self.rank: dict[int, int] = {}  # of a pair, by left * size + right
@@ -119,13 +123,13 @@ class Merges:
 
     def propose(self, piece: str) -> list[int]:
         """Greedy longest match."""
-        ids, get, i, n = [], self.ids.get, 0, len(piece)
+        ids, get, reach, i, n = [], self.ids.get, self.reach.get, 0, len(piece)
         while True:
             rest = n - i
             if rest <= self.longest and (t := get(piece[i:] + self.end)) is not None:
                 ids.append(t)
                 return ids
-            for size in range(min(self.longest, rest - 1), 0, -1):
+            for size in range(min(reach(piece[i : i + 2], 1), rest - 1), 0, -1):
                 if (t := get(piece[i : i + size])) is not None:
                     break
             else:
@@ -138,19 +142,19 @@ class Merges:
         tokens = [self.ids[c] for c in piece[:-1]] + [self.ids[piece[-1] + self.end]]
         n, size, get = len(tokens), self.size, self.rank.get
         after, before = list(range(1, n + 1)), list(range(-1, n))
-        heap = [(r, i) for i in range(n - 1) if (r := get(tokens[i] * size + tokens[i + 1])) is not None]
+        heap = [r * n + i for i in range(n - 1) if (r := get(tokens[i] * size + tokens[i + 1])) is not None]
         heapify(heap)
         while heap:
-            r, i = heappop(heap)
+            r, i = divmod(heappop(heap), n)
             if (j := after[i]) >= n or tokens[i] < 0 or get(tokens[i] * size + tokens[j]) != r:
                 continue  # one of the two has been merged meanwhile
             tokens[i], tokens[j] = self.result[r], -1
             after[i] = k = after[j]
             before[k] = i
             if k < n and (r := get(tokens[i] * size + tokens[k])) is not None:
-                heappush(heap, (r, i))
+                heappush(heap, r * n + i)
             if (h := before[i]) >= 0 and (r := get(tokens[h] * size + tokens[i])) is not None:
-                heappush(heap, (r, h))
+                heappush(heap, r * n + h)
         return [t for t in tokens if t >= 0]
 
     def encode(self, pieces: list[str]) -> list[list[int]]:
