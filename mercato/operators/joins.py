@@ -4,11 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.operators.materialize import materialize
 
+
+def require_unique(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """The rows of ``df``; the job fails when a key stands on two of them.
+
+    The rows of a key are counted over its window and the filter stops the job
+    where there is more than one, so the test rides on the plan that uses the
+    rows.  After a grouping by the same keys, or before a sort-merge join on
+    them, the window needs no shuffle of its own.
+    """
+    counted = df.withColumn("_rows_of_key", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    message = F.concat(F.lit(f"{name}: repeated key ("), shown, F.lit(")"))
+    return counted.where(F.assert_true(F.col("_rows_of_key") == 1, message).isNull()).drop("_rows_of_key")
+
+
+def declared_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], name: str, how: str = "left") -> DataFrame:
+    """A many-to-one join that can't multiply rows: a repeated key on the
+    right fails the job.  Rows without a key match nothing and are left out first."""
+    keys = [on] if isinstance(on, str) else list(on)
+    keyed = right.dropna(subset=keys)
+    return left.join(require_unique(keyed, keys, name), on=keys, how=how)
+
+
 def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
     """Join to a lookup table.  No hint: Spark broadcasts the lookup when
     its size in bytes is under ``spark.sql.autoBroadcastJoinThreshold``, and

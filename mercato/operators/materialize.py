@@ -11,14 +11,15 @@ not from the raw sources.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
 from mercato.session import scratch_path
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", partition_by: Sequence[str] = ()) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return (spark.read.schema(df.schema) if partition_by else spark.read).parquet(path)

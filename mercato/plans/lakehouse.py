@@ -1,24 +1,26 @@
 """The ordered build: bronze -> silver -> gold, lazily, one object per run.
 
 ``Lakehouse`` memoises each table's DataFrame so a query that needs the
-catalog twice plans one lineage.  ``publish`` writes every table to a staging
-place (silver first, re-read for gold) with the expectation counters observed
-on the write itself; only after every fail-set rule has held are the staged
-tables put in the place of the published ones.
+catalog twice plans one lineage.  ``publish`` writes every table into a new
+version (silver first, re-read for gold) with the expectation counters
+observed on the write itself, and names the version as the current one only
+after every fail-set rule has held (``snapshots``).
 """
 
 from __future__ import annotations
 
-import os
 import uuid
-from functools import cached_property
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from mercato import params as P
 from mercato.operators import expect
+from mercato.operators.joins import require_unique
 from mercato.operators.materialize import materialize
-from mercato.plans import marts, silver
+from mercato.plans import marts, silver, snapshots
 from mercato.session import scratch_path
 from mercato.sources import testdata
 
@@ -65,17 +67,18 @@ class Lakehouse:
     # Dimensions that whole fact tables are joined to are written first: a
     # skewed join partition is split only if its other side is a plain scan
     # behind its shuffle, and both dimensions end in an aggregate.
+    # The write fails on a repeated key, so no star join can multiply sales.
     @cached_property
     def catalog_written(self) -> DataFrame:
-        return materialize(self.catalog, "catalog")
+        return materialize(require_unique(self.catalog, ["id_produto"], "vendas -> produtos"), "catalog")
 
     @cached_property
     def customers_written(self) -> DataFrame:
-        return materialize(self.customers, "customers")
+        return materialize(require_unique(self.customers, ["id_cliente"], "vendas -> clientes"), "customers")
 
     @cached_property
     def segments_written(self) -> DataFrame:
-        return materialize(self.customer_revenue, "customer-revenue")
+        return materialize(require_unique(self.customer_revenue, ["id_cliente"], "vendas -> segmentos"), "customer-revenue")
 
     @cached_property
     def sales_base(self) -> DataFrame:
@@ -140,98 +143,84 @@ class Lakehouse:
     GOLD = ["sales_by_time", "sales_by_product", "customer_segments", "sales_detail",
             "price_position", "quality_scorecard"]
 
+    KEYS = {"customers": ["id_cliente"], "catalog": ["id_produto"]}
+
     # tables written bucketed by the customer key in catalog mode: the wide
     # sales table's customer join then reads both sides co-located.  That join
     # cannot split a hot customer; publish without buckets if there is one.
     BUCKETED = {"sales": "id_cliente", "customer_segments": "id_cliente"}
 
-    def publish(self, root: str | None = None, enforce: bool = True,
-                database: str | None = None, buckets: int | None = None) -> dict:
-        """Write silver (with expectations) then gold, then put them in place.
-
-        Either as Parquet folders under ``root`` or as tables of ``database``;
-        with ``buckets`` the silver sales and the customer segments are
-        bucketed and sorted by ``id_cliente`` into the same number of buckets.
-
-        Everything is written to staging folders (tables) beside the published
-        ones.  With ``enforce`` a violated fail-set rule raises before anything
-        published has been touched; staging is removed.  Silver is re-read from
-        staging before gold is built, which cuts the lineage.
+    def publish(self, root: str | None = None, enforce: bool = True, database: str | None = None,
+                buckets: int | None = None, quarantine: bool = False, keep: int = 2) -> dict:
+        """Write silver (with expectations) and gold as a new version, then make it the current one.
+
+        Either under the folder ``root`` or in the catalog's ``database``; with
+        ``buckets`` the silver sales and the customer segments are bucketed and
+        sorted by ``id_cliente`` into the same number of buckets.
+
+        Nothing of the versions before is touched, and readers see the new one
+        only when all of it is written and has passed (``snapshots``).  A
+        violated fail-set rule raises, unless ``enforce`` is off; with
+        ``quarantine`` the rows that violate one are set aside instead, and
+        silver and gold hold the others.  The last ``keep`` versions stay.
+        Silver is re-read before gold is built, which cuts the lineage.
+        Returns the counters of every silver table.
         """
-        run = uuid.uuid4().hex[:12]
-        staged: list[tuple[str, str]] = []   # (staging, final) folders or tables
-
-        def write(df: DataFrame, layer: str, name: str, attr: str) -> DataFrame:
-            if database is None:
-                final, staging = os.path.join(root, layer, name), os.path.join(root, f"_staging-{run}", layer, name)
-                staged.append((staging, final))
-                df.write.parquet(staging)
-                return self.spark.read.parquet(staging)
-            final, staging = f"{database}.{layer}_{name}", f"{database}.{layer}_{name}_staging_{run}"
-            staged.append((staging, final))
-            w = df.write.format("parquet")
-            if buckets and attr in self.BUCKETED:
-                key = self.BUCKETED[attr]
-                w = w.bucketBy(buckets, key).sortBy(key)
-            w.saveAsTable(staging)
-            return self.spark.table(staging)
-
-        if database is not None:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        store = self._store(root, database)
+        version = store.begin(buckets)
         try:
-            metrics = self._write_all(write, enforce)
-            for staging, final in staged:
-                self._replace(staging, final, database is not None)
-            return metrics
+            metrics = self._write_all(version, enforce, quarantine)
+            version.commit(metrics)
         finally:
-            self._discard(root, run, staged, database is not None)
-
-    def _write_all(self, write, enforce: bool) -> dict:
-        metrics, written = {}, {}
-        for table, attr, rules in self.SILVER:
-            df, obs = expect.observe_rules(getattr(self, attr), rules, f"silver_{table}")
-            written[attr] = write(df, "silver", table, attr)
-            metrics[table] = expect.check_observed(obs, rules) if enforce else obs.get
-            if attr == "catalog":   # later silver tables join the written catalog
-                self.__dict__.setdefault("catalog_written", written[attr])
-        staged = self._with(written)
-        # gold reads the written silver sales; dimensions are joined from their files
-        staged.__dict__.update(sales_with_product=written["sales"], sales_base=written["sales"],
-                               catalog_written=written["catalog"], customers_written=written["customers"])
-        for name in self.GOLD:
-            df = getattr(staged, name)
+            if not version.committed:
+                version.discard()
+        store.expire(keep)
+        return metrics
+
+    def _store(self, root: str | None, database: str | None) -> snapshots.FolderStore | snapshots.CatalogStore:
+        if (root is None) == (database is None):
+            raise ValueError("name a folder or a database")
+        return snapshots.FolderStore(self.spark, root) if database is None else snapshots.CatalogStore(self.spark, database)
+
+    def _write_all(self, version, enforce: bool, quarantine: bool) -> dict:
+        """Tables that need nothing of each other are written at the same time."""
+        metrics, build = {}, self._with({})
+
+        def write_silver(table: str, attr: str, rules) -> DataFrame:
+            df = getattr(build, attr)
+            if attr in self.KEYS:   # what facts are joined to has one row a key
+                df = require_unique(df, self.KEYS[attr], f"silver.{table}")
+            df, obs = expect.routed(df, rules, f"silver_{table}", quarantine)
+            written = version.write(df, f"silver.{table}", self.BUCKETED.get(attr))
+            metrics[table] = expect.check_observed(obs, rules, quarantine) if enforce or quarantine else obs.get
+            return written
+
+        def write_gold(name: str) -> DataFrame:
+            df = getattr(build, name)
             if name == "sales_detail":
                 # Clustered by date, min/max skipping on `data`; the sale id
                 # splits a day over as many tasks as its volume asks for
                 df = df.repartitionByRange("data", "id_venda").sortWithinPartitions("data")
-            staged.__dict__[name] = write(df, "gold", name, name)
-            if name == "customer_segments":   # the wide table joins the written segments
-                staged.__dict__["customer_revenue"] = staged.__dict__["segments_written"] = staged.__dict__[name]
+            return version.write(df, f"gold.{name}", self.BUCKETED.get(name))
+
+        dimensions, facts = self.SILVER[:2], self.SILVER[2:]
+        for tables in (dimensions, facts):   # facts join the written catalog
+            done = self._together([partial(write_silver, *t) for t in tables])
+            build.__dict__.update({attr: df for (_, attr, _), df in zip(tables, done, strict=True)})
+            build.__dict__.update(catalog_written=build.catalog, customers_written=build.customers)
+        # gold reads the written silver sales; dimensions are joined from their files
+        build.__dict__.update(sales_with_product=build.sales, sales_base=build.sales)
+        first = [g for g in self.GOLD if g != "sales_detail"]
+        build.__dict__.update(zip(first, self._together([partial(write_gold, g) for g in first]), strict=True))
+        # the wide table joins the written segments
+        build.__dict__["customer_revenue"] = build.__dict__["segments_written"] = build.customer_segments
+        write_gold("sales_detail")
         return metrics
 
-    def _folder(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _replace(self, staging: str, final: str, tables: bool) -> None:
-        if tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {final}")
-            self.spark.sql(f"ALTER TABLE {staging} RENAME TO {final}")
-            return
-        fs, source = self._folder(staging)
-        _, target = self._folder(final)
-        fs.delete(target, True)
-        fs.mkdirs(target.getParent())
-        if not fs.rename(source, target):
-            raise OSError(f"could not move {staging} to {final}")
-
-    def _discard(self, root: str | None, run: str, staged: list[tuple[str, str]], tables: bool) -> None:
-        if not tables:
-            fs, path = self._folder(os.path.join(root, f"_staging-{run}"))
-            fs.delete(path, True)
-            return
-        for staging, _ in staged:
-            self.spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    def _together(self, tasks: list) -> list:
+        """Results of driver threads that each run their own Spark jobs."""
+        with ThreadPoolExecutor(len(tasks)) as pool:
+            return [f.result() for f in [pool.submit(inheritable_thread_target(self.spark)(t)) for t in tasks]]
 
     def _with(self, tables: dict) -> "Lakehouse":
         out = Lakehouse(self.spark, self.bronze, self._states, self.params)
@@ -239,15 +228,20 @@ class Lakehouse:
             out.__dict__[attr] = df
         return out
 
-    def opened(self, root: str) -> "Lakehouse":
-        """A lakehouse whose silver and gold tables are the files under
-        ``root`` (as written by ``publish``): checks and questions then scan
-        the published tables instead of recomputing the pipeline."""
-        read = self.spark.read.parquet
-        tables = {attr: read(os.path.join(root, "silver", table)) for table, attr, _ in self.SILVER}
+    def opened(self, root: str | None = None, database: str | None = None, version: int | str | None = None) -> "Lakehouse":
+        """A lakehouse whose silver and gold tables are those of one published
+        version (the current one by default), whatever is published meanwhile:
+        checks and questions scan them instead of recomputing the pipeline."""
+        store = self._store(root, database)
+        manifest = store.manifest(version)
+        if manifest is None:
+            raise FileNotFoundError(f"nothing is published under {root or database}")
+        tables = {attr: store.table(manifest, f"silver.{table}") for table, attr, _ in self.SILVER}
         tables.update(sales_with_product=tables["sales"], sales_base=tables["sales"],
                       catalog_written=tables["catalog"], customers_written=tables["customers"])
-        tables.update({name: read(os.path.join(root, "gold", name)) for name in self.GOLD})
+        tables.update({name: store.table(manifest, f"gold.{name}") for name in self.GOLD})
+        tables.update(quarantined={attr: store.table(manifest, f"silver.{table}", expect.QUARANTINE) for table, attr, _ in self.SILVER},
+                      published_version=manifest["version"])
         return self._with(tables)
 
     def materialized(self, enforce: bool = False) -> "Lakehouse":
@@ -257,13 +251,14 @@ class Lakehouse:
         return self.opened(root)
 
 
-_PUBLISHED: dict[tuple[str, str], Lakehouse] = {}
+_PUBLISHED: dict[tuple[str, str], tuple[str, Lakehouse]] = {}
 
 
-def published_testdata(spark: SparkSession, sf_dir: str) -> Lakehouse:
+def published_testdata(spark: SparkSession, sf_dir: str, anew: bool = False) -> Lakehouse:
     """The lakehouse of a folder of test tables, published once per
-    application and opened for every check; its files go when the driver ends."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _PUBLISHED:
-        _PUBLISHED[key] = Lakehouse.from_testdata(spark, sf_dir).materialized()
-    return _PUBLISHED[key]
+    application and opened for every check; its files go when the driver ends.
+    It is published again when a file of the folder has changed, or ``anew``."""
+    key, files = (spark.sparkContext.applicationId, sf_dir), testdata.fingerprint(spark, sf_dir)
+    if anew or key not in _PUBLISHED or _PUBLISHED[key][0] != files:
+        _PUBLISHED[key] = files, Lakehouse.from_testdata(spark, sf_dir).materialized()
+    return _PUBLISHED[key][1]

@@ -72,6 +72,105 @@ def declared_table_load(spark, sf_dir):
     return spark.createDataFrame(sorted(counts.items()), "tabela string, linhas bigint")
 
 
+@query
+def csv_malformed_lines(spark, sf_dir):
+    """The sales source as CSV text in which some lines lack a field,
+    some have one more and some hold a word for a number, read leniently: every
+    sale with what was wrong with its line, from the loaded rows and the rejects."""
+    import uuid
+
+    from mercato.schemas import BRONZE
+    from mercato.session import scratch_path
+    from mercato.sources import ingest
+    schema = BRONZE["vendas"]
+    names = [f.name for f in schema.fields]
+    order = F.split("id_venda", "_")[1].cast("bigint")
+    text = {n: F.coalesce(F.col(n).cast("string"), F.lit("")) for n in names}
+    text["quantidade"] = F.when(order % 83 == 2, "many").otherwise(text["quantidade"])
+    whole = F.concat_ws(",", *text.values())
+    line = (F.when(order % 97 == 0, F.concat_ws(",", *list(text.values())[:-1]))
+            .when(order % 89 == 1, F.concat(whole, F.lit(",more"))).otherwise(whole))
+    path = scratch_path(spark, f"csv-ragged-{uuid.uuid4().hex}")
+    # one column whose name is the header line: each file gets the header and the lines as they are
+    (testdata.bronze_sales(spark, sf_dir).select(line.alias(",".join(names)))
+     .write.mode("overwrite").option("header", "true").option("sep", "\u0001").csv(path))
+    good, rejects = ingest.typed(ingest.read_csv_text(spark, path, names, strict=False), schema, strict=False)
+    broken = F.col("rejected_line").isNotNull()
+    return good.select("id_venda", F.lit("nenhum").alias("problema")).unionByName(rejects.select(
+        F.when(broken, F.split("rejected_line", ",")[0]).otherwise(F.col("id_venda")).alias("id_venda"),
+        F.when(broken, F.when(F.size(F.split("rejected_line", ",")) > len(names), "campos a mais").otherwise("campos a menos"))
+        .otherwise(F.concat_ws(" ", "rejected_columns")).alias("problema")))
+
+
+@query
+def snapshot_history(spark, sf_dir):
+    """The lake published twice by one object; rows of every table in
+    each version, read from that version while both are kept."""
+    import uuid
+
+    from mercato.session import scratch_path
+    lh, root = lake(spark, sf_dir), scratch_path(spark, f"lake-{uuid.uuid4().hex}")
+    for _ in range(2):
+        lh.publish(root, enforce=False, keep=2)
+    parts = []
+    for version in (1, 2):
+        opened = lh.opened(root, version=version)
+        parts += [getattr(opened, attr).agg(F.lit(version).alias("versao"), F.lit(f"{layer}.{name}").alias("tabela"), F.count(F.lit(1)).alias("linhas"))
+                  for layer, name, attr in [*(("silver", t, a) for t, a, _ in lh.SILVER), *(("gold", g, g) for g in lh.GOLD)]]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query
+def routed_rows(spark, sf_dir):
+    """Silver tables routed by their rules in one write each; rows, and
+    rows that break each rule, among the good ones and among those set aside."""
+    from mercato.operators import expect
+    from mercato.operators.materialize import materialize
+    lh, out = lake(spark, sf_dir), None
+    for table, attr, rules in lh.SILVER:
+        df, _ = expect.routed(getattr(lh, attr), rules, f"routed_{table}", set_aside=True)
+        back = materialize(df.select(expect.MASK, expect.ROUTE), f"routed-{table}", partition_by=[expect.ROUTE])
+        figures = [("linhas", F.count(F.lit(1))), *((r.name, F.count_if(expect.breaks(rules, [r]))) for r in rules)]
+        one = back.groupBy(expect.ROUTE).agg(*[c.alias(f"n{i}") for i, (_, c) in enumerate(figures)]).select(
+            F.lit(f"silver.{table}").alias("tabela"), expect.ROUTE,
+            F.stack(F.lit(len(figures)), *[x for i, (n, _) in enumerate(figures) for x in (F.lit(n), F.col(f"n{i}"))]).alias("regra", "linhas"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def enforced_relationships(spark, sf_dir):
+    """Every sale joined to its customer and its product by declared
+    many-to-one joins, which fail on a repeated key; sales and revenue by region and category."""
+    from mercato.operators.joins import declared_join
+    lh = lake(spark, sf_dir)
+    s = lh.sales_base.select("id_cliente", "id_produto", "receita")
+    s = declared_join(s, lh.customers.select("id_cliente", "regiao"), "id_cliente", "vendas -> clientes")
+    s = declared_join(s, lh.catalog.select("id_produto", "categoria"), "id_produto", "vendas -> produtos")
+    return s.groupBy("regiao", "categoria").agg(F.count(F.lit(1)).alias("vendas"), F.sum("receita").cast("decimal(20,2)").alias("receita"))
+
+
+@query
+def distinct_rollups(spark, sf_dir):
+    """Distinct customers by day, week and channel, estimated from the
+    sketches of the day x hour x channel cells alone, beside the exact count."""
+    from mercato.operators import sketches
+    from mercato.operators.materialize import materialize
+    sales = lake(spark, sf_dir).sales_base.select("data", "hora", "canal_venda", "id_cliente")
+    cells = materialize(sketches.sketch_cells(sales, ["data", "hora", "canal_venda"], "id_cliente"), "distinct-cells")
+    levels = {"dia": F.col("data").cast("string"), "semana": F.date_trunc("week", "data").cast("date").cast("string"), "canal": F.col("canal_venda")}
+    keyed = lambda df: df.withColumn("k", F.explode(F.array(*[F.struct(F.lit(n).alias("nivel"), c.alias("chave")) for n, c in levels.items()])))
+    rolled = sketches.merge_cells(keyed(cells).select("k.*", "sketch"), ["nivel", "chave"]).select(
+        "nivel", "chave", sketches.estimate().alias("estimados"))
+    exact = keyed(sales).groupBy("k").agg(F.count_distinct("id_cliente").alias("clientes")).select("k.*", "clientes")
+    both = exact.join(rolled, exact["nivel"].eqNullSafe(rolled["nivel"]) & exact["chave"].eqNullSafe(rolled["chave"]), "left")
+    return both.select(exact["nivel"], exact["chave"], "clientes",
+                       F.coalesce(F.abs(F.col("estimados") - F.col("clientes")) <= 0.05 * F.col("clientes"), F.lit(False)).alias("perto"))
+
+
 @query
 def published_tables(spark, sf_dir):
     """Rows of every silver and gold table, counted in the published files."""

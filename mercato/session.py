@@ -17,6 +17,8 @@ PLAN_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # routed writes keep their two destinations' files open instead of sorting the table by destination
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 REQUIRED_CONF = {**RESULT_CONF, **PLAN_CONF}
 

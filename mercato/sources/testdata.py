@@ -55,6 +55,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the files of the tables, by a listing alone."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs, out = hadoop(sf_dir).getFileSystem(spark._jsc.hadoopConfiguration()), []
+    for name in TABLES:
+        found = fs.globStatus(hadoop(f"{sf_dir}/{name}.parquet")) or []
+        for top in found:
+            for f in (fs.listStatus(top.getPath()) if top.isDirectory() else [top]):
+                out.append(f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}")
+    return "\n".join(sorted(out))
+
+
 def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation -> (estado, nome_estado, regiao); 25 rows at every scale."""
     n = read(spark, sf_dir, "nation")

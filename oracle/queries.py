@@ -392,6 +392,27 @@ BODIES["published_tables"] = _union([
     for t, c in [("silver.clientes", "s_clientes"), ("silver.produtos", "s_produtos"), ("silver.vendas", "s_vendas"),
                  ("silver.preco_competidores", "s_precos"), *((f"gold.{k}", v) for k, v in GOLD_CTE.items()),
                  ("gold.quality_scorecard", "g_qualidade")]])
+BODIES["snapshot_history"] = f"SELECT v AS versao, t.* FROM (VALUES (1), (2)) s(v), ({BODIES['published_tables']}) t"
+BODIES["csv_malformed_lines"] = """
+SELECT id_venda, CASE WHEN o % 97 = 0 THEN 'campos a menos' WHEN o % 89 = 1 THEN 'campos a mais'
+                      WHEN o % 83 = 2 THEN 'quantidade' ELSE 'nenhum' END AS problema
+FROM (SELECT id_venda, CAST(string_split(id_venda, '_')[2] AS BIGINT) AS o FROM b_vendas)"""
+BODIES["enforced_relationships"] = """
+SELECT c.regiao, p.categoria, COUNT(*) AS vendas, CAST(SUM(v.receita) AS DECIMAL(20,2)) AS receita
+FROM s_vendas v LEFT JOIN s_clientes c ON v.id_cliente = c.id_cliente LEFT JOIN s_produtos p ON v.id_produto = p.id_produto
+GROUP BY ALL"""
+BODIES["distinct_rollups"] = """
+SELECT nivel, chave, COUNT(DISTINCT id_cliente) AS clientes, true AS perto
+FROM (SELECT 'dia' AS nivel, CAST(data AS VARCHAR) AS chave, id_cliente FROM s_vendas
+      UNION ALL SELECT 'semana', CAST(CAST(date_trunc('week', data) AS DATE) AS VARCHAR), id_cliente FROM s_vendas
+      UNION ALL SELECT 'canal', canal_venda, id_cliente FROM s_vendas)
+GROUP BY nivel, chave"""
+BODIES["routed_rows"] = _union([
+    "SELECT {t} AS tabela, CASE WHEN {stopped} THEN 'quarantine' ELSE 'good' END AS destino, {r} AS regra, COUNT_IF({counted}) AS linhas FROM {cte} GROUP BY 2".format(
+        t=q(table), r=q(name), cte=cte, counted=counted,
+        stopped=" OR ".join(f"NOT COALESCE(({good}), false)" for _, good, action in rules if action == "fail"))
+    for table, cte, rules in _EXPECTED_ROWS
+    for name, counted in [("linhas", "true"), *((n, f"NOT COALESCE(({good}), false)") for n, good, _ in rules)]])
 _state_rows = ", ".join(f"({n}, {q(c)}, {q(s)}, {q(r)})" for n, (c, s, r) in enumerate(P.BRAZIL_STATES))
 BODIES["inline_states"] = f"""
 SELECT estado, nome_estado, regiao, COUNT(*) AS clientes

@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from mercato.operators.dedup import dedup_latest, duplicate_key_count
-from mercato.operators.expect import FAIL, WARN, ExpectationFailed, Rule, check_observed, observe_rules
+from mercato.operators.expect import FAIL, WARN, ExpectationFailed, Rule, check_observed, routed
 from mercato.operators.joins import contains_other_value, group_count_over
 from mercato.operators.rank import plain_row_number, row_number_scalable, top_n
 
@@ -134,7 +134,7 @@ def test_null_counts_as_violation_and_fail_rules_raise(spark):
     df = spark.createDataFrame([(1,), (0,), (None,)], "q int")
     present = [Rule("present", "q IS NOT NULL", WARN)]
     rules = [Rule("positive", "q > 0", FAIL), *present]
-    observed, obs = observe_rules(df, rules, "t")
+    observed, obs = routed(df, rules, "t")
     observed.collect()
     assert (obs.get["_rows"], obs.get["positive"], obs.get["present"]) == (3, 2, 1)
     with pytest.raises(ExpectationFailed):
