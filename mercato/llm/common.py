@@ -24,9 +24,10 @@ __all__ = ["ARROW_ROWS", "WORD", "held_out", "in_buckets", "materialize", "pytho
 #: A word: a run of anything but space and the controls TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows in one Arrow batch sent to Python. Texts can be long, so batches are
-#: far smaller than Spark's default of 10,000 rows.
+#: Rows and bytes in one Arrow batch sent to Python, whichever is reached first.
+#: Texts can be long, so batches are far smaller than Spark's default of 10,000 rows and 64 MB.
 ARROW_ROWS = 512
+ARROW_BYTES = 8 << 20
 
 #: Hash buckets of keys, for a filter that can be broadcast at any size of input.
 BUCKETS = 1 << 20
@@ -39,6 +40,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def python_tasks(spark: SparkSession) -> None:
     """Prepare the session for Python tasks: bounded batches, and this package on the executors."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     context = spark.sparkContext
     if not any("mercato-package" in str(f) for f in context._python_includes):
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

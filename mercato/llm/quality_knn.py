@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.llm.common import held_out, materialize, with_columns
-from mercato.llm.runs import Recent, runs
+from mercato.llm.runs import Recent, runs, worker_tables
 
 DIMS = 1 << 13  # 13 bits: see _run_terms
 RANK = 48
@@ -137,14 +137,9 @@ def fit(texts: list[tuple[np.ndarray, np.ndarray]], labels: list[int], rank: int
     return model
 
 
-_TERMS: list[Terms] = []
-
-
 def terms() -> Terms:
-    """One table of run columns a Python worker."""
-    if not _TERMS:
-        _TERMS.append(Terms())
-    return _TERMS[0]
+    """One table of run columns a Python worker, let go when another operator's tables are made."""
+    return worker_tables(("quality_terms",), Terms)
 
 
 def sample_terms(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:

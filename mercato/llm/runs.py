@@ -22,7 +22,8 @@ class Recent(dict):
 
     When full, the table becomes the old one, from which runs that are met
     again are taken over, and the older one is let go.  Runs longer than
-    ``longest`` are made anew each time.
+    ``longest`` are made anew each time.  ``longest`` also bounds the bytes:
+    an entry takes 230 or so beside what the value holds.
     """
 
     def __init__(self, make: Callable, entries: int = 450_000, longest: int = 48) -> None:
@@ -35,6 +36,7 @@ class Recent(dict):
             out = self.make(run)
         if len(run) <= self.longest:
             if len(self) >= self.entries:
+                self.old = None  # gone before its successor is copied
                 self.old = dict(self)
                 self.clear()
             self[run] = out

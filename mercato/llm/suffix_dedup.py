@@ -10,6 +10,9 @@ anywhere else.  Sorting every suffix of a corpus would move each byte
     one side of the middle, form a bundle; all windows of a bundle hold the
     same 104 bytes beside the anchor, and two equal windows lie in bundles with
     equal such bytes (the bundle's key).
+    Equal bundles of one batch of texts travel as one row with all of their
+    places, so what a passage in a third of all documents moves is far less
+    than its copies.
 2.  Bundles whose key occurs once hold no repeated window.  Of the others,
     those whose whole bytes occur twice are repeated as a whole: bundles with
     equal bytes are counted by partial aggregation, so a passage in a third of
@@ -90,17 +93,26 @@ def _signed(x: int) -> int:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bundles of texts; equal ones of a batch of texts are one row with all of their places."""
     for b in batches:
-        rows: list[list] = [[], [], [], [], [], []]
-        for doc, hashed, t in zip(b["id"].to_pylist(), b["hash"].to_pylist(), b["text"], strict=True):
+        rows: list[list] = [[], [], [], [], []]
+        for doc, t in enumerate(b["text"]):
             data = t.as_py()
             for first, n, anchor in bundles(data):
                 offset = anchor - first
                 key = xxhash.xxh3_64_intdigest(lead(data, first, anchor), seed=int(offset >= SIDE))
                 whole = xxhash.xxh3_64_intdigest(data[first : first + n + LENGTH - 1], seed=offset + 2)
-                for column, x in zip(rows, (doc, hashed, _signed(key), _signed(whole), first, n), strict=True):
+                for column, x in zip(rows, (doc, _signed(key), _signed(whole), first, n), strict=True):
                     column.append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], ["id", "hash", "key", "whole", "first", "n"])
+        doc, key, whole, first, n = (np.array(c, np.int64) for c in rows)
+        order = np.lexsort((whole, key))
+        doc, key, whole, first, n = doc[order], key[order], whole[order], first[order], n[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (whole[1:] != whole[:-1])
+        at = np.flatnonzero(new)
+        offsets, place = pa.array(np.append(at, len(key)), pa.int32()), pa.array(doc)
+        lists = [pa.ListArray.from_arrays(offsets, c) for c in (b["id"].take(place), b["hash"].take(place), pa.array(first))]
+        yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(whole[at]), pa.array(n[at]), *lists], ["key", "whole", "n", "ids", "hashes", "firsts"])
 
 
 def equal_windows(group: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -197,21 +209,26 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """(id, hash, text) -> id, hash, spans: what repeats in each document that has something."""
     data = docs.select("id", "hash", F.col("text").cast("binary").alias("text"))
     all_ = materialize(data.filter(F.length("text") >= LENGTH).mapInArrow(
-        _digests, "id long, hash long, key long, whole long, first long, n long"), "bundles")
-    often = all_.groupBy("key").agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1").select("key")
+        _digests, "key long, whole long, n long, ids array<bigint>, hashes array<bigint>, firsts array<bigint>"), "bundles")
+    uses = F.sum(F.size("firsts")).alias("uses")
+    often = all_.groupBy("key").agg(uses).filter("uses > 1").select("key")
     shared = materialize(all_.join(materialize(often, "shared-keys"), "key"), "shared-bundles")
-    counted = materialize(shared.groupBy("key", "whole").agg(
-        F.count(F.lit(1)).alias("uses"), F.min(F.struct("id", "hash", "first", "n")).alias("one")), "counted")
-    stop = F.col("first") + F.col("n") - 1 + LENGTH
-    as_whole = shared.join(counted.filter("uses > 1").select("key", "whole"), ["key", "whole"]).select("id", "hash", F.col("first").alias("start"), stop.alias("stop"))
+    one = F.struct(F.get("ids", F.lit(0)).alias("id"), F.get("hashes", F.lit(0)).alias("hash"), F.get("firsts", F.lit(0)).alias("first"), "n")
+    counted = materialize(shared.groupBy("key", "whole").agg(uses, F.min(one).alias("one")), "counted")
+    places = F.explode(F.arrays_zip("ids", "hashes", "firsts")).alias("at")
+    as_whole = (shared.join(counted.filter("uses > 1").select("key", "whole"), ["key", "whole"]).select("n", places)
+                .select(F.col("at.ids").alias("id"), F.col("at.hashes").alias("hash"), F.col("at.firsts").alias("start"),
+                        (F.col("at.firsts") + F.col("n") - 1 + LENGTH).alias("stop")))
 
     mixed_keys = (counted.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.min("uses").alias("least"))
                   .filter("kinds > 1 AND least = 1").select("key", (F.col("kinds") > CROWDED).alias("crowded")))
     ends = counted.join(materialize(mixed_keys, "mixed-keys"), "key").select(
         "one.id", "one.hash", F.struct("key", "whole", "one.first", "one.n", (F.col("uses") == 1).alias("single"), "crowded").alias("bundle"))
     wanted = materialize(ends.groupBy("id", "hash").agg(F.collect_list("bundle").alias("wanted")), "wanted")  # a document's own bundles
+    # repeated rows of a document are one here: the others would bring the same bytes again
+    own = in_buckets(data, wanted, ["id", "hash"]).groupBy("id", "hash").agg(F.first("text").alias("text"))
     placed = materialize(
-        in_buckets(data, wanted, ["id", "hash"]).alias("d").join(wanted.alias("w"), _same("d", "w")).select("d.id", "d.hash", "d.text", "w.wanted")
+        own.alias("d").join(wanted.alias("w"), _same("d", "w")).select("d.id", "d.hash", "d.text", "w.wanted")
         .mapInArrow(_with_bytes, "lead binary, key long, whole long, single boolean, crowded boolean, id long, hash long, first long, n long, offset long, bytes binary"),
         "suffix-bundles")
     sorted_ = (placed.filter("NOT crowded").repartitionByRange("lead", "key")
@@ -245,6 +262,7 @@ def without(data: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 CUT = "n_removed long, n_spans long, kept binary, kept_text string"
+ADDED = ("n_bytes", "n_removed", "n_spans", "kept")
 
 
 def _cut(b: pa.RecordBatch) -> list[pa.Array]:
@@ -261,18 +279,25 @@ def dedup(docs: DataFrame) -> DataFrame:
     """(id, text, any more) -> + n_bytes, n_removed, n_spans, kept (bytes), and text without what repeats.
 
     Texts are UTF-8 bytes; null is empty.  Every byte that a repeated 200-byte
-    string covers is removed, at all its places, in equal documents too.  The
-    new text drops characters of which only a part is left.  Documents under
-    200 bytes lose nothing.  Repeated rows are copies of each other; rows that
-    share an id are told apart by their texts.  Null ids are ids.
+    string covers is removed, at all its places, in equal documents too, so
+    there are no ties.  The new text drops characters of which only a part is
+    left.  Documents under 200 bytes lose nothing; long ones are bundled in
+    pieces of a million windows.  Repeated rows are copies of each other; rows
+    that share an id are told apart by their texts.  Null ids are ids.  An
+    empty table gives an empty result.  Other columns are passed on whatever
+    their names, but one with the name of an added column is replaced.
     """
-    keyed = docs.withColumn("id", F.col("id").cast("long")).withColumn("text", F.coalesce("text", F.lit(""))).withColumn("hash", F.xxhash64("text"))
+    rest = [c for c in docs.columns if c not in ("id", "text", *ADDED)]
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.select(F.col("id").cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"),
+                        *([F.struct(*[F.col(f"`{c}`") for c in rest]).alias("more")] if rest else []))
+    more = ["more"] if rest else []
     spans = repeated_spans(keyed)
     size = F.octet_length("text").cast("long").alias("n_bytes")
-    rest = [c for c in keyed.columns if c not in ("text", "hash")]
     touched = in_buckets(keyed, spans, ["id", "hash"]).alias("d").join(spans.alias("s"), _same("d", "s"), "left")
-    hit = (with_columns(touched.select(*[f"d.{c}" for c in (*rest, "text")], "s.spans"), CUT, _cut)
-           .select(*rest, size, "n_removed", "n_spans", "kept", F.col("kept_text").alias("text")))
+    hit = (with_columns(touched.select("d.id", *[f"d.{c}" for c in (*more, "text")], "s.spans"), CUT, _cut)
+           .select("id", *more, size, "n_removed", "n_spans", "kept", F.col("kept_text").alias("text")))
     none = F.lit(0).cast("long")
-    clean = in_buckets(keyed, spans, ["id", "hash"], "left_anti").select(*rest, size, none.alias("n_removed"), none.alias("n_spans"), F.col("text").cast("binary").alias("kept"), "text")
-    return hit.unionByName(clean)
+    clean = in_buckets(keyed, spans, ["id", "hash"], "left_anti").select(
+        "id", *more, size, none.alias("n_removed"), none.alias("n_spans"), F.col("text").cast("binary").alias("kept"), "text")
+    return hit.unionByName(clean).select("id", *[F.col("more").getField(c).alias(c) for c in rest], *ADDED, "text")

@@ -365,3 +365,32 @@ def test_equal_windows_is_a_sort_by_all_tokens():
     count = collections.Counter((g, w.tobytes()) for g, w in zip(group, windows, strict=True))
     expected = [k for k in range(400) if count[group[k], windows[k].tobytes()] > 1]
     assert sorted(suffix_dedup.equal_windows(group, windows)) == expected
+
+
+def test_suffix_dedup_with_clashing_columns(spark, docs_of, prose):
+    shared = prose(77, 80)
+    rows = [(1, prose(1, 30) + " " + shared, "en", "s"), (2, shared + " " + prose(2, 30), "en", "s"), (3, prose(3, 40), "en", "s"), (None, None, "en", "s")]
+    rows += [rows[0]] * 20 + [(1, prose(4, 50), "en", "s")]     # a row that stands often, and its id with another text
+    names = ("hash", "spans", "n_removed", "kept", "n_bytes", "n_spans", "more", "key", "whole", "ids", "firsts")
+    docs = renamed(docs_of(rows, extra=names))
+    got = suffix_dedup.dedup(docs)
+    assert set(docs.columns) <= set(got.columns) and len(got.columns) == len(set(got.columns))
+    found = got.collect()
+    assert len(found) == len(rows) and {(r["hash"], r["spans"], r["more"], r["whole"]) for r in found} == {("x",) * 4}
+    data = [(t or "").encode() for _, t, _, _ in rows]
+    expected = brute_removed(data)
+    assert sorted((str(r["id"]), r["n_bytes"], r["n_removed"]) for r in found) == sorted((str(i), len(d), n) for (i, *_), d, n in zip(rows, data, expected, strict=True))
+
+
+def brute_removed(data):
+    """Bytes of each text that a 200-byte string covers which starts anywhere else too."""
+    from collections import Counter
+    seen = Counter(d[i : i + 200] for d in data for i in range(len(d) - 199))
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        for i in range(len(d) - 199):
+            if seen[d[i : i + 200]] > 1:
+                gone[i : i + 200] = b"\x01" * 200
+        out.append(sum(gone))
+    return out
