@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from mercato.llm import byte_bpe, jaccard_join, mixing, quality_knn, suffix_dedup
 from mercato.llm.common import in_buckets, materialize, python_tasks, table, word_count
 
+#: Encoded runs that a worker of the last stage keeps: less than the encoder alone
+#: would, as the stages before have grown the executors already.
+ENCODER_ENTRIES = 200_000
+
 ORACLE_SQL = None  # classifier, MinHash and tokenizer are beyond SQL; tests hold each stage against brute force
 
 
@@ -80,7 +84,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, checked by decoding them."""
     python_tasks(spark)
-    return byte_bpe.round_trip(packed(docs), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.round_trip(packed(docs), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, ENCODER_ENTRIES)
 
 
 STAGES = [
