@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,9 +53,17 @@ def group_count_over(df: DataFrame, keys: Sequence[str], name: str = "n") -> Dat
     return df.join(counts, on=cond, how="inner").select(df["*"], counts[name])
 
 
-def _substrings_of(text, length: int):
-    """Lambda for ``transform``: start position -> substring of ``length``."""
-    return lambda start: F.substring(text, start, length)
+#: Characters of the pieces that texts and values are met by.
+GRAM = 3
+
+
+def _grams(text, size: int):
+    """Distinct pieces of ``size`` characters; of size 0 the empty one; none of a NULL or shorter text."""
+    if size == 0:
+        return F.when(text.isNotNull(), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    last = F.length(text) - size + 1
+    pieces = F.transform(F.sequence(F.lit(1), last), lambda start: F.substring(text, start, size))
+    return F.when(last >= 1, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
 
 
 def contains_other_value(left: DataFrame, key: Sequence[str], text_col: str, own_col: str,
@@ -62,33 +71,31 @@ def contains_other_value(left: DataFrame, key: Sequence[str], text_col: str, own
     """Rows of ``left`` whose lower(text) contains lower(v) for some value
     v of ``values`` with v <> the row's own value (literal substring match).
 
-    Exact equi-join form of the correlated EXISTS with a theta condition:
-    for every distinct length L among the candidate values (a set bounded by
-    the longest value, collected as a handful of integers) each text yields
-    its substrings of length L, which are equi-joined to the lower-cased
-    values.  Work grows with rows x text length, never rows x values, and
-    no nested-loop join is planned.  ``key`` must identify rows of ``left``.
-    Returns the matching rows of ``left`` (left semi join).
+    The correlated EXISTS with a theta condition as an equi-join: a text that
+    contains a value contains each of its q-grams, so the value is looked for
+    by one of them, the one that the fewest texts hold, and what meets there is
+    verified by ``contains``.  Rows grow with the texts' length, whatever the
+    values' lengths; a value with a q-gram that no text holds meets nothing.
+    Values shorter than a q-gram are their own piece.  No nested-loop join is
+    planned.  ``key`` must identify rows of ``left``.  Returns the matching
+    rows of ``left`` (left semi join).
     """
     key = list(key)
     cand = (values.select(F.col(value_col).alias("_v")).where(F.col("_v").isNotNull())
-            .distinct().select("_v", F.lower("_v").alias("_lv")))
-    # one small job: the distinct lengths (at most the longest value's length + 1 rows)
-    lengths = sorted(r["n"] for r in cand.select(F.length("_lv").alias("n")).distinct().collect())
-    text = F.lower(F.col(text_col))
-    parts = []
-    for L in lengths:
-        if L == 0:
-            parts.append(F.when(text.isNotNull(), F.array(F.lit(""))).otherwise(F.array()))
-            continue
-        last = F.length(text) - L + 1
-        parts.append(F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), _substrings_of(text, L)))
-                     .otherwise(F.array()))
-    if not parts:
+            .distinct().select("_v", F.lower("_v").alias("_lv")).withColumn("_size", F.least(F.length("_lv"), F.lit(GRAM))))
+    # one small job: which of the sizes 0 .. GRAM there are
+    sizes = sorted(r["_size"] for r in cand.select("_size").distinct().collect())
+    if not sizes:
         return left.where(F.lit(False))
-    subs = F.array_distinct(F.flatten(F.array(*parts)))
-    exploded = left.select(*key, own_col, F.explode(subs).alias("_sub"))
-    hits = (exploded.join(cand, exploded["_sub"] == cand["_lv"], "inner")
-            .where(F.col("_v") != F.col(own_col))
+    text = F.lower(F.col(text_col))
+    pieces = F.flatten(F.array(*[_grams(text, n) for n in sizes]))
+    exploded = left.select(*key, F.col(own_col).alias("_own"), text.alias("_text"), F.explode(pieces).alias("_gram"))
+    value_pieces = reduce(lambda rest, n: F.when(F.col("_size") == n, _grams(F.col("_lv"), n)).otherwise(rest), sizes, F.array().cast("array<string>"))
+    of_values = materialize(cand.select("_v", "_lv", F.explode(value_pieces).alias("_gram")), "value-grams")
+    held = exploded.select("_gram").join(of_values.select("_gram").distinct(), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = (of_values.join(held, "_gram", "left").groupBy("_v", "_lv")
+              .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_r"))
+              .where("_r.n > 0").select("_v", "_lv", F.col("_r.gram").alias("_gram")))
+    hits = (exploded.join(rarest, "_gram").where((F.col("_v") != F.col("_own")) & F.contains("_text", "_lv"))
             .select(*key).distinct())
     return left.join(hits, on=key, how="left_semi")

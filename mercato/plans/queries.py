@@ -171,6 +171,31 @@ def distinct_rollups(spark, sf_dir):
                        F.coalesce(F.abs(F.col("estimados") - F.col("clientes")) <= 0.05 * F.col("clientes"), F.lit(False)).alias("perto"))
 
 
+@query
+def reconcile_days(spark, sf_dir):
+    """Q9: silver sales against a copy of them in which some sales are missing,
+    some have another quantity and some stand twice: the days and sales that
+    differ, found by fingerprints of days and then of the sales of those days."""
+    from mercato.operators import fingerprint
+    columns = ["id_venda", "data_venda", "id_cliente", "id_produto", "canal_venda", "quantidade", "receita"]
+    sales = lake(spark, sf_dir).sales_base.select("data", *columns)
+    order = F.split("id_venda", "_")[1].cast("bigint")
+    copy = (sales.where(order % 1009 != 0)
+            .withColumn("quantidade", F.col("quantidade") + F.when(order % 1013 == 1, 1).otherwise(0))
+            .withColumn("_", F.explode(F.array_repeat(F.lit(0), F.when(order % 1019 == 2, 2).otherwise(1)))).drop("_"))
+    return fingerprint.differing_keys(sales, copy, ["data"], ["id_venda"], columns)
+
+
+@query
+def given_figures(spark, sf_dir):
+    """Q1/Q2: headline figures of gold against given values, exactly; the given
+    ones are counted in the source tables, one of them is made wrong."""
+    from mercato.plans import quality
+    ids = testdata.bronze_sales(spark, sf_dir).agg(F.count_distinct("id_venda")).first()[0]
+    customers = testdata.read(spark, sf_dir, "customer").agg(F.count_distinct("c_custkey")).first()[0]
+    return quality.expected_values(published_testdata(spark, sf_dir), {"total_vendas": ids, "total_clientes": customers + 1})
+
+
 @query
 def published_tables(spark, sf_dir):
     """Rows of every silver and gold table, counted in the published files."""

@@ -26,7 +26,6 @@ apart by ``destino``, and the tables are what went to ``good``.
 
 from __future__ import annotations
 
-import json
 import os
 import uuid
 from collections.abc import Callable
@@ -36,14 +35,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mercato.operators.expect import GOOD, MASK, QUARANTINE, ROUTE
+from mercato.operators.manifests import Manifests
 
 VERSION = "lake_version"
 
 
-class PublishConflict(Exception):
-    """Another publish took the number that this one wanted."""
-
-
 def _columns(schema: T.StructType, route: str | None) -> list[str]:
     return [f.name for f in schema.fields if f.name != ROUTE and (f.name != MASK or route == QUARANTINE)]
 
@@ -59,20 +55,15 @@ class FolderStore:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
-        self._fs = spark._jvm.org.apache.hadoop.fs
-        self._conf = spark._jsc.hadoopConfiguration()
-        self.fs = self._path().getFileSystem(self._conf)
+        self.manifests = Manifests(spark, os.path.join(self.root, "_manifests"))
+        self.fs = self.manifests.fs
 
     def _path(self, *parts: str):
-        return self._fs.Path(os.path.join(self.root, *parts))
-
-    def _names(self, folder: str) -> list[str]:
-        path = self._path(folder)
-        return sorted(f.getPath().getName() for f in self.fs.listStatus(path)) if self.fs.exists(path) else []
+        return self.spark._jvm.org.apache.hadoop.fs.Path(os.path.join(self.root, *parts))
 
     def numbers(self) -> list[int]:
         """Committed versions, oldest first."""
-        return [int(n[:-5]) for n in self._names("_manifests") if n.endswith(".json") and n[0].isdigit()]
+        return self.manifests.numbers()
 
     def manifest(self, number: int | None = None) -> dict | None:
         """The manifest of a version, by default the current one's; None if there is none."""
@@ -80,11 +71,7 @@ class FolderStore:
             if not (numbers := self.numbers()):
                 return None
             number = numbers[-1]
-        stream = self.fs.open(self._path("_manifests", f"{number:08d}.json"))
-        try:
-            return json.loads(bytes(self.spark._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)))
-        finally:
-            stream.close()
+        return self.manifests.read(number)
 
     def table(self, manifest: dict, name: str, route: str | None = None) -> DataFrame:
         """A table of a version, with the schema and comments it was written with."""
@@ -100,9 +87,10 @@ class FolderStore:
         numbers = self.numbers()
         kept = numbers[-keep:]
         for n in numbers[:-keep]:
-            self.fs.delete(self._path("_manifests", f"{n:08d}.json"), False)
+            self.manifests.remove(n)
         named = {self.manifest(n)["version"] for n in kept}
-        for version in self._names("versions"):
+        folder = self._path("versions")
+        for version in [f.getPath().getName() for f in self.fs.listStatus(folder)] if self.fs.exists(folder) else []:
             if kept and version not in named and int(version.split("-")[0]) <= kept[-1]:
                 self.fs.delete(self._path("versions", version), True)
 
@@ -121,30 +109,12 @@ class FolderVersion:
         return self.store.table(self.manifest, name)
 
     def commit(self, metrics: dict) -> None:
-        store, final = self.store, self.store._path("_manifests", f"{self.number:08d}.json")
-        draft = store._path("_manifests", f"_draft-{self.manifest['version']}.json")
-        store.fs.mkdirs(final.getParent())
-        out = store.fs.create(draft, True)
-        out.write(bytearray(json.dumps({**self.manifest, "metrics": metrics}, indent=1).encode()))
-        out.close()
-        self._rename(draft, final)
+        """Raises ``Conflict`` where another publish took the number that this one wanted."""
+        self.store.manifests.commit(self.number, {**self.manifest, "metrics": metrics})
         self.committed = True
 
-    def _rename(self, draft, final) -> None:
-        store = self.store
-        none = getattr(store._fs, "Options$Rename").NONE
-        options = store.spark.sparkContext._gateway.new_array(getattr(store._fs, "Options$Rename"), 1)
-        options[0] = none
-        try:
-            store._fs.FileContext.getFileContext(store.fs.getUri(), store._conf).rename(draft, final, options)
-        except Exception as e:
-            if "FileAlreadyExists" in str(e):
-                raise PublishConflict(f"version {self.number} of {store.root} was published meanwhile") from e
-            raise
-
     def discard(self) -> None:
         self.store.fs.delete(self.store._path("versions", self.manifest["version"]), True)
-        self.store.fs.delete(self.store._path("_manifests", f"_draft-{self.manifest['version']}.json"), False)
 
 
 class CatalogStore:

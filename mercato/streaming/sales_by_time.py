@@ -6,11 +6,10 @@ whole sales table.  Here new sales files are consumed as a stream:
 * source: ``readStream`` over a folder of sales files (schema given, no
   inference), ``maxFilesPerTrigger`` bounds a micro-batch;
 * state: one row per (day, hour, channel, customer) with count, units and
-  revenue, written as a new version by each micro-batch: the version before
-  plus the batch's own sums.  It holds what exact distinct customers need;
-* a version is named by its batch and never changed in place: a reader sees
-  whole versions only, and a batch that is run again after a failure starts
-  from the version before it and writes the same rows;
+  revenue, which is what exact distinct customers need, kept as a log of parts
+  (``deltas``): each micro-batch writes its own sums, not the whole state;
+* a part is never changed in place: a reader sees whole batches only, and a
+  batch that is run again after a failure writes the same rows or nothing;
 * progress lives in the checkpoint folder, so a restarted query resumes.
 """
 
@@ -22,10 +21,9 @@ from pyspark.sql import types as T
 
 from mercato.functions import columns as C
 from mercato.schemas import GOLD, conform
+from mercato.streaming.deltas import DeltaState
 
 CELL = ["data", "hora", "canal_venda"]
-#: Versions that are kept for readers of an older one.
-KEPT = 2
 
 
 def buyer_totals(sales: DataFrame) -> DataFrame:
@@ -45,38 +43,17 @@ def cells(buyers: DataFrame) -> DataFrame:
     return conform(out.withColumn("dia_semana", C.weekday_name(F.col("dia_semana_num"))), GOLD["sales_by_time"])
 
 
-class Versions:
-    """Versions of the state under a folder, named by batch."""
-
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root
-        self.path = spark._jvm.org.apache.hadoop.fs.Path
-        self.fs = self.path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-        self.fs.mkdirs(self.path(root))
-
-    def complete(self) -> list[int]:
-        names = [f.getPath().getName() for f in self.fs.listStatus(self.path(self.root))]
-        return sorted(int(n[1:]) for n in names if n.startswith("v") and self.fs.exists(self.path(f"{self.root}/{n}/_SUCCESS")))
-
-    def read(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/v{version}")
-
-    def write(self, batch: DataFrame, epoch: int) -> None:
-        before = [v for v in self.complete() if v < epoch]
-        if before:
-            both = self.read(before[-1]).unionByName(batch)
-            batch = both.groupBy(*CELL, "id_cliente").agg(
-                F.sum("n").alias("n"), F.sum("q").alias("q"), F.sum("r").cast("decimal(20,2)").alias("r"))
-        batch.write.mode("overwrite").parquet(f"{self.root}/v{epoch}")
-        for old in before[: -KEPT + 1 or None]:
-            self.fs.delete(self.path(f"{self.root}/v{old}"), True)
+def merged(buyers: DataFrame) -> DataFrame:
+    """Rows of several parts -> one row per cell and customer."""
+    return buyers.groupBy(*CELL, "id_cliente").agg(
+        F.sum("n").alias("n"), F.sum("q").alias("q"), F.sum("r").cast("decimal(20,2)").alias("r"))
 
 
 def run(spark: SparkSession, source_dir: str, schema: T.StructType, to_sales,
         checkpoint: str, table_path: str, glob: str | None = None,
         files_per_trigger: int = 100) -> DataFrame:
     """Consume every file now in ``source_dir`` (``availableNow``), keep the
-    state, and return the mart from its last version.
+    state, and return the mart from its last parts.
 
     ``to_sales`` maps a source frame to sales columns (data_venda, canal_venda,
     id_cliente, quantidade, receita).
@@ -84,11 +61,12 @@ def run(spark: SparkSession, source_dir: str, schema: T.StructType, to_sales,
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    versions = Versions(spark, table_path)
+    state = DeltaState(spark, table_path, merged)
     q = (to_sales(reader.parquet(source_dir)).writeStream
-         .foreachBatch(lambda batch, epoch: versions.write(buyer_totals(batch), epoch))
+         .foreachBatch(lambda batch, epoch: state.append(buyer_totals(batch), epoch))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    done = versions.complete()
-    empty = buyer_totals(to_sales(spark.createDataFrame([], schema)))
-    return cells(versions.read(done[-1]) if done else empty)
+    buyers = state.read()
+    if buyers is None:
+        buyers = buyer_totals(to_sales(spark.createDataFrame([], schema)))
+    return cells(merged(buyers))

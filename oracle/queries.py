@@ -397,6 +397,15 @@ BODIES["csv_malformed_lines"] = """
 SELECT id_venda, CASE WHEN o % 97 = 0 THEN 'campos a menos' WHEN o % 89 = 1 THEN 'campos a mais'
                       WHEN o % 83 = 2 THEN 'quantidade' ELSE 'nenhum' END AS problema
 FROM (SELECT id_venda, CAST(string_split(id_venda, '_')[2] AS BIGINT) AS o FROM b_vendas)"""
+BODIES["reconcile_days"] = """
+SELECT data, id_venda, CASE WHEN o % 1009 = 0 THEN 'only left' ELSE 'different' END AS difference, CAST(1 AS BIGINT) AS left_rows,
+       CAST(CASE WHEN o % 1009 = 0 THEN 0 WHEN o % 1019 = 2 THEN 2 ELSE 1 END AS BIGINT) AS right_rows
+FROM (SELECT data, id_venda, CAST(string_split(id_venda, '_')[2] AS BIGINT) AS o FROM s_vendas)
+WHERE o % 1009 = 0 OR o % 1013 = 1 OR o % 1019 = 2"""
+BODIES["given_figures"] = """
+SELECT 'total_vendas' AS metric, CAST(COUNT(*) AS DECIMAL(38,2)) AS observed, CAST(COUNT(*) AS DECIMAL(38,2)) AS expected, true AS passed FROM s_vendas
+UNION ALL
+SELECT 'total_clientes', CAST(COUNT(*) AS DECIMAL(38,2)), CAST(COUNT(*) + 1 AS DECIMAL(38,2)), false FROM s_clientes"""
 BODIES["enforced_relationships"] = """
 SELECT c.regiao, p.categoria, COUNT(*) AS vendas, CAST(SUM(v.receita) AS DECIMAL(20,2)) AS receita
 FROM s_vendas v LEFT JOIN s_clientes c ON v.id_cliente = c.id_cliente LEFT JOIN s_produtos p ON v.id_produto = p.id_produto

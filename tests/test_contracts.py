@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.operators import sketches
-from mercato.operators.joins import declared_join, require_unique
+from mercato.operators import fingerprint, sketches
+from mercato.operators.joins import contains_other_value, declared_join, require_unique
 from mercato.plans.lakehouse import Lakehouse
 from mercato.sources import ingest
 from tests import fixtures as X
@@ -116,3 +116,43 @@ def test_sketches_merge_in_any_order(spark):
     cells = sketches.sketch_cells(df, ["c"], "v")
     halves = sketches.merge_cells(sketches.merge_cells(cells.withColumn("h", F.col("c") % 2), ["h"]), [])
     assert halves.select(sketches.estimate()).first()[0] == sketches.merge_cells(cells, []).select(sketches.estimate()).first()[0]
+
+
+# --- fingerprints ------------------------------------------------------------------
+
+def test_fingerprints_do_not_depend_on_order_or_dealing(spark):
+    df = spark.range(500).select((F.col("id") % 5).alias("g"), "id", F.when(F.col("id") % 3 == 0, F.col("id")).alias("v"))
+    one = sorted(map(tuple, fingerprint.fingerprints(df.repartition(7), ["g"], ["id", "v"]).collect()))
+    assert one == sorted(map(tuple, fingerprint.fingerprints(df.orderBy(F.desc("id")).coalesce(1), ["g"], ["id", "v"]).collect()))
+    swapped = spark.createDataFrame([(1, None, 2), (1, 2, None)], "g int, a int, b int")
+    prints = [tuple(r) for i in ("a", "b") for r in fingerprint.fingerprints(swapped.where(f"{i} IS NULL"), ["g"], ["a", "b"]).collect()]
+    assert prints[0] != prints[1]          # a NULL's place counts
+
+
+def test_differing_keys_are_named_and_only_their_groups_are_read_again(spark, tmpdir_path):
+    rows = [(d, k, f"v{k}") for d in [1, 2, 3, 4, None] for k in range(20)]
+    other = [r for r in rows if r != (2, 5, "v5")]                      # one is missing
+    other = [(d, k, "changed" if (d, k) == (3, 7) else v) for d, k, v in other] + [(None, 9, "v9"), (5, 1, "new"), (4, 3, None)]
+    schema = "day int, k int, v string"
+    spark.createDataFrame(rows, schema).write.partitionBy("day").parquet(f"{tmpdir_path}/l")
+    left, right = spark.read.parquet(f"{tmpdir_path}/l").select("day", "k", "v"), spark.createDataFrame(other, schema)
+    groups = {r.day: (r.difference, r.left_rows, r.right_rows) for r in fingerprint.differing_groups(left, right, ["day"], ["k", "v"]).collect()}
+    assert groups == {2: ("different", 20, 19), 3: ("different", 20, 20), None: ("different", 20, 21), 4: ("different", 20, 21), 5: ("only right", 0, 1)}
+    keys = {(r.day, r.k): (r.difference, r.left_rows, r.right_rows) for r in fingerprint.differing_keys(left, right, ["day"], ["k"], ["k", "v"]).collect()}
+    assert keys == {(2, 5): ("only left", 1, 0), (3, 7): ("different", 1, 1), (None, 9): ("different", 1, 2), (5, 1): ("only right", 0, 1), (4, 3): ("different", 1, 2)}
+    assert fingerprint.differing_keys(left, left, ["day"], ["k"], ["k", "v"]).count() == 0
+
+
+# --- q-gram semi join ----------------------------------------------------------------
+
+def test_rarest_gram_join_equals_nested_loop_on_random_names(spark):
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abÀé%_ ") for _ in range(n))
+    brands = [word(rng.choice([0, 1, 2, 3, 4, 6])) for _ in range(25)] + [None, "zzzz", "AbA", "aba"]
+    data = [(i, rng.choice([None, "", "a", word(rng.randint(0, 14))]), rng.choice(brands)) for i in range(600)]
+    df = spark.createDataFrame(data, "id int, name string, brand string")
+    got = {r.id for r in contains_other_value(df, ["id"], "name", "brand", df, "brand").collect()}
+    held = {b for _, _, b in data if b is not None}
+    assert got == {i for i, n, b in data if n is not None and b is not None and any(v != b and v.lower() in n.lower() for v in held)}
+    plan = contains_other_value(df, ["id"], "name", "brand", df, "brand")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from mercato.operators import expect
 from mercato.operators.expect import ExpectationFailed, Rule
+from mercato.operators.manifests import Conflict, Manifests
 from mercato.plans import quality, questions, snapshots
 from mercato.plans.lakehouse import Lakehouse
 from tests import fixtures as X
@@ -75,7 +76,7 @@ FOLDER_STEPS = [("write", 3), ("write", 10), ("_rename", 1), ("expire", 1)]
 def test_killed_between_any_two_steps_in_a_folder(spark, tmpdir_path, monkeypatch, step, nth):
     lake(spark).publish(tmpdir_path)
     calls = []
-    cls = snapshots.FolderStore if step == "expire" else snapshots.FolderVersion
+    cls = {"expire": snapshots.FolderStore, "_rename": Manifests}.get(step, snapshots.FolderVersion)
     real = getattr(cls, step)
 
     def killed(self, *args, **kw):
@@ -146,7 +147,7 @@ def test_two_publishes_from_one_version_conflict(spark, tmpdir_path, monkeypatch
         return real(self, metrics)
     with monkeypatch.context() as m:
         m.setattr(snapshots.FolderVersion, "commit", late)
-        with pytest.raises(snapshots.PublishConflict):
+        with pytest.raises(Conflict):
             lake(spark).publish(tmpdir_path)
     assert state(lake(spark).opened(tmpdir_path)) == NEW
 

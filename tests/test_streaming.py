@@ -3,10 +3,13 @@ from the checkpoint processes only new files (no double counting)."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from mercato.operators.manifests import Manifests
 from mercato.plans import marts
 from mercato.streaming import sales_by_time as S
+from mercato.streaming.deltas import DeltaState
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,12 +48,44 @@ def test_stream_equals_batch_and_resumes(spark, tmpdir_path):
     assert rows(got3) == rows(got2)
 
 
-def test_a_batch_run_again_writes_the_same_version(spark, tmpdir_path):
+def written(root):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet"))
+
+
+def test_a_batch_run_again_changes_nothing(spark, tmpdir_path, monkeypatch):
     events = _to_sales(spark.read.parquet(os.path.join(SF, "events.parquet")))
-    versions = S.Versions(spark, os.path.join(tmpdir_path, "state"))
+    state = DeltaState(spark, os.path.join(tmpdir_path, "state"), S.merged)
     halves = [S.buyer_totals(events.where(F.col("receita") < 50)), S.buyer_totals(events.where(F.col("receita") >= 50))]
-    for epoch, half in enumerate(halves):
-        versions.write(half, epoch)
-    versions.write(halves[1], 1)     # again, as after a failure
-    assert versions.complete() == [0, 1]
-    assert rows(S.cells(versions.read(1))) == batch(events)
+    state.append(halves[0], 0)
+    with monkeypatch.context() as m:      # killed after the part is written, before it is named
+        m.setattr(Manifests, "commit", lambda self, *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            state.append(halves[1], 1)
+    assert rows(S.cells(S.merged(state.read()))) == batch(events.where(F.col("receita") < 50))
+    for _ in range(2):                    # again, as after a failure, and once more after it was committed
+        state.append(halves[1], 1)
+    assert [p["level"] for p in state.parts()] == [0, 0]
+    assert rows(S.cells(S.merged(state.read()))) == batch(events)
+
+
+def test_what_a_batch_writes_follows_its_size(spark, tmpdir_path):
+    # enough rows that the few KB that any Parquet file has don't matter
+    events = _to_sales(spark.read.parquet("/root/testdata/sf0.01/events.parquet"))
+    root = os.path.join(tmpdir_path, "state")
+    state = DeltaState(spark, root, S.merged)
+    state.append(S.buyer_totals(events).coalesce(1), 0)
+    large, sizes = written(root), []
+    small = S.buyer_totals(events.where("id_cliente = '7'")).coalesce(1)
+    for epoch in range(1, 7):
+        before = written(root)
+        state.append(small, epoch)
+        sizes.append(written(root) - before)
+    assert max(sizes) < large / 4          # the state before stays as it is
+    state.append(small, 7)                 # eight parts of one level: merged into one of the next
+    assert [p["level"] for p in state.parts()] == [1]
+    for epoch in range(8, 12):
+        state.append(small, epoch)
+    assert [p["level"] for p in state.parts()] == [1, 0, 0, 0, 0]
+    total = S.cells(S.merged(state.read())).agg(F.sum("total_vendas")).first()[0]
+    assert total == events.count() + 11 * events.where("id_cliente = '7'").count()
+    assert len([n for n in os.listdir(root) if n.startswith("part-")]) == 5   # older parts are gone
