@@ -27,6 +27,7 @@ logarithmic depth.
 from __future__ import annotations
 
 import json
+import os
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -125,7 +126,13 @@ class Machine:
     other characters, and an apostrophe with what may become a contraction."""
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
         self.bpe = Bpe(path)
+        library = Tokenizer.from_file(path)
+        self.normalize, self.cut = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
+        self.groups: dict[str, str] = {}  # character -> L, N or O
         self.states: dict[tuple[str, Open, str], State] = {}
         self.shared: dict[tuple[str, str, int], tuple[str, str, int]] = {}  # one copy of each open start
         self.start = State(self, "", (), "")
@@ -182,6 +189,21 @@ class Machine:
                 return count + 1
         raise ValueError(f"no token ends with {state.pending!r}: the vocabulary lacks single bytes")
 
+    def group(self, char: str) -> str:
+        """Letter, number or other, as the library's own tables have it: asked once a character."""
+        if (g := self.groups.get(char)) is None:
+            g = "L" if len(self.cut("a" + char)) == 1 else "O" if len(self.cut("!" + char)) == 1 else "N"
+            self.groups[char] = g
+        return g
+
+    def normalized(self, text: str) -> str:
+        """NFC and lower case: by Python for Latin-1, which has settled tables, else by the library."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.normalize(text)
+        return lowered(text)
+
     def transition(self, state: State, char: str) -> tuple[State, int]:
         kind = state.kind
         if _space(char):
@@ -195,7 +217,7 @@ class Machine:
             if kind != "'":  # the apostrophe was a piece; the letters after it begin another
                 s, n = self.walk(self.start, kind[1:] + char)
                 return s, n + self.piece("'")
-        if (group := unicodedata.category(char)[0]) == "L":
+        if (group := self.group(char)) == "L":
             if kind == "L":
                 return self.add("L", state.opened, state.pending, char)
             s, n = self.add("L", AT_START, "", char)
@@ -228,7 +250,7 @@ class Machine:
         return len(segments) - 1 + sum(map(self.segment, segments))
 
     def segment(self, text: str) -> int:
-        text = lowered(text)
+        text = self.normalized(text)
         if len(text) <= CHUNK_CHARS:
             return sum(map(self.counts.__getitem__, runs(text)))
         maps = [self.chunk_map(text[i : i + CHUNK_CHARS]) for i in range(0, len(text), CHUNK_CHARS)]
@@ -288,7 +310,9 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     """(id, text) -> doc_id, n_bytes, n_tokens, over_limit; one row a document.
 
     A null or empty text has 0 bytes and 0 tokens.  Null ids stay null;
-    repeated rows are counted each.
+    repeated rows are counted each; there are no ties.  Texts are counted
+    whole, long ones in chunks whose maps are composed.  An empty table gives
+    an empty result.  Other columns, whatever their names, are left out.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = machine(path)

@@ -74,6 +74,21 @@ def test_token_counts_as_library():
         assert machine.count(t) == len(library.encode(t, add_special_tokens=False).ids), repr(t[:80])
 
 
+def test_token_counts_as_library_for_characters_of_any_unicode_version():
+    tokenizers = pytest.importorskip("tokenizers")
+    import unicodedata
+    path = P.path("word_bpe_49k.json")
+    machine, library = token_counts.Machine(path), tokenizers.Tokenizer.from_file(path)
+    new = [c for c in map(chr, range(0xE0000)) if not "\ud800" <= c <= "\udfff" and unicodedata.category(c) == "Cn" and len(library.pre_tokenizer.pre_tokenize_str("a" + c)) == 1]
+    assert len(new) > 1000      # letters that the library knows and Python does not
+    some = [m + c + "x" for m in "\u20b9!'\u0301\u200d5" for c in [*new, "\U0001e5e9", "\U0001e5db", "\U0001e5e6", "\U0001e5f5"]]
+    rng = random.Random(6)
+    pool = [c for c in map(chr, (rng.randrange(0x110000) for _ in range(20_000))) if not "\ud800" <= c <= "\udfff"] + new
+    some += ["".join(rng.choice(pool) if rng.random() < 0.6 else rng.choice("ab 's1!é") for _ in range(rng.randint(1, 15))) for _ in range(10_000)]
+    expected = [len(e.ids) for e in library.encode_batch_fast(some, add_special_tokens=False)]
+    assert [machine.count(t) for t in some] == expected
+
+
 def test_token_counts_with_few_states_and_small_chunks(monkeypatch):
     path = P.path("word_bpe_49k.json")
     some = texts(300, 3)
