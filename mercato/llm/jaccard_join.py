@@ -266,7 +266,10 @@ def join(docs: DataFrame) -> DataFrame:
     with a Jaccard similarity of 0.8 or more; ``class_id``: smallest id that
     links lead to.  Texts without a word (null ones as well) are linked to
     nothing and stand each for themselves.  A row without an id is linked to
-    nothing and has null ids.  Rows that share an id are in one class.
+    nothing and has null ids.  Rows that share an id are in one class.  Ties
+    can't occur: ids name nodes.  Texts are taken whole, however long; the
+    shingle hashes of one text are held at a time.  An empty table gives an
+    empty result.  Other columns, whatever their names, are left out.
     """
     docs = docs.select(F.col("id").cast("long").alias("id"), "text")
     sketches = materialize(docs.mapInArrow(_sketches, "id long, key binary, sig binary"), "sketches")

@@ -291,7 +291,10 @@ def identify(docs: DataFrame, path: str, folds: int = 4, fold: int = 2, sample:
     ``folds`` (a null id counts as held out).  ``score`` is the posterior
     probability of the predicted language; equal ones go to the first language
     by name.  A null text, one without a letter, and any text if nothing could
-    be learned give ``und`` and 0.  Repeated rows are scored each.
+    be learned give ``und`` and 0.  Repeated rows are scored each.  Texts are
+    scored whole; a run without spaces holds a sum for each of its characters
+    and languages.  An empty table gives an empty result.  Other columns,
+    whatever their names, are left out.
     """
     docs = docs.select(F.col("id").cast("long").alias("id"), "text", "lang")
     learned = docs.filter(~held_out(F.col("id"), folds, fold) & F.col("text").isNotNull() & F.col("lang").isNotNull())

@@ -81,8 +81,10 @@ def judge(docs: DataFrame, min_docs: int = MIN_LINE_DOCS, share: float = LINE_SH
     """(id, host, text) -> doc_id, the counts, base_failed, kept, n_removed_words.
 
     A null or empty text has no words and fails the base rules.  Null hosts are
-    one host.  Repeated rows are judged each, alike.  An empty table gives an
-    empty result.
+    one host.  Repeated rows are judged each, alike; there are no ties.  Texts
+    are judged whole, however long; a text's lines and triples are held in its
+    row.  An empty table gives an empty result.  Other columns, whatever their
+    names, are left out.
     """
     docs = docs.select("id", "host", "text")
     lines = materialize(document_lines(docs), "document-lines")  # read twice

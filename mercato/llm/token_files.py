@@ -299,6 +299,7 @@ def write_and_read(docs: DataFrame, path: str, end_id: int = 1) -> DataFrame:
 
     Null and empty texts have the end id alone.  A null id comes before all
     others; repeated ids stand one after another, in order of their texts'
-    hashes.  An empty table gives an empty file set and result.
+    hashes.  Texts are encoded whole, however long.  An empty table gives an
+    empty file set and result.  Other columns, whatever their names, are left out.
     """
     return read(materialize(segments(docs, path, end_id), "token-files"))

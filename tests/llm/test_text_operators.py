@@ -394,3 +394,13 @@ def brute_removed(data):
                 gone[i : i + 200] = b"\x01" * 200
         out.append(sum(gone))
     return out
+
+
+def test_empty_tables_and_clashing_columns(spark, docs_of):
+    names = ("node", "key", "sig", "bucket", "class_id", "score", "lang_pred", "line", "words", "content", "nth", "n_words")
+    some = renamed(docs_of([(1, "one two three four five six", "en", "s"), (None, None, None, None)], extra=names))
+    path = P.path("piece_bpe_32k.model")
+    hosted = some.withColumnRenamed("source", "host")
+    for make, docs in ((jaccard_join.join, some), (lambda d: language_id.identify(d, path), some), (quality_rules.judge, hosted)):
+        assert make(docs.limit(0)).count() == 0
+        assert make(docs).count() == 2
