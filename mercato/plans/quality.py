@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from mercato import params as P
 from mercato.operators import expect
+from mercato.operators.checkstate import CheckState
 from mercato.operators.dedup import duplicate_key_count
 from mercato.operators.materialize import materialize
 from mercato.plans import silver
@@ -125,15 +126,37 @@ def profiles(lh) -> DataFrame:
     """All metrics of all tables in long form (tabela, metric, value): one
     aggregate per table, written once (a few hundred values)."""
     if "_profiles" not in lh.__dict__:
-        parts = []
-        for t, spec in _metrics(lh).items():
-            agg = getattr(lh, t).agg(*[e.cast("decimal(38,2)").alias(n) for n, e in spec.items()])
-            parts.append(_stack(agg, [[F.lit(t), F.lit(n), F.col(n)] for n in spec],
-                                ["tabela", "metric", "value"]))
-        lh.__dict__["_profiles"] = materialize(_union(parts), "quality-profiles")
+        lh.__dict__["_profiles"] = materialize(_union(_whole_profiles(lh, list(_metrics(lh)))), "quality-profiles")
     return lh.__dict__["_profiles"]
 
 
+def check_state(lh, table: str, folder: str, root: str, schema=None) -> CheckState:
+    """The mergeable metrics of a table that grows by files in ``folder``, kept under ``root``."""
+    return CheckState(lh.spark, root, folder, schema or getattr(lh, table).schema, _metrics(lh)[table])
+
+
+def profiles_from(lh, states: dict[str, CheckState]) -> DataFrame:
+    """Profiles from states, which are brought up to date here: of their tables
+    only files that no earlier run has seen are scanned.  The other tables are
+    aggregated whole.  All families of ``lh`` read the result."""
+    parts = []
+    for t, state in states.items():
+        state.refresh()
+        parts.append(state.merged().select(F.lit(t).alias("tabela"), "metric", "value"))
+    rest = [t for t in _metrics(lh) if t not in states]
+    lh.__dict__["_profiles"] = materialize(_union([*parts, *_whole_profiles(lh, rest)]), "quality-profiles")
+    return lh.__dict__["_profiles"]
+
+
+def _whole_profiles(lh, tables: list[str]) -> list[DataFrame]:
+    specs = _metrics(lh)
+    parts = []
+    for t in tables:
+        agg = getattr(lh, t).agg(*[e.cast("decimal(38,2)").alias(n) for n, e in specs[t].items()])
+        parts.append(_stack(agg, [[F.lit(t), F.lit(n), F.col(n)] for n in specs[t]], ["tabela", "metric", "value"]))
+    return parts
+
+
 def profile(lh, table: str, names: list[str]) -> DataFrame:
     """One row with the metrics ``names`` of ``table`` (decimal(38,2)): from
     the written profiles if there are any, else from the table's own columns."""

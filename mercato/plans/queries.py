@@ -196,6 +196,32 @@ def given_figures(spark, sf_dir):
     return quality.expected_values(published_testdata(spark, sf_dir), {"total_vendas": ids, "total_clientes": customers + 1})
 
 
+@query
+def dq_by_load(spark, sf_dir):
+    """Q3/Q4/Q10-Q12/Q14 merged: the wide table's metrics after each of three
+    loads (the sales before 1996, the others, the year 1996 written anew with
+    the same rows), and the rows that each run of the checks had to read."""
+    import uuid
+
+    from mercato.plans import quality
+    from mercato.session import scratch_path
+    run = uuid.uuid4().hex
+    folder = scratch_path(spark, f"detail-{run}")
+    lh = published_testdata(spark, sf_dir)
+    year = F.year("data")
+    detail = lh.sales_detail.withColumn("ano", year)
+    state = quality.check_state(lh, "sales_detail", folder, scratch_path(spark, f"check-state-{run}"), detail.schema)
+    before = F.coalesce(year < 1996, F.lit(False))
+    results = []
+    for load, (rows, mode) in enumerate([(before, "append"), (~before, "append"), (year == 1996, "overwrite")], 1):
+        (detail.where(rows).repartition("ano").write.mode(mode).option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ano").parquet(folder))
+        number = state.refresh()
+        read = state.merged(since=number).where("metric = 'rows'").first()["value"]
+        results.append(state.merged().select(F.lit(load).alias("carga"), "metric", "value", F.lit(read).cast("bigint").alias("linhas_lidas")).collect())
+    return spark.createDataFrame([r for rows in results for r in rows], "carga int, metric string, value decimal(38,2), linhas_lidas bigint")
+
+
 @query
 def published_tables(spark, sf_dir):
     """Rows of every silver and gold table, counted in the published files."""

@@ -416,6 +416,17 @@ FROM (SELECT 'dia' AS nivel, CAST(data AS VARCHAR) AS chave, id_cliente FROM s_v
       UNION ALL SELECT 'semana', CAST(CAST(date_trunc('week', data) AS DATE) AS VARCHAR), id_cliente FROM s_vendas
       UNION ALL SELECT 'canal', canal_venda, id_cliente FROM s_vendas)
 GROUP BY nivel, chave"""
+BODIES["dq_by_load"] = f"""
+UNPIVOT (
+  SELECT carga, CAST(CASE carga WHEN 1 THEN COUNT_IF(year(data) < 1996) WHEN 2 THEN COUNT_IF(COALESCE(year(data) >= 1996, true))
+                                ELSE COUNT_IF(year(data) = 1996) END AS BIGINT) AS linhas_lidas,
+         {', '.join(f'CAST(COUNT_IF({c} IS NULL) AS DECIMAL(38,2)) AS null_{c}' for c in _REQUIRED['sales_detail'].split())},
+         CAST(COUNT_IF(NOT COALESCE(canal_venda IN ({_in(P.CHANNELS)}), false)) AS DECIMAL(38,2)) AS invalid_domain,
+         CAST(COUNT_IF(true) AS DECIMAL(38,2)) AS "rows", CAST(COUNT_IF(NOT produto_cadastrado) AS DECIMAL(38,2)) AS unreg,
+         CAST(SUM(receita) AS DECIMAL(38,2)) AS receita,
+         CAST(COUNT_IF(COALESCE(abs(receita - CAST(quantidade * preco_unitario AS DECIMAL(10,2))) > 0.01, true)) AS DECIMAL(38,2)) AS bad_receita
+  FROM g_detalhe JOIN (VALUES (1), (2), (3)) l(carga) ON carga > 1 OR year(data) < 1996 GROUP BY carga)
+ON COLUMNS(* EXCLUDE (carga, linhas_lidas)) INTO NAME metric VALUE value"""
 BODIES["routed_rows"] = _union([
     "SELECT {t} AS tabela, CASE WHEN {stopped} THEN 'quarantine' ELSE 'good' END AS destino, {r} AS regra, COUNT_IF({counted}) AS linhas FROM {cte} GROUP BY 2".format(
         t=q(table), r=q(name), cte=cte, counted=counted,
