@@ -16,7 +16,8 @@ anywhere else.  Sorting every suffix of a corpus would move each byte
 2.  Bundles whose key occurs once hold no repeated window.  Of the others,
     those whose whole bytes occur twice are repeated as a whole: bundles with
     equal bytes are counted by partial aggregation, so a passage in a third of
-    all documents costs no more than another.
+    all documents costs no more than another.  What is repeated goes back to
+    its batch, whose places become one row of merged spans for each document.
 3.  What is left are the ends of repeated passages.  Their suffixes are
     range-partitioned by their leading tokens (the key's first bytes, with
     splitters that Spark samples) and sorted in each partition by multikey
@@ -36,7 +37,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,7 +97,8 @@ def _signed(x: int) -> int:
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bundles of texts; equal ones of a batch of texts are one row with all of their places."""
-    for b in batches:
+    task = TaskContext.get().partitionId()
+    for nth, b in enumerate(batches):
         rows: list[list] = [[], [], [], [], []]
         for doc, t in enumerate(b["text"]):
             data = t.as_py()
@@ -112,7 +116,9 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.flatnonzero(new)
         offsets, place = pa.array(np.append(at, len(key)), pa.int32()), pa.array(doc)
         lists = [pa.ListArray.from_arrays(offsets, c) for c in (b["id"].take(place), b["hash"].take(place), pa.array(first))]
-        yield pa.RecordBatch.from_arrays([pa.array(key[at]), pa.array(whole[at]), pa.array(n[at]), *lists], ["key", "whole", "n", "ids", "hashes", "firsts"])
+        batch = pa.array(np.full(len(at), task << 32 | nth, np.int64))
+        yield pa.RecordBatch.from_arrays([batch, pa.array(key[at]), pa.array(whole[at]), pa.array(n[at]), *lists],
+                                         ["batch", "key", "whole", "n", "ids", "hashes", "firsts"])
 
 
 def equal_windows(group: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -142,6 +148,7 @@ def _ranges(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
+SPANS = "spans array<struct<start:bigint,stop:bigint>>"
 SPAN = pa.schema([("id", pa.int64()), ("hash", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
 
 
@@ -175,6 +182,35 @@ def _sorted_locally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield spans()
 
 
+def _whole_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Repeated bundles in order of their batches -> a row for each document with its spans, merged."""
+    for rows in groups(batches, ("batch",)):
+        t = pa.Table.from_batches(rows).combine_chunks()
+        places = [t[c].combine_chunks() for c in ("ids", "hashes", "firsts")]
+        sizes = pc.list_value_length(places[2]).to_numpy()
+        ids, hashes, start = (c.flatten() for c in places)
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        doc, hashed, start = ids.fill_null(0).to_numpy(), hashes.to_numpy(), start.to_numpy()
+        stop = start + np.repeat(t["n"].to_numpy(), sizes) - 1 + LENGTH
+        order = np.lexsort((start, hashed, doc, known))
+        doc, hashed, known, start, stop = doc[order], hashed[order], known[order], start[order], stop[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (hashed[1:] != hashed[:-1]) | (known[1:] != known[:-1])
+        # the furthest stop so far in a document: documents are set apart by more than any position
+        apart = (np.cumsum(new) - 1) * (int(stop.max()) + 1)
+        furthest = np.maximum.accumulate(stop + apart)
+        begins = new.copy()
+        begins[1:] |= start[1:] + apart[1:] > furthest[:-1]
+        first = np.flatnonzero(begins)
+        last = np.append(first[1:], len(doc)) - 1
+        spans = pa.StructArray.from_arrays([pa.array(start[first]), pa.array(furthest[last] - apart[last])], ["start", "stop"])
+        at = np.flatnonzero(new[first])
+        owner = first[at]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(doc[owner], mask=~known[owner]), pa.array(hashed[owner]), pa.ListArray.from_arrays(pa.array(np.append(at, len(first)), pa.int32()), spans)],
+            ["id", "hash", "spans"])
+
+
 def _crowded_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows: list[list] = [[], [], [], [], [], [], []]
@@ -209,16 +245,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """(id, hash, text) -> id, hash, spans: what repeats in each document that has something."""
     data = docs.select("id", "hash", F.col("text").cast("binary").alias("text"))
     all_ = materialize(data.filter(F.length("text") >= LENGTH).mapInArrow(
-        _digests, "key long, whole long, n long, ids array<bigint>, hashes array<bigint>, firsts array<bigint>"), "bundles")
+        _digests, "batch long, key long, whole long, n long, ids array<bigint>, hashes array<bigint>, firsts array<bigint>"), "bundles")
     uses = F.sum(F.size("firsts")).alias("uses")
     often = all_.groupBy("key").agg(uses).filter("uses > 1").select("key")
     shared = materialize(all_.join(materialize(often, "shared-keys"), "key"), "shared-bundles")
     one = F.struct(F.get("ids", F.lit(0)).alias("id"), F.get("hashes", F.lit(0)).alias("hash"), F.get("firsts", F.lit(0)).alias("first"), "n")
     counted = materialize(shared.groupBy("key", "whole").agg(uses, F.min(one).alias("one")), "counted")
-    places = F.explode(F.arrays_zip("ids", "hashes", "firsts")).alias("at")
-    as_whole = (shared.join(counted.filter("uses > 1").select("key", "whole"), ["key", "whole"]).select("n", places)
-                .select(F.col("at.ids").alias("id"), F.col("at.hashes").alias("hash"), F.col("at.firsts").alias("start"),
-                        (F.col("at.firsts") + F.col("n") - 1 + LENGTH).alias("stop")))
+    # a batch of texts is bounded, and so is what comes back to it
+    as_whole = (shared.join(counted.filter("uses > 1").select("key", "whole"), ["key", "whole"])
+                .select("batch", "n", "ids", "hashes", "firsts").repartition("batch").sortWithinPartitions("batch")
+                .mapInArrow(_whole_spans, f"id long, hash long, {SPANS}"))
 
     mixed_keys = (counted.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.min("uses").alias("least"))
                   .filter("kinds > 1 AND least = 1").select("key", (F.col("kinds") > CROWDED).alias("crowded")))
@@ -238,8 +274,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     window = ["key", "offset", "d1", "d2"]
     twice = crowded.groupBy(*window).agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1").drop("uses")
     across = crowded.filter("start IS NOT NULL").join(twice, window).select("id", "hash", "start", (F.col("start") + LENGTH).alias("stop"))
-    return materialize(as_whole.union(sorted_).union(across).groupBy("id", "hash").agg(
-        F.collect_set(F.struct("start", "stop")).alias("spans")), "repeated-spans")
+    single = sorted_.union(across).select("id", "hash", F.array(F.struct("start", "stop")).alias("spans"))
+    # a document's repeated rows bring equal lists, which are one here
+    return materialize(as_whole.union(single).groupBy("id", "hash").agg(
+        F.flatten(F.collect_set("spans")).alias("spans")), "repeated-spans")
 
 
 def merged(spans) -> list[tuple[int, int]]:
