@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -367,6 +368,24 @@ def test_equal_windows_is_a_sort_by_all_tokens():
     assert sorted(suffix_dedup.equal_windows(group, windows)) == expected
 
 
+def test_whole_spans_are_merged_by_document_and_batch():
+    rng = random.Random(9)
+    rows = []
+    for batch in range(3):
+        for _ in range(40):
+            places = [(rng.choice([None, 0, 1, -5]), rng.randint(0, 1), rng.randint(0, 5000)) for _ in range(rng.randint(1, 3))]
+            rows.append({"batch": batch, "n": rng.randint(1, 90), **dict(zip(("ids", "hashes", "firsts"), map(list, zip(*places, strict=True)), strict=True))})
+    schema = pa.schema([("batch", pa.int64()), ("n", pa.int64()), *((c, pa.list_(pa.int64())) for c in ("ids", "hashes", "firsts"))])
+    whole = pa.Table.from_pylist(rows, schema)
+    got = [r for b in suffix_dedup._whole_spans(iter(whole.to_batches(max_chunksize=17))) for r in b.to_pylist()]
+    expected = collections.defaultdict(list)
+    for r in rows:
+        for place in zip(r["ids"], r["hashes"], r["firsts"], strict=True):
+            expected[r["batch"], place[0], place[1]].append({"start": place[2], "stop": place[2] + r["n"] - 1 + suffix_dedup.LENGTH})
+    want = [(i, h, suffix_dedup.merged(spans)) for (_, i, h), spans in expected.items()]
+    assert sorted(((r["id"], r["hash"], [(x["start"], x["stop"]) for x in r["spans"]]) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_suffix_dedup_with_clashing_columns(spark, docs_of, prose):
     shared = prose(77, 80)
     rows = [(1, prose(1, 30) + " " + shared, "en", "s"), (2, shared + " " + prose(2, 30), "en", "s"), (3, prose(3, 40), "en", "s"), (None, None, "en", "s")]
