@@ -33,8 +33,18 @@ def declared_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], na
     return left.join(require_unique(keyed, keys, name), on=keys, how=how)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """A side that grows with the data (a row a customer, a product, an order), to be joined by sorting both sides.
+
+    Without the hint Spark broadcasts a scan whose files are under the threshold,
+    but files are compressed: 8 MB of products were tables of up to 258 MB in the
+    driver, several of them at once in a publish.  Skewed partitions are still split.
+    """
+    return df.hint("merge")
+
+
 def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
-    """Join to a lookup table.  No hint: Spark broadcasts the lookup when
+    """Join to a lookup table of bounded size.  No hint: Spark broadcasts the lookup when
     its size in bytes is under ``spark.sql.autoBroadcastJoinThreshold``, and
     shuffles both sides otherwise."""
     return df.join(lookup, on=on, how=how)
@@ -96,6 +106,7 @@ def contains_other_value(left: DataFrame, key: Sequence[str], text_col: str, own
     rarest = (of_values.join(held, "_gram", "left").groupBy("_v", "_lv")
               .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), F.col("_gram").alias("gram"))).alias("_r"))
               .where("_r.n > 0").select("_v", "_lv", F.col("_r.gram").alias("_gram")))
-    hits = (exploded.join(rarest, "_gram").where((F.col("_v") != F.col("_own")) & F.contains("_text", "_lv"))
+    # the pieces of all texts look as small as their files, and would be broadcast
+    hits = (by_shuffle(exploded).join(rarest, "_gram").where((F.col("_v") != F.col("_own")) & F.contains("_text", "_lv"))
             .select(*key).distinct())
     return left.join(hits, on=key, how="left_semi")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from mercato import params as P
 from mercato.functions import columns as C
+from mercato.operators.joins import by_shuffle
 from mercato.operators.rank import add_ranks
 from mercato.schemas import GOLD, conform
 
@@ -50,7 +51,7 @@ def sales_by_product(sales: DataFrame, catalog: DataFrame, ranked: bool = True)
     """
     dims = catalog.select("id_produto", "nome_produto", "categoria", "marca", "faixa_preco",
                           F.lit(True).alias("produto_cadastrado"))
-    out = (_per_product(sales).join(dims, on="id_produto", how="left")
+    out = (_per_product(sales).join(by_shuffle(dims), on="id_produto", how="left")
            .withColumn("produto_cadastrado", C.null_false("produto_cadastrado"))
            .withColumn("nome_produto", F.coalesce("nome_produto", F.lit(P.UNREGISTERED_NAME)))
            .withColumn("categoria", F.coalesce("categoria", F.lit(P.UNREGISTERED_LABEL)))
@@ -74,7 +75,7 @@ def customer_revenue(customers: DataFrame, sales: DataFrame, p: P.Params = P.DEF
         F.max("data").alias("ultima_compra"),
     )
     out = (customers.select("id_cliente", "nome_cliente", "estado", "nome_estado", "regiao")
-           .join(per, on="id_cliente", how="left")
+           .join(by_shuffle(per), on="id_cliente", how="left")
            .withColumn("total_compras", F.coalesce("total_compras", F.lit(0)).cast("bigint"))
            .withColumn("receita", F.coalesce("receita", F.lit(0).cast("decimal(20,2)"))))
     return out.withColumn("segmento_cliente", C.segment("receita", p))
@@ -98,10 +99,10 @@ def sales_detail(sales: DataFrame, catalog: DataFrame, customers: DataFrame,
     seg = seg.select("id_cliente", "nome_cliente", "estado", "regiao", "segmento_cliente")
     # customer join first: when sales and segments are bucketed by id_cliente
     # it needs no shuffle; the product join follows
-    out = sales.join(seg, on="id_cliente", how="left")
+    out = sales.join(by_shuffle(seg), on="id_cliente", how="left")
     if "nome_produto" not in sales.columns:   # product columns not carried from the registry join
         dims = catalog.select("id_produto", "nome_produto", "categoria", "marca", "faixa_preco")
-        out = out.join(dims, on="id_produto", how="left")
+        out = out.join(by_shuffle(dims), on="id_produto", how="left")
     out = (out
            .withColumn("nome_produto", F.coalesce("nome_produto", F.lit(P.UNREGISTERED_NAME)))
            .withColumn("categoria", F.coalesce("categoria", F.lit(P.UNREGISTERED_LABEL)))
@@ -126,8 +127,8 @@ def price_position(catalog: DataFrame, prices: DataFrame, sales: DataFrame) -> D
                                            F.sum("quantidade").alias("itens_vendidos"))
     own = catalog.select("id_produto", "nome_produto", "categoria", "marca",
                          F.col("preco_atual").alias("nosso_preco"))
-    out = (own.join(market(prices), on="id_produto", how="inner")
-           .join(sold, on="id_produto", how="left")
+    out = (own.join(by_shuffle(market(prices)), on="id_produto", how="inner")
+           .join(by_shuffle(sold), on="id_produto", how="left")
            .withColumn("diferenca_pct_vs_media", C.pct_diff("nosso_preco", "preco_medio_concorrentes"))
            .withColumn("diferenca_pct_vs_minimo", C.pct_diff("nosso_preco", "preco_minimo_concorrentes"))
            .withColumn("classificacao_preco",

@@ -17,6 +17,7 @@ from mercato import params as P
 from mercato.operators import expect
 from mercato.operators.checkstate import CheckState
 from mercato.operators.dedup import duplicate_key_count
+from mercato.operators.joins import by_shuffle
 from mercato.operators.materialize import materialize
 from mercato.plans import silver
 from mercato.schemas import GOLD, GOLD_KEYS
@@ -331,7 +332,7 @@ def referential_integrity(lh) -> DataFrame:
     def orphans(name, sales, registry, key):
         # the written registry has one row a key; nothing stands between its
         # shuffle and the join, so that a hot key's sales can be split
-        lost = sales.select(key).join(registry.select(key), key, "left_anti")
+        lost = sales.select(key).join(by_shuffle(registry.select(key)), key, "left_anti")
         return lost.agg(F.lit(name).alias("check_name"), F.count(F.lit(1)).alias("orphans"))
     out = _union([orphans("venda -> cliente", det, lh.customers_written, "id_cliente"),
                   orphans("venda cadastrada -> produto", det.where("produto_cadastrado"), lh.catalog_written, "id_produto")])
@@ -378,10 +379,10 @@ def baseline(lh, rel_tol=0) -> DataFrame:
                       ("total_clientes", "r", "customers", "rows")])
     s = lh.sales
     per_cust = s.groupBy("id_cliente").agg(F.sum("receita").alias("r"))
-    known = lh.customers.select("id_cliente").join(per_cust, "id_cliente", "left")
+    known = lh.customers.select("id_cliente").join(by_shuffle(per_cust), "id_cliente", "left")
     cust_vip = F.coalesce(F.col("r"), F.lit(0)) >= F.lit(p.vip_from)
     monitored = lh.prices.groupBy("id_produto").agg(F.max("preco_concorrente").alias("mx")) \
-        .join(lh.catalog.select("id_produto", "preco_atual"), "id_produto", "inner")
+        .join(by_shuffle(lh.catalog.select("id_produto", "preco_atual")), "id_produto", "inner")
     cells = s.select("data", "hora", "canal_venda").distinct()
     recounted = _union([
         _one_value(known, "clientes_vip", F.count_if(cust_vip)),

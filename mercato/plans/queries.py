@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mercato import params as P
 from mercato.operators.dedup import dedup_latest
-from mercato.operators.joins import group_count_over
+from mercato.operators.joins import by_shuffle, group_count_over
 from mercato.operators.rank import add_ranks
 from mercato.plans import scorecard
 from mercato.plans.lakehouse import Lakehouse, published_testdata
@@ -148,8 +148,8 @@ def enforced_relationships(spark, sf_dir):
     from mercato.operators.joins import declared_join
     lh = lake(spark, sf_dir)
     s = lh.sales_base.select("id_cliente", "id_produto", "receita")
-    s = declared_join(s, lh.customers.select("id_cliente", "regiao"), "id_cliente", "vendas -> clientes")
-    s = declared_join(s, lh.catalog.select("id_produto", "categoria"), "id_produto", "vendas -> produtos")
+    s = declared_join(s, by_shuffle(lh.customers.select("id_cliente", "regiao")), "id_cliente", "vendas -> clientes")
+    s = declared_join(s, by_shuffle(lh.catalog.select("id_produto", "categoria")), "id_produto", "vendas -> produtos")
     return s.groupBy("regiao", "categoria").agg(F.count(F.lit(1)).alias("vendas"), F.sum("receita").cast("decimal(20,2)").alias("receita"))
 
 
@@ -415,9 +415,9 @@ def orphan_anti_join(spark, sf_dir):
     """Sales whose customer or product is missing from its registry."""
     lh = lake(spark, sf_dir)
     s = lh.sales_base.select("id_venda", "id_cliente", "id_produto")
-    no_customer = s.join(lh.customers_written.select("id_cliente"), "id_cliente", "left_anti") \
+    no_customer = s.join(by_shuffle(lh.customers_written.select("id_cliente")), "id_cliente", "left_anti") \
         .select("id_venda", F.lit("cliente").alias("registro"), F.col("id_cliente").alias("chave"))
-    no_product = s.join(lh.catalog_written.select("id_produto"), "id_produto", "left_anti") \
+    no_product = s.join(by_shuffle(lh.catalog_written.select("id_produto")), "id_produto", "left_anti") \
         .select("id_venda", F.lit("produto").alias("registro"), F.col("id_produto").alias("chave"))
     return no_customer.unionByName(no_product)
 

@@ -14,7 +14,7 @@ from mercato import params as P
 from mercato.functions import columns as C
 from mercato.operators.dedup import dedup_latest
 from mercato.operators.expect import Rule
-from mercato.operators.joins import lookup_join
+from mercato.operators.joins import by_shuffle, lookup_join
 
 CUSTOMER_RULES, PRODUCT_RULES, SALES_RULES, COMPETITOR_RULES = (
     [Rule(*r) for r in P.SILVER_EXPECTATIONS[t]] for t in ("clientes", "produtos", "vendas", "preco_competidores"))
@@ -73,7 +73,7 @@ def sales_enriched(base: DataFrame, catalog: DataFrame, with_product: bool = Fal
     registry = catalog.select("id_produto", F.lit(True).alias("produto_cadastrado"), "data_criacao", *extra)
     t, created = F.col("data_venda"), F.col("data_criacao")
     registered = C.null_false("produto_cadastrado")
-    out = (base.join(registry, on="id_produto", how="left")
+    out = (base.join(by_shuffle(registry), on="id_produto", how="left")
            .withColumns({"produto_cadastrado": registered,
                          "venda_antes_do_cadastro": C.null_false(t < created),
                          "venda_depois_do_cadastro": C.null_false(registered & (t >= created))}))
@@ -86,7 +86,7 @@ def competitor_prices(bronze: DataFrame, catalog: DataFrame, p: P.Params = P.DEF
     own = catalog.select("id_produto", "preco_atual")
     out = (d.withColumns({"preco_concorrente": C.money("preco_concorrente"),
                           "data_coleta": F.to_timestamp_ntz("data_coleta")})
-           .join(own, on="id_produto", how="left")
+           .join(by_shuffle(own), on="id_produto", how="left")
            .withColumn("preco_suspeito",
                        C.is_suspicious("preco_concorrente", "preco_atual", p.suspicious_pct)))
     return out.select("id_produto", "nome_concorrente", "preco_concorrente", "data_coleta",

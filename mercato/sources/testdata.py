@@ -31,6 +31,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.operators.joins import by_shuffle
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 # Declared schemas of the test tables (read without a schema-inference job).
@@ -120,7 +122,7 @@ def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "left")  # a line without its order stays, as an orphan
+    j = li.join(by_shuffle(o), li.l_orderkey == o.o_orderkey, "left")  # a line without its order stays, as an orphan
     qty = F.col("l_quantity").cast("bigint")
     hour = ((F.col("l_orderkey") * 5 + F.col("l_linenumber") * 3) % 24).cast("int")
     return j.select(
@@ -141,7 +143,7 @@ def bronze_competitor_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     p = read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    j = li.join(p, li.l_partkey == p.p_partkey, "left")  # a line without its part stays, without a price
+    j = li.join(by_shuffle(p), li.l_partkey == p.p_partkey, "left")  # a line without its part stays, without a price
     pct = 40 + (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 81
     cents = F.floor(_cents("p_retailprice") * pct / 100)
     return j.select(

@@ -234,6 +234,21 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_sides_that_grow_are_not_broadcast(lh, spark):
+    """Small files of products, customers or orders are large tables in the driver: only the states are broadcast."""
+    from mercato.plans import scorecard
+    from mercato.sources import testdata
+    opened = lh.materialized()
+    sf = "/root/testdata/sf0.001"
+    for df in (testdata.bronze_sales(spark, sf), testdata.bronze_competitor_prices(spark, sf), lh.sales, lh.prices,
+               marts.sales_detail(opened.sales, opened.catalog, opened.customers, segments=opened.customer_segments),
+               marts.price_position(opened.catalog, opened.prices, opened.sales)):
+        plan = _plan(df)
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    # the pieces of all names meet the brands' pieces sorted
+    assert "SortMergeJoin [_gram" in _plan(scorecard.brand_mismatch(opened.catalog))
+
+
 def test_hot_key_work_is_combined_before_the_shuffle(lh):
     """Dedup and per-key aggregates combine map-side (partial aggregate below
     each hash exchange), so a key holding a third of the rows is reduced
