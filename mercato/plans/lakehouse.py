@@ -78,7 +78,20 @@ class Lakehouse:
 
     @cached_property
     def segments_written(self) -> DataFrame:
-        return materialize(require_unique(self.customer_revenue, ["id_cliente"], "vendas -> segmentos"), "customer-revenue")
+        revenue = marts.customer_revenue(self.customers, silver.with_derived(self.sales_written), self.params)
+        # what the wide table takes from it; the other totals are not computed
+        return materialize(require_unique(revenue.select(*marts.SEGMENT_COLUMNS), ["id_cliente"], "vendas -> segmentos"), "customer-revenue")
+
+    # The wide table needs the sales twice, for the customers' revenue and for
+    # itself: they are deduplicated once, and written.
+    @cached_property
+    def sales_written(self) -> DataFrame:
+        return materialize(silver.sales_rows(self.bronze["vendas"]), "sales")
+
+    @cached_property
+    def sales_for_detail(self) -> DataFrame:
+        """Written sales plus the catalog's columns, without what is derived from them."""
+        return silver.sales_enriched(self.sales_written, self.catalog_written, with_product=True)
 
     @cached_property
     def sales_base(self) -> DataFrame:
@@ -123,7 +136,7 @@ class Lakehouse:
 
     @cached_property
     def sales_detail(self) -> DataFrame:
-        return marts.sales_detail(self.sales_with_product, self.catalog, self.customers, self.params,
+        return marts.sales_detail(self.sales_for_detail, self.catalog, self.customers, self.params,
                                   segments=self.segments_written)
 
     @cached_property
@@ -209,7 +222,7 @@ class Lakehouse:
             build.__dict__.update({attr: df for (_, attr, _), df in zip(tables, done, strict=True)})
             build.__dict__.update(catalog_written=build.catalog, customers_written=build.customers)
         # gold reads the written silver sales; dimensions are joined from their files
-        build.__dict__.update(sales_with_product=build.sales, sales_base=build.sales)
+        build.__dict__.update(sales_with_product=build.sales, sales_base=build.sales, sales_for_detail=build.sales)
         first = [g for g in self.GOLD if g != "sales_detail"]
         build.__dict__.update(zip(first, self._together([partial(write_gold, g) for g in first]), strict=True))
         # the wide table joins the written segments

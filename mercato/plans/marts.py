@@ -17,6 +17,7 @@ from mercato import params as P
 from mercato.functions import columns as C
 from mercato.operators.joins import by_shuffle
 from mercato.operators.rank import add_ranks
+from mercato.plans import silver
 from mercato.schemas import GOLD, conform
 
 
@@ -88,15 +89,21 @@ def customer_segments(customers: DataFrame, sales: DataFrame, p: P.Params = P.DE
     return conform(out, GOLD["customer_segments"])
 
 
+#: What the wide per-sale table takes from its customers.
+SEGMENT_COLUMNS = ["id_cliente", "nome_cliente", "estado", "regiao", "segmento_cliente"]
+
+
 def sales_detail(sales: DataFrame, catalog: DataFrame, customers: DataFrame,
                  p: P.Params = P.DEFAULT_PARAMS, segments: DataFrame | None = None) -> DataFrame:
     """One row per sale with product, customer, region and segment.
 
     Only the segment label is needed from the customer table, so the
     unranked per-customer revenue is joined (no rank computed for nothing).
+    Sales may come without the columns derived from them, which are then added
+    after the joins.
     """
     seg = segments if segments is not None else customer_revenue(customers, sales, p)
-    seg = seg.select("id_cliente", "nome_cliente", "estado", "regiao", "segmento_cliente")
+    seg = seg.select(*SEGMENT_COLUMNS)
     # customer join first: when sales and segments are bucketed by id_cliente
     # it needs no shuffle; the product join follows
     out = sales.join(by_shuffle(seg), on="id_cliente", how="left")
@@ -107,6 +114,8 @@ def sales_detail(sales: DataFrame, catalog: DataFrame, customers: DataFrame,
            .withColumn("nome_produto", F.coalesce("nome_produto", F.lit(P.UNREGISTERED_NAME)))
            .withColumn("categoria", F.coalesce("categoria", F.lit(P.UNREGISTERED_LABEL)))
            .withColumn("marca", F.coalesce("marca", F.lit(P.UNREGISTERED_LABEL))))
+    if "receita" not in out.columns:
+        out = silver.with_derived(out)
     return conform(out, GOLD["sales_detail"])
 
 

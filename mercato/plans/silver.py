@@ -54,10 +54,18 @@ def sales_base(bronze: DataFrame) -> DataFrame:
     """G3 without the registry: dedup -> money -> revenue -> calendar.  What
     needs no product column (time, customers, periods) reads this and joins
     nothing."""
+    return with_derived(sales_rows(bronze))
+
+
+def sales_rows(bronze: DataFrame) -> DataFrame:
+    """The deduplicated sales with the columns that the source has."""
     d = dedup_latest(bronze, ["id_venda"], ["data_venda"])
-    price = C.money("preco_unitario")
-    return d.withColumns({"preco_unitario": price, "receita": C.line_revenue("quantidade", price),
-                          **C.calendar("data_venda")})
+    return d.withColumn("preco_unitario", C.money("preco_unitario"))
+
+
+def with_derived(rows: DataFrame) -> DataFrame:
+    """Revenue and calendar of each sale, from its own columns: added after joins, they are not shuffled."""
+    return rows.withColumns({"receita": C.line_revenue("quantidade", "preco_unitario"), **C.calendar("data_venda")})
 
 
 def sales_enriched(base: DataFrame, catalog: DataFrame, with_product: bool = False) -> DataFrame:
@@ -77,7 +85,7 @@ def sales_enriched(base: DataFrame, catalog: DataFrame, with_product: bool = Fal
            .withColumns({"produto_cadastrado": registered,
                          "venda_antes_do_cadastro": C.null_false(t < created),
                          "venda_depois_do_cadastro": C.null_false(registered & (t >= created))}))
-    return out.select(*SALES_COLUMNS, *extra)
+    return out.select(*[c for c in SALES_COLUMNS if c in out.columns], *extra)
 
 
 def competitor_prices(bronze: DataFrame, catalog: DataFrame, p: P.Params = P.DEFAULT_PARAMS) -> DataFrame:

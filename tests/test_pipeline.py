@@ -249,6 +249,17 @@ def test_sides_that_grow_are_not_broadcast(lh, spark):
     assert "SortMergeJoin [_gram" in _plan(scorecard.brand_mismatch(opened.catalog))
 
 
+def test_wide_table_reads_sales_deduplicated_once(spark):
+    bronze = {"clientes": X.customers(spark, X.CUSTOMERS), "produtos": X.products(spark, X.PRODUCTS),
+              "vendas": X.sales(spark, X.SALES), "preco_competidores": X.prices(spark, X.PRICES)}
+    fresh = Lakehouse.from_tables(spark, bronze)
+    plan = _plan(fresh.sales_detail)
+    assert "partial_max(struct(" not in plan and plan.count("SortMergeJoin") == 2
+    # what is derived from a sale's own columns is added after both joins
+    assert min(plan.index(c) for c in ("AS receita#", "AS dia_semana_num#")) < plan.index("SortMergeJoin")
+    assert fresh.segments_written.columns == marts.SEGMENT_COLUMNS
+
+
 def test_hot_key_work_is_combined_before_the_shuffle(lh):
     """Dedup and per-key aggregates combine map-side (partial aggregate below
     each hash exchange), so a key holding a third of the rows is reduced
