@@ -18,18 +18,21 @@ from pyspark.sql import functions as F
 from mercato.operators.materialize import materialize
 
 LEFT_ONLY, RIGHT_ONLY, DIFFERENT = "only left", "only right", "different"
-_PRINT = ["n", "h1", "h2"]
 
 
-def fingerprints(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """One row for each group: its number of rows and two sums that can't overflow.
-
-    NULLs count: a NULL's place among the columns is hashed too."""
+def _hashes(columns: Sequence[str]) -> tuple[Column, Column]:
+    """Two hashes of a row.  NULLs count: a NULL's place among the columns is hashed too."""
     # a bit a column tells which are NULL, as NULLs leave a hash as it is
     nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    return F.xxhash64(*columns, nulls), F.xxhash64(F.lit(7), nulls, *reversed(columns))
+
+
+def fingerprints(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One row for each group: its number of rows and two sums that can't overflow."""
+    h1, h2 = _hashes(columns)
     wide = lambda h: F.sum(h.cast("decimal(20,0)"))
-    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), wide(F.xxhash64(*columns, nulls)).alias("h1"),
-                               wide(F.xxhash64(F.lit(7), nulls, *reversed(columns))).alias("h2"))
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), wide(h1).alias("h1"),
+                               wide(h2).alias("h2"))
 
 
 def _all(conditions) -> Column:
@@ -38,15 +41,18 @@ def _all(conditions) -> Column:
 
 def differing_groups(left: DataFrame, right: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Groups whose rows differ: ``by``, what differs, and both numbers of rows."""
-    def side(df: DataFrame, s: str) -> DataFrame:
-        return fingerprints(df, by, columns).toDF(*[f"{s}{c}" for c in (*by, *_PRINT)])
-    j = side(left, "l_").join(side(right, "r_"), _all(F.col(f"l_{k}").eqNullSafe(F.col(f"r_{k}")) for k in by), "full")
-    lost, extra = F.col("r_n").isNull(), F.col("l_n").isNull()
-    equal = ~lost & ~extra & _all(F.col(f"l_{c}") == F.col(f"r_{c}") for c in _PRINT)
-    return j.where(~equal).select(
-        *[F.coalesce(f"l_{k}", f"r_{k}").alias(k) for k in by],
-        F.when(lost, LEFT_ONLY).when(extra, RIGHT_ONLY).otherwise(DIFFERENT).alias("difference"),
-        F.coalesce("l_n", F.lit(0)).alias("left_rows"), F.coalesce("r_n", F.lit(0)).alias("right_rows"))
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        h1, h2 = _hashes(columns)
+        return df.select(*[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)], F.lit(sign).alias("_sign"), h1.alias("_h1"), h2.alias("_h2"))
+    # one grouping of both sides, the right one's hashes with a minus: no join of two groupings, which would be shuffled again
+    signed = lambda h: F.sum(F.col(h).cast("decimal(20,0)") * F.col("_sign"))
+    g = side(left, 1).unionByName(side(right, -1)).groupBy(*[f"_by{i}" for i in range(len(by))]).agg(
+        F.count_if(F.col("_sign") == 1).alias("_l"), F.count_if(F.col("_sign") == -1).alias("_r"), signed("_h1").alias("_d1"), signed("_h2").alias("_d2"))
+    equal = (F.col("_l") == F.col("_r")) & (F.col("_d1") == 0) & (F.col("_d2") == 0)
+    return g.where(~equal).select(
+        *[F.col(f"_by{i}").alias(k) for i, k in enumerate(by)],
+        F.when(F.col("_r") == 0, LEFT_ONLY).when(F.col("_l") == 0, RIGHT_ONLY).otherwise(DIFFERENT).alias("difference"),
+        F.col("_l").alias("left_rows"), F.col("_r").alias("right_rows"))
 
 
 def differing_keys(left: DataFrame, right: DataFrame, by: Sequence[str], keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -177,8 +177,10 @@ def reconcile_days(spark, sf_dir):
     some have another quantity and some stand twice: the days and sales that
     differ, found by fingerprints of days and then of the sales of those days."""
     from mercato.operators import fingerprint
+    from mercato.operators.materialize import materialize
     columns = ["id_venda", "data_venda", "id_cliente", "id_produto", "canal_venda", "quantidade", "receita"]
-    sales = lake(spark, sf_dir).sales_base.select("data", *columns)
+    # both sides are read twice: deduplicated once, and written
+    sales = materialize(lake(spark, sf_dir).sales_base.select("data", *columns), "reconciled-sales")
     order = F.split("id_venda", "_")[1].cast("bigint")
     copy = (sales.where(order % 1009 != 0)
             .withColumn("quantidade", F.col("quantidade") + F.when(order % 1013 == 1, 1).otherwise(0))

@@ -260,6 +260,12 @@ def test_wide_table_reads_sales_deduplicated_once(spark):
     assert fresh.segments_written.columns == marts.SEGMENT_COLUMNS
 
 
+def test_reconciled_days_deduplicate_once_and_group_both_sides_together(spark):
+    from mercato.plans.queries import QUERIES
+    plan = _plan(QUERIES["reconcile_days"](spark, "/root/testdata/sf0.001"))
+    assert "partial_max(struct(" not in plan and "FullOuter" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_hot_key_work_is_combined_before_the_shuffle(lh):
     """Dedup and per-key aggregates combine map-side (partial aggregate below
     each hash exchange), so a key holding a third of the rows is reduced
