@@ -109,4 +109,5 @@ def contains_other_value(left: DataFrame, key: Sequence[str], text_col: str, own
     # the pieces of all texts look as small as their files, and would be broadcast
     hits = (by_shuffle(exploded).join(rarest, "_gram").where((F.col("_v") != F.col("_own")) & F.contains("_text", "_lv"))
             .select(*key).distinct())
-    return left.join(hits, on=key, how="left_semi")
+    # what is hit grows with the texts, and is small enough for a broadcast only once it has been shuffled
+    return left.join(by_shuffle(hits), on=key, how="left_semi")
