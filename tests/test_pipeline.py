@@ -260,6 +260,17 @@ def test_hits_of_the_substring_join_are_not_broadcast_at_run_time(lh, spark):
     assert semi and all("SortMergeJoin" in line for line in semi), final
 
 
+def test_report_groups_no_table_in_its_own_plan(lh):
+    """Families that group tables are written before the report's own plan, which stays small in the driver."""
+    import re
+
+    from mercato.plans import quality
+    found = quality.report(lh.materialized())
+    scanned = re.findall(r"FileScan parquet \[([^\]]*)\]", _plan(found))
+    assert scanned and not any(key in columns for columns in scanned for key in ("id_venda", "id_cliente", "id_produto", "ranking_receita"))
+    assert {r["grupo"] for r in found.collect()} == {*quality.FAMILIES, "TOTAL"}
+
+
 def test_wide_table_reads_sales_deduplicated_once(spark):
     bronze = {"clientes": X.customers(spark, X.CUSTOMERS), "produtos": X.products(spark, X.PRODUCTS),
               "vendas": X.sales(spark, X.SALES), "preco_competidores": X.prices(spark, X.PRICES)}
