@@ -15,13 +15,14 @@ from functools import cached_property, partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mercato import params as P
 from mercato.operators import expect
 from mercato.operators.joins import require_unique
 from mercato.operators.materialize import materialize
 from mercato.plans import marts, silver, snapshots
-from mercato.session import scratch_path
+from mercato.session import scratch_path, shuffles_removed
 from mercato.sources import testdata
 
 
@@ -100,8 +101,9 @@ class Lakehouse:
 
     @cached_property
     def sales_with_product(self) -> DataFrame:
-        """Silver sales plus the catalog's descriptive columns (one join)."""
-        return silver.sales_enriched(self.sales_base, self.catalog_written, with_product=True)
+        """Silver sales plus the catalog's descriptive columns (one join, before what a sale's own columns give)."""
+        rows = silver.sales_enriched(silver.sales_rows(self.bronze["vendas"]), self.catalog_written, with_product=True)
+        return silver.with_derived(rows).select(*silver.SALES_COLUMNS, *silver.PRODUCT_DIMS)
 
     @cached_property
     def sales(self) -> DataFrame:
@@ -158,6 +160,12 @@ class Lakehouse:
 
     KEYS = {"customers": ["id_cliente"], "catalog": ["id_produto"]}
 
+    # Silver sales are written from their join to the catalog, whose columns
+    # stand in the same files, outside the table, for the wide table of the
+    # same publish: in the order of the join they take little, and the wide
+    # table is spared a second shuffle of every sale by its product.
+    BESIDE = {"sales": ("sales_with_product", silver.PRODUCT_DIMS)}
+
     # tables written bucketed by the customer key in catalog mode: the wide
     # sales table's customer join then reads both sides co-located.  That join
     # cannot split a hot customer; publish without buckets if there is one.
@@ -182,7 +190,8 @@ class Lakehouse:
         store = self._store(root, database)
         version = store.begin(buckets)
         try:
-            metrics = self._write_all(version, enforce, quarantine)
+            with shuffles_removed(self.spark):   # every table of a publish is written once
+                metrics = self._write_all(version, enforce, quarantine)
             version.commit(metrics)
         finally:
             if not version.committed:
@@ -200,20 +209,27 @@ class Lakehouse:
         metrics, build = {}, self._with({})
 
         def write_silver(table: str, attr: str, rules) -> DataFrame:
-            df = getattr(build, attr)
+            source, beside = self.BESIDE.get(attr, (attr, []))
+            df = getattr(build, source)
             if attr in self.KEYS:   # what facts are joined to has one row a key
                 df = require_unique(df, self.KEYS[attr], f"silver.{table}")
             df, obs = expect.routed(df, rules, f"silver_{table}", quarantine)
-            written = version.write(df, f"silver.{table}", self.BUCKETED.get(attr))
+            written = version.write(df, f"silver.{table}", self.BUCKETED.get(attr), beside)
             metrics[table] = expect.check_observed(obs, rules, quarantine) if enforce or quarantine else obs.get
             return written
 
         def write_gold(name: str) -> DataFrame:
-            df = getattr(build, name)
             if name == "sales_detail":
                 # Clustered by date, min/max skipping on `data`; the sale id
-                # splits a day over as many tasks as its volume asks for
-                df = df.repartitionByRange("data", "id_venda").sortWithinPartitions("data")
+                # splits a day over as many tasks as its volume asks for.  What a
+                # sale's own columns give is added behind the shuffle
+                rows = marts.sales_detail_rows(build.sales_for_detail, build.catalog, build.segments_written)
+                rows = rows.repartitionByRange(F.to_date("data_venda"), "id_venda")
+                df = marts.sales_detail_columns(rows).sortWithinPartitions("data")
+            elif name == "sales_by_time":
+                df = marts.sales_by_time(build.sales_base, written=True)
+            else:
+                df = getattr(build, name)
             return version.write(df, f"gold.{name}", self.BUCKETED.get(name))
 
         dimensions, facts = self.SILVER[:2], self.SILVER[2:]
@@ -222,7 +238,7 @@ class Lakehouse:
             build.__dict__.update({attr: df for (_, attr, _), df in zip(tables, done, strict=True)})
             build.__dict__.update(catalog_written=build.catalog, customers_written=build.customers)
         # gold reads the written silver sales; dimensions are joined from their files
-        build.__dict__.update(sales_with_product=build.sales, sales_base=build.sales, sales_for_detail=build.sales)
+        build.__dict__.update(sales_with_product=build.sales, sales_base=build.sales, sales_for_detail=version.whole("silver.vendas"))
         first = [g for g in self.GOLD if g != "sales_detail"]
         build.__dict__.update(zip(first, self._together([partial(write_gold, g) for g in first]), strict=True))
         # the wide table joins the written segments

@@ -21,15 +21,22 @@ from mercato.plans import silver
 from mercato.schemas import GOLD, conform
 
 
-def sales_by_time(sales: DataFrame) -> DataFrame:
+def sales_by_time(sales: DataFrame, written: bool = False) -> DataFrame:
     """One row per day x hour x channel.  Weekday columns depend on the
-    date only, so they are derived after the aggregate (3 grouping keys)."""
-    agg = sales.groupBy("data", "hora", "canal_venda").agg(
-        F.count(F.lit(1)).alias("total_vendas"),
-        F.sum("quantidade").alias("itens_vendidos"),
-        F.sum("receita").alias("receita"),
-        F.count_distinct("id_cliente").alias("clientes_unicos"),
-    )
+    date only, so they are derived after the aggregate (3 grouping keys).
+
+    A distinct count sends a row of every cell and customer through a shuffle.
+    Of ``written`` sales, which can be scanned twice, that row holds its key
+    only, and the sums of the cells are made beside it.
+    """
+    cell = ["data", "hora", "canal_venda"]
+    sums = {"total_vendas": F.count(F.lit(1)), "itens_vendidos": F.sum("quantidade"), "receita": F.sum("receita")}
+    if written:
+        customers = sales.select(*cell, "id_cliente").distinct().groupBy(*cell).agg(F.count("id_cliente").alias("clientes_unicos"))
+        parts = sales.groupBy(*cell).agg(*[e.alias(n) for n, e in sums.items()]).unionByName(customers, allowMissingColumns=True)
+        agg = parts.groupBy(*cell).agg(*[F.sum(n).alias(n) for n in [*sums, "clientes_unicos"]])
+    else:
+        agg = sales.groupBy(*cell).agg(*[e.alias(n) for n, e in sums.items()], F.count_distinct("id_cliente").alias("clientes_unicos"))
     out = agg.withColumn("dia_semana_num", F.dayofweek("data")) \
              .withColumn("dia_semana", C.weekday_name(F.col("dia_semana_num")))
     return conform(out, GOLD["sales_by_time"])
@@ -89,8 +96,15 @@ def customer_segments(customers: DataFrame, sales: DataFrame, p: P.Params = P.DE
     return conform(out, GOLD["customer_segments"])
 
 
-#: What the wide per-sale table takes from its customers.
+#: What the wide per-sale table takes from its customers, and from the sales themselves.
 SEGMENT_COLUMNS = ["id_cliente", "nome_cliente", "estado", "regiao", "segmento_cliente"]
+SALE_COLUMNS = ["data_venda", "quantidade", "preco_unitario", "produto_cadastrado", "venda_antes_do_cadastro",
+                "canal_venda", "id_produto", "id_cliente", "id_venda"]
+# Joined rows are shuffled in this order: numbers and texts of few values first.
+# They and their places in a row repeat from row to row, which is what shuffle
+# compression finds.
+ROW_COLUMNS = [*SALE_COLUMNS[:6], "faixa_preco", "segmento_cliente", "estado", "regiao", "categoria", "marca", "nome_produto",
+               "id_produto", "id_cliente", "nome_cliente", "id_venda"]
 
 
 def sales_detail(sales: DataFrame, catalog: DataFrame, customers: DataFrame,
@@ -99,23 +113,29 @@ def sales_detail(sales: DataFrame, catalog: DataFrame, customers: DataFrame,
 
     Only the segment label is needed from the customer table, so the
     unranked per-customer revenue is joined (no rank computed for nothing).
-    Sales may come without the columns derived from them, which are then added
-    after the joins.
     """
     seg = segments if segments is not None else customer_revenue(customers, sales, p)
-    seg = seg.select(*SEGMENT_COLUMNS)
+    return sales_detail_columns(sales_detail_rows(sales, catalog, seg))
+
+
+def sales_detail_rows(sales: DataFrame, catalog: DataFrame, segments: DataFrame) -> DataFrame:
+    """The joins of the wide table, with no column that follows from others of the row: what is shuffled."""
     # customer join first: when sales and segments are bucketed by id_cliente
     # it needs no shuffle; the product join follows
-    out = sales.join(by_shuffle(seg), on="id_cliente", how="left")
-    if "nome_produto" not in sales.columns:   # product columns not carried from the registry join
-        dims = catalog.select("id_produto", "nome_produto", "categoria", "marca", "faixa_preco")
-        out = out.join(by_shuffle(dims), on="id_produto", how="left")
-    out = (out
-           .withColumn("nome_produto", F.coalesce("nome_produto", F.lit(P.UNREGISTERED_NAME)))
-           .withColumn("categoria", F.coalesce("categoria", F.lit(P.UNREGISTERED_LABEL)))
-           .withColumn("marca", F.coalesce("marca", F.lit(P.UNREGISTERED_LABEL))))
-    if "receita" not in out.columns:
-        out = silver.with_derived(out)
+    carried = [c for c in silver.PRODUCT_DIMS if c in sales.columns]
+    own = sales.select(*[c for c in ROW_COLUMNS if c in SALE_COLUMNS or c in carried])
+    out = own.join(by_shuffle(segments.select(*SEGMENT_COLUMNS)), on="id_cliente", how="left")
+    if not carried:   # product columns not carried from the registry join
+        out = out.join(by_shuffle(catalog.select("id_produto", *silver.PRODUCT_DIMS)), on="id_produto", how="left")
+    return out.select(*ROW_COLUMNS)
+
+
+def sales_detail_columns(rows: DataFrame) -> DataFrame:
+    """Every column of the wide table, of joined rows."""
+    out = silver.with_derived(rows).withColumns({
+        "nome_produto": F.coalesce("nome_produto", F.lit(P.UNREGISTERED_NAME)),
+        "categoria": F.coalesce("categoria", F.lit(P.UNREGISTERED_LABEL)),
+        "marca": F.coalesce("marca", F.lit(P.UNREGISTERED_LABEL))})
     return conform(out, GOLD["sales_detail"])
 
 

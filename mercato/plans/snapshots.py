@@ -21,14 +21,16 @@ Catalog: a table ``<layer>_<table>_versions``, partitioned by version, and a vie
 a constant of that view, so the scan lists that partition only.
 
 Silver tables are routed (``mercato.operators.expect.routed``): files are kept
-apart by ``destino``, and the tables are what went to ``good``.
+apart by ``destino``, and the tables are what went to ``good``.  Files of a
+folder may hold columns beside those of the table, for later tables of the same
+publish; readers go by the manifest's schema and never see them.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,15 +101,22 @@ class FolderVersion:
     def __init__(self, store: FolderStore, number: int) -> None:
         self.store, self.number = store, number
         self.manifest = {"version": f"{number:08d}-{uuid.uuid4().hex[:12]}", "schemas": {}}
+        self.written: dict[str, dict] = {}
         self.committed = False
 
-    def write(self, df: DataFrame, name: str, bucket_by: str | None = None) -> DataFrame:
-        schema = self.manifest["schemas"][name] = df.schema.jsonValue()
+    def write(self, df: DataFrame, name: str, bucket_by: str | None = None, beside: Sequence[str] = ()) -> DataFrame:
+        """Writes a table, with the columns ``beside`` in its files; the table is returned without them."""
+        self.written[name] = df.schema.jsonValue()
+        schema = self.manifest["schemas"][name] = df.drop(*beside).schema.jsonValue()
         where = os.path.join(self.store.root, "versions", self.manifest["version"], *name.split("."))
         writer = df.write.partitionBy(ROUTE) if any(f["name"] == ROUTE for f in schema["fields"]) else df.write
-        writer.parquet(where)
+        writer.option("compression", "zstd").parquet(where)
         return self.store.table(self.manifest, name)
 
+    def whole(self, name: str) -> DataFrame:
+        """A table that was written here, with the columns beside it."""
+        return self.store.table({**self.manifest, "schemas": self.written}, name)
+
     def commit(self, metrics: dict) -> None:
         """Raises ``Conflict`` where another publish took the number that this one wanted."""
         self.store.manifests.commit(self.number, {**self.manifest, "metrics": metrics})
@@ -169,7 +178,9 @@ class CatalogVersion:
         self.views: dict[str, T.StructType] = {}
         self.committed = False
 
-    def write(self, df: DataFrame, name: str, bucket_by: str | None = None) -> DataFrame:
+    def write(self, df: DataFrame, name: str, bucket_by: str | None = None, beside: Sequence[str] = ()) -> DataFrame:
+        """Writes a table, without the columns ``beside``: the tables of a catalog keep the columns they were made with."""
+        df = df.drop(*beside)
         self.views[name] = df.schema
         parts = [VERSION, ROUTE] if ROUTE in df.columns else [VERSION]
         writer = df.withColumn(VERSION, F.lit(self.manifest["version"])).write.format("parquet").mode("append").partitionBy(*parts)
@@ -178,6 +189,9 @@ class CatalogVersion:
         writer.saveAsTable(f"{self.store.database}.{name.replace('.', '_')}_versions")
         return self.store.table(self.manifest, name)
 
+    def whole(self, name: str) -> DataFrame:
+        return self.store.table(self.manifest, name)
+
     def commit(self, metrics: dict) -> None:
         sql, db, current = self.store.spark.sql, self.store.database, self.store.current
         sql(f"CREATE VIEW IF NOT EXISTS {current} AS SELECT CAST(NULL AS STRING) AS version")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -57,6 +60,34 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaning: dict[str, list] = {}   # session -> how many blocks are open, and the setting before the first of them
+_cleaning_lock = threading.Lock()
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go when it ends, not when the driver's JVM next collects its plan.
+
+    For writes: a write runs once.  A DataFrame that is run a second time would
+    have to make its shuffles again, so the session's setting stays as it was
+    outside.  Blocks may overlap in several threads.
+    """
+    key = spark._jsparkSession.sessionUUID()
+    with _cleaning_lock:
+        here = _cleaning.setdefault(key, [0, spark.conf.get(CLEANUP, None)])
+        here[0] += 1
+        spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _cleaning_lock:
+            here[0] -= 1
+            if not here[0]:
+                before = _cleaning.pop(key)[1]
+                spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -119,11 +119,15 @@ def _cents(c) -> F.Column:
 
 
 def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # what comes from one table alone is computed before the join, as whole
+    # numbers where it can be: the shuffles carry that and no other columns
+    qty = F.col("l_quantity").cast("bigint")
     li = read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
-    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+        qty.alias("quantidade"), F.floor(_cents("l_extendedprice") / qty).alias("_cents"), "l_linenumber", "l_partkey", "l_orderkey")
+    o = read(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "ecommerce")
+        .when(F.col("o_orderpriority").isNotNull(), "loja_fisica").alias("canal_venda"), "o_orderdate", "o_custkey", "o_orderkey")
     j = li.join(by_shuffle(o), li.l_orderkey == o.o_orderkey, "left")  # a line without its order stays, as an orphan
-    qty = F.col("l_quantity").cast("bigint")
     hour = ((F.col("l_orderkey") * 5 + F.col("l_linenumber") * 3) % 24).cast("int")
     return j.select(
         F.concat(F.lit("sal_"), F.col("l_orderkey").cast("string"), F.lit("_"),
@@ -132,23 +136,21 @@ def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("cus_"), F.col("o_custkey").cast("string")).alias("id_cliente"),
         F.concat(F.when((F.col("l_orderkey") + F.col("l_linenumber")) % 50 == 0, "prd_x").otherwise("prd_"),
                  F.col("l_partkey").cast("string")).alias("id_produto"),
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "ecommerce")
-        .when(F.col("o_orderpriority").isNotNull(), "loja_fisica").alias("canal_venda"),
-        qty.alias("quantidade"),
-        (F.floor(_cents("l_extendedprice") / qty).cast("double") / 100).alias("preco_unitario"),
+        "canal_venda", "quantidade",
+        (F.col("_cents").cast("double") / 100).alias("preco_unitario"),
     )
 
 
 def bronze_competitor_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pct = 40 + (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 81
     li = read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+        (F.col("l_suppkey") % 7).alias("_competitor"), pct.alias("_pct"), "l_shipdate", "l_partkey")
     p = read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     j = li.join(by_shuffle(p), li.l_partkey == p.p_partkey, "left")  # a line without its part stays, without a price
-    pct = 40 + (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 81
-    cents = F.floor(_cents("p_retailprice") * pct / 100)
+    cents = F.floor(_cents("p_retailprice") * F.col("_pct") / 100)
     return j.select(
         F.concat(F.lit("prd_"), F.col("l_partkey").cast("string")).alias("id_produto"),
-        F.concat(F.lit("comp_"), (F.col("l_suppkey") % 7).cast("string")).alias("nome_concorrente"),
+        F.concat(F.lit("comp_"), F.col("_competitor").cast("string")).alias("nome_concorrente"),
         (cents.cast("double") / 100).alias("preco_concorrente"),
         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("data_coleta"),
     )

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from mercato.operators import expect
 from mercato.operators.expect import ExpectationFailed, Rule
 from mercato.operators.manifests import Conflict, Manifests
-from mercato.plans import quality, questions, snapshots
+from mercato.plans import quality, questions, silver, snapshots
 from mercato.plans.lakehouse import Lakehouse
+from mercato.session import CLEANUP, shuffles_removed
 from tests import fixtures as X
 
 CLEAN = [r for r in X.CUSTOMERS if r[0] != "cus_6"]
@@ -123,6 +124,79 @@ def test_killed_between_any_two_steps_in_a_catalog(spark, monkeypatch, step, nth
     assert spark.sql(f"SHOW PARTITIONS {db}.gold_sales_detail_versions").count() == 1   # what the killed run left is gone
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(files) if (name := f.getName()).startswith("shuffle_")}
+
+
+def test_a_publish_leaves_no_shuffle_files(spark, tmpdir_path):
+    """They stayed until the JVM collected the plans: all shuffles of a publish, or of two, were on disk at once."""
+    before, setting = shuffle_files(spark), spark.conf.get(CLEANUP, None)
+    lake(spark).publish(tmpdir_path)
+    lake(spark).publish(tmpdir_path)
+    assert shuffle_files(spark) <= before
+    assert spark.conf.get(CLEANUP, None) == setting
+    again = lake(spark).opened(tmpdir_path).sales.groupBy("id_cliente").count()
+    assert len(again.collect()) == len(again.collect()) == 4   # outside, a DataFrame may run twice
+
+
+def test_shuffle_files_go_where_blocks_overlap(spark):
+    first, second = shuffles_removed(spark), shuffles_removed(spark)
+    setting = spark.conf.get(CLEANUP, None)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(CLEANUP) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(CLEANUP, None) == setting
+
+
+ORPHANS = [*X.SALES, ("sal_7", None, "cus_1", "prd_1", "ecommerce", 1, 5.0), ("sal_8", X.T0, None, "prd_2", None, 2, 5.0),
+           ("sal_9", X.T0, "cus_404", None, "ecommerce", None, 5.0), ("sal_10", None, None, None, None, None, None)]
+
+
+def test_published_gold_equals_gold_from_the_sources(spark, tmpdir_path):
+    """The published tables are made by other plans than the lazy ones; rows without time, customer, product or price too."""
+    lh = lake(spark, X.CUSTOMERS, ORPHANS)
+    lh.publish(tmpdir_path, enforce=False)
+    lh.publish(database="snap_same", enforce=False)
+    for opened in (lh.opened(tmpdir_path), lh.opened(database="snap_same")):
+        for name in ["sales", *Lakehouse.GOLD]:
+            mine, theirs = getattr(lh, name), getattr(opened, name)
+            assert theirs.columns == mine.columns
+            assert sorted(map(str, theirs.collect())) == sorted(map(str, mine.collect())), name
+
+
+def test_columns_beside_a_table_are_not_of_it(spark, tmpdir_path):
+    lh = lake(spark)
+    lh.publish(tmpdir_path)
+    opened = lh.opened(tmpdir_path)
+    assert opened.sales.columns == silver.SALES_COLUMNS
+    assert opened.quarantined["sales"].columns == [*silver.SALES_COLUMNS, "regras_violadas"]
+    where = opened.sales.inputFiles()[0]
+    assert set(silver.PRODUCT_DIMS) < set(spark.read.parquet(where).columns)
+
+
+def test_the_wide_table_of_a_publish_shuffles_each_sale_twice(spark, tmpdir_path, monkeypatch):
+    """Once to its customer and once to its day, without columns that follow from others of the sale."""
+    plans, real = {}, snapshots.FolderVersion.write
+
+    def kept(self, df, name, *args):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(self, df, name, *args)
+    monkeypatch.setattr(snapshots.FolderVersion, "write", kept)
+    lake(spark).publish(tmpdir_path)
+    wide = plans["gold.sales_detail"]
+    assert wide.count("SortMergeJoin") == 1 and "hashpartitioning(id_produto" not in wide
+    to_days = wide.index("rangepartitioning(")
+    assert all(wide.index(f"AS {c}#") < to_days for c in ("receita", "dia_semana", "hora"))   # plans are printed from the end
+    vendas = plans["silver.vendas"]
+    assert vendas.index("AS receita#") < vendas.index("SortMergeJoin")
+    # the rows of the distinct count hold their key only
+    assert "partial_count(distinct" not in plans["gold.sales_by_time"]
+    assert any("hashpartitioning(data" in line and "id_cliente" in line for line in plans["gold.sales_by_time"].splitlines())
+
+
 def test_a_failing_run_leaves_what_is_published(spark, tmpdir_path):
     lake(spark).publish(tmpdir_path)
     lake(spark).publish(database="snap_fail")
