@@ -10,7 +10,8 @@ from mercato.operators import expect
 from mercato.operators.expect import ExpectationFailed, Rule
 from mercato.operators.manifests import Conflict, Manifests
 from mercato.plans import quality, questions, silver, snapshots
-from mercato.plans.lakehouse import Lakehouse
+from mercato.plans.lakehouse import Lakehouse, published_testdata
+from mercato.plans.queries import QUERIES
 from mercato.session import CLEANUP, shuffles_removed
 from tests import fixtures as X
 
@@ -140,6 +141,21 @@ def test_a_publish_leaves_no_shuffle_files(spark, tmpdir_path):
     assert len(again.collect()) == len(again.collect()) == 4   # outside, a DataFrame may run twice
 
 
+SF = "/root/testdata/sf0.001"
+
+
+def test_loads_of_the_checks_are_written_without_a_shuffle(spark, monkeypatch):
+    """Every row of the wide table went through a shuffle by year, all of a year to one task."""
+    published_testdata(spark, SF)
+
+    def shuffled(self, *args):
+        raise AssertionError("rows are dealt anew")
+    monkeypatch.setattr(type(spark.range(0)), "repartition", shuffled)
+    rows = QUERIES["dq_by_load"](spark, SF).where("metric = 'rows'").orderBy("carga").collect()
+    total = published_testdata(spark, SF).sales_detail.count()
+    assert [r.linhas_lidas for r in rows][:2] == [rows[0].value, total - rows[0].value] and rows[1].value == rows[2].value == total
+
+
 def test_shuffle_files_go_where_blocks_overlap(spark):
     first, second = shuffles_removed(spark), shuffles_removed(spark)
     setting = spark.conf.get(CLEANUP, None)
