@@ -156,6 +156,13 @@ def test_loads_of_the_checks_are_written_without_a_shuffle(spark, monkeypatch):
     assert [r.linhas_lidas for r in rows][:2] == [rows[0].value, total - rows[0].value] and rows[1].value == rows[2].value == total
 
 
+def test_given_figures_leave_no_shuffle_files(spark):
+    published_testdata(spark, SF)
+    before = shuffle_files(spark)
+    QUERIES["given_figures"](spark, SF)   # counts in the sources while it is built
+    assert shuffle_files(spark) <= before
+
+
 def test_shuffle_files_go_where_blocks_overlap(spark):
     first, second = shuffles_removed(spark), shuffles_removed(spark)
     setting = spark.conf.get(CLEANUP, None)
