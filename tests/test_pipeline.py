@@ -249,6 +249,16 @@ def test_sides_that_grow_are_not_broadcast(lh, spark):
     assert "SortMergeJoin [_gram" in _plan(scorecard.brand_mismatch(opened.catalog))
 
 
+def test_sources_compute_before_they_shuffle(spark):
+    """Keys, prices and quantities of a line went through the joins of the adapter beside what is made of them."""
+    from mercato.sources import testdata
+    sf = "/root/testdata/sf0.001"
+    prices, sales = _plan(testdata.bronze_competitor_prices(spark, sf)), _plan(testdata.bronze_sales(spark, sf))
+    # plans are printed from the end: what comes later in the text runs earlier
+    assert prices.index("AS _pct#") > prices.index("Exchange") and sales.index("AS _cents#") > sales.index("Exchange")
+    assert all(c not in line for line in prices.splitlines() if "SortMergeJoin" in line or "Sort [" in line for c in ("l_orderkey", "l_suppkey"))
+
+
 def test_hits_of_the_substring_join_are_not_broadcast_at_run_time(lh, spark):
     """Planned as a sort-merge join, they became a broadcast when their size was known: 29 MB of 240,000 products."""
     from mercato.plans import scorecard
